@@ -7,8 +7,10 @@ from pyspark.sql import functions as F
 
 from claimloom.llm import oracles
 from claimloom.llm.best_record import best_records, claim_key
-from claimloom.llm.contributor_cap import beyond_cap, cap_table, kept_ids, prepare_contributors
+from claimloom.llm.contributor_cap import beyond_cap, prepare_contributors
+from claimloom.llm.packing import pack_documents
 from claimloom.llm.site_lines import clean_texts, frequent_lines, line_sequences
+from claimloom.llm.tokenizer import encode, token_counts
 from claimloom.sources.tables import table
 
 QUERIES: dict = {}
@@ -59,3 +61,16 @@ def p7_clean(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES |= {"p1_found": p1_found, "p1_records": p1_records, "p2_found": p2_found, "p2_kept": p2_kept, "p7_found": p7_found, "p7_clean": p7_clean}
+
+
+def p8_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Token ids of every document."""
+    return encode(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+def p9_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The container of every document or piece of a document."""
+    return pack_documents(token_counts(table(spark, sf_dir, "documents").select("doc_id", "text")))
+
+
+QUERIES |= {"p8_ids": p8_ids, "p9_pack": p9_pack}
