@@ -43,10 +43,11 @@ def cap_table(tiers: DataFrame) -> DataFrame:
 def prepare_contributors(docs: DataFrame, tiers: DataFrame, other: str = "unclassified") -> DataFrame:
     """doc_id, contributor, cap, score; rows without a site have a null contributor."""
     caps = F.broadcast(cap_table(tiers))
-    rest = F.broadcast(tiers.where(F.col("tier_id") == other).agg(F.min("domain_cap").alias("_rest")))
+    by_id = F.broadcast(tiers.groupBy(F.col("tier_id").alias("_id")).agg(F.min("domain_cap").alias("_idcap")))
     site = site_of(F.col("source_domain"))
-    d = docs.withColumn("_s", spelled_tier(F.col("source_tier_id"))).join(caps, F.col("_s") == F.col("_spell"), "left").crossJoin(rest)
-    d = d.withColumn("_tier", F.coalesce("_tier", F.lit(other))).withColumn("cap", F.coalesce("_cap", "_rest", F.lit(2**31 - 1)))
+    d = docs.withColumn("_s", spelled_tier(F.col("source_tier_id"))).join(caps, F.col("_s") == F.col("_spell"), "left")
+    d = d.withColumn("_tier", F.coalesce("_tier", F.lit(other))).join(by_id, F.col("_tier") == F.col("_id"), "left")
+    d = d.withColumn("cap", F.coalesce("_cap", "_idcap", F.lit(2**31 - 1)))
     key = F.concat_ws("\x1f", F.coalesce("run_id", F.lit("\x00")), site, F.col("_tier"))
     return d.select("doc_id", F.when(site.isNotNull(), key).alias("contributor"), "cap", F.nanvl("quality_score", F.lit(None).cast("double")).alias("score"))
 

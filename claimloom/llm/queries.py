@@ -10,6 +10,7 @@ from claimloom.llm.best_record import best_records, claim_key
 from claimloom.llm.contributor_cap import beyond_cap, prepare_contributors
 from claimloom.llm.packing import pack_documents
 from claimloom.llm.site_lines import clean_texts, frequent_lines, line_sequences
+from claimloom.llm.stuffed_pages import page_features, stuffed_pages
 from claimloom.llm.tokenizer import encode, token_counts
 from claimloom.sources.tables import table
 
@@ -74,3 +75,16 @@ def p9_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES |= {"p8_ids": p8_ids, "p9_pack": p9_pack}
+
+
+def p10_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pages of repeated keywords, tags, product entries or links."""
+    return stuffed_pages(table(spark, sf_dir, "documents")).select("doc_id").distinct()
+
+
+def p10_features(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the decision on every page rests on."""
+    return page_features(table(spark, sf_dir, "documents"))
+
+
+QUERIES |= {"p10_found": p10_found, "p10_features": p10_features}
