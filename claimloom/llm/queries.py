@@ -9,6 +9,7 @@ from claimloom.llm import oracles
 from claimloom.llm.best_record import best_records, claim_key
 from claimloom.llm.contributor_cap import beyond_cap, prepare_contributors
 from claimloom.llm.packing import pack_documents
+from claimloom.llm.scan_noise import repair_texts
 from claimloom.llm.site_lines import clean_texts, frequent_lines, line_sequences
 from claimloom.llm.stuffed_pages import page_features, stuffed_pages
 from claimloom.llm.tokenizer import encode, token_counts
@@ -88,3 +89,20 @@ def p10_features(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES |= {"p10_found": p10_found, "p10_features": p10_features}
+
+
+def _scanned(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repair_texts(table(spark, sf_dir, "normalized_claims").select("claim_id", "claim_text", "evidence_text"))
+
+
+def p3_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fields damaged by scanning."""
+    return _scanned(spark, sf_dir).where("misread + parted + furniture > 0").select("claim_id", "field_name").distinct()
+
+
+def p3_repaired(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The repaired texts of the damaged fields."""
+    return _scanned(spark, sf_dir).where("misread + parted + furniture > 0").groupBy("claim_id", "field_name").agg(F.min("repaired").alias("text"))
+
+
+QUERIES |= {"p3_found": p3_found, "p3_repaired": p3_repaired}
