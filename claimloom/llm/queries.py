@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from claimloom.llm import oracles
 from claimloom.llm.best_record import best_records, claim_key
 from claimloom.llm.contributor_cap import beyond_cap, prepare_contributors
+from claimloom.llm.new_batches import duplicates
 from claimloom.llm.packing import pack_documents
 from claimloom.llm.scan_noise import repair_texts
 from claimloom.llm.site_lines import clean_texts, frequent_lines, line_sequences
@@ -106,3 +107,11 @@ def p3_repaired(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES |= {"p3_found": p3_found, "p3_repaired": p3_repaired}
+
+
+def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Arrivals already held in an earlier batch, with the document first held."""
+    return duplicates(table(spark, sf_dir, "documents").select("doc_id", "batch_no", "text", "content_hash", "canonical_url", "doi"))
+
+
+QUERIES |= {"p4_found": p4_found}
