@@ -46,7 +46,7 @@ HYPHEN = regex.compile(r"(\w+)[-‐‑­¬][ \t]*$")
 PAGE = regex.compile(r"^\W*(?:page|p|pp|seite|pág|s)?\W*(?:\d{1,4}|[ivxlc]{1,6})(?:\s*(?:of|/|von|de|sur)\s*\d{1,4})?\W*$", regex.I)
 SIDE_NUMBER = regex.compile(r"^\s*\d{1,4}(?:\s{2,}|\s*[|—–]\s*)\p{L}|\p{L}[^\n]*(?:\s{2,}|\s+[|—–]\s*)\d{1,4}\s*$")
 ISSUE = regex.compile(r"\b(?:vol|no|nr|issue|heft|bd)\.?\s*\d", regex.I)
-HEAD = regex.compile(r"\bet al\b|\bbulletin of\b|\breports?\b|\bproceedings\b|\bjournal\b|^\p{L}+\s*[|:]\s", regex.I)
+HEAD = regex.compile(r"\bet al\b|\bbulletin of\b|\breports?\b|\bproceedings\b|\bjournal\b|(?-i:^\p{Lu}\p{L}+\s*[|:]\s+\p{Lu}(?!.*,.*,))", regex.I)
 HEAD_WORDS = regex.compile(r"\bet al\b|\bbulletin of\b|\breports?\b|\bproceedings\b|\bjournal\b", regex.I)
 LINE_FEATURES = 16
 
