@@ -48,7 +48,7 @@ SIDE_NUMBER = regex.compile(r"^\s*\d{1,4}(?:\s{2,}|\s*[|—–]\s*)\p{L}|\p{L}[^
 ISSUE = regex.compile(r"\b(?:vol|no|nr|issue|heft|bd)\.?\s*\d", regex.I)
 HEAD = regex.compile(r"\bet al\b|\bbulletin of\b|\breports?\b|\bproceedings\b|\bjournal\b|(?-i:^\p{Lu}\p{L}+\s*[|:]\s+\p{Lu}(?!.*,.*,))", regex.I)
 HEAD_WORDS = regex.compile(r"\bet al\b|\bbulletin of\b|\breports?\b|\bproceedings\b|\bjournal\b", regex.I)
-LINE_FEATURES = 16
+LINE_FEATURES, JOIN_FEATURES = 16, 12
 
 
 def line_key(line: str) -> str:
@@ -234,63 +234,77 @@ def _weak_join(f: list[float]) -> int | None:
 
 
 class Repairer:
+    """Repairs texts batch by batch; the models see all lines of a batch at once."""
+
     def __init__(self, lines: Lines, words: dict[str, str], furniture: BoostedTrees, join: BoostedTrees):
         self.lines, self.words, self.furniture, self.join = lines, words, furniture, join
-        self._memo: dict[tuple, float] = {}
-
-    def _p(self, model: BoostedTrees, name: str, f: list[float]) -> float:
-        key = (name, *[round(x, 2) for x in f])
-        if key not in self._memo:
-            if len(self._memo) > 200_000:
-                self._memo.clear()
-            self._memo[key] = float(model.predict(np.array([key[1:]], float))[0])
-        return self._memo[key]
-
-    def split(self, text: str) -> tuple[list[tuple[str, bool]], int]:
-        """Lines with text (line, is the site's own), and how many lines were furniture."""
-        raw = [x for x in text.split("\n") if x.strip()]
-        own = [self.lines.own(x) for x in raw]
-        kept, dropped = [], 0
-        for i, x in enumerate(raw):
-            if own[i]:
-                kept.append((x, True))
-                continue
-            before = next((y for y, _ in reversed(kept)), None)
-            after = raw[i + 1] if i + 1 < len(raw) else None
-            if len(raw) > 1 and self._p(self.furniture, "f", self.lines.features(x, before, after, False)) >= 0.5:
-                dropped += 1
-            else:
-                kept.append((x, False))
-        return kept, dropped
-
-    def repair(self, text: str) -> tuple[str, int, int, int]:
-        """(text, misread words, parted words or sentences, furniture lines)."""
-        parted = furniture = 0
-        if "\n" in text:
-            kept, furniture = self.split(text)
+
+    def kept_lines(self, texts: list[str]) -> list[tuple[list[tuple[str, bool]], int]]:
+        """Of each text its lines without furniture (line, is the site's own), and how many were furniture."""
+        raws, owns, rows, at = [], [], [], []
+        for t, text in enumerate(texts):
+            raw = [x for x in text.split("\n") if x.strip()]
+            own = [self.lines.own(x) for x in raw]
+            raws.append(raw)
+            owns.append(own)
+            if len(raw) > 1:
+                for i, x in enumerate(raw):
+                    if not own[i]:
+                        rows.append(self.lines.features(x, raw[i - 1] if i else None, raw[i + 1] if i + 1 < len(raw) else None, False))
+                        at.append((t, i))
+        drop = {k for k, p in zip(at, self.furniture.predict(np.array(rows).reshape(-1, LINE_FEATURES))) if p >= 0.5}
+        return [([(x, o) for i, (x, o) in enumerate(zip(raw, own)) if (t, i) not in drop], sum((t, i) in drop for i in range(len(raw)))) for t, (raw, own) in enumerate(zip(raws, owns))]
+
+    def rejoin(self, kept: list[list[tuple[str, bool]]]) -> list[tuple[list[str], int]]:
+        """Lines put together again where a word or sentence runs on; lines of the site in between part nothing."""
+        rows, at = [], []
+        for t, lines in enumerate(kept):
+            last = None
+            for i, (x, own) in enumerate(lines):
+                if own:
+                    continue
+                if last is not None:
+                    rows.append(self.lines.joins(last, x, False, False))
+                    at.append((t, i))
+                last = x
+        join = {k for k, p in zip(at, self.join.predict(np.array(rows).reshape(-1, JOIN_FEATURES))) if p >= 0.5}
+        result = []
+        for t, lines in enumerate(kept):
             out: list[str] = []
-            last = -1  # the last line of text; lines of the site in between part nothing
-            for x, own in kept:
-                if not own and last >= 0 and self._p(self.join, "j", self.lines.joins(out[last], x, False, False)) >= 0.5:
-                    a, h = out[last].rstrip(), HYPHEN.search(out[last])
+            last, parted = -1, 0
+            for i, (x, own) in enumerate(lines):
+                if (t, i) in join:
                     parted += 1
-                    if h:
-                        first = WORD.match(x.lstrip())
-                        whole = (h[1] + (first[0] if first else "")).lower()
-                        stem = out[last][: h.end(1)]
-                        compound = whole not in self.lines.vocabulary and a.endswith("-") and h[1].lower() in self.lines.vocabulary and first is not None and first[0].lower() in self.lines.vocabulary
-                        out[last] = stem + ("-" if compound else "") + x.lstrip()
-                    else:
-                        out[last] = a + " " + x.lstrip()
+                    out[last] = self._together(out[last], x)
                 else:
                     out.append(x)
                     last = last if own else len(out) - 1
-            if parted or furniture:
-                text = "\n".join(out)
-        found = set(WORD.findall(text)) & self.words.keys()
-        if found:
-            text = WORD.sub(lambda m: self.words.get(m[0], m[0]), text)
-        return text, len(found), parted, furniture
+            result.append((out, parted))
+        return result
+
+    def _together(self, a: str, b: str) -> str:
+        h, first, known = HYPHEN.search(a), WORD.match(b.lstrip()), self.lines.vocabulary
+        if not h:
+            return a.rstrip() + " " + b.lstrip()
+        whole = (h[1] + (first[0] if first else "")).lower()
+        compound = whole not in known and a.rstrip().endswith("-") and h[1].lower() in known and first is not None and first[0].lower() in known
+        return a[: h.end(1)] + ("-" if compound else "") + b.lstrip()
+
+    def repair(self, texts: list[str]) -> list[tuple[str, int, int, int]]:
+        """(text, misread words, parted words or sentences, furniture lines) of each text."""
+        several = [i for i, x in enumerate(texts) if "\n" in x]
+        state = {}
+        kept = self.kept_lines([texts[i] for i in several])
+        for i, (lines, furniture), (out, parted) in zip(several, kept, self.rejoin([k for k, _ in kept])):
+            state[i] = ("\n".join(out) if parted or furniture else texts[i], parted, furniture)
+        result = []
+        for i, text in enumerate(texts):
+            text, parted, furniture = state.get(i, (text, 0, 0))
+            found = self.words.keys() & set(WORD.findall(text))
+            if found:
+                text = WORD.sub(lambda m: self.words.get(m[0], m[0]), text)
+            result.append((text, len(found), parted, furniture))
+        return result
 
 
 def fit_repairer(claims: DataFrame) -> Repairer:
@@ -319,7 +333,7 @@ def fit_repairer(claims: DataFrame) -> Repairer:
                     jx.append(f)
                     jy.append(y)
     furniture = BoostedTrees(rounds=40).fit(np.array(fx).reshape(-1, LINE_FEATURES), np.array(fy))
-    join = BoostedTrees(rounds=40).fit(np.array(jx).reshape(-1, 12), np.array(jy))
+    join = BoostedTrees(rounds=40).fit(np.array(jx).reshape(-1, JOIN_FEATURES), np.array(jy))
     return Repairer(stats, fixes, furniture, join)
 
 
@@ -334,9 +348,8 @@ def repair_texts(claims: DataFrame) -> DataFrame:
             ids = b.column("claim_id").to_pylist()
             rows: list[tuple] = []
             for col in FIELDS:
-                for i, text in zip(ids, b.column(col).to_pylist()):
-                    if text and not text.isspace():
-                        rows.append((i, col, *repairer.repair(text)))
+                some = [(i, text) for i, text in zip(ids, b.column(col).to_pylist()) if text and not text.isspace()]
+                rows += [(i, col, *r) for (i, _), r in zip(some, repairer.repair([x for _, x in some]))]
             cols = list(zip(*rows)) if rows else [[]] * 6
             kinds = [pa.string(), pa.string(), pa.string(), pa.int32(), pa.int32(), pa.int32()]
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds)], names=["claim_id", "field_name", "repaired", "misread", "parted", "furniture"])
