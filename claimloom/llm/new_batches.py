@@ -9,7 +9,8 @@ with a beam widened until its recall against exhaustive search is as wanted, and
 segment; segments are merged by a fixed schedule. Candidates are verified exactly (longest common
 subsequence of words). Links are closed by hash-to-min contraction.
 
-Hot keys: copies of one text are one row of the index; word pairs that stand in more than COMMON of
+Hot keys: copies of one text are one row of the index; lines are the site's own where they stand in at least LINE_COUNT and
+LINE_SITE_SHARE of the documents of one site, and in different texts (copies make no line a site's own). Word pairs that stand in more than COMMON of
 all texts route nothing; a route value that still holds more than SHARD_ROWS rows is split by the
 text's next value.
 
@@ -32,12 +33,13 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from claimloom.functions.hosts import site_of
 from claimloom.llm.small_world import SIGNATURE, Graph, Segments, tuned_beam
 from claimloom.session import checkpoint
 
 LIKE, ROUTES, SHARD_ROWS, LIMIT = 0.9, 4, 16_384, 20
 BUCKETS, COMMON = 1 << 16, 0.01
-LINE_SHARE, LINE_COUNT, LINE_LETTERS, LINE_CHARS = 5e-5, 8, 12, 240
+LINE_SITE_SHARE, LINE_SHARE, LINE_COUNT, LINE_LETTERS, LINE_CHARS, LINE_DIVERSE = 0.01, 2e-6, 8, 12, 240, 0.5
 EMPTY_SHA = "e3b0c44298fc1c149afbf4c8996fb92427ae41e4649b934ca495991b7852b855"
 TRACKING = r"(?:utm_[a-z]+|fbclid|gclid|dclid|msclkid|mc_cid|mc_eid|igshid|yclid|_ga)"
 WORD = regex.compile(r"\w+")
@@ -94,12 +96,12 @@ def _word_hashes(words: list[str]) -> list[int]:
 
 
 def tokenise(docs: DataFrame) -> DataFrame:
-    """doc_id, batch_no, words (int32 bytes), line_key, line_words of every text that isn't blank."""
+    """doc_id, batch_no, site, words (int32 bytes), line_key, line_words of every text that isn't blank; docs: doc_id, batch_no, site (hash), text."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            ids, nos, rows = b.column("doc_id").to_pylist(), b.column("batch_no").to_pylist(), []
-            for i, no, text in zip(ids, nos, b.column("text").to_pylist()):
+            rows = []
+            for i, no, site, text in zip(*[b.column(c).to_pylist() for c in ("doc_id", "batch_no", "site", "text")]):
                 if not text or text.isspace():
                     continue
                 low, words, keys, sizes = text.lower(), [], [], []
@@ -112,12 +114,12 @@ def tokenise(docs: DataFrame) -> DataFrame:
                     keys.append(xxhash.xxh64_intdigest(k) - (1 << 63) if len(k) >= LINE_LETTERS else 0)
                     sizes.append(len(w))
                 if words:
-                    rows.append((i, no, np.array(_word_hashes(words), np.int32).tobytes(), keys, sizes))
-            cols = list(zip(*rows)) if rows else [[]] * 5
-            kinds = [pa.int64(), pa.int32(), pa.binary(), pa.list_(pa.int64()), pa.list_(pa.int32())]
-            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds)], names=["doc_id", "batch_no", "words", "line_key", "line_words"])
+                    rows.append((i, no, site, np.array(_word_hashes(words), np.int32).tobytes(), keys, sizes))
+            cols = list(zip(*rows)) if rows else [[]] * 6
+            kinds = [pa.int64(), pa.int32(), pa.int64(), pa.binary(), pa.list_(pa.int64()), pa.list_(pa.int32())]
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds)], names=["doc_id", "batch_no", "site", "words", "line_key", "line_words"])
 
-    return docs.select("doc_id", "batch_no", "text").mapInArrow(run, "doc_id bigint, batch_no int, words binary, line_key array<bigint>, line_words array<int>")
+    return docs.select("doc_id", "batch_no", "site", "text").mapInArrow(run, "doc_id bigint, batch_no int, site bigint, words binary, line_key array<bigint>, line_words array<int>")
 
 
 def _mix(h: np.ndarray) -> np.ndarray:
@@ -158,10 +160,13 @@ def _pairs(words: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarra
 
 
 def common_buckets(tokens: DataFrame) -> tuple[np.ndarray, np.ndarray, int]:
-    """(buckets of word pairs that stand in more than COMMON of the texts, keys of the site's lines, texts), both of bounded size."""
+    """(buckets of lines are the site's own where they stand in at least LINE_COUNT and
+LINE_SITE_SHARE of the documents of one site, and in different texts (copies make no line a site's own). Word pairs that stand in more than COMMON of the texts, keys of the site's lines, texts), both of bounded size."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen, lines, n = np.zeros(BUCKETS, np.int64), Counter(), 0
+        seen, n = np.zeros(BUCKETS, np.int64), 0
+        lines: Counter = Counter()
+        sites: Counter = Counter()
         for b in batches:
             n += b.num_rows
             if not b.num_rows:
@@ -170,22 +175,56 @@ def common_buckets(tokens: DataFrame) -> tuple[np.ndarray, np.ndarray, int]:
             owner = np.repeat(np.arange(b.num_rows), np.diff(starts))
             pair = np.unique(owner.astype(np.int64) * BUCKETS + (h % np.uint64(BUCKETS)).astype(np.int64))
             seen += np.bincount(pair % BUCKETS, minlength=BUCKETS)
-            keys = b.column("line_key")
-            flat = keys.flatten().to_numpy(zero_copy_only=False)
-            who = np.repeat(np.arange(b.num_rows), np.diff(keys.offsets.to_numpy()))
-            uniq = np.unique(np.stack([who[flat != 0], flat[flat != 0]]), axis=1)[1] if (flat != 0).any() else np.zeros(0, np.int64)
-            k, c = np.unique(uniq, return_counts=True)
-            lines.update(dict(zip(k.tolist(), c.tolist())))
+            site = b.column("site").to_pylist()
+            sites.update(site)
+            for s, keys in zip(site, b.column("line_key").to_pylist()):
+                lines.update({(s, k) for k in keys if k})
         at = np.flatnonzero(seen)
-        kind = ["p"] * len(at) + ["l"] * len(lines) + ["n"]
-        yield pa.RecordBatch.from_arrays([pa.array(kind), pa.array([*at.tolist(), *lines, 0], pa.int64()), pa.array([*seen[at].tolist(), *lines.values(), n], pa.int64())], names=["kind", "key", "n"])
+        rows = [*(("p", 0, int(k), int(seen[k])) for k in at), *(("l", s, k, c) for (s, k), c in lines.items()), *(("s", s, 0, c) for s, c in sites.items()), ("n", 0, 0, n)]
+        cols = list(zip(*rows))
+        yield pa.RecordBatch.from_arrays([pa.array(cols[0]), *[pa.array(c, pa.int64()) for c in cols[1:]]], names=["kind", "site", "key", "n"])
 
-    counts = checkpoint(tokens.mapInArrow(run, "kind string, key bigint, n bigint").groupBy("kind", "key").agg(F.sum("n").alias("n")))
+    counts = checkpoint(tokens.mapInArrow(run, "kind string, site bigint, key bigint, n bigint").groupBy("kind", "site", "key").agg(F.sum("n").alias("n")))
     texts = counts.where("kind = 'n'").agg(F.sum("n")).first()[0] or 0
     lines = counts.where("kind = 'l'").agg(F.sum("n")).first()[0] or 0
     pairs = counts.where((F.col("kind") == "p") & (F.col("n") > max(8, COMMON * texts))).select("key").toPandas()["key"].to_numpy(np.int64)
-    own = counts.where((F.col("kind") == "l") & (F.col("n") >= max(LINE_COUNT, LINE_SHARE * lines))).select("key").toPandas()["key"].to_numpy(np.int64)  # at most 1 / LINE_SHARE rows
-    return pairs, np.sort(own), texts
+    docs = counts.where("kind = 's'").select("site", F.col("n").alias("docs"))
+    found = counts.where((F.col("kind") == "l") & (F.col("n") >= max(LINE_COUNT, LINE_SHARE * lines))).join(docs, "site").where(F.col("n") >= LINE_SITE_SHARE * F.col("docs"))
+    maybe = found.select("key").distinct().toPandas()["key"].to_numpy(np.int64)  # at most 1 / LINE_SHARE rows
+    return pairs, _diverse_lines(tokens, pairs, np.sort(maybe)), texts
+
+
+def _diverse_lines(tokens: DataFrame, common: np.ndarray, maybe: np.ndarray) -> np.ndarray:
+    """Of the lines that are frequent on a site those that stand in different texts: lines of much-copied texts are no site's own.
+
+    A text is told by its two least rare word pairs, which most near-copies share; LINE_DIVERSE of the
+    texts of a site with the line must differ in them.
+    """
+    if not len(maybe):
+        return maybe
+    flag = np.zeros(BUCKETS, bool)
+    flag[common] = True
+    shared = tokens.sparkSession.sparkContext.broadcast((flag, maybe))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        flag_, maybe_ = shared.value
+        for b in batches:
+            keys = b.column("line_key")
+            flat = keys.flatten().to_numpy(zero_copy_only=False)
+            owner = np.repeat(np.arange(b.num_rows), np.diff(keys.offsets.to_numpy()))
+            hit = np.isin(flat, maybe_)
+            if not hit.any():
+                continue
+            h, starts = _pairs(*_content(b, None))
+            rare = ~flag_[(h % np.uint64(BUCKETS)).astype(np.int64)]
+            h = np.where(rare, h, np.uint64(2**64 - 1))
+            told = np.minimum.reduceat(h, starts[:-1]) ^ _mix(np.minimum.reduceat(np.where(rare, _mix(h), h), starts[:-1]))
+            at = owner[hit]
+            yield pa.RecordBatch.from_arrays([b.column("site").take(pa.array(at)), pa.array(flat[hit]), pa.array(told[at].view(np.int64))], names=["site", "key", "told"])
+
+    seen = tokens.select("site", "words", "line_key", "line_words").mapInArrow(run, "site bigint, key bigint, told bigint").groupBy("site", "key", "told").agg(F.count("*").alias("n"))
+    judged = seen.groupBy("site", "key").agg(F.count("*").alias("texts"), F.sum("n").alias("n")).where((F.col("n") >= LINE_COUNT) & (F.col("texts") >= LINE_DIVERSE * F.col("n")))
+    return np.sort(judged.select("key").distinct().toPandas()["key"].to_numpy(np.int64))
 
 
 def signatures(tokens: DataFrame, common: np.ndarray, own: np.ndarray) -> DataFrame:
@@ -303,19 +342,21 @@ def verified(pairs: DataFrame, tokens: DataFrame, own: np.ndarray, like: float =
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own_ = shared.value
+
+        def alike(x: np.ndarray, y: np.ndarray) -> bool:
+            most = max(len(x), len(y))
+            return min(len(x), len(y)) >= like * most and common_words(x, y) >= like * most
+
         for b in batches:
             if not b.num_rows:
                 continue
-            side = {}
-            for s in "ab":
-                cols = [b.column(f"{s}_{c}") for c in ("words", "line_key", "line_words")]
-                side[s] = _content(pa.RecordBatch.from_arrays(cols, names=["words", "line_key", "line_words"]), own_)
-            (wa, sa), (wb, sb) = side["a"], side["b"]
             ok = np.zeros(b.num_rows, bool)
-            for i in range(b.num_rows):
-                x, y = wa[sa[i] : sa[i + 1]], wb[sb[i] : sb[i + 1]]
-                most = max(len(x), len(y))
-                ok[i] = min(len(x), len(y)) >= like * most and common_words(x, y) >= like * most
+            # as they stand (a copy may have lost its line breaks), else without the site's lines
+            for drop in (None, own_):
+                side = [_content(pa.RecordBatch.from_arrays([b.column(f"{s}_{c}") for c in ("words", "line_key", "line_words")], names=["words", "line_key", "line_words"]), drop) for s in "ab"]
+                (wa, sa), (wb, sb) = side
+                for i in np.flatnonzero(~ok):
+                    ok[i] = alike(wa[sa[i] : sa[i + 1]], wb[sb[i] : sb[i + 1]])
             yield b.select(["a", "b"]).filter(pa.array(ok))
 
     return j.select("a", "b", *[f"{s}_{c}" for s in "ab" for c in ("words", "line_key", "line_words")]).mapInArrow(run, "a bigint, b bigint")
@@ -341,9 +382,9 @@ def closed_groups(links: DataFrame, max_rounds: int = 40) -> DataFrame:
 
 
 def near_links(docs: DataFrame) -> DataFrame:
-    """(a, b): verified near-copies; docs: doc_id, batch_no, text, tkey. One document stands for equal texts."""
+    """(a, b): verified near-copies; docs: doc_id, batch_no, site, text, tkey. One document stands for equal texts."""
     first = docs.where("tkey is not null").groupBy(F.xxhash64("tkey").alias("h")).agg(F.min("doc_id").alias("doc_id")).select("doc_id")
-    tokens = checkpoint(tokenise(docs.select("doc_id", "batch_no", "text")))
+    tokens = checkpoint(tokenise(docs.select("doc_id", "batch_no", "site", "text")))
     common, own, _ = common_buckets(tokens)
     routed = checkpoint(signatures(tokens, common, own).join(first, "doc_id", "left_semi"))
     return verified(candidates(routed), tokens, own)
@@ -351,8 +392,8 @@ def near_links(docs: DataFrame) -> DataFrame:
 
 def duplicates(docs: DataFrame) -> DataFrame:
     """(first_doc_id, doc_id) of arrivals whose group was first held in an earlier batch."""
-    d = docs.select("doc_id", F.coalesce("batch_no", F.lit(2**31 - 1)).cast("int").alias("batch_no"), "text", text_key(F.col("text")).alias("tkey"), F.array(text_key(F.col("text")), hash_key(F.col("content_hash")), url_key(F.col("canonical_url")), doi_key(F.col("doi"))).alias("k"))
-    links = exact_links(d.select("doc_id", "k")).unionByName(near_links(d.select("doc_id", "batch_no", "text", "tkey")))
+    d = docs.select("doc_id", F.coalesce("batch_no", F.lit(2**31 - 1)).cast("int").alias("batch_no"), F.xxhash64(F.coalesce(site_of(F.col("source_domain")), site_of(F.col("canonical_url")))).alias("site"), "text", text_key(F.col("text")).alias("tkey"), F.array(text_key(F.col("text")), hash_key(F.col("content_hash")), url_key(F.col("canonical_url")), doi_key(F.col("doi"))).alias("k"))
+    links = exact_links(d.select("doc_id", "k")).unionByName(near_links(d.select("doc_id", "batch_no", "site", "text", "tkey")))
     groups = closed_groups(links)
     no = docs.select("doc_id", "batch_no").groupBy("doc_id").agg(F.min("batch_no").alias("batch_no"))
     g = groups.join(no, "doc_id").withColumnRenamed("batch_no", "here")

@@ -111,7 +111,7 @@ QUERIES |= {"p3_found": p3_found, "p3_repaired": p3_repaired}
 
 def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Arrivals already held in an earlier batch, with the document first held."""
-    return duplicates(table(spark, sf_dir, "documents").select("doc_id", "batch_no", "text", "content_hash", "canonical_url", "doi"))
+    return duplicates(table(spark, sf_dir, "documents").select("doc_id", "batch_no", "text", "content_hash", "canonical_url", "doi", "source_domain"))
 
 
 QUERIES |= {"p4_found": p4_found}
