@@ -44,13 +44,21 @@ TERMINAL = regex.compile(r"[.!?…:;][\"”’'»)\]]*$|[”»)\]]$")
 BULLET = regex.compile(r"^\s*(?:[-•*»|–—]|\d{1,2}[.)])\s+\p{L}")
 HYPHEN = regex.compile(r"(\w+)[-‐‑­¬][ \t]*$")
 PAGE = regex.compile(r"^\W*(?:page|p|pp|seite|pág|s)?\W*(?:\d{1,4}|[ivxlc]{1,6})(?:\s*(?:of|/|von|de|sur)\s*\d{1,4})?\W*$", regex.I)
-SIDE_NUMBER = regex.compile(r"^\s*\d{1,4}(?:\s{2,}|\s*[|—–]\s*)\p{L}|\p{L}[^\n]*(?:\s{2,}|\s+[|—–]\s*)\d{1,4}\s*$")
+LEFT_NUMBER = regex.compile(r"\s*\d{1,4}(?:\s{2,}|\s*[|—–]\s*)\p{L}")
+RIGHT_NUMBER = regex.compile(r"(?:\s{2,}|\s[|—–]\s*)\d{1,4}\s*$")
+UPPER, LOWER, DIGIT = regex.compile(r"\p{Lu}"), regex.compile(r"\p{Ll}"), regex.compile(r"\d")
+HEAD_CHARS = 160  # a running head is one line of print
 ISSUE = regex.compile(r"\b(?:vol|no|nr|issue|heft|bd)\.?\s*\d", regex.I)
 HEAD = regex.compile(r"\bet al\b|\bbulletin of\b|\breports?\b|\bproceedings\b|\bjournal\b|(?-i:^\p{Lu}\p{L}+\s*[|:]\s+\p{Lu}(?!.*,.*,))", regex.I)
 HEAD_WORDS = regex.compile(r"\bet al\b|\bbulletin of\b|\breports?\b|\bproceedings\b|\bjournal\b", regex.I)
 LINE_FEATURES, JOIN_FEATURES = 16, 12
 
 
+def side_number(line: str) -> bool:
+    """A page number at the left or right of a head."""
+    return bool(LEFT_NUMBER.match(line)) or bool(RIGHT_NUMBER.search(line[-16:])) and bool(LOWER.search(line) or UPPER.search(line))
+
+
 def line_key(line: str) -> str:
     return LETTERS.sub("", line.lower())
 
@@ -66,11 +74,25 @@ def count_tokens(texts: DataFrame) -> DataFrame:
     """kind ('w' word, 'l' line key, 't' line template), token, n over all texts of FIELDS."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words: Counter = Counter()
+        raw: Counter = Counter()  # tokens between white space; each distinct one is split into words once
         lines: Counter = Counter()
         templates: Counter = Counter()
+        seen: dict[str, tuple[str, str | None]] = {}
+
+        def of(line: str) -> tuple[str, str | None]:
+            got = seen.get(line)
+            if got is None:
+                if len(seen) > 50_000:
+                    seen.clear()
+                got = seen[line] = (line_key(line), line_template(line))
+            return got
 
         def flush() -> Iterator[pa.RecordBatch]:
+            words: Counter = Counter()
+            for token, n in raw.items():
+                for w in WORD.findall(token):
+                    words[w] += n
+            raw.clear()
             for kind, c in (("w", words), ("l", lines), ("t", templates)):
                 if c:
                     yield pa.RecordBatch.from_arrays([pa.array([kind] * len(c)), pa.array(list(c)), pa.array(list(c.values()), pa.int64())], names=["kind", "token", "n"])
@@ -81,13 +103,12 @@ def count_tokens(texts: DataFrame) -> DataFrame:
                 for text in b.column(col).to_pylist():
                     if not text:
                         continue
-                    words.update(WORD.findall(text))
+                    raw.update(text.split())
                     if "\n" in text:
-                        own = [x for x in text.split("\n") if x.strip()]
-                        keys = {k for x in own if len(k := line_key(x)) >= 12}
-                        lines.update(keys)
-                        templates.update({t for x in own if (t := line_template(x))})
-            if len(words) + len(lines) + len(templates) > 400_000:  # bounds the worker's memory
+                        own = [of(x) for x in text.split("\n") if x and not x.isspace()]
+                        lines.update({k for k, _ in own if len(k) >= 12})
+                        templates.update({t for _, t in own if t})
+            if len(raw) + len(lines) + len(templates) > 400_000:  # bounds the worker's memory
                 yield from flush()
         yield from flush()
 
@@ -173,26 +194,36 @@ class Lines:
 
     def __init__(self, keys: set[int], templates: set[str], vocabulary: set[str]):
         self.keys, self.templates, self.vocabulary = keys, templates, vocabulary
+        self.seen: dict[str, bool] = {}
 
     def own(self, line: str) -> bool:
+        """Whether the line is the site's own; remembered, since such lines come again and again."""
+        known = self.seen.get(line)
+        if known is None:
+            if len(self.seen) > 50_000:
+                self.seen.clear()
+            known = self.seen[line] = self._own(line)
+        return known
+
+    def _own(self, line: str) -> bool:
         k = line_key(line)
         if len(k) >= 12 and k in self.keys:
             return True
         # a template stands for lines that name their site; running heads share templates too, but have a head's form
-        return line_template(line) in self.templates and not (SIDE_NUMBER.search(line) or ISSUE.search(line) or HEAD_WORDS.search(line))
+        return line_template(line) in self.templates and not (side_number(line) or ISSUE.search(line) or HEAD_WORDS.search(line))
 
     def features(self, line: str, before: str | None, after: str | None, own: bool) -> list[float]:
         s = line.strip()
         n = max(1, len(s))
-        upper = sum(c.isupper() for c in s)
-        lower = sum(c.islower() for c in s)
+        upper = len(UPPER.findall(s))
+        lower = len(LOWER.findall(s))
         words = s.split()
         capital = sum(w[0].isupper() for w in words) / max(1, len(words))
         opens = before is not None and not TERMINAL.search(before.rstrip())
         runs_on = after is not None and after.lstrip()[:1].islower()
         return [
-            float(own), float(bool(PAGE.match(s))), float(bool(SIDE_NUMBER.search(line))), float(bool(ISSUE.search(s))), float(bool(HEAD.search(s))),
-            upper / max(1, upper + lower), capital, float(bool(TERMINAL.search(s))), float(bool(BULLET.match(line))), sum(c.isdigit() for c in s) / n,
+            float(own), float(bool(PAGE.match(s))), float(side_number(line)), float(bool(ISSUE.search(s))), float(bool(HEAD.search(s))),
+            upper / max(1, upper + lower), capital, float(bool(TERMINAL.search(s))), float(bool(BULLET.match(line))), len(DIGIT.findall(s)) / n,
             min(n, 200) / 200, float(opens), float(runs_on), float(s[:1].islower()), float(before is None), float(s.endswith("…")),
         ]
 
@@ -238,6 +269,19 @@ class Repairer:
 
     def __init__(self, lines: Lines, words: dict[str, str], furniture: BoostedTrees, join: BoostedTrees):
         self.lines, self.words, self.furniture, self.join = lines, words, furniture, join
+        self.tokens: dict[str, tuple[str, ...]] = {}  # misread words of a token between white space
+
+    def misread(self, text: str) -> set[str]:
+        memo, words, out = self.tokens, self.words, set()
+        for t in set(text.split()):
+            got = memo.get(t)
+            if got is None:
+                if len(memo) > 300_000:
+                    memo.clear()
+                got = memo[t] = tuple(w for w in WORD.findall(t) if w in words)
+            if got:
+                out.update(got)
+        return out
 
     def kept_lines(self, texts: list[str]) -> list[tuple[list[tuple[str, bool]], int]]:
         """Of each text its lines without furniture (line, is the site's own), and how many were furniture."""
@@ -249,7 +293,7 @@ class Repairer:
             owns.append(own)
             if len(raw) > 1:
                 for i, x in enumerate(raw):
-                    if not own[i]:
+                    if not own[i] and len(x) <= HEAD_CHARS:
                         rows.append(self.lines.features(x, raw[i - 1] if i else None, raw[i + 1] if i + 1 < len(raw) else None, False))
                         at.append((t, i))
         drop = {k for k, p in zip(at, self.furniture.predict(np.array(rows).reshape(-1, LINE_FEATURES))) if p >= 0.5}
@@ -300,7 +344,7 @@ class Repairer:
         result = []
         for i, text in enumerate(texts):
             text, parted, furniture = state.get(i, (text, 0, 0))
-            found = self.words.keys() & set(WORD.findall(text))
+            found = self.misread(text)
             if found:
                 text = WORD.sub(lambda m: self.words.get(m[0], m[0]), text)
             result.append((text, len(found), parted, furniture))
