@@ -22,13 +22,13 @@ document; very long texts are read whole; an empty table gives an empty table.
 from __future__ import annotations
 
 import math
+import re
 from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-import regex
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -42,8 +42,9 @@ BUCKETS, COMMON = 1 << 16, 0.01
 LINE_SITE_SHARE, LINE_SHARE, LINE_COUNT, LINE_LETTERS, LINE_CHARS, LINE_DIVERSE = 0.01, 2e-6, 8, 12, 240, 0.5
 EMPTY_SHA = "e3b0c44298fc1c149afbf4c8996fb92427ae41e4649b934ca495991b7852b855"
 TRACKING = r"(?:utm_[a-z]+|fbclid|gclid|dclid|msclkid|mc_cid|mc_eid|igshid|yclid|_ga)"
-WORD = regex.compile(r"\w+")
-LETTERS = regex.compile(r"[^\p{L}]+")
+WORD = re.compile(r"\w+")
+#: what a line's key leaves out: ASCII that is no letter, and usual signs
+NO_LETTERS = {c: None for c in [*range(0x41), *range(0x5B, 0x61), *range(0x7B, 0xC0), 0x2013, 0x2014, 0x2018, 0x2019, 0x201C, 0x201D, 0x2022, 0x2026, 0x200B]}
 _WORDS: dict[str, int] = {}
 
 
@@ -66,21 +67,15 @@ def doi_key(col: Column) -> Column:
     return F.when(d.rlike(r"^10\.\d{3,9}/.+") & ~d.startswith("10.99999/"), F.concat(F.lit("d:"), d))
 
 
-def text_key(col: Column) -> Column:
-    t = F.regexp_replace(col, r"(?U)[\s​]+", "")
-    return F.when(t != "", F.concat(F.lit("t:"), F.sha2(t, 256)))
-
-
 def hash_key(col: Column) -> Column:
     h = F.lower(F.trim(col))
     return F.when((h != "") & (h != EMPTY_SHA) & h.rlike(r"^[0-9a-f]{16,}$"), F.concat(F.lit("c:"), h))
 
 
-def exact_links(docs: DataFrame) -> DataFrame:
-    """(a, b): a document and the smallest with the same key; documents: doc_id, k (array of keys)."""
-    keyed = docs.select("doc_id", F.explode(F.array_distinct(F.array_compact("k"))).alias("key")).select("doc_id", F.xxhash64("key").alias("h"), F.xxhash64(F.reverse("key")).alias("h2"))
-    least = keyed.groupBy("h", "h2").agg(F.min("doc_id").alias("first"), F.count("*").alias("n")).where("n > 1").select("h", "h2", "first")
-    return keyed.join(least, ["h", "h2"]).where("doc_id <> first").select(F.col("first").alias("a"), F.col("doc_id").alias("b")).distinct()
+def exact_links(keys: DataFrame) -> DataFrame:
+    """(a, b): a document and the smallest with the same key; keys: doc_id, h, h2 (a key's two hashes)."""
+    least = keys.groupBy("h", "h2").agg(F.min("doc_id").alias("first"), F.count("*").alias("n")).where("n > 1").select("h", "h2", "first")
+    return keys.join(least, ["h", "h2"]).where("doc_id <> first").select(F.col("first").alias("a"), F.col("doc_id").alias("b")).distinct()
 
 
 def _word_hashes(words: list[str]) -> list[int]:
@@ -96,7 +91,7 @@ def _word_hashes(words: list[str]) -> list[int]:
 
 
 def tokenise(docs: DataFrame) -> DataFrame:
-    """doc_id, batch_no, site, words (int32 bytes), line_key, line_words of every text that isn't blank; docs: doc_id, batch_no, site (hash), text."""
+    """doc_id, batch_no, site, t1, t2 (hash of the text without white space), words (int32 bytes), line_key, line_words of every text that isn't blank; docs: doc_id, batch_no, site (hash), text."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -110,16 +105,17 @@ def tokenise(docs: DataFrame) -> DataFrame:
                     if not w:
                         continue
                     words += w
-                    k = LETTERS.sub("", line) if len(line) <= LINE_CHARS else ""
+                    k = line.translate(NO_LETTERS) if len(line) <= LINE_CHARS else ""
                     keys.append(xxhash.xxh64_intdigest(k) - (1 << 63) if len(k) >= LINE_LETTERS else 0)
                     sizes.append(len(w))
                 if words:
-                    rows.append((i, no, site, np.array(_word_hashes(words), np.int32).tobytes(), keys, sizes))
-            cols = list(zip(*rows)) if rows else [[]] * 6
-            kinds = [pa.int64(), pa.int32(), pa.int64(), pa.binary(), pa.list_(pa.int64()), pa.list_(pa.int32())]
-            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds)], names=["doc_id", "batch_no", "site", "words", "line_key", "line_words"])
+                    t = xxhash.xxh3_128_intdigest("".join(text.replace("\u200b", "").split()))
+                    rows.append((i, no, site, (t >> 64) - (1 << 63), (t & (1 << 64) - 1) - (1 << 63), np.array(_word_hashes(words), np.int32).tobytes(), keys, sizes))
+            cols = list(zip(*rows)) if rows else [[]] * 8
+            kinds = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.list_(pa.int64()), pa.list_(pa.int32())]
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds)], names=["doc_id", "batch_no", "site", "t1", "t2", "words", "line_key", "line_words"])
 
-    return docs.select("doc_id", "batch_no", "site", "text").mapInArrow(run, "doc_id bigint, batch_no int, site bigint, words binary, line_key array<bigint>, line_words array<int>")
+    return docs.select("doc_id", "batch_no", "site", "text").mapInArrow(run, "doc_id bigint, batch_no int, site bigint, t1 bigint, t2 bigint, words binary, line_key array<bigint>, line_words array<int>")
 
 
 def _mix(h: np.ndarray) -> np.ndarray:
@@ -171,10 +167,8 @@ LINE_SITE_SHARE of the documents of one site, and in different texts (copies mak
             n += b.num_rows
             if not b.num_rows:
                 continue
-            h, starts = _pairs(*_content(b, None))
-            owner = np.repeat(np.arange(b.num_rows), np.diff(starts))
-            pair = np.unique(owner.astype(np.int64) * BUCKETS + (h % np.uint64(BUCKETS)).astype(np.int64))
-            seen += np.bincount(pair % BUCKETS, minlength=BUCKETS)
+            h, _ = _pairs(*_content(b, None))
+            seen += np.bincount((h & np.uint64(BUCKETS - 1)).astype(np.int64), minlength=BUCKETS)
             site = b.column("site").to_pylist()
             sites.update(site)
             for s, keys in zip(site, b.column("line_key").to_pylist()):
@@ -216,7 +210,7 @@ def _diverse_lines(tokens: DataFrame, common: np.ndarray, maybe: np.ndarray) ->
             if not hit.any():
                 continue
             h, starts = _pairs(*_content(b, None))
-            rare = ~flag_[(h % np.uint64(BUCKETS)).astype(np.int64)]
+            rare = ~flag_[(h & np.uint64(BUCKETS - 1)).astype(np.int64)]
             h = np.where(rare, h, np.uint64(2**64 - 1))
             told = np.minimum.reduceat(h, starts[:-1]) ^ _mix(np.minimum.reduceat(np.where(rare, _mix(h), h), starts[:-1]))
             at = owner[hit]
@@ -242,7 +236,7 @@ def signatures(tokens: DataFrame, common: np.ndarray, own: np.ndarray) -> DataFr
             if not n:
                 continue
             h, starts = _pairs(*_content(b, own_))
-            rare = ~flag_[(h % np.uint64(BUCKETS)).astype(np.int64)]
+            rare = ~flag_[(h & np.uint64(BUCKETS - 1)).astype(np.int64)]
             total = np.concatenate(([0], np.cumsum(rare)))
             none = total[starts[1:]] == total[starts[:-1]]
             rare |= np.repeat(none, np.diff(starts))
@@ -301,7 +295,7 @@ def candidates(routed: DataFrame) -> DataFrame:
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values(["batch_no", "doc_id"], kind="stable")
-        codes = np.frombuffer(b"".join(pdf["signature"]), np.uint8).reshape(-1, SIGNATURE)
+        codes = np.frombuffer(b"".join(pdf["signature"]), np.uint64).reshape(-1, SIGNATURE // 8)
         a, b, _ = search_shard(pdf["doc_id"].to_numpy(), pdf["batch_no"].to_numpy(), codes, pdf["key"].to_numpy())
         return pd.DataFrame({"a": a, "b": b})
 
@@ -381,21 +375,23 @@ def closed_groups(links: DataFrame, max_rounds: int = 40) -> DataFrame:
     return edges.select(F.col("b").alias("doc_id"), F.col("a").alias("first"))
 
 
-def near_links(docs: DataFrame) -> DataFrame:
-    """(a, b): verified near-copies; docs: doc_id, batch_no, site, text, tkey. One document stands for equal texts."""
-    first = docs.where("tkey is not null").groupBy(F.xxhash64("tkey").alias("h")).agg(F.min("doc_id").alias("doc_id")).select("doc_id")
-    tokens = checkpoint(tokenise(docs.select("doc_id", "batch_no", "site", "text")))
+def near_links(tokens: DataFrame) -> DataFrame:
+    """(a, b): verified near-copies among the tokenised texts. One document stands for equal texts."""
+    first = tokens.groupBy("t1", "t2").agg(F.min("doc_id").alias("doc_id")).select("doc_id")
     common, own, _ = common_buckets(tokens)
     routed = checkpoint(signatures(tokens, common, own).join(first, "doc_id", "left_semi"))
-    return verified(candidates(routed), tokens, own)
+    return verified(checkpoint(candidates(routed)), tokens, own)
 
 
 def duplicates(docs: DataFrame) -> DataFrame:
     """(first_doc_id, doc_id) of arrivals whose group was first held in an earlier batch."""
-    d = docs.select("doc_id", F.coalesce("batch_no", F.lit(2**31 - 1)).cast("int").alias("batch_no"), F.xxhash64(F.coalesce(site_of(F.col("source_domain")), site_of(F.col("canonical_url")))).alias("site"), "text", text_key(F.col("text")).alias("tkey"), F.array(text_key(F.col("text")), hash_key(F.col("content_hash")), url_key(F.col("canonical_url")), doi_key(F.col("doi"))).alias("k"))
-    links = exact_links(d.select("doc_id", "k")).unionByName(near_links(d.select("doc_id", "batch_no", "site", "text", "tkey")))
-    groups = closed_groups(links)
-    no = docs.select("doc_id", "batch_no").groupBy("doc_id").agg(F.min("batch_no").alias("batch_no"))
-    g = groups.join(no, "doc_id").withColumnRenamed("batch_no", "here")
-    g = g.join(no.select(F.col("doc_id").alias("first"), F.col("batch_no").alias("there")), "first")
+    no = F.coalesce("batch_no", F.lit(2**31 - 1)).cast("int").alias("batch_no")
+    site = F.xxhash64(F.coalesce(site_of(F.col("source_domain")), site_of(F.col("canonical_url")))).alias("site")
+    tokens = checkpoint(tokenise(docs.select("doc_id", no, site, "text")))
+    said = docs.select("doc_id", F.explode(F.array_distinct(F.array_compact(F.array(hash_key(F.col("content_hash")), url_key(F.col("canonical_url")), doi_key(F.col("doi")))))).alias("key"))
+    keys = checkpoint(said.select("doc_id", F.xxhash64("key").alias("h"), F.hash("key").cast("bigint").alias("h2"))).unionByName(tokens.select("doc_id", F.col("t1").alias("h"), F.col("t2").alias("h2")))
+    groups = closed_groups(exact_links(keys).unionByName(near_links(tokens)))
+    batch = docs.select("doc_id", no).groupBy("doc_id").agg(F.min("batch_no").alias("batch_no"))
+    g = groups.join(batch, "doc_id").withColumnRenamed("batch_no", "here")
+    g = g.join(batch.select(F.col("doc_id").alias("first"), F.col("batch_no").alias("there")), "first")
     return g.where("there < here").select(F.col("first").alias("first_doc_id"), "doc_id")
