@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from claimloom.functions.hosts import host_of
 from claimloom.llm import oracles
 from claimloom.llm.best_record import best_records, claim_key
 from claimloom.llm.contributor_cap import beyond_cap, prepare_contributors
@@ -14,6 +15,7 @@ from claimloom.llm.scan_noise import repair_texts
 from claimloom.llm.site_lines import clean_texts, frequent_lines, line_sequences
 from claimloom.llm.stuffed_pages import page_features, stuffed_pages
 from claimloom.llm.tokenizer import encode, token_counts
+from claimloom.llm.truncation import judged
 from claimloom.sources.tables import table
 
 QUERIES: dict = {}
@@ -115,3 +117,21 @@ def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES |= {"p4_found": p4_found}
+
+
+def _judged(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return judged(table(spark, sf_dir, "normalized_claims").select("claim_id", "source_domain", "evidence_text"))
+
+
+def p5_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Claims whose evidence_text breaks off."""
+    return _judged(spark, sf_dir).where("cut").select("claim_id")
+
+
+def p5_rates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Of each source: claims with evidence, cut claims and their share."""
+    host = F.coalesce(host_of(F.col("source_domain")), F.lit(""))
+    return _judged(spark, sf_dir).groupBy(host.alias("source_domain")).agg(F.count("*").alias("claims"), F.sum(F.col("cut").cast("bigint")).alias("cut"), F.round(F.avg(F.col("cut").cast("double")), 6).alias("share"))
+
+
+QUERIES |= {"p5_found": p5_found, "p5_rates": p5_rates}
