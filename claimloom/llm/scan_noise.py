@@ -8,7 +8,8 @@
    gradient-boosted ranker, fitted on a bounded sample of pairs (RANK_ROWS), chooses the replacement.
 3. Lines: one boosted classifier tells page furniture (running heads, page numbers) from text and the
    site's own lines, another tells whether two lines in sequence belong to one sentence; both are
-   fitted on a bounded sample of texts (LINE_ROWS texts with several lines, by hash of the id).
+   fitted on a bounded sample of texts (LINE_ROWS texts with several lines, and damage made from MADE_ROWS
+   clean texts of one line, both by hash of the id).
 4. A second Arrow pass repairs each text with the replacement table, the line keys of the
    site's lines and the models. The replacement table is bounded: a replacement is one confusion
    applied to one vocabulary word, so there are at most |vocabulary| x length x |confusions|.
@@ -36,7 +37,7 @@ MIN_SHARE, MIN_COUNT, RATIO = 2e-6, 20, 20
 LINE_SHARE, LINE_TEMPLATE_SHARE, LINE_COUNT = 5e-5, 2e-3, 8
 CONFUSION_SHARE = 0.05  # support of a confusion against that of the most frequent one
 MIN_SUPPORT = 3
-RANK_ROWS, LINE_ROWS = 20_000, 4_000
+RANK_ROWS, LINE_ROWS, MADE_ROWS = 20_000, 4_000, 500
 FIELDS = ("claim_text", "evidence_text")
 WORD = regex.compile(r"\w+")
 LETTERS = regex.compile(r"[^\p{L}]+")
@@ -264,6 +265,22 @@ def _weak_join(f: list[float]) -> int | None:
     return 1 if low else None
 
 
+def _made_damage(text: str, k: int) -> Iterator[tuple[list[str], list[int], int]]:
+    """Damage made from a clean one-line text: (lines, which are furniture, whether the text's lines join)."""
+    letters = [m for m in WORD.finditer(text) if len(m[0]) >= 6 and m[0].isalpha() and m[0].islower()]
+    page = ("- {} -", "{}", "Page {} of 300", "[{}]", "— {} —", "p. {}", "{} | ")[k % 7].format(3 + k % 290)
+    if letters:
+        m = letters[k % len(letters)]
+        cut = m.start() + 3
+        yield [text[:cut] + "-\u2010\u00ad"[k % 3], text[cut:]], [0, 0], 1
+        yield [text[: m.start()].rstrip(), page, text[m.start() :]], [0, 1, 0], 1
+    ends = [m.end() for m in regex.finditer(r"[.!?](?= \p{Lu})", text)]
+    if ends:
+        at = ends[k % len(ends)]
+        yield [text[:at], text[at:].strip()], [0, 0], 0
+    yield [text, page], [0, 1], 0
+
+
 class Repairer:
     """Repairs texts batch by batch; the models see all lines of a batch at once."""
 
@@ -376,6 +393,16 @@ def fit_repairer(claims: DataFrame) -> Repairer:
                 if i and (y := _weak_join(f := stats.joins(raw[i - 1], x, own[i - 1], own[i]))) is not None:
                     jx.append(f)
                     jy.append(y)
+    plain = claims.where(F.col("claim_text").rlike(r"^[^\n]{60,}$")).select(F.xxhash64("claim_id").alias("h"), F.col("claim_text").alias("text")).orderBy("h", "text").limit(MADE_ROWS).collect()
+    for k, r in enumerate(plain):
+        for raw, labels, joined in _made_damage(r["text"], k):
+            for i, x in enumerate(raw):
+                fx.append(stats.features(x, raw[i - 1] if i else None, raw[i + 1] if i + 1 < len(raw) else None, False))
+                fy.append(labels[i])
+            body = [x for x, y in zip(raw, labels) if not y]
+            for i in range(1, len(body)):
+                jx.append(stats.joins(body[i - 1], body[i], False, False))
+                jy.append(joined)
     furniture = BoostedTrees(rounds=40).fit(np.array(fx).reshape(-1, LINE_FEATURES), np.array(fy))
     join = BoostedTrees(rounds=40).fit(np.array(jx).reshape(-1, JOIN_FEATURES), np.array(jy))
     return Repairer(stats, fixes, furniture, join)
