@@ -71,6 +71,17 @@ class _Blocks(html.parser.HTMLParser):
             self.blocks.append((self.kind, text))
         self.buf, self.kind = [], ""
 
+    def _end_cell(self):
+        if self.kind == "cell":
+            self.row.append(" ".join("".join(self.buf).split()))
+            self.buf, self.kind = [], ""
+
+    def _end_row(self):
+        self._end_cell()
+        if any(self.row):
+            self.table.append(self.row)
+        self.row = []
+
     def handle_starttag(self, tag, attrs):
         if tag in self.SKIP:
             self.skip += 1
@@ -82,8 +93,9 @@ class _Blocks(html.parser.HTMLParser):
                 self._close()
                 self.table = []
             elif tag == "tr":
-                self.row = []
+                self._end_row()  # cells and rows may lack their end tags
             elif tag in self.CELL:
+                self._end_cell()
                 self.buf, self.kind = [], "cell"
 
     def handle_endtag(self, tag):
@@ -93,11 +105,11 @@ class _Blocks(html.parser.HTMLParser):
             if tag in self.HEAD or tag in ("p", "li"):
                 self._close()
             elif tag in self.CELL:
-                self.row.append(" ".join("".join(self.buf).split()))
-                self.buf, self.kind = [], ""
-            elif tag == "tr" and any(self.row):
-                self.table.append(self.row)
+                self._end_cell()
+            elif tag == "tr":
+                self._end_row()
             elif tag == "table":
+                self._end_row()
                 if len(self.table) >= 2:
                     self.blocks.append(("table", "\n".join(" | ".join(r) for r in self.table)))
                 self.table = []

@@ -36,7 +36,7 @@ def tiered_effect(claims: DataFrame, ranks: DataFrame) -> DataFrame:
     claims: key, tier, effect, ord; ranks: tier, rank (lower is better; unknown tiers come last). The
     deciding tier is the best with an effect that isn't ignored. Within it: both signs -> the most
     frequent decisive effect, ambiguous; a sign and a condition -> conditional, ambiguous; else the most
-    frequent (ties to the first). superseded: a worse tier says the opposite.
+    frequent (ties to the first, then by name). superseded: a worse tier says the opposite.
     """
     pol = F.coalesce(F.element_at(F.create_map(*[F.lit(x) for kv in POLARITY.items() for x in kv]), F.col("effect")), F.lit("ignore"))
     worst = F.lit(99)
@@ -47,12 +47,11 @@ def tiered_effect(claims: DataFrame, ranks: DataFrame) -> DataFrame:
     n = n.withColumn("decider", F.min(F.when(usable, F.col("rank"))).over(w))
     at = usable & (F.col("rank") == F.col("decider"))
     decisive = F.col("polarity").isin("positive", "negative")
-    order = F.struct(F.col("n"), (-F.col("first")).alias("f"))
+    order = F.struct((-F.col("n")).alias("n"), "first", "effect")
     g = n.groupBy("key").agg(
         F.min("decider").alias("decider"), F.sum("n").alias("claims"),
-        F.max_by("effect", F.when(at, order)).alias("any_effect"),
-        F.max_by("effect", F.when(at & decisive, order)).alias("decisive_effect"),
-        F.max_by("polarity", F.when(at & decisive, order)).alias("decisive_polarity"),
+        F.min_by("effect", F.when(at, order)).alias("any_effect"),
+        F.min_by("effect", F.when(at & decisive, order)).alias("decisive_effect"),
         F.max(at & (F.col("polarity") == "positive")).alias("pos"), F.max(at & (F.col("polarity") == "negative")).alias("neg"), F.max(at & (F.col("polarity") == "conditional")).alias("cond"),
         F.max(usable & (F.col("rank") > F.col("decider")) & (F.col("polarity") == "positive")).alias("low_pos"), F.max(usable & (F.col("rank") > F.col("decider")) & (F.col("polarity") == "negative")).alias("low_neg"),
     )

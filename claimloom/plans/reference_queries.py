@@ -445,7 +445,7 @@ def symmetric_normalize(spark, d):
 @query(f"""with {REL_SQL}, r as (select subject || '>' || object as key, ord, effect, cast(left(tier, 1) as int) rank, case effect when 'beneficial' then 'positive' when 'avoid' then 'negative' when 'conditional' then 'conditional' when 'neutral' then 'neutral' else 'ignore' end pol from rel),
 n as (select key, rank, pol, effect, count(*) n, min(ord) first from r group by 1, 2, 3, 4),
 m as (select *, min(rank) filter (pol <> 'ignore') over (partition by key) dec from n),
-g as (select key, cast(sum(n) as bigint) claims, min(dec) dec, first(effect order by n desc, first) filter (pol <> 'ignore' and rank = dec) any_e, first(effect order by n desc, first) filter (pol in ('positive', 'negative') and rank = dec) dec_e,
+g as (select key, cast(sum(n) as bigint) claims, min(dec) dec, first(effect order by n desc, first, effect) filter (pol <> 'ignore' and rank = dec) any_e, first(effect order by n desc, first, effect) filter (pol in ('positive', 'negative') and rank = dec) dec_e,
  coalesce(bool_or(pol = 'positive' and rank = dec), false) pos, coalesce(bool_or(pol = 'negative' and rank = dec), false) neg, coalesce(bool_or(pol = 'conditional' and rank = dec), false) cond, coalesce(bool_or(pol = 'positive' and rank > dec), false) lp, coalesce(bool_or(pol = 'negative' and rank > dec), false) ln from m group by 1)
 select key, claims, dec deciding_rank, case when dec is null then 'unknown' when pos and neg then dec_e when (pos or neg) and cond then 'conditional' when pos or neg then dec_e else any_e end effect, (pos and neg) or ((pos or neg) and cond) ambiguous, (pos and not neg and ln) or (neg and not pos and lp) superseded from g""")
 def tiered_effect(spark, d):
@@ -459,16 +459,16 @@ def effect_histogram(spark, d):
     return relations(spark, d).groupBy(F.concat("subject", F.lit(">"), "object").alias("key"), "effect").agg(F.count("*").alias("n"))
 
 
-@query(f"""with {REL_SQL}, direct as (select subject, object, first(effect order by ord) effect from rel where effect = 'beneficial' and ord % 7 = 0 group by 1, 2),
-ge as (select a.n_regionkey sg, b.n_regionkey og, first(effect order by ord) effect from rel join nation a on a.n_name = subject join nation b on b.n_name = object where (a.n_regionkey + b.n_regionkey) % 2 = 0 group by 1, 2),
+@query(f"""with {REL_SQL}, direct as (select subject, object, first(effect order by ord, effect) effect from rel where effect = 'beneficial' and ord % 7 = 0 group by 1, 2),
+ge as (select a.n_regionkey sg, b.n_regionkey og, first(effect order by ord, effect) effect from rel join nation a on a.n_name = subject join nation b on b.n_name = object where (a.n_regionkey + b.n_regionkey) % 2 = 0 group by 1, 2),
 q as (select a.n_name subject, b.n_name object, a.n_regionkey sg, b.n_regionkey og from nation a, nation b where a.n_name <> b.n_name)
 select q.subject, q.object, case when d.effect is not null then 'direct' when ge.effect is not null then 'inferred' else 'none' end resolution, coalesce(d.effect, ge.effect, 'unknown') effect from q left join direct d using (subject, object) left join ge on ge.sg = q.sg and ge.og = q.og""")
 def resolve_relations(spark, d):
     rel, n = relations(spark, d), nodes(spark, d)
-    direct = rel.where("effect = 'beneficial' and ord % 7 = 0").groupBy("subject", "object").agg(F.min_by("effect", "ord").alias("effect"))
+    direct = rel.where("effect = 'beneficial' and ord % 7 = 0").groupBy("subject", "object").agg(F.min_by("effect", F.struct("ord", "effect")).alias("effect"))
     member = n.select("node", F.lit(0).alias("base_pos"), "group")
     g = rel.join(n.select(F.col("node").alias("subject"), F.col("group").alias("subject_group")), "subject").join(n.select(F.col("node").alias("object"), F.col("group").alias("object_group")), "object")
-    edges = g.where("(subject_group + object_group) % 2 = 0").groupBy("subject_group", "object_group").agg(F.min_by("effect", "ord").alias("effect")).withColumn("base_pos", F.lit(0)).withColumn("pos", F.lit(0))
+    edges = g.where("(subject_group + object_group) % 2 = 0").groupBy("subject_group", "object_group").agg(F.min_by("effect", F.struct("ord", "effect")).alias("effect")).withColumn("base_pos", F.lit(0)).withColumn("pos", F.lit(0))
     return R.resolve(R.ordered_pairs(n), direct, member, edges)
 
 
