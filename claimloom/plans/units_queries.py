@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -11,6 +12,12 @@ from claimloom.sources.tables import table
 COLUMNS = ("claim_id", "parameter_id", "entity_name", "value_type", "raw_value_text", "numeric_value", "unit", "claim_text", "normalized_numeric_value")
 
 
+@F.pandas_udf("string")
+def signature3(values: pd.Series) -> pd.Series:
+    """C's %.2e, which rounds the exact binary value; the JVM's formatter rounds the shortest decimal (6.425 apart)."""
+    return values.map(lambda v: "%.2e" % v if pd.notna(v) else None)
+
+
 def _harmonised(spark: SparkSession, sf_dir: str) -> DataFrame:
     claims = table(spark, sf_dir, "normalized_claims").select(*COLUMNS).where(F.col("value_type") == "numeric")
     return harmonise_units(claims, table(spark, sf_dir, "parameter_manifest"), table(spark, sf_dir, "crops"))
@@ -21,7 +28,7 @@ def p6_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     h = _harmonised(spark, sf_dir).select("claim_id", "value_common", F.col("unit_source").isin("raw_value_text", "unit", "claim_text").alias("stated"), "unit_changes_size")
     # the filter stays above the aggregate, so that the long expressions are computed once a row
     one = h.groupBy("claim_id").agg(F.min(F.struct((~F.coalesce(F.col("stated") & F.col("unit_changes_size") & F.col("value_common").isNotNull(), F.lit(False))).alias("no"), "value_common")).alias("v"))
-    return one.where(~F.col("v.no")).select("claim_id", F.format_string("%.2e", F.col("v.value_common")).alias("value_sig3"))
+    return one.where(~F.col("v.no")).select("claim_id", signature3(F.col("v.value_common")).alias("value_sig3"))
 
 
 def p6_values(spark: SparkSession, sf_dir: str) -> DataFrame:
