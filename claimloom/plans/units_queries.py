@@ -5,6 +5,7 @@ from __future__ import annotations
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 from claimloom.operators.harmonise_units import harmonise_units
 from claimloom.sources.tables import table
@@ -12,7 +13,7 @@ from claimloom.sources.tables import table
 COLUMNS = ("claim_id", "parameter_id", "entity_name", "value_type", "raw_value_text", "numeric_value", "unit", "claim_text", "normalized_numeric_value")
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(StringType())
 def signature3(values: pd.Series) -> pd.Series:
     """C's %.2e, which rounds the exact binary value; the JVM's formatter rounds the shortest decimal (6.425 apart)."""
     return values.map(lambda v: "%.2e" % v if pd.notna(v) else None)
