@@ -12,7 +12,7 @@ subsequence of words). Links are closed by hash-to-min contraction.
 Hot keys: copies of one text are one row of the index; lines are the site's own where they stand in at least LINE_COUNT and
 LINE_SITE_SHARE of the documents of one site, and in different texts (copies make no line a site's own). Word pairs that stand in more than COMMON of
 all texts route nothing; a route value that still holds more than SHARD_ROWS rows is split by the
-text's next value.
+text's next value, then dealt over salts that share its smallest documents.
 
 Defined results: blank and null texts, hashes, URLs and DOIs link nothing; texts without a rare word
 pair are routed by all their pairs; one-word texts by the word; repeated rows (same doc_id) are one
@@ -37,7 +37,7 @@ from claimloom.functions.hosts import site_of
 from claimloom.llm.small_world import SIGNATURE, Graph, Segments, tuned_beam
 from claimloom.session import checkpoint
 
-LIKE, ROUTES, SHARD_ROWS, LIMIT = 0.9, 4, 16_384, 20
+LIKE, ROUTES, SHARD_ROWS, LIMIT, PIVOTS = 0.9, 4, 16_384, 20, 64
 BUCKETS, COMMON = 1 << 16, 0.01
 LINE_SITE_SHARE, LINE_SHARE, LINE_COUNT, LINE_LETTERS, LINE_CHARS, LINE_DIVERSE = 0.01, 2e-6, 8, 12, 240, 0.5
 EMPTY_SHA = "e3b0c44298fc1c149afbf4c8996fb92427ae41e4649b934ca495991b7852b855"
@@ -284,14 +284,40 @@ def search_shard(ids: np.ndarray, batch: np.ndarray, codes: np.ndarray, keys: np
     return pairs[0], pairs[1], recalls
 
 
+def _split_hot(routed: DataFrame) -> DataFrame:
+    """routed with salt: route values of more than SHARD_ROWS rows are told apart by the text's next value.
+
+    Where one still holds more, its texts are near-copies of a few: they are dealt over salts, and its PIVOTS
+    smallest documents go to every salt, so that the copies of a pivot meet it in each and closing the links joins them.
+    Both tables of hot values have at most ROUTES x texts / SHARD_ROWS rows.
+    """
+    hot = lambda df: df.groupBy("route", "value").agg(F.count("*").alias("n")).where(F.col("n") > SHARD_ROWS)
+    first = F.broadcast(hot(routed).select("route", "value", F.lit(True).alias("hot")))
+    r = routed.join(first, ["route", "value"], "left").withColumn("value", F.when(F.col("hot"), F.xxhash64("value", "next_value")).otherwise(F.col("value")))
+    second = hot(r.where("hot")).select("route", "value", F.ceil(F.col("n") / SHARD_ROWS).cast("int").alias("salts"))
+    ids = r.where("hot").join(F.broadcast(second), ["route", "value"]).select("route", "value", "doc_id")
+    pivots = ids.mapInArrow(_smallest, "route int, value bigint, doc_id bigint").repartition("route", "value").mapInArrow(_smallest, "route int, value bigint, doc_id bigint").withColumn("pivot", F.lit(True))
+    r = r.join(F.broadcast(second), ["route", "value"], "left").join(F.broadcast(pivots), ["route", "value", "doc_id"], "left")
+    own = F.array(F.pmod(F.xxhash64("doc_id"), F.coalesce("salts", F.lit(1))).cast("int"))
+    return r.withColumn("salt", F.explode(F.when(F.col("pivot") & F.col("salts").isNotNull(), F.sequence(F.lit(0), F.col("salts") - 1)).otherwise(own)))
+
+
+def _smallest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The PIVOTS smallest documents of each hot value, as a bounded heap a value."""
+    held: pd.DataFrame | None = None
+    for b in batches:
+        t = b.to_pandas()
+        held = t if held is None else pd.concat([held, t])
+        held = held.sort_values(["route", "value", "doc_id"]).drop_duplicates().groupby(["route", "value"], sort=False).head(PIVOTS)
+    if held is not None and len(held):
+        yield pa.RecordBatch.from_pandas(held.astype({"route": "int32"}), preserve_index=False)
+
+
 def candidates(routed: DataFrame) -> DataFrame:
     """(a, b) pairs from the index shards; routed: one row per text and route."""
     rows = routed.count()
     shards = max(1, math.ceil(rows / SHARD_ROWS))
-    heavy = routed.groupBy("route", "value").agg(F.count("*").alias("n")).where(F.col("n") > SHARD_ROWS).select("route", "value", F.lit(True).alias("heavy"))
-    heavy = F.broadcast(heavy)  # at most ROUTES x texts / SHARD_ROWS rows
-    r = routed.join(heavy, ["route", "value"], "left").withColumn("value", F.when(F.col("heavy"), F.xxhash64("value", "next_value")).otherwise(F.col("value")))
-    r = r.select("doc_id", "batch_no", "signature", F.xxhash64("route", "value").alias("key"), F.pmod(F.xxhash64("value", "route"), F.lit(shards)).cast("int").alias("shard"))
+    r = _split_hot(routed).select("doc_id", "batch_no", "signature", F.xxhash64("route", "value").alias("key"), F.pmod(F.xxhash64("value", "route", "salt"), F.lit(shards)).cast("int").alias("shard"))
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values(["batch_no", "doc_id"], kind="stable")

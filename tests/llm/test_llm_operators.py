@@ -170,6 +170,18 @@ def test_duplicates_small(spark):
     assert new_batches.duplicates(spark.createDataFrame([], schema)).count() == 0
 
 
+def test_hot_route_values_are_dealt_over_salts(spark, monkeypatch):
+    monkeypatch.setattr(new_batches, "SHARD_ROWS", 40)
+    base = np.arange(SIGNATURE, dtype=np.uint8)
+    rows = [(i, i % 3, bytes(base), 0, 7, 9) for i in range(200)] + [(1000 + i, 0, bytes(np.roll(base, i + 1)), 0, 100 + i, 1) for i in range(30)]
+    df = spark.createDataFrame(rows, "doc_id long, batch_no int, signature binary, route int, value long, next_value long")
+    split = new_batches._split_hot(df)
+    assert split.where("doc_id >= 1000").count() == 30 and split.where("doc_id < 200").count() == 200 - new_batches.PIVOTS + new_batches.PIVOTS * 5
+    assert split.groupBy("value", "salt").count().agg(F.max("count")).first()[0] < 120
+    groups = {tuple(r) for r in new_batches.closed_groups(new_batches.candidates(df)).select("doc_id", "first").collect()}
+    assert groups == {(i, 0) for i in range(1, 200)}
+
+
 def test_closed_groups_of_a_chain(spark):
     edges = [(i, i + 1) for i in range(60)] + [(100, 102), (101, 102)]
     random.Random(1).shuffle(edges)
