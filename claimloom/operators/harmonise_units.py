@@ -60,12 +60,12 @@ def unit_pattern(dimension: str) -> str:
     seen = {s for names, *_ in DIMENSIONS[dimension] for s in names}
     forms = []
     for s in sorted(seen, key=len, reverse=True):
-        p = _quote(s).replace("°c", "(?:℃|° ?c)").replace("°f", "(?:℉|° ?f)")
+        p = _quote(s).replace(" ", r"\s+").replace("°c", r"(?:℃|°\s*c)").replace("°f", r"(?:℉|°\s*f)")
         p = re.sub(r"-1\b", "(?:-1|⁻¹)", p)
         p = re.sub(r"-2\b", "(?:-2|⁻²)", p)
         p = re.sub(r"(?<=[a-z])2\b", "[2²]", p)
         p = re.sub(r"(?<=[a-z])3\b", "[3³]", p)
-        forms.append(p.replace(" ", r"\s+"))
+        forms.append(p)
     return "(?:" + "|".join(forms) + ")"
 
 
@@ -76,7 +76,10 @@ def _text_number_pattern(number_text: Column, number: Column) -> Column:
     dec = F.regexp_replace(F.regexp_extract(F.format_string("%.6f", F.abs(number) % 1), r"\.(\d+)", 1), "0+$", "")
     plain = F.concat(F.when(F.length(whole) > 3, grouped).otherwise(whole), F.when(dec == "", F.lit(r"(?:[.,]0+)?(?![\d])")).otherwise(F.concat(F.lit("[.,]"), dec, F.lit("0*"))))
     written = F.regexp_replace(F.regexp_replace(number_text, SPACES, r"\\s"), r"([.])", r"\\.")
-    return F.when(F.length(number_text) > 0, written).otherwise(plain)
+    # a small whole number may stand as a word
+    word = F.when((number == F.floor(number)) & number.between(0, len(NUMBER_WORDS) - 1), F.get(F.array(*[F.lit(w) for w in NUMBER_WORDS]), number.cast("int")))
+    either = F.when(word.isNotNull(), F.concat(F.lit("(?:"), plain, F.lit(r"|\b"), word, F.lit(")"))).otherwise(plain)
+    return F.when(F.length(number_text) > 0, written).otherwise(either)
 
 
 def harmonise_units(claims: DataFrame, parameters: DataFrame, crops: DataFrame, residual_tolerance: float = 0.005) -> DataFrame:

@@ -53,6 +53,9 @@ def dims(spark):
         (("y", "x", "5,893", 5893.0, None, "kept 5,893 kg/ha there", None), 5.893, "claim_text"),
         (("d", "x", "", 30.2, None, "12 plots; 30,2 in.", None), 76.708, "claim_text"),
         (("d", "x", "4½ in", None, None, None, None), 11.43, "raw_value_text"),
+        (("t", "x", "50", 50.0, None, "found 50°F there", None), 10.0, "claim_text"),
+        (("t", "x", "50", 50.0, None, "found 50 °F.", None), 10.0, "claim_text"),
+        (("d", "x", None, 2.0, None, "a depth of two inch after", None), 5.08, "claim_text"),
         (("d", "x", "two inches", None, None, None, None), 5.08, "raw_value_text"),
         (("d", "x", "10", 10.0, None, "nothing", 25.4), 25.4, "identity"),
         (("d", "x", "10", 10.0, None, None, None), None, "none"),
