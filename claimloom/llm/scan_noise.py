@@ -213,6 +213,11 @@ class Lines:
         # a template stands for lines that name their site; running heads share templates too, but have a head's form
         return line_template(line) in self.templates and not (side_number(line) or ISSUE.search(line) or HEAD_WORDS.search(line))
 
+    def ends_sentence(self, line: str) -> bool:
+        """A line that ends a sentence and has no sign of a head or page number; such a line is text."""
+        s = line.strip()
+        return bool(TERMINAL.search(s)) and not (s.isupper() or s.endswith("…") or PAGE.match(s) or side_number(line) or ISSUE.search(s) or HEAD.search(s))
+
     def features(self, line: str, before: str | None, after: str | None, own: bool) -> list[float]:
         s = line.strip()
         n = max(1, len(s))
@@ -310,7 +315,7 @@ class Repairer:
             owns.append(own)
             if len(raw) > 1:
                 for i, x in enumerate(raw):
-                    if not own[i] and len(x) <= HEAD_CHARS:
+                    if not own[i] and len(x) <= HEAD_CHARS and not self.lines.ends_sentence(x):
                         rows.append(self.lines.features(x, raw[i - 1] if i else None, raw[i + 1] if i + 1 < len(raw) else None, False))
                         at.append((t, i))
         drop = {k for k, p in zip(at, self.furniture.predict(np.array(rows).reshape(-1, LINE_FEATURES))) if p >= 0.5}
