@@ -45,7 +45,17 @@ TRACKING = r"(?:utm_[a-z]+|fbclid|gclid|dclid|msclkid|mc_cid|mc_eid|igshid|yclid
 WORD = re.compile(r"\w+")
 #: what a line's key leaves out: ASCII that is no letter, and usual signs
 NO_LETTERS = {c: None for c in [*range(0x41), *range(0x5B, 0x61), *range(0x7B, 0xC0), 0x2013, 0x2014, 0x2018, 0x2019, 0x201C, 0x201D, 0x2022, 0x2026, 0x200B]}
-_WORDS: dict[str, int] = {}
+
+
+class _Words(dict):
+    """word -> 31-bit hash, filled as words come; bounded by MEMO_WORDS."""
+
+    def __missing__(self, word: str) -> int:
+        h = self[word] = xxhash.xxh32_intdigest(word) & 0x7FFFFFFF
+        return h
+
+
+_WORDS, MEMO_WORDS = _Words(), 1_000_000
 
 
 def url_key(col: Column) -> Column:
@@ -78,16 +88,10 @@ def exact_links(keys: DataFrame) -> DataFrame:
     return keys.join(least, ["h", "h2"]).where("doc_id <> first").select(F.col("first").alias("a"), F.col("doc_id").alias("b")).distinct()
 
 
-def _word_hashes(words: list[str]) -> list[int]:
-    if len(_WORDS) > 1_000_000:
+def _word_hashes(words: list[str]) -> np.ndarray:
+    if len(_WORDS) > MEMO_WORDS:
         _WORDS.clear()
-    get, out = _WORDS.get, []
-    for w in words:
-        h = get(w)
-        if h is None:
-            h = _WORDS[w] = xxhash.xxh32_intdigest(w) & 0x7FFFFFFF
-        out.append(h)
-    return out
+    return np.fromiter(map(_WORDS.__getitem__, words), np.int32, len(words))
 
 
 def tokenise(docs: DataFrame) -> DataFrame:
@@ -110,7 +114,7 @@ def tokenise(docs: DataFrame) -> DataFrame:
                     sizes.append(len(w))
                 if words:
                     t = xxhash.xxh3_128_intdigest("".join(text.replace("\u200b", "").split()))
-                    rows.append((i, no, site, (t >> 64) - (1 << 63), (t & (1 << 64) - 1) - (1 << 63), np.array(_word_hashes(words), np.int32).tobytes(), keys, sizes))
+                    rows.append((i, no, site, (t >> 64) - (1 << 63), (t & (1 << 64) - 1) - (1 << 63), _word_hashes(words).tobytes(), keys, sizes))
             cols = list(zip(*rows)) if rows else [[]] * 8
             kinds = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.list_(pa.int64()), pa.list_(pa.int32())]
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds)], names=["doc_id", "batch_no", "site", "t1", "t2", "words", "line_key", "line_words"])
