@@ -91,3 +91,30 @@ def alias_index(catalog: DataFrame) -> DataFrame:
     """alias (lower case) -> node_id: ids, labels and aliases; crops win over groups, then the first listed."""
     names = catalog.select("node_id", "is_crop", "pos", F.explode(F.array_distinct(F.transform(F.concat(F.array("node_id", "label"), "aliases"), lambda x: F.lower(F.trim(x))))).alias("alias"))
     return names.groupBy("alias").agg(F.min_by("node_id", F.struct((~F.col("is_crop")).alias("a"), F.col("pos").alias("b"))).alias("node_id"))
+
+
+def best_direction(resolved: DataFrame, grades: dict[str, int]) -> DataFrame:
+    """Of each unordered pair the direction with the better grade; ties go forward (the sorted order)."""
+    grade = F.coalesce(F.element_at(F.create_map(*[F.lit(x) for kv in grades.items() for x in kv]), F.col("resolution")), F.lit(0))
+    forward = F.col("subject") <= F.col("object")
+    r = resolved.withColumn("a", F.least("subject", "object")).withColumn("b", F.greatest("subject", "object")).withColumn("grade", grade).withColumn("forward", forward)
+    best = F.max_by(F.struct("forward", "resolution", "effect", "grade"), F.struct("grade", F.col("forward").cast("int").alias("f")))
+    return r.groupBy("a", "b").agg(best.alias("m")).select("a", "b", "m.forward", "m.resolution", "m.effect", "m.grade")
+
+
+def host_overlay(pairs: DataFrame, hosts: DataFrame, caveats: DataFrame) -> DataFrame:
+    """Caveats of the host groups both ends share: hosts (node, host_group), caveats (host_group, factor, effect)."""
+    s = hosts.select(F.col("node").alias("subject"), "host_group")
+    o = hosts.select(F.col("node").alias("object"), "host_group")
+    return pairs.join(s, "subject").join(o, ["object", "host_group"]).join(caveats, "host_group").select("subject", "object", "host_group", "factor", "effect")
+
+
+def coverage_report(resolved: DataFrame) -> DataFrame:
+    """Pairs by resolution and effect, with totals (rollup)."""
+    return resolved.rollup("resolution", "effect").agg(F.count("*").alias("pairs"), F.grouping_id().alias("level"))
+
+
+def matrix_scores(gold: DataFrame, cells: DataFrame) -> DataFrame:
+    """Gold (subject, object, mode, effect) against matrix cells: found and agreeing, one row."""
+    j = gold.join(cells.select("subject", "object", "mode", F.col("effect").alias("_e")), ["subject", "object", "mode"], "left")
+    return j.agg(F.count("*").alias("gold"), F.count_if(F.col("_e").isNotNull()).alias("found"), F.count_if(F.col("_e") == F.col("effect")).alias("agree"))
