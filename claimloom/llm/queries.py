@@ -12,9 +12,9 @@ from claimloom.llm.contributor_cap import beyond_cap, prepare_contributors
 from claimloom.llm.new_batches import duplicates
 from claimloom.llm.packing import pack_documents
 from claimloom.llm.scan_noise import repair_texts
-from claimloom.llm.site_lines import clean_texts, frequent_lines, line_sequences
+from claimloom.llm.site_lines import clean_texts, frequent_lines, frequent_sequences, line_sequences
 from claimloom.llm.stuffed_pages import page_features, stuffed_pages
-from claimloom.llm.tokenizer import encode, token_counts
+from claimloom.llm.tokenizer import encode, spans, token_counts
 from claimloom.llm.truncation import judged
 from claimloom.sources.tables import table
 
@@ -135,3 +135,17 @@ def p5_rates(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES |= {"p5_found": p5_found, "p5_rates": p5_rates}
+
+
+def p7_sequences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Frequent sequences of lines of each site (PrefixSpan), with their support."""
+    s = frequent_sequences(*_lines(spark, sf_dir))
+    return s.select("site", F.size("pattern").alias("length"), F.concat_ws(",", F.transform("pattern", lambda x: F.hex(x))).alias("pattern"), "support")
+
+
+def p8_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Where each piece of a text starts and which token is its first, for decoding parts."""
+    return spans(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+QUERIES |= {"p7_sequences": p7_sequences, "p8_spans": p8_spans}
