@@ -43,9 +43,12 @@ def plan(parameters: DataFrame, patterns: list[str], tiers: DataFrame, extra: Co
 
 
 def seeds_for(queries: DataFrame, seeds: DataFrame, k: int = 3) -> DataFrame:
-    """The k best seeds of each query: by parameter id, then by family, then general; each URL once."""
+    """The k best seeds of each query: by parameter id, then by family, then general; each URL once.
+
+    queries (parameters x tiers) is a fixed dimension and is broadcast; the seed list may be long.
+    """
     rank = F.when(F.array_contains("parameter_ids", F.col("parameter_id")), 0).when(F.array_contains("families", F.col("family")), 1).when((F.size("parameter_ids") <= 0) & (F.size("families") <= 0), 2)
-    j = queries.join(F.broadcast(seeds), "tier").withColumn("seed_rank", rank).where("seed_rank is not null")
+    j = seeds.join(F.broadcast(queries), "tier").withColumn("seed_rank", rank).where("seed_rank is not null")
     j = j.groupBy("query_id", "source_url").agg(F.min("seed_rank").alias("seed_rank"))
     w = Window.partitionBy("query_id").orderBy("seed_rank", "source_url")
     return j.withColumn("position", F.row_number().over(w)).where(F.col("position") <= k)

@@ -123,18 +123,18 @@ def relation_best_direction(spark, d):
 
 
 @query("""select a.n_name subject, b.n_name object, a.n_regionkey host_group, p.factor, p.effect from nation a join nation b on a.n_regionkey = b.n_regionkey and a.n_name < b.n_name
-join (select r_regionkey host_group, 'shared ' || r_name factor, 'avoid' effect from region where r_regionkey % 2 = 0) p on p.host_group = a.n_regionkey""")
+join (select r_regionkey host_group, 'shared ' || r_name factor, 'avoid' effect from region) p on p.host_group = a.n_regionkey""")
 def host_overlay(spark, d):
     n = nodes(spark, d)
     hosts = n.select("node", F.col("group").alias("host_group"))
-    caveats = table(spark, d, "region").where("r_regionkey % 2 = 0").select(F.col("r_regionkey").alias("host_group"), F.concat(F.lit("shared "), "r_name").alias("factor"), F.lit("avoid").alias("effect"))
+    caveats = table(spark, d, "region").select(F.col("r_regionkey").alias("host_group"), F.concat(F.lit("shared "), "r_name").alias("factor"), F.lit("avoid").alias("effect"))
     return R.host_overlay(R.unordered_pairs(n).where("subject < object"), hosts, caveats)
 
 
-@query(f"""with {REL_SQL}, cells as (select subject, object, mode, first(effect order by ord, effect) effect from rel where ord % 3 = 0 group by 1, 2, 3), gold as (select subject, object, mode, first(effect order by ord desc, effect) effect from rel group by 1, 2, 3)
+@query(f"""with {REL_SQL}, cells as (select subject, object, mode, first(effect order by ord, effect) effect from rel where tier = '3-MEDIUM' group by 1, 2, 3), gold as (select subject, object, mode, first(effect order by ord desc, effect) effect from rel group by 1, 2, 3)
 select count(*) gold, count(*) filter (cells.effect is not null) found, count(*) filter (cells.effect = gold.effect) agree from gold left join cells using (subject, object, mode)""")
 def relation_eval(spark, d):
     rel = relations(spark, d)
-    cells = rel.where("ord % 3 = 0").groupBy("subject", "object", "mode").agg(F.min_by("effect", F.struct("ord", "effect")).alias("effect"))
+    cells = rel.where("tier = '3-MEDIUM'").groupBy("subject", "object", "mode").agg(F.min_by("effect", F.struct("ord", "effect")).alias("effect"))
     gold = rel.groupBy("subject", "object", "mode").agg(F.min_by("effect", F.struct((-F.col("ord")).alias("o"), "effect")).alias("effect"))
     return R.matrix_scores(gold, cells)

@@ -50,17 +50,17 @@ def plan_queries(spark, d):
     return L.plan(_parameters(spark, d), ["{label} field trial {tier}", "{tier} {label} guide guide"], table(spark, d, "source_tiers"))
 
 
-@query("""with s as (select source_url, min(ord) o from source_documents group by 1),
-seeds as (select source_url, t.tier_id tier, case when o % 3 = 0 then 'id' when o % 3 = 1 then 'family' else 'any' end kind, o from s join source_tiers t on t.priority = 1 + o % 7 where o < 60),
-q as (select parameter_id query_id, parameter_id, family, t.tier_id tier from parameter_manifest cross join source_tiers t),
-j as (select q.query_id || '@' || q.tier query_id, s.source_url, min(case when kind = 'id' and q.parameter_id = 'yield.grain_yield' then 0 when kind = 'family' and q.family = 'planting' then 1 when kind = 'any' then 2 end) seed_rank from q join seeds s using (tier) group by 1, 2)
+@query("""with seeds as (select source_url, source_tier_id tier, min(case document_type when 'pdf' then 'id' when 'html' then 'family' else 'any' end) kind from normalized_claims where source_url is not null group by 1, 2),
+q as (select parameter_id || '@' || t.tier_id query_id, parameter_id, family, t.tier_id tier from parameter_manifest cross join source_tiers t),
+j as (select q.query_id, s.source_url, min(case when kind = 'id' and q.parameter_id = 'yield.grain_yield' then 0 when kind = 'family' and q.family = 'planting' then 1 when kind = 'any' then 2 end) seed_rank from q join seeds s using (tier) group by 1, 2)
 select query_id, source_url, seed_rank, cast(rn as int) as position from (select *, row_number() over (partition by query_id order by seed_rank, source_url) rn from j where seed_rank is not null) where rn <= 3""")
 def plan_seeds(spark, d):
     none = F.array().cast("array<string>")
-    s = table(spark, d, "source_documents").groupBy("source_url").agg(F.min("ord").alias("o")).where("o < 60")
-    t = table(spark, d, "source_tiers").select(F.col("tier_id").alias("tier"), "priority")
-    seeds = s.join(F.broadcast(t), F.col("priority") == 1 + F.col("o") % 7).select("source_url", "tier", F.when(F.col("o") % 3 == 0, F.array(F.lit("yield.grain_yield"))).otherwise(none).alias("parameter_ids"), F.when(F.col("o") % 3 == 1, F.array(F.lit("planting"))).otherwise(none).alias("families"))
-    q = table(spark, d, "parameter_manifest").select("parameter_id", "family").join(F.broadcast(t.select("tier")), how="cross").withColumn("query_id", F.concat("parameter_id", F.lit("@"), "tier"))
+    kind = F.when(F.col("document_type") == "pdf", "id").when(F.col("document_type") == "html", "family").otherwise("any")
+    s = table(spark, d, "normalized_claims").where("source_url is not null").groupBy("source_url", F.col("source_tier_id").alias("tier")).agg(F.min(kind).alias("kind"))
+    seeds = s.select("source_url", "tier", F.when(F.col("kind") == "id", F.array(F.lit("yield.grain_yield"))).otherwise(none).alias("parameter_ids"), F.when(F.col("kind") == "family", F.array(F.lit("planting"))).otherwise(none).alias("families"))
+    t = table(spark, d, "source_tiers").select(F.col("tier_id").alias("tier"))
+    q = table(spark, d, "parameter_manifest").select("parameter_id", "family").join(F.broadcast(t), how="cross").withColumn("query_id", F.concat("parameter_id", F.lit("@"), "tier"))
     return L.seeds_for(q, seeds).select("query_id", "source_url", "seed_rank", "position")
 
 

@@ -181,9 +181,9 @@ def corpus_top_domains(spark, d):
     return g.orderBy(F.col("n").desc(), "first_doc").limit(15)
 
 
-@query("select parameter_id from parameter_manifest where parameter_id not in (select parameter_id from query_hits where ord < 20 and parameter_id is not null)")
+@query("select parameter_id from parameter_manifest where parameter_id not in (select parameter_id from query_hits where discovery_method = 'citation' and source_tier_id is null and parameter_id is not null)")
 def missing_parameters(spark, d):
-    seen = table(spark, d, "query_hits").where("ord < 20").select("parameter_id")
+    seen = table(spark, d, "query_hits").where("discovery_method = 'citation' and source_tier_id = 'reference-encyclopedia'").select("parameter_id")
     return table(spark, d, "parameter_manifest").select("parameter_id").join(seen, "parameter_id", "left_anti")
 
 
@@ -459,26 +459,26 @@ def effect_histogram(spark, d):
     return relations(spark, d).groupBy(F.concat("subject", F.lit(">"), "object").alias("key"), "effect").agg(F.count("*").alias("n"))
 
 
-@query(f"""with {REL_SQL}, direct as (select subject, object, first(effect order by ord, effect) effect from rel where effect = 'beneficial' and ord % 7 = 0 group by 1, 2),
-ge as (select a.n_regionkey sg, b.n_regionkey og, first(effect order by ord, effect) effect from rel join nation a on a.n_name = subject join nation b on b.n_name = object where (a.n_regionkey + b.n_regionkey) % 2 = 0 group by 1, 2),
+@query(f"""with {REL_SQL}, direct as (select subject, object, first(effect order by ord, effect) effect from rel join nation a on a.n_name = subject join nation b on b.n_name = object where effect = 'beneficial' and a.n_regionkey = b.n_regionkey group by 1, 2),
+ge as (select a.n_regionkey sg, b.n_regionkey og, first(effect order by ord, effect) effect from rel join nation a on a.n_name = subject join nation b on b.n_name = object where a.n_regionkey < b.n_regionkey group by 1, 2),
 q as (select a.n_name subject, b.n_name object, a.n_regionkey sg, b.n_regionkey og from nation a, nation b where a.n_name <> b.n_name)
 select q.subject, q.object, case when d.effect is not null then 'direct' when ge.effect is not null then 'inferred' else 'none' end resolution, coalesce(d.effect, ge.effect, 'unknown') effect from q left join direct d using (subject, object) left join ge on ge.sg = q.sg and ge.og = q.og""")
 def resolve_relations(spark, d):
     rel, n = relations(spark, d), nodes(spark, d)
-    direct = rel.where("effect = 'beneficial' and ord % 7 = 0").groupBy("subject", "object").agg(F.min_by("effect", F.struct("ord", "effect")).alias("effect"))
     member = n.select("node", F.lit(0).alias("base_pos"), "group")
     g = rel.join(n.select(F.col("node").alias("subject"), F.col("group").alias("subject_group")), "subject").join(n.select(F.col("node").alias("object"), F.col("group").alias("object_group")), "object")
-    edges = g.where("(subject_group + object_group) % 2 = 0").groupBy("subject_group", "object_group").agg(F.min_by("effect", F.struct("ord", "effect")).alias("effect")).withColumn("base_pos", F.lit(0)).withColumn("pos", F.lit(0))
+    direct = g.where("effect = 'beneficial' and subject_group = object_group").groupBy("subject", "object").agg(F.min_by("effect", F.struct("ord", "effect")).alias("effect"))
+    edges = g.where("subject_group < object_group").groupBy("subject_group", "object_group").agg(F.min_by("effect", F.struct("ord", "effect")).alias("effect")).withColumn("base_pos", F.lit(0)).withColumn("pos", F.lit(0))
     return R.resolve(R.ordered_pairs(n), direct, member, edges)
 
 
-@query(f"""with {REL_SQL}, e as (select * from rel where ord % 5 = 0 and effect <> 'unknown'), n as (select subject, object, count(*) n from e group by 1, 2), s as (select distinct subject, object from rel where ord % 2 = 0)
+@query(f"""with {REL_SQL}, e as (select * from rel where tier = '1-URGENT' and effect = 'conditional'), n as (select subject, object, count(*) n from e group by 1, 2), s as (select distinct subject, object from rel where tier = '2-HIGH' and effect = 'avoid')
 select m.mode, a.n_name subject, b.n_name object, case when m.mode = 'rotation' then coalesce(n.n, 0) else 0 end claims, case when m.mode = 'rotation' and n.n is not null then 'evidence' when s.subject is not null then 'searched_no_evidence' else 'not_searched' end status
 from nation a, nation b, (select unnest(['rotation', 'intercrop']) as mode) m left join n on n.subject = a.n_name and n.object = b.n_name left join s on s.subject = a.n_name and s.object = b.n_name where a.n_name <> b.n_name""")
 def matrix_populate(spark, d):
     rel = relations(spark, d)
     modes = spark.createDataFrame([("rotation",), ("intercrop",)], "mode string")
-    return R.matrix(R.ordered_pairs(nodes(spark, d)), modes, rel.where("ord % 5 = 0 and effect <> 'unknown'"), rel.where("ord % 2 = 0"))
+    return R.matrix(R.ordered_pairs(nodes(spark, d)), modes, rel.where("tier = '1-URGENT' and effect = 'conditional'"), rel.where("tier = '2-HIGH' and effect = 'avoid'"))
 
 
 @query("select alias, first(crop_id order by pos) node_id from (select crop_id, row_number() over (order by crop_id) pos, lower(trim(unnest(list_concat([crop_id, label], coalesce(aliases, []))))) alias from crops) group by 1")

@@ -31,11 +31,11 @@ def query(sql: str | None = None):
 def _payload(spark, d):
     """Documents as cached responses of a bibliographic service, one a run."""
     doc = table(spark, d, "documents").select("doc_id", "run_id", "title", "doi", "canonical_url", "access_status")
-    item = F.struct(F.concat(F.lit("W"), F.col("doc_id").cast("string")).alias("id"), F.col("title").alias("display_name"), "doi", F.struct((F.col("access_status") == "open_full_text").alias("is_oa"), F.when(F.col("doc_id") % 2 == 0, F.col("canonical_url")).alias("oa_url")).alias("open_access"))
+    item = F.struct(F.concat(F.lit("W"), F.col("doc_id").cast("string")).alias("id"), F.col("title").alias("display_name"), "doi", F.struct((F.col("access_status") == "open_full_text").alias("is_oa"), F.when(F.col("access_status") == "open_full_text", F.col("canonical_url")).alias("oa_url")).alias("open_access"))
     return doc.groupBy("run_id").agg(F.to_json(F.struct(F.array_sort(F.collect_list(item)).alias("results"))).alias("payload"))
 
 
-@query("""select 'W' || doc_id as id, run_id, title, coalesce(case when doc_id % 2 = 0 then nullif(trim(canonical_url), '') end, nullif(trim(doi), ''), 'W' || doc_id) source_url, doi,
+@query("""select 'W' || doc_id as id, run_id, title, coalesce(case when access_status = 'open_full_text' then nullif(trim(canonical_url), '') end, nullif(trim(doi), ''), 'W' || doc_id) source_url, doi,
 case when coalesce(access_status = 'open_full_text', false) then 'open_full_text' else 'metadata_only' end access_status from documents""")
 def connector_openalex(spark, d):
     r = connectors.results("openalex", _payload(spark, d))
@@ -52,13 +52,13 @@ def fixture_search(spark, d):
     return connectors.fixture_search(table(spark, d, "parameter_manifest").select(F.col("parameter_id").alias("query_id"), F.col("label").alias("query")), fixtures)
 
 
-@query("""with a as (select doi, min(canonical_url) url from documents where doi <> '' and doc_id % 3 = 0 and canonical_url is not null group by 1), b as (select doi, min(canonical_url) url from documents where doi <> '' and doc_id % 3 = 1 and canonical_url is not null group by 1)
+@query("""with a as (select doi, min(canonical_url) url from documents where doi <> '' and access_status = 'open_full_text' and canonical_url is not null group by 1), b as (select doi, min(canonical_url) url from documents where doi <> '' and access_status = 'metadata_only' and canonical_url is not null group by 1)
 select doc_id, coalesce(a.url, b.url) oa_url, case when a.url is not null then 'first' when b.url is not null then 'second' end oa_resolver from documents left join a using (doi) left join b using (doi)""")
 def oa_resolve(spark, d):
     doc = table(spark, d, "documents")
     have = doc.where("doi <> '' and canonical_url is not null")
-    pick = lambda k: have.where(F.col("doc_id") % 3 == k).select("doi", F.col("canonical_url").alias("url"))
-    return connectors.resolve_open_copies(doc.select("doc_id", "doi"), pick(0), pick(1)).select("doc_id", "oa_url", "oa_resolver")
+    pick = lambda k: have.where(F.col("access_status") == k).select("doi", F.col("canonical_url").alias("url"))
+    return connectors.resolve_open_copies(doc.select("doc_id", "doi"), pick("open_full_text"), pick("metadata_only")).select("doc_id", "oa_url", "oa_resolver")
 
 
 @query("""with t as (select tier_id, unnest(case when priority <= 2 then ['openalex', 'crossref'] when priority <= 5 then ['google_books'] else ['wikipedia'] end) provider from source_tiers)
@@ -133,8 +133,8 @@ def capture_sequence(spark, d):
 # ---------------------------------------------------------------- sinks
 @query("select claim_id, ord, status from (select *, row_number() over (partition by claim_id order by ord desc) rn from normalized_claims) where rn = 1")
 def upsert_claims(spark, d):
-    n = table(spark, d, "normalized_claims").select("claim_id", "ord", "status")
-    return sinks.upserted(n.where("ord % 2 = 0"), n.where("ord % 2 = 1"), ["claim_id"], "ord")
+    n = table(spark, d, "normalized_claims").select("claim_id", "ord", "status", "confidence")
+    return sinks.upserted(n.where("confidence = 'high'").drop("confidence"), n.where("confidence is null or confidence <> 'high'").drop("confidence"), ["claim_id"], "ord")
 
 
 @query("""select parameter_id, '<!-- generated -->' || chr(10) || '# ' || coalesce(min(attribute), '') || chr(10) || chr(10) || string_agg(distinct '- ' || text_value, chr(10) order by '- ' || text_value) note from normalized_claims where text_value is not null group by 1""")
