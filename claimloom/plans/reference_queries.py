@@ -183,7 +183,7 @@ def corpus_top_domains(spark, d):
 
 @query("select parameter_id from parameter_manifest where parameter_id not in (select parameter_id from query_hits where discovery_method = 'citation' and source_tier_id is null and parameter_id is not null)")
 def missing_parameters(spark, d):
-    seen = table(spark, d, "query_hits").where("discovery_method = 'citation' and source_tier_id = 'reference-encyclopedia'").select("parameter_id")
+    seen = table(spark, d, "query_hits").where("discovery_method = 'citation' and source_tier_id is null").select("parameter_id")
     return table(spark, d, "parameter_manifest").select("parameter_id").join(seen, "parameter_id", "left_anti")
 
 
