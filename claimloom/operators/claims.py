@@ -75,3 +75,10 @@ def value_summary(claims: DataFrame, key: list[str], k: int = 4) -> DataFrame:
 def top_units(claims: DataFrame, key: list[str]) -> DataFrame:
     n = claims.where(F.col("unit").isNotNull()).groupBy(*key, "unit").agg(F.count("*").alias("_n"))
     return n.groupBy(*key).agg(F.min_by("unit", F.struct((-F.col("_n")).alias("a"), F.col("unit").alias("b"))).alias("unit"))
+
+
+def flag_outliers(claims: DataFrame, bounds: DataFrame, key: str = "parameter_id") -> DataFrame:
+    """outlier: some value of a claim is larger in size than its key's bound (bounds: key, bound; a fixed table). Flags only, drops nothing."""
+    largest = F.greatest(F.abs("numeric_value"), F.abs("range_min"), F.abs("range_max"))
+    j = claims.join(F.broadcast(bounds.select(F.col(key), F.col("bound").alias("_bound"))), key, "left")
+    return j.withColumn("outlier", F.coalesce(largest > F.col("_bound"), F.lit(False))).drop("_bound")

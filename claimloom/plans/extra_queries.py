@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from claimloom.functions import dates
 from claimloom.functions import text as X
+from claimloom.operators import claims as C
 from claimloom.operators import relations as R
 from claimloom.plans.reference_queries import LEDGER_SQL, REL_SQL, ledger, nodes, relations
 from claimloom.plans.reference_queries import QUERIES as BASE
@@ -89,6 +90,14 @@ def calibration_samples(spark, d):
     return n.groupBy("parameter_id").agg(F.array_join(F.slice(F.array_sort(F.collect_set("raw_value_text")), 1, 4), "; ").alias("samples"))
 
 
+@query("""with b as (select parameter_id, case common_unit when 'celsius' then 50.0 when '%' then 40.0 when 'days' then 160.0 when 'kg/ha' then 220.0 when 'fraction' then 1.0 end bound from parameter_manifest)
+select ord, coalesce(greatest(abs(numeric_value), abs(range_min), abs(range_max)) > b.bound, false) outlier from normalized_claims left join b using (parameter_id)""")
+def outlier_flags(spark, d):
+    u = F.col("common_unit")
+    bound = F.when(u == "celsius", 50.0).when(u == "%", 40.0).when(u == "days", 160.0).when(u == "kg/ha", 220.0).when(u == "fraction", 1.0)
+    return C.flag_outliers(table(spark, d, "normalized_claims"), table(spark, d, "parameter_manifest").select("parameter_id", bound.alias("bound"))).select("ord", "outlier")
+
+
 # ---------------------------------------------------------------- dates and excerpts
 @query("""select ord, case when regexp_matches(t, '^(19|20)\\d{2}$') then 'year' when regexp_matches(t, '^(19|20)\\d{2}\\s*[-–/]\\s*(19|20)?\\d{2}$') or t = 'multi-year' then 'period' when regexp_matches(t, 'spring|summer|autumn|fall|winter|season') then 'season' else 'unspecified' end scope from (select ord, lower(trim(coalesce(time_label, ''))) t from normalized_claims)""")
 def time_scopes(spark, d):

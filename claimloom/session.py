@@ -55,7 +55,11 @@ def ship_package(spark: SparkSession) -> None:
     with zipfile.ZipFile(data, "w", zipfile.ZIP_DEFLATED) as z:
         for p in sorted(root.rglob("*.py")):
             z.write(p, p.relative_to(root.parent))
-    place = Path(tempfile.mkdtemp(prefix="claimloom-pkg-")) / "claimloom_pkg.zip"  # the driver serves it from here
+    # staged in the shared folder the cluster names; only where it names none (tests), in a folder of the driver
+    shared = sc.getConf().get("spark.checkpoint.dir", "") or ""
+    folder = Path(shared.removeprefix("file://")) if shared.startswith(("file:///", "/")) else Path(tempfile.mkdtemp(prefix="claimloom-pkg-"))
+    folder.mkdir(parents=True, exist_ok=True)
+    place = folder / f"claimloom_pkg_{sc.applicationId}.zip"
     place.write_bytes(data.getvalue())
     sc.addPyFile(str(place))
     sc._claimloom_shipped = True
