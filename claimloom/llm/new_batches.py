@@ -34,7 +34,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from claimloom.functions.hosts import site_of
-from claimloom.llm.small_world import SIGNATURE, Graph, Segments, tuned_beam
+from claimloom.llm.small_world import SIGNATURE, Graph, Segments, distances, tuned_beam
 from claimloom.session import checkpoint
 
 LIKE, ROUTES, SHARD_ROWS, LIMIT, PIVOTS = 0.9, 4, 16_384, 20, 64
@@ -425,3 +425,48 @@ def duplicates(docs: DataFrame) -> DataFrame:
     g = groups.join(batch, "doc_id").withColumnRenamed("batch_no", "here")
     g = g.join(batch.select(F.col("doc_id").alias("first"), F.col("batch_no").alias("there")), "first")
     return g.where("there < here").select(F.col("first").alias("first_doc_id"), "doc_id")
+
+
+def index_recall(docs: DataFrame, every: int = 100, block: int = 2048) -> DataFrame:
+    """queries, pairs, found, recall: near-copies of the documents whose id divides by `every`, found by exhaustive
+    comparison with all rows, and how many of them the index's closed groups hold together.
+
+    The queries' signatures (40 bytes each, one document in `every`) go to the tasks in blocks of `block`.
+    """
+    spark = docs.sparkSession
+    tokens = checkpoint(tokenise(docs.select("doc_id", F.col("batch_no").cast("int").alias("batch_no"), F.xxhash64("source_domain").alias("site"), "text")))
+    first = tokens.groupBy("t1", "t2").agg(F.min("doc_id").alias("doc_id")).select("doc_id")
+    common, own, _ = common_buckets(tokens)
+    routed = checkpoint(signatures(tokens, common, own).join(first, "doc_id", "left_semi"))
+    groups = closed_groups(verified(checkpoint(candidates(routed)), tokens, own))
+    rows = routed.where("route = 0").select("doc_id", "signature")
+    asked = rows.where(F.col("doc_id") % every == 0)
+    blocks = asked.select(F.pmod(F.xxhash64("doc_id"), F.lit(max(1, math.ceil(asked.count() / block)))).alias("block"), "doc_id", "signature")
+    exact = None
+    for k in range(max(1, math.ceil(asked.count() / block))):
+        q = blocks.where(F.col("block") == k).toPandas()
+        part = _exhaustive(rows, q["doc_id"].to_numpy(np.int64), np.frombuffer(b"".join(q["signature"]), np.uint64).reshape(-1, SIGNATURE // 8))
+        exact = part if exact is None else exact.unionByName(part)
+    pairs = checkpoint(verified(checkpoint(exact.distinct()), tokens, own))
+    g = groups.select("doc_id", "first")
+    both = pairs.join(g.select(F.col("doc_id").alias("a"), F.col("first").alias("ga")), "a", "left").join(g.select(F.col("doc_id").alias("b"), F.col("first").alias("gb")), "b", "left")
+    same = F.coalesce("ga", "a") == F.coalesce("gb", "b")
+    n = spark.createDataFrame([(asked.count(),)], "queries bigint")
+    return n.join(both.agg(F.count("*").alias("pairs"), F.count_if(same).alias("found")), how="cross").withColumn("recall", F.round(F.try_divide(F.col("found").cast("double"), F.col("pairs").cast("double")), 4))
+
+
+def _exhaustive(rows: DataFrame, ids: np.ndarray, codes: np.ndarray) -> DataFrame:
+    shared = rows.sparkSession.sparkContext.broadcast((ids, codes))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        qi, qc = shared.value
+        for b in batches:
+            mine = b.column("doc_id").to_numpy()
+            sig = np.frombuffer(b"".join(b.column("signature").to_pylist()), np.uint64).reshape(-1, SIGNATURE // 8)
+            for i in range(0, len(qi), 64):
+                r, c = np.nonzero(distances(qc[i : i + 64, None], sig[None]) <= LIMIT)
+                x, y = qi[i + r], mine[c]
+                ok = x != y
+                yield pa.RecordBatch.from_arrays([pa.array(np.minimum(x, y)[ok]), pa.array(np.maximum(x, y)[ok])], names=["a", "b"])
+
+    return rows.mapInArrow(run, "a bigint, b bigint")

@@ -9,7 +9,7 @@ from claimloom.functions.hosts import host_of
 from claimloom.llm import oracles
 from claimloom.llm.best_record import best_records, claim_key
 from claimloom.llm.contributor_cap import beyond_cap, prepare_contributors
-from claimloom.llm.new_batches import duplicates
+from claimloom.llm.new_batches import duplicates, index_recall
 from claimloom.llm.packing import pack_documents
 from claimloom.llm.scan_noise import repair_texts
 from claimloom.llm.site_lines import clean_texts, frequent_lines, frequent_sequences, line_sequences
@@ -149,3 +149,11 @@ def p8_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES |= {"p7_sequences": p7_sequences, "p8_spans": p8_spans}
+
+
+def p4_recall(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Recall of the near-copy index, measured on every hundredth document against exhaustive search."""
+    return index_recall(table(spark, sf_dir, "documents").select("doc_id", "batch_no", "source_domain", "text"))
+
+
+QUERIES |= {"p4_recall": p4_recall}
