@@ -37,7 +37,8 @@ from claimloom.functions.hosts import site_of
 from claimloom.llm.small_world import SIGNATURE, Graph, Segments, distances, tuned_beam
 from claimloom.session import checkpoint
 
-LIKE, ROUTES, SHARD_ROWS, LIMIT, PIVOTS = 0.9, 4, 16_384, 20, 64
+LIKE, ROUTES, SHARD_ROWS, LIMIT, PIVOTS = 0.9, 4, 16_384, 22, 64
+FEW_RARE = 0.15
 BUCKETS, COMMON = 1 << 16, 0.01
 LINE_SITE_SHARE, LINE_SHARE, LINE_COUNT, LINE_LETTERS, LINE_CHARS, LINE_DIVERSE = 0.01, 2e-6, 8, 12, 240, 0.5
 EMPTY_SHA = "e3b0c44298fc1c149afbf4c8996fb92427ae41e4649b934ca495991b7852b855"
@@ -240,23 +241,32 @@ def signatures(tokens: DataFrame, common: np.ndarray, own: np.ndarray) -> DataFr
             if not n:
                 continue
             h, starts = _pairs(*_content(b, own_))
+            size = np.diff(starts)
             rare = ~flag_[(h & np.uint64(BUCKETS - 1)).astype(np.int64)]
             total = np.concatenate(([0], np.cumsum(rare)))
-            none = total[starts[1:]] == total[starts[:-1]]
-            rare |= np.repeat(none, np.diff(starts))
+            left = total[starts[1:]] - total[starts[:-1]]
+            rare |= np.repeat(left == 0, size)
             total = np.concatenate(([0], np.cumsum(rare)))
-            h, starts = h[rare], total[starts]
-            at = starts[:-1]
+            hr, sr = h[rare], total[starts]
+            few = left < FEW_RARE * size  # much-copied texts: what they say has become common
             sig = np.zeros((n, SIGNATURE), np.uint8)
             first, second = [], []
             for k in range(SIGNATURE):
-                v = h * mult[k]
-                low = np.minimum.reduceat(v, at)
+                # one half of the signature over the rare pairs, the other over all
+                hk, sk = (hr, sr) if k < SIGNATURE // 2 else (h, starts)
+                v = hk * mult[k]
+                low = np.minimum.reduceat(v, sk[:-1])
                 sig[:, k] = (_mix(low) >> np.uint64(40)).astype(np.uint8)
                 if k < ROUTES:
+                    v = np.where(v == np.repeat(low, np.diff(sk)), np.uint64(2**64 - 1), v)
+                    low2 = np.minimum.reduceat(v, sk[:-1])
+                    if k >= ROUTES // 2 and few.any():  # half of the routes of such texts go over all pairs
+                        w = h * mult[k]
+                        lw = np.minimum.reduceat(w, starts[:-1])
+                        w = np.where(w == np.repeat(lw, size), np.uint64(2**64 - 1), w)
+                        low, low2 = np.where(few, lw, low), np.where(few, np.minimum.reduceat(w, starts[:-1]), low2)
                     first.append(low)
-                    v = np.where(v == np.repeat(low, np.diff(starts)), np.uint64(2**64 - 1), v)
-                    second.append(np.minimum.reduceat(v, at))
+                    second.append(low2)
             ids, no = b.column("doc_id").to_numpy(), b.column("batch_no").to_numpy()
             data = pa.py_buffer(np.ascontiguousarray(np.tile(sig, (ROUTES, 1))))
             code = pa.FixedSizeBinaryArray.from_buffers(pa.binary(SIGNATURE), n * ROUTES, [None, data]).cast(pa.binary())
@@ -280,7 +290,11 @@ def search_shard(ids: np.ndarray, batch: np.ndarray, codes: np.ndarray, keys: np
             recalls.append(recall)
             node, dist = g.search(q, k, beam)
             r, c = np.nonzero((dist <= limit) & (node >= 0))
-            a, b = g.ids[node[r, c]], i[r]
+            # the first node of a query's own key as well: it ties the copies of a much-copied text together
+            entry = g.entries(k, 1)[:, 0]
+            at = np.flatnonzero(entry >= 0)
+            at = at[distances(q[at], g.codes[entry[at]]) <= limit]
+            a, b = g.ids[np.concatenate([node[r, c], entry[at]])], i[np.concatenate([r, at])]
             ok = a != b
             out.append(np.stack([np.minimum(a, b)[ok], np.maximum(a, b)[ok]]))
         history.add(graph)
