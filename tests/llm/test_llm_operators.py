@@ -170,6 +170,17 @@ def test_duplicates_small(spark):
     assert new_batches.duplicates(spark.createDataFrame([], schema)).count() == 0
 
 
+def test_a_much_copied_text(spark):
+    rng = random.Random(12)
+    text = [f"{rng.choice('abcdefgh')}{i}" for i in range(80)]
+    rows = []
+    for i in range(120):
+        words = [*text[:40], f"x{i}", *text[41:]] if i % 2 else [f"y{rng.randint(0, 10**6)}" for _ in range(60)]
+        rows.append((i, i // 10, " ".join(words), None, None, None, "a.example"))
+    df = spark.createDataFrame(rows, "doc_id long, batch_no int, text string, content_hash string, canonical_url string, doi string, source_domain string")
+    assert {tuple(r) for r in new_batches.duplicates(df).collect()} == {(1, i) for i in range(11, 120, 2)}
+
+
 def test_hot_route_values_are_dealt_over_salts(spark, monkeypatch):
     monkeypatch.setattr(new_batches, "SHARD_ROWS", 40)
     base = np.arange(SIGNATURE, dtype=np.uint8)
