@@ -217,6 +217,30 @@ def test_truncation_with_copies_and_edges(spark):
     assert got["b"]["cut"] and got["b"]["by_copy"] and not got["a"]["cut"] and not got["e"]["cut"] and not got["f"]["cut"]
 
 
+HEAD_TEXT = "The plots at the northern station were sown in early autumn and the yield of rye there was "
+CAPTION_TEXT = "Table 3. Yield of winter rye by region and year at all of the northern stations"
+ROW_TEXT = "Rye | Nordhof | 1999 | loam | 4 plots | 120 kg N | sown early | 31 days | 5.2"
+
+
+@pytest.mark.parametrize(
+    "copy, longer, cut",
+    [
+        (HEAD_TEXT + "3.", HEAD_TEXT + "3.5 t/ha in all plots.", True), (HEAD_TEXT + "good, cf.", HEAD_TEXT + "good, cf. Miller for all plots.", True), (HEAD_TEXT + "no.", HEAD_TEXT + "no. 4 in all plots.", True), (HEAD_TEXT + "good.", HEAD_TEXT + "good. The next year was dry.", False), (HEAD_TEXT + "good.", HEAD_TEXT + "good.[3] The next", False),
+        (HEAD_TEXT + "good (plot 3)", HEAD_TEXT + "good (plot 3) and bad in the others.", True), (HEAD_TEXT + "good (plot 3)", HEAD_TEXT + "good (plot 3).", False), (CAPTION_TEXT, CAPTION_TEXT + " in 1999", True), (CAPTION_TEXT, CAPTION_TEXT + "\nThe text goes on.", False),
+        (ROW_TEXT, ROW_TEXT + " | 14 kg", True), (ROW_TEXT, ROW_TEXT + " t/ha", True), (ROW_TEXT, ROW_TEXT + "\nOats | Nordhof | 2000", False),
+    ],
+)
+def test_where_a_longer_copy_goes_on(copy, longer, cut):
+    assert truncation.breaks_off(copy, longer) == cut
+
+
+def test_a_cut_row_and_caption_are_told_by_a_copy_that_is_not_the_longest(spark):
+    # the longest near-copy has another ending and says nothing about the cut
+    rows = [("cut", "s", ROW_TEXT), ("whole", "s", ROW_TEXT + " | 14 kg"), ("other", "s", ROW_TEXT.replace("| 5.2", "| n/a | n/a | n/a")), ("c", "t", CAPTION_TEXT), ("d", "t", CAPTION_TEXT + " in 1999"), ("e", "t", ROW_TEXT.replace("Rye", "Oats"))]
+    got = {r["claim_id"] for r in truncation.judged(spark.createDataFrame(rows, "claim_id string, source_domain string, evidence_text string")).where("cut").collect()}
+    assert got == {"cut", "c"}
+
+
 # ---------------------------------------------------------------- 7
 def test_site_lines_and_clean(spark):
     rows = [(f"c{i}", f"Body number {i} {'xyz' * (i % 5)}.\nShare this Page with Friends {i}!" + ("\nshort one" if i % 2 else ""), "u1") for i in range(10)]
