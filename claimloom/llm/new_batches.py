@@ -11,7 +11,7 @@ subsequence of words). Links are closed by hash-to-min contraction.
 
 Hot keys: copies of one text are one row of the index; lines are the site's own where they stand in at least LINE_COUNT and
 LINE_SITE_SHARE of the documents of one site, and in different texts (copies make no line a site's own). Word pairs that stand in more than COMMON of
-all texts route nothing; a route value that still holds more than SHARD_ROWS rows is split by the
+all texts take no part in half of the routes; a route value that still holds more than SHARD_ROWS rows is split by the
 text's next value, then dealt over salts that share its smallest documents.
 
 Defined results: blank and null texts, hashes, URLs and DOIs link nothing; texts without a rare word
@@ -37,8 +37,7 @@ from claimloom.functions.hosts import site_of
 from claimloom.llm.small_world import SIGNATURE, Graph, Segments, distances, tuned_beam
 from claimloom.session import checkpoint
 
-LIKE, ROUTES, SHARD_ROWS, LIMIT, PIVOTS = 0.9, 4, 16_384, 22, 64
-FEW_RARE = 0.15
+LIKE, ROUTES, SHARD_ROWS, LIMIT, PIVOTS = 0.9, 8, 16_384, 22, 64
 BUCKETS, COMMON = 1 << 16, 0.01
 LINE_SITE_SHARE, LINE_SHARE, LINE_COUNT, LINE_LETTERS, LINE_CHARS, LINE_DIVERSE = 0.01, 2e-6, 8, 12, 240, 0.5
 EMPTY_SHA = "e3b0c44298fc1c149afbf4c8996fb92427ae41e4649b934ca495991b7852b855"
@@ -248,7 +247,6 @@ def signatures(tokens: DataFrame, common: np.ndarray, own: np.ndarray) -> DataFr
             rare |= np.repeat(left == 0, size)
             total = np.concatenate(([0], np.cumsum(rare)))
             hr, sr = h[rare], total[starts]
-            few = left < FEW_RARE * size  # much-copied texts: what they say has become common
             sig = np.zeros((n, SIGNATURE), np.uint8)
             first, second = [], []
             for k in range(SIGNATURE):
@@ -257,16 +255,11 @@ def signatures(tokens: DataFrame, common: np.ndarray, own: np.ndarray) -> DataFr
                 v = hk * mult[k]
                 low = np.minimum.reduceat(v, sk[:-1])
                 sig[:, k] = (_mix(low) >> np.uint64(40)).astype(np.uint8)
-                if k < ROUTES:
+                # half of the routes go over the rare pairs, half over all: the edits of a near-copy may fall among the few rare pairs
+                if k % (SIGNATURE // 2) < ROUTES // 2:
                     v = np.where(v == np.repeat(low, np.diff(sk)), np.uint64(2**64 - 1), v)
-                    low2 = np.minimum.reduceat(v, sk[:-1])
-                    if k >= ROUTES // 2 and few.any():  # half of the routes of such texts go over all pairs
-                        w = h * mult[k]
-                        lw = np.minimum.reduceat(w, starts[:-1])
-                        w = np.where(w == np.repeat(lw, size), np.uint64(2**64 - 1), w)
-                        low, low2 = np.where(few, lw, low), np.where(few, np.minimum.reduceat(w, starts[:-1]), low2)
                     first.append(low)
-                    second.append(low2)
+                    second.append(np.minimum.reduceat(v, sk[:-1]))
             ids, no = b.column("doc_id").to_numpy(), b.column("batch_no").to_numpy()
             data = pa.py_buffer(np.ascontiguousarray(np.tile(sig, (ROUTES, 1))))
             code = pa.FixedSizeBinaryArray.from_buffers(pa.binary(SIGNATURE), n * ROUTES, [None, data]).cast(pa.binary())

@@ -193,6 +193,26 @@ def test_hot_route_values_are_dealt_over_salts(spark, monkeypatch):
     assert groups == {(i, 0) for i in range(1, 200)}
 
 
+def test_near_copies_of_a_template_share_a_route(spark):
+    # most words are the template's, and all edits of a near-copy fall among the few that are not
+    rng = random.Random(8)
+    template = [f"t{i}" for i in range(100)]
+    at, rows = range(4, 100, 8), []
+    for i in range(200):
+        words = list(template)
+        for j in at:
+            words[j] = f"v{rng.randint(0, 10**9)}"
+        copy = list(words)
+        for j in rng.sample(at, 9):
+            copy[j] = f"w{rng.randint(0, 10**9)}"
+        rows += [(2 * i, 0, 1, " ".join(words)), (2 * i + 1, 1, 1, " ".join(copy))]
+    tokens = new_batches.tokenise(spark.createDataFrame(rows, "doc_id long, batch_no int, site long, text string"))
+    common, own, _ = new_batches.common_buckets(tokens)
+    seen = new_batches.signatures(tokens, common, own).select("doc_id", "route", "value").toPandas()
+    routes = {d: set(zip(g["route"], g["value"])) for d, g in seen.groupby("doc_id")}
+    assert sum(bool(routes[2 * i] & routes[2 * i + 1]) for i in range(200)) >= 190
+
+
 def test_closed_groups_of_a_chain(spark):
     edges = [(i, i + 1) for i in range(60)] + [(100, 102), (101, 102)]
     random.Random(1).shuffle(edges)
