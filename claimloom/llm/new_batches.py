@@ -6,7 +6,7 @@ min-hash signature of word pairs; ROUTES of its min-hash values route it to inde
 holds about SHARD_ROWS routed rows at any size of the corpus). A shard keeps a navigable small-world
 graph per history segment: each arriving batch is searched in the graphs of its history and in its own,
 with a beam widened until its recall against exhaustive search is as wanted, and becomes a new
-segment; segments are merged by a fixed schedule. Candidates are verified exactly (longest common
+segment; segments are merged by a fixed schedule. A text with at least BEAM nodes within the limit is compared with all texts of its route value, in blocks. Candidates are verified exactly (longest common
 subsequence of words). Links are closed by hash-to-min contraction.
 
 Hot keys: copies of one text are one row of the index; lines are the site's own where they stand in at least LINE_COUNT and
@@ -34,11 +34,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from claimloom.functions.hosts import site_of
-from claimloom.llm.small_world import SIGNATURE, Graph, Segments, distances, tuned_beam
+from claimloom.llm.small_world import BEAM, SIGNATURE, Graph, Segments, distances, tuned_beam
 from claimloom.session import checkpoint
 
 LIKE, ROUTES, SHARD_ROWS, LIMIT, PIVOTS = 0.9, 8, 16_384, 22, 64
 BUCKETS, COMMON = 1 << 16, 0.01
+HALF_LIMIT, BAG, BLOCK = 11, 256, 4096
 LINE_SITE_SHARE, LINE_SHARE, LINE_COUNT, LINE_LETTERS, LINE_CHARS, LINE_DIVERSE = 0.01, 2e-6, 8, 12, 240, 0.5
 EMPTY_SHA = "e3b0c44298fc1c149afbf4c8996fb92427ae41e4649b934ca495991b7852b855"
 TRACKING = r"(?:utm_[a-z]+|fbclid|gclid|dclid|msclkid|mc_cid|mc_eid|igshid|yclid|_ga)"
@@ -271,18 +272,22 @@ def signatures(tokens: DataFrame, common: np.ndarray, own: np.ndarray) -> DataFr
     return tokens.mapInArrow(run, "doc_id bigint, batch_no int, signature binary, route int, value bigint, next_value bigint")
 
 
-def search_shard(ids: np.ndarray, batch: np.ndarray, codes: np.ndarray, keys: np.ndarray, limit: int = LIMIT) -> tuple[np.ndarray, np.ndarray, list[float]]:
-    """(earlier or equal-batch id, id) of candidates within limit, and the recalls measured."""
-    history, out, recalls = Segments(), [], []
+def search_shard(ids: np.ndarray, batch: np.ndarray, codes: np.ndarray, keys: np.ndarray, limit: int = LIMIT) -> tuple[np.ndarray, np.ndarray, list[float], np.ndarray]:
+    """(earlier or equal-batch id, id) of candidates within limit, the recalls measured, and the (id, key) with at least BEAM nodes within limit."""
+    history, out, recalls, dense = Segments(), [], [], []
     for no in np.unique(batch):
         m = batch == no
         q, k, i = codes[m], keys[m], ids[m]
         graph = Graph(q, k, i)
         for g in [*(g for _, g in history.graphs), graph]:
-            beam, recall = tuned_beam(g, q, k, limit)
+            beam, recall = tuned_beam(g, q, k, limit, itself=g is graph)
             recalls.append(recall)
             node, dist = g.search(q, k, beam)
-            r, c = np.nonzero((dist <= limit) & (node >= 0))
+            within = (dist <= limit) & (node >= 0)
+            # as many near nodes as the narrowest beam holds: nearer ones may hide others, and a wider beam may end early
+            full = within.sum(1) >= BEAM
+            dense.append(np.stack([i[full], k[full]]))
+            r, c = np.nonzero(within)
             # the first node of a query's own key as well: it ties the copies of a much-copied text together
             entry = g.entries(k, 1)[:, 0]
             at = np.flatnonzero(entry >= 0)
@@ -292,7 +297,7 @@ def search_shard(ids: np.ndarray, batch: np.ndarray, codes: np.ndarray, keys: np
             out.append(np.stack([np.minimum(a, b)[ok], np.maximum(a, b)[ok]]))
         history.add(graph)
     pairs = np.unique(np.concatenate(out, 1), axis=1) if out else np.zeros((2, 0), np.int64)
-    return pairs[0], pairs[1], recalls
+    return pairs[0], pairs[1], recalls, np.unique(np.concatenate(dense, 1), axis=1) if dense else np.zeros((2, 0), np.int64)
 
 
 def _split_hot(routed: DataFrame) -> DataFrame:
@@ -326,6 +331,11 @@ def _smallest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def candidates(routed: DataFrame) -> DataFrame:
     """(a, b) pairs from the index shards; routed: one row per text and route."""
+    return searched(routed).where("key is null").select("a", "b").distinct()
+
+
+def searched(routed: DataFrame) -> DataFrame:
+    """a, b, key: candidate pairs (key null), and texts with at least BEAM nodes within the limit (a, with the key of their route value)."""
     rows = routed.count()
     shards = max(1, math.ceil(rows / SHARD_ROWS))
     r = _split_hot(routed).select("doc_id", "batch_no", "signature", F.xxhash64("route", "value").alias("key"), F.pmod(F.xxhash64("value", "route", "salt"), F.lit(shards)).cast("int").alias("shard"))
@@ -333,10 +343,79 @@ def candidates(routed: DataFrame) -> DataFrame:
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values(["batch_no", "doc_id"], kind="stable")
         codes = np.frombuffer(b"".join(pdf["signature"]), np.uint64).reshape(-1, SIGNATURE // 8)
-        a, b, _ = search_shard(pdf["doc_id"].to_numpy(), pdf["batch_no"].to_numpy(), codes, pdf["key"].to_numpy())
+        a, b, _, dense = search_shard(pdf["doc_id"].to_numpy(), pdf["batch_no"].to_numpy(), codes, pdf["key"].to_numpy())
+        none = lambda n: pd.array([None] * n, "Int64")
+        return pd.concat([pd.DataFrame({"a": a, "b": b, "key": none(len(a))}), pd.DataFrame({"a": dense[0], "b": none(dense.shape[1]), "key": dense[1]})]).astype("Int64")
+
+    return r.groupBy("shard").applyInPandas(run, "a bigint, b bigint, key bigint")
+
+
+def _bags(tokens: DataFrame, own: np.ndarray) -> DataFrame:
+    """doc_id, bag: how often each of BAG word buckets occurs in the text as it stands and without the site's lines (uint16, two parts)."""
+    shared = tokens.sparkSession.sparkContext.broadcast(own)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            bags = np.zeros((b.num_rows, 2, BAG), np.int64)
+            for part, drop in enumerate((None, shared.value)) if b.num_rows else ():
+                words, starts = _content(b, drop)
+                np.add.at(bags, (np.repeat(np.arange(b.num_rows), np.diff(starts)), part, words % BAG), 1)
+            data = np.minimum(bags, 2**16 - 1).astype(np.uint16)
+            yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array([x.tobytes() for x in data], pa.binary())], names=["doc_id", "bag"])
+
+    return tokens.select("doc_id", "words", "line_key", "line_words").mapInArrow(run, "doc_id bigint, bag binary")
+
+
+def scan_block(sig: np.ndarray, bags: np.ndarray, group: np.ndarray, rows: np.ndarray, others: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(row, other) of pairs of different groups whose signatures are near and that can have LIKE of the words in common."""
+    out = [np.zeros((2, 0), np.int64)]
+    size = bags.sum(2, dtype=np.int64)
+    for i in rows:
+        d = distances(sig[others], sig[i])
+        near = (d <= LIMIT) | (distances(sig[others][:, SIGNATURE // 16 :], sig[i, SIGNATURE // 16 :]) <= HALF_LIMIT)
+        c = others[near & (group[others] != group[i])]
+        if not len(c):
+            continue
+        able = np.zeros(len(c), bool)
+        for part in range(2):  # the common words of two bags are at least the common subsequence of their texts
+            most = np.maximum(size[c, part], size[i, part])
+            fit = np.flatnonzero(np.minimum(size[c, part], size[i, part]) >= LIKE * most)
+            able[fit] |= np.minimum(bags[c[fit], part], bags[i, part]).sum(1, dtype=np.int64) >= LIKE * most[fit]
+        out.append(np.stack([np.full(able.sum(), i), c[able]]))
+    return tuple(np.concatenate(out, 1))
+
+
+def scanned(routed: DataFrame, asked: DataFrame, links: DataFrame, tokens: DataFrame, own: np.ndarray) -> DataFrame:
+    """(a, b): what the asked (a, key) texts may be near-copies of among all texts of their route value, those they are linked to aside.
+
+    A value's texts are dealt over salts and every pair of salts is a block, so that no pair depends on a graph or on its salt.
+    """
+    keyed = routed.select("doc_id", "signature", F.xxhash64("route", "value").alias("key"))
+    keyed = keyed.join(asked.select("key").distinct(), "key", "left_semi")
+    sizes = keyed.groupBy("key").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("salts"))
+    group = closed_groups(links)
+    rows = keyed.join(sizes, "key").join(asked.select(F.col("a").alias("doc_id"), "key", F.lit(True).alias("ask")).distinct(), ["doc_id", "key"], "left")
+    needed = rows.select("doc_id").distinct()
+    bags = checkpoint(_bags(tokens.join(needed, "doc_id", "left_semi").dropDuplicates(["doc_id"]), own))
+    rows = rows.join(group, "doc_id", "left").withColumn("first", F.coalesce("first", "doc_id")).join(bags, "doc_id")
+    rows = rows.withColumn("salt", F.pmod(F.xxhash64("doc_id"), "salts").cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)))
+    rows = rows.withColumn("low", F.least("salt", "other")).withColumn("high", F.greatest("salt", "other"))
+    cells = max(1, math.ceil(keyed.count() / BLOCK))
+    rows = rows.withColumn("cell", F.pmod(F.xxhash64("key", "low", "high"), F.lit(cells)))
+
+    def run(pdf: pd.DataFrame) -> pd.DataFrame:
+        found = [np.zeros((2, 0), np.int64)]
+        for (_, low, high), g in pdf.groupby(["key", "low", "high"], sort=False):
+            sig = np.frombuffer(b"".join(g["signature"]), np.uint64).reshape(-1, SIGNATURE // 8)
+            bags = np.frombuffer(b"".join(g["bag"]), np.uint16).reshape(-1, 2, BAG)
+            ids, first, salt, ask = g["doc_id"].to_numpy(np.int64), g["first"].to_numpy(np.int64), g["salt"].to_numpy(), g["ask"].eq(True).to_numpy(bool)
+            for one, two in {(low, high), (high, low)}:
+                r, c = scan_block(sig, bags, first, np.flatnonzero((salt == one) & ask), np.flatnonzero(salt == two))
+                found.append(np.stack([np.minimum(ids[r], ids[c]), np.maximum(ids[r], ids[c])]))
+        a, b = np.unique(np.concatenate(found, 1), axis=1)
         return pd.DataFrame({"a": a, "b": b})
 
-    return r.groupBy("shard").applyInPandas(run, "a bigint, b bigint").distinct()
+    return rows.select("cell", "key", "low", "high", "doc_id", "signature", "first", "salt", "ask", "bag").groupBy("cell").applyInPandas(run, "a bigint, b bigint").distinct()
 
 
 def common_words(a: np.ndarray, b: np.ndarray) -> int:
@@ -417,7 +496,18 @@ def near_links(tokens: DataFrame) -> DataFrame:
     first = tokens.groupBy("t1", "t2").agg(F.min("doc_id").alias("doc_id")).select("doc_id")
     common, own, _ = common_buckets(tokens)
     routed = checkpoint(signatures(tokens, common, own).join(first, "doc_id", "left_semi"))
-    return verified(checkpoint(candidates(routed)), tokens, own)
+    return index_links(routed, tokens, own)
+
+
+def index_links(routed: DataFrame, tokens: DataFrame, own: np.ndarray) -> DataFrame:
+    """(a, b): verified pairs of the index; where a text has at least BEAM nodes within the limit, of a scan of its route value as well."""
+    found = checkpoint(searched(routed))
+    links = checkpoint(verified(found.where("key is null").select("a", "b").distinct(), tokens, own))
+    asked = found.where("key is not null").select("a", "key")
+    if asked.isEmpty():
+        return links
+    more = checkpoint(scanned(routed, asked, links, tokens, own))
+    return links.unionByName(verified(more, tokens, own))
 
 
 def duplicates(docs: DataFrame) -> DataFrame:
@@ -445,7 +535,7 @@ def index_recall(docs: DataFrame, every: int = 100, block: int = 2048) -> DataFr
     first = tokens.groupBy("t1", "t2").agg(F.min("doc_id").alias("doc_id")).select("doc_id")
     common, own, _ = common_buckets(tokens)
     routed = checkpoint(signatures(tokens, common, own).join(first, "doc_id", "left_semi"))
-    groups = closed_groups(verified(checkpoint(candidates(routed)), tokens, own))
+    groups = closed_groups(index_links(routed, tokens, own))
     rows = routed.where("route = 0").select("doc_id", "signature")
     asked = rows.where(F.col("doc_id") % every == 0)
     blocks = asked.select(F.pmod(F.xxhash64("doc_id"), F.lit(max(1, math.ceil(asked.count() / block)))).alias("block"), "doc_id", "signature")

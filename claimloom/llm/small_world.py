@@ -126,19 +126,37 @@ class Graph:
         return (np.concatenate(qs), np.concatenate(ns)) if qs else (np.zeros(0, int), np.zeros(0, int))
 
 
-def tuned_beam(graph: Graph, codes: np.ndarray, keys: np.ndarray, limit: int, wanted: float = 0.97, sample: int = 24, widest: int = 64) -> tuple[int, float]:
-    """The narrowest beam (doubled from BEAM) whose recall of a query's nearest node within limit is as wanted, measured against exhaustive search."""
-    pick = np.linspace(0, len(codes) - 1, min(sample, len(codes))).astype(int) if len(codes) else np.zeros(0, int)
-    q, n = graph.exhaustive(codes[pick], limit)
+def tuned_beam(graph: Graph, codes: np.ndarray, keys: np.ndarray, limit: int, wanted: float = 0.97, sample: int = 48, widest: int = 64, itself: bool = False, enough: int = 12, draws: int = 8) -> tuple[int, float]:
+    """The narrowest beam (doubled from BEAM) whose recall of all nodes within limit is as wanted, measured against exhaustive search.
+
+    itself: the queries are the graph's own nodes, and none is its own neighbour. Samples are drawn until `enough` queries have a neighbour,
+    at most `draws`; the recall is nan where none has. A beam that is full within the limit counts as whole: its query goes on
+    by a scan of its key's nodes.
+    """
+    order = np.random.default_rng(3).permutation(len(codes))
+    pick, q, n = np.zeros(0, int), np.zeros(0, int), np.zeros(0, int)
+    for k in range(draws):
+        part = order[k * sample : (k + 1) * sample]
+        if not len(part):
+            break
+        r, c = graph.exhaustive(codes[part], limit)
+        ok = part[r] != c if itself else np.ones(len(r), bool)
+        q, n = np.concatenate([q, r[ok] + len(pick)]), np.concatenate([n, c[ok]])
+        pick = np.concatenate([pick, part])
+        if len(np.unique(q)) >= enough:
+            break
     if not len(q):
-        return BEAM, 1.0
-    nearest = np.full(len(pick), FAR)
-    np.minimum.at(nearest, q, distances(codes[pick][q], graph.codes[n]).astype(int))
-    has = nearest <= limit
+        return BEAM, float("nan")
+    has, at = np.unique(q, return_inverse=True)
+    wanted_n, asked = np.bincount(at), pick[has]
     beam = BEAM
     while True:
-        _, d = graph.search(codes[pick], keys[pick], beam)
-        recall = float((d[has, 0] <= nearest[has]).mean())
+        node, d = graph.search(codes[asked], keys[asked], beam)
+        within = (d <= limit) & (node >= 0)
+        full = within.all(1)
+        if itself:
+            within &= node != asked[:, None]
+        recall = float(np.where(full, 1.0, within.sum(1) / wanted_n).mean())
         if recall >= wanted or beam >= widest:
             return beam, recall
         beam *= 2

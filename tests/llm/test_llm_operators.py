@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from claimloom.llm import best_record, contributor_cap, new_batches, packing, scan_noise, site_lines, stuffed_pages, tokenizer, truncation
 from claimloom.llm.boost import BoostedTrees
-from claimloom.llm.small_world import SIGNATURE, Graph, Segments, distances
+from claimloom.llm.small_world import SIGNATURE, Graph, Segments, distances, tuned_beam
 
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 VOCABULARY = os.path.exists(tokenizer.VOCABULARY)
@@ -213,6 +213,30 @@ def test_near_copies_of_a_template_share_a_route(spark):
     assert sum(bool(routes[2 * i] & routes[2 * i + 1]) for i in range(200)) >= 190
 
 
+def test_a_near_copy_among_many_siblings(spark):
+    # more siblings than a beam holds are as near as the partner by signature, but no near-copies by their words
+    rng = random.Random(9)
+    template, at, rows = [f"t{i}" for i in range(100)], range(4, 100, 8), []
+    for i in range(300):
+        words = list(template)
+        for j in at:
+            words[j] = f"v{rng.randint(0, 10**9)}"
+        copy = list(words)
+        for j in rng.sample(at, 9):
+            copy[j] = f"w{rng.randint(0, 10**9)}"
+        rows += [(2 * i, 0, " ".join(words), None, None, None, "a.example"), (2 * i + 1, 1, " ".join(copy), None, None, None, "b.example")]
+    df = spark.createDataFrame(rows, "doc_id long, batch_no int, text string, content_hash string, canonical_url string, doi string, source_domain string")
+    got = {tuple(r) for r in new_batches.duplicates(df).collect()}
+    assert got <= {(2 * i, 2 * i + 1) for i in range(300)} and len(got) >= 285
+
+
+def test_beam_is_tuned_on_other_nodes():
+    rng = np.random.default_rng(5)
+    codes = np.ascontiguousarray(rng.integers(0, 256, (400, SIGNATURE), dtype=np.uint8)).view(np.uint64)
+    g = Graph(codes, np.arange(400), np.arange(400))
+    assert np.isnan(tuned_beam(g, codes, np.arange(400), 8, itself=True)[1])
+
+
 def test_closed_groups_of_a_chain(spark):
     edges = [(i, i + 1) for i in range(60)] + [(100, 102), (101, 102)]
     random.Random(1).shuffle(edges)
