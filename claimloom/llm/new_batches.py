@@ -303,8 +303,8 @@ def search_shard(ids: np.ndarray, batch: np.ndarray, codes: np.ndarray, keys: np
 def _split_hot(routed: DataFrame) -> DataFrame:
     """routed with salt: route values of more than SHARD_ROWS rows are told apart by the text's next value.
 
-    Where one still holds more, its texts are near-copies of a few: they are dealt over salts, and its PIVOTS
-    smallest documents go to every salt, so that the copies of a pivot meet it in each and closing the links joins them.
+    Where one still holds more, they are dealt over salts, and its PIVOTS smallest documents go to every salt, so that the copies of a
+    pivot meet it in each and closing the links joins them. What is not joined so is compared in blocks by scanned().
     Both tables of hot values have at most ROUTES x texts / SHARD_ROWS rows.
     """
     hot = lambda df: df.groupBy("route", "value").agg(F.count("*").alias("n")).where(F.col("n") > SHARD_ROWS)
@@ -503,7 +503,10 @@ def index_links(routed: DataFrame, tokens: DataFrame, own: np.ndarray) -> DataFr
     """(a, b): verified pairs of the index; where a text has at least BEAM nodes within the limit, of a scan of its route value as well."""
     found = checkpoint(searched(routed))
     links = checkpoint(verified(found.where("key is null").select("a", "b").distinct(), tokens, own))
-    asked = found.where("key is not null").select("a", "key")
+    # the texts of a hot value met only those of their own next value and salt
+    hot = routed.groupBy("route", "value").agg(F.count("*").alias("n")).where(F.col("n") > SHARD_ROWS).select("route", "value")
+    hot = routed.join(F.broadcast(hot), ["route", "value"], "left_semi").select(F.col("doc_id").alias("a"), F.xxhash64("route", "value").alias("key"))
+    asked = checkpoint(found.where("key is not null").select("a", "key").unionByName(hot))
     if asked.isEmpty():
         return links
     more = checkpoint(scanned(routed, asked, links, tokens, own))

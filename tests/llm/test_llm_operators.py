@@ -237,6 +237,21 @@ def test_beam_is_tuned_on_other_nodes():
     assert np.isnan(tuned_beam(g, codes, np.arange(400), 8, itself=True)[1])
 
 
+def test_near_copies_in_different_salts_of_a_hot_value_meet(spark, monkeypatch):
+    monkeypatch.setattr(new_batches, "SHARD_ROWS", 40)
+    rng, made = np.random.default_rng(6), random.Random(6)
+    texts, routed = [], []
+    for i in range(200):  # 0-99 are the pivots and others; the pairs (100 + k, 150 + k) are near-copies of nothing else
+        words = [f"w{made.randint(0, 10**9)}" for _ in range(30)] if i < 150 else [*texts[i - 50][3].split()[:-1], "other"]
+        code = rng.integers(0, 256, SIGNATURE, dtype=np.uint8).tobytes() if i < 150 else routed[i - 50][2]
+        texts.append((i, 0, 1, " ".join(words)))
+        routed.append((i, 0, code, 0, 7, 9))
+    tokens = new_batches.tokenise(spark.createDataFrame(texts, "doc_id long, batch_no int, site long, text string"))
+    df = spark.createDataFrame(routed, "doc_id long, batch_no int, signature binary, route int, value long, next_value long")
+    got = {tuple(r) for r in new_batches.index_links(df, tokens, np.zeros(0, np.int64)).collect()}
+    assert got == {(100 + k, 150 + k) for k in range(50)}
+
+
 def test_closed_groups_of_a_chain(spark):
     edges = [(i, i + 1) for i in range(60)] + [(100, 102), (101, 102)]
     random.Random(1).shuffle(edges)
