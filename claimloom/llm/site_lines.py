@@ -52,16 +52,16 @@ def frequent_lines(lines: DataFrame, per_site: DataFrame, min_claims: int = MIN_
     return lines.join(frequent.select("site", "line"), ["site", "line"]).select("site", "claim_id", "line_no", "line").distinct()
 
 
-def frequent_sequences(lines: DataFrame, per_site: DataFrame, min_claims: int = MIN_CLAIMS, min_share: float = MIN_SHARE, max_length: int = 8) -> DataFrame:
+def frequent_sequences(lines: DataFrame, per_site: DataFrame, min_claims: int = MIN_CLAIMS, min_share: float = MIN_SHARE) -> DataFrame:
     """All frequent sequences of lines (gaps allowed): site, pattern (array of line ids), support.
 
-    Growth stops when a level has no pattern; max_length bounds the levels (a text of a claim has a
-    few lines; longer patterns are covered by their parts when lines are deleted).
+    Growth stops when a level has no pattern; no pattern is longer than the lines of a text. A frequent sequence
+    of n lines has 2^n - 1 frequent parts, and all are reported.
     """
     occ = checkpoint(frequent_lines(lines, per_site, min_claims, min_share))
     level = occ.groupBy("site", "claim_id", F.array("line").alias("pattern")).agg(F.min("line_no").alias("end"))
     found = None
-    for _ in range(max_length):
+    while True:
         sup = _frequent(level.select("site", "pattern", "claim_id").distinct(), ["pattern"], per_site, min_claims, min_share)
         level = checkpoint(level.join(sup, ["site", "pattern"]))
         if level.isEmpty():

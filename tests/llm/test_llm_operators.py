@@ -301,6 +301,13 @@ def test_a_cut_row_and_caption_are_told_by_a_copy_that_is_not_the_longest(spark)
 
 
 # ---------------------------------------------------------------- 7
+def test_a_sequence_of_nine_lines(spark):
+    lines = [("s", f"c{i}", k + 1, k) for i in range(8) for k in range(9)]
+    df = spark.createDataFrame(lines, "site string, claim_id string, line_no int, line long")
+    got = site_lines.frequent_sequences(df, spark.createDataFrame([("s", 8)], "site string, site_claims long")).collect()
+    assert len(got) == 2**9 - 1 and max(len(r["pattern"]) for r in got) == 9 and {r["support"] for r in got} == {8}
+
+
 def test_site_lines_and_clean(spark):
     rows = [(f"c{i}", f"Body number {i} {'xyz' * (i % 5)}.\nShare this Page with Friends {i}!" + ("\nshort one" if i % 2 else ""), "u1") for i in range(10)]
     rows += [rows[0], ("z", None, "u1"), ("y", "", "u2"), ("w", "Share this page with friends", "gone")]
