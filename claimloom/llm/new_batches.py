@@ -513,11 +513,17 @@ def index_links(routed: DataFrame, tokens: DataFrame, own: np.ndarray) -> DataFr
     return links.unionByName(verified(more, tokens, own))
 
 
+def prepared(docs: DataFrame) -> DataFrame:
+    """The tokenised texts, each with the site its lines belong to."""
+    no = F.coalesce("batch_no", F.lit(2**31 - 1)).cast("int").alias("batch_no")
+    site = F.xxhash64(F.coalesce(site_of(F.col("source_domain")), site_of(F.col("canonical_url")))).alias("site")
+    return checkpoint(tokenise(docs.select("doc_id", no, site, "text")))
+
+
 def duplicates(docs: DataFrame) -> DataFrame:
     """(first_doc_id, doc_id) of arrivals whose group was first held in an earlier batch."""
     no = F.coalesce("batch_no", F.lit(2**31 - 1)).cast("int").alias("batch_no")
-    site = F.xxhash64(F.coalesce(site_of(F.col("source_domain")), site_of(F.col("canonical_url")))).alias("site")
-    tokens = checkpoint(tokenise(docs.select("doc_id", no, site, "text")))
+    tokens = prepared(docs)
     said = docs.select("doc_id", F.explode(F.array_distinct(F.array_compact(F.array(hash_key(F.col("content_hash")), url_key(F.col("canonical_url")), doi_key(F.col("doi")))))).alias("key"))
     keys = checkpoint(said.select("doc_id", F.xxhash64("key").alias("h"), F.hash("key").cast("bigint").alias("h2"))).unionByName(tokens.select("doc_id", F.col("t1").alias("h"), F.col("t2").alias("h2")))
     groups = closed_groups(exact_links(keys).unionByName(near_links(tokens)))
@@ -529,25 +535,24 @@ def duplicates(docs: DataFrame) -> DataFrame:
 
 def index_recall(docs: DataFrame, every: int = 100, block: int = 2048) -> DataFrame:
     """queries, pairs, found, recall: near-copies of the documents whose id divides by `every`, found by exhaustive
-    comparison with all rows, and how many of them the index's closed groups hold together.
+    comparison of their texts with all rows, and how many of them the index's closed groups hold together.
 
-    The queries' signatures (40 bytes each, one document in `every`) go to the tasks in blocks of `block`.
+    The queries' texts (one document in `every`) go to the tasks in blocks of `block`.
     """
     spark = docs.sparkSession
-    tokens = checkpoint(tokenise(docs.select("doc_id", F.col("batch_no").cast("int").alias("batch_no"), F.xxhash64("source_domain").alias("site"), "text")))
+    tokens = prepared(docs)
     first = tokens.groupBy("t1", "t2").agg(F.min("doc_id").alias("doc_id")).select("doc_id")
     common, own, _ = common_buckets(tokens)
     routed = checkpoint(signatures(tokens, common, own).join(first, "doc_id", "left_semi"))
     groups = closed_groups(index_links(routed, tokens, own))
-    rows = routed.where("route = 0").select("doc_id", "signature")
+    rows = tokens.join(first, "doc_id", "left_semi").select("doc_id", "words", "line_key", "line_words")
     asked = rows.where(F.col("doc_id") % every == 0)
-    blocks = asked.select(F.pmod(F.xxhash64("doc_id"), F.lit(max(1, math.ceil(asked.count() / block)))).alias("block"), "doc_id", "signature")
+    n_blocks = max(1, math.ceil(asked.count() / block))
     exact = None
-    for k in range(max(1, math.ceil(asked.count() / block))):
-        q = blocks.where(F.col("block") == k).toPandas()
-        part = _exhaustive(rows, q["doc_id"].to_numpy(np.int64), np.frombuffer(b"".join(q["signature"]), np.uint64).reshape(-1, SIGNATURE // 8))
+    for k in range(n_blocks):
+        part = _exhaustive(rows, asked.where(F.pmod(F.xxhash64("doc_id"), F.lit(n_blocks)) == k).toArrow(), own)
         exact = part if exact is None else exact.unionByName(part)
-    pairs = checkpoint(verified(checkpoint(exact.distinct()), tokens, own))
+    pairs = checkpoint(exact.distinct())
     g = groups.select("doc_id", "first")
     both = pairs.join(g.select(F.col("doc_id").alias("a"), F.col("first").alias("ga")), "a", "left").join(g.select(F.col("doc_id").alias("b"), F.col("first").alias("gb")), "b", "left")
     same = F.coalesce("ga", "a") == F.coalesce("gb", "b")
@@ -555,18 +560,38 @@ def index_recall(docs: DataFrame, every: int = 100, block: int = 2048) -> DataFr
     return n.join(both.agg(F.count("*").alias("pairs"), F.count_if(same).alias("found")), how="cross").withColumn("recall", F.round(F.try_divide(F.col("found").cast("double"), F.col("pairs").cast("double")), 4))
 
 
-def _exhaustive(rows: DataFrame, ids: np.ndarray, codes: np.ndarray) -> DataFrame:
-    shared = rows.sparkSession.sparkContext.broadcast((ids, codes))
+def _exhaustive(rows: DataFrame, asked: pa.Table, own: np.ndarray) -> DataFrame:
+    """(a, b): every pair of an asked and any text with LIKE of the words in common and in order."""
+    columns = ["doc_id", "words", "line_key", "line_words"]
+    shared = rows.sparkSession.sparkContext.broadcast((asked.select(columns).combine_chunks().to_pylist(), own))
+    schema = pa.schema([("doc_id", pa.int64()), ("words", pa.binary()), ("line_key", pa.list_(pa.int64())), ("line_words", pa.list_(pa.int32()))])
+
+    def sides(batch: pa.RecordBatch, own_: np.ndarray) -> list[tuple[list[np.ndarray], np.ndarray, np.ndarray]]:
+        out = []
+        for drop in (None, own_):
+            words, starts = _content(batch, drop)
+            bags = np.zeros((batch.num_rows, BAG), np.int32)
+            np.add.at(bags, (np.repeat(np.arange(batch.num_rows), np.diff(starts)), words % BAG), 1)
+            out.append((np.split(words, starts[1:-1]), np.diff(starts), bags))
+        return out
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        qi, qc = shared.value
+        listed, own_ = shared.value
+        if not listed:
+            return
+        q = pa.RecordBatch.from_pylist(listed, schema=schema)
+        qi, qs = q.column("doc_id").to_numpy(), sides(q, own_)
         for b in batches:
-            mine = b.column("doc_id").to_numpy()
-            sig = np.frombuffer(b"".join(b.column("signature").to_pylist()), np.uint64).reshape(-1, SIGNATURE // 8)
-            for i in range(0, len(qi), 64):
-                r, c = np.nonzero(distances(qc[i : i + 64, None], sig[None]) <= LIMIT)
-                x, y = qi[i + r], mine[c]
-                ok = x != y
-                yield pa.RecordBatch.from_arrays([pa.array(np.minimum(x, y)[ok]), pa.array(np.maximum(x, y)[ok])], names=["a", "b"])
+            if not b.num_rows:
+                continue
+            mine, ms, found = b.column("doc_id").to_numpy(), sides(b, own_), set()
+            for (qw, qn, qb), (mw, mn, mb) in zip(qs, ms):
+                for i in range(len(qi)):
+                    most = np.maximum(mn, qn[i])
+                    fit = np.flatnonzero((np.minimum(mn, qn[i]) >= LIKE * most) & (mine != qi[i]))
+                    fit = fit[np.minimum(mb[fit], qb[i]).sum(1) >= LIKE * most[fit]]
+                    found |= {(min(qi[i], mine[c]), max(qi[i], mine[c])) for c in fit if common_words(qw[i], mw[c]) >= LIKE * most[c]}
+            x, y = zip(*found) if found else ((), ())
+            yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()), pa.array(y, pa.int64())], names=["a", "b"])
 
     return rows.mapInArrow(run, "a bigint, b bigint")

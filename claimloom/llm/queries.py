@@ -153,7 +153,7 @@ QUERIES |= {"p7_sequences": p7_sequences, "p8_spans": p8_spans}
 
 def p4_recall(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Recall of the near-copy index, measured on every hundredth document against exhaustive search."""
-    return index_recall(table(spark, sf_dir, "documents").select("doc_id", "batch_no", "source_domain", "text"))
+    return index_recall(table(spark, sf_dir, "documents").select("doc_id", "batch_no", "source_domain", "canonical_url", "text"))
 
 
 QUERIES |= {"p4_recall": p4_recall}

@@ -230,6 +230,19 @@ def test_a_near_copy_among_many_siblings(spark):
     assert got <= {(2 * i, 2 * i + 1) for i in range(300)} and len(got) >= 285
 
 
+def test_recall_counts_pairs_by_their_texts(spark):
+    # none of these near-copies is lost to the exhaustive side, however far apart the signatures are
+    rng = random.Random(10)
+    rows = []
+    for i in range(60):
+        words = [f"t{j}" if j % 8 != 4 else f"v{rng.randint(0, 10**9)}" for j in range(100)]
+        copy = [f"w{rng.randint(0, 10**9)}" if j in range(4, 80, 8) else w for j, w in enumerate(words)]
+        rows += [(2 * i, 0, " ".join(words), None, "a.example"), (2 * i + 1, 1, " ".join(copy), None, "b.example")]
+    df = spark.createDataFrame(rows, "doc_id long, batch_no int, text string, canonical_url string, source_domain string")
+    r = new_batches.index_recall(df, every=1).first()
+    assert (r["queries"], r["pairs"]) == (120, 60) and r["found"] >= 54
+
+
 def test_beam_is_tuned_on_other_nodes():
     rng = np.random.default_rng(5)
     codes = np.ascontiguousarray(rng.integers(0, 256, (400, SIGNATURE), dtype=np.uint8)).view(np.uint64)
