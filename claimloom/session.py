@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import atexit
 import os
+import shutil
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -26,13 +28,24 @@ def get_spark(app: str = "claimloom", master: str | None = None, shuffle_partiti
     return spark
 
 
-def ensure_checkpoint_dir(spark: SparkSession) -> None:
-    """Use the folder named by spark.checkpoint.dir; only where none is set, a local one (tests)."""
+def shared_folder(spark: SparkSession) -> str:
+    """The folder named by spark.checkpoint.dir; where none is set, a local one in local mode (tests) and an error on a cluster."""
     sc = spark.sparkContext
-    if sc._jsc.sc().getCheckpointDir().isDefined():
-        return
     named = sc.getConf().get("spark.checkpoint.dir", None)
-    sc.setCheckpointDir(named or tempfile.mkdtemp(prefix="claimloom-ckpt-"))
+    if named:
+        return named.rstrip("/")
+    if not hasattr(sc, "_claimloom_folder"):
+        if not sc.master.startswith("local[") and sc.master != "local":
+            raise ValueError("spark.checkpoint.dir must name a folder that all machines share")
+        sc._claimloom_folder = tempfile.mkdtemp(prefix="claimloom-")
+        atexit.register(shutil.rmtree, sc._claimloom_folder, True)
+    return sc._claimloom_folder
+
+
+def ensure_checkpoint_dir(spark: SparkSession) -> None:
+    sc = spark.sparkContext
+    if not sc._jsc.sc().getCheckpointDir().isDefined():
+        sc.setCheckpointDir(shared_folder(spark))
 
 
 def checkpoint(df):
@@ -55,11 +68,11 @@ def ship_package(spark: SparkSession) -> None:
     with zipfile.ZipFile(data, "w", zipfile.ZIP_DEFLATED) as z:
         for p in sorted(root.rglob("*.py")):
             z.write(p, p.relative_to(root.parent))
-    # staged in the shared folder the cluster names; only where it names none (tests), in a folder of the driver
-    shared = sc.getConf().get("spark.checkpoint.dir", "") or ""
-    folder = Path(shared.removeprefix("file://")) if shared.startswith(("file:///", "/")) else Path(tempfile.mkdtemp(prefix="claimloom-pkg-"))
-    folder.mkdir(parents=True, exist_ok=True)
-    place = folder / f"claimloom_pkg_{sc.applicationId}.zip"
-    place.write_bytes(data.getvalue())
-    sc.addPyFile(str(place))
+    # staged in the shared folder through its own file system
+    place = f"{shared_folder(spark)}/claimloom_pkg_{sc.applicationId}.zip"
+    path = spark._jvm.org.apache.hadoop.fs.Path(place)
+    out = path.getFileSystem(spark._jsc.hadoopConfiguration()).create(path, True)
+    out.write(bytearray(data.getvalue()))
+    out.close()
+    sc.addPyFile(place)
     sc._claimloom_shipped = True
