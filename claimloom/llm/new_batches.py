@@ -1,18 +1,23 @@
-"""Deduplicating new batches against all history.
+"""Deduplicating new batches against all history: keys, tokens, signatures, index shards, verification, groups.
 
 Exact links: equal text (white space aside), content hash, canonical URL, DOI. Near-copies: texts with
 at least LIKE of the words in common and in order, lines of the site aside. Every text becomes a
 min-hash signature of word pairs; ROUTES of its min-hash values route it to index shards (a shard
 holds about SHARD_ROWS routed rows at any size of the corpus). A shard keeps a navigable small-world
-graph per history segment: each arriving batch is searched in the graphs of its history and in its own,
-with a beam widened until its recall against exhaustive search is as wanted, and becomes a new
-segment; segments are merged by a fixed schedule. A text with at least BEAM nodes within the limit is compared with all texts of its route value, in blocks. Candidates are verified exactly (longest common
+graph per history segment (small_world): each arriving batch is searched in the graphs of its history and in its
+own and becomes a new segment; segments are merged by a fixed schedule. What is kept between batches, and how a batch is added
+without reading the texts of the history, is in batch_index. Candidates are verified exactly (longest common
 subsequence of words). Links are closed by hash-to-min contraction.
 
+Where a beam is full of near nodes, and in a graph whose recall is too low, all nodes with the query's own route value
+are compared (an exact range scan in the shard). Up to FAMILY near nodes of a text become pairs, those of one group aside; a text with more is compared with
+all texts of its route value in blocks (scanned), again those of its own group aside.
+
 Hot keys: copies of one text are one row of the index; lines are the site's own where they stand in at least LINE_COUNT and
 LINE_SITE_SHARE of the documents of one site, and in different texts (copies make no line a site's own). Word pairs that stand in more than COMMON of
 all texts take no part in half of the routes; a route value that still holds more than SHARD_ROWS rows is split by the
-text's next value, then dealt over salts that share its smallest documents.
+text's next value, then by three further min-hash values, one after the other; what is still hot then holds texts that agree in all of
+them, is dealt over salts that share its smallest documents, and its texts are compared in blocks.
 
 Defined results: blank and null texts, hashes, URLs and DOIs link nothing; texts without a rare word
 pair are routed by all their pairs; one-word texts by the word; repeated rows (same doc_id) are one
@@ -34,13 +39,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from claimloom.functions.hosts import site_of
-from claimloom.llm.small_world import BEAM, SIGNATURE, Graph, Segments, distances, tuned_beam
+from claimloom.llm.small_world import BEAM, DEGREE, EXACT, SIGNATURE, Graph, Segments, distances
 from claimloom.session import checkpoint
 
 LIKE, ROUTES, SHARD_ROWS, LIMIT, PIVOTS = 0.9, 8, 16_384, 22, 64
 BUCKETS, COMMON = 1 << 16, 0.01
-HALF_LIMIT, BAG, BLOCK = 11, 256, 4096
-LINE_SITE_SHARE, LINE_SHARE, LINE_COUNT, LINE_LETTERS, LINE_CHARS, LINE_DIVERSE = 0.01, 2e-6, 8, 12, 240, 0.5
+HALF_LIMIT, BAG, BLOCK, FAMILY = 11, 256, 4096, 64
+LINE_SITE_SHARE, LINE_SHARE, LINE_COUNT, LINE_LETTERS, LINE_DIVERSE = 0.01, 2e-6, 8, 12, 0.5
+HUB = 50_000  # rows of one key from which it is joined by broadcast
 EMPTY_SHA = "e3b0c44298fc1c149afbf4c8996fb92427ae41e4649b934ca495991b7852b855"
 TRACKING = r"(?:utm_[a-z]+|fbclid|gclid|dclid|msclkid|mc_cid|mc_eid|igshid|yclid|_ga)"
 WORD = re.compile(r"\w+")
@@ -83,10 +89,16 @@ def hash_key(col: Column) -> Column:
     return F.when((h != "") & (h != EMPTY_SHA) & h.rlike(r"^[0-9a-f]{16,}$"), F.concat(F.lit("c:"), h))
 
 
+def split_join(rows: DataFrame, small: DataFrame, on: list[str]) -> DataFrame:
+    """rows joined with small (one row a key, its number of rows in `n`): keys of more than HUB rows, of which there are at most |rows| / HUB, by broadcast."""
+    hubs = F.broadcast(small.where(F.col("n") > HUB))
+    return rows.join(hubs, on).unionByName(rows.join(hubs.select(*on), on, "left_anti").join(small.where(F.col("n") <= HUB), on)).drop("n")
+
+
 def exact_links(keys: DataFrame) -> DataFrame:
     """(a, b): a document and the smallest with the same key; keys: doc_id, h, h2 (a key's two hashes)."""
-    least = keys.groupBy("h", "h2").agg(F.min("doc_id").alias("first"), F.count("*").alias("n")).where("n > 1").select("h", "h2", "first")
-    return keys.join(least, ["h", "h2"]).where("doc_id <> first").select(F.col("first").alias("a"), F.col("doc_id").alias("b")).distinct()
+    least = keys.groupBy("h", "h2").agg(F.min("doc_id").alias("first"), F.count("*").alias("n")).where("n > 1")
+    return split_join(keys, least, ["h", "h2"]).where("doc_id <> first").select(F.col("first").alias("a"), F.col("doc_id").alias("b")).distinct()
 
 
 def _word_hashes(words: list[str]) -> np.ndarray:
@@ -110,7 +122,7 @@ def tokenise(docs: DataFrame) -> DataFrame:
                     if not w:
                         continue
                     words += w
-                    k = line.translate(NO_LETTERS) if len(line) <= LINE_CHARS else ""
+                    k = line.translate(NO_LETTERS)
                     keys.append(xxhash.xxh64_intdigest(k) - (1 << 63) if len(k) >= LINE_LETTERS else 0)
                     sizes.append(len(w))
                 if words:
@@ -160,33 +172,59 @@ def _pairs(words: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarra
     return h[keep], total[starts]
 
 
-def common_buckets(tokens: DataFrame) -> tuple[np.ndarray, np.ndarray, int]:
-    """(buckets of lines are the site's own where they stand in at least LINE_COUNT and
-LINE_SITE_SHARE of the documents of one site, and in different texts (copies make no line a site's own). Word pairs that stand in more than COMMON of the texts, keys of the site's lines, texts), both of bounded size."""
+def token_counts(tokens: DataFrame) -> DataFrame:
+    """kind, site, key, n: texts with a word pair's bucket ('p'), texts of a site with a line ('l'), texts of a site ('s'), texts and word pairs ('n', 'w'). Counts of several loads add up."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen, n = np.zeros(BUCKETS, np.int64), 0
+        seen, n, pairs = np.zeros(BUCKETS, np.int64), 0, 0
         lines: Counter = Counter()
         sites: Counter = Counter()
+
+        def flush(final: bool) -> Iterator[pa.RecordBatch]:
+            rows = [("l", s, k, c) for (s, k), c in lines.items()]
+            lines.clear()
+            if final:
+                at = np.flatnonzero(seen)
+                rows += [*(("p", 0, int(k), int(seen[k])) for k in at), *(("s", s, 0, c) for s, c in sites.items()), ("n", 0, 0, n), ("w", 0, 0, pairs)]
+            cols = list(zip(*rows)) if rows else [[]] * 4
+            yield pa.RecordBatch.from_arrays([pa.array(cols[0], pa.string()), *[pa.array(c, pa.int64()) for c in cols[1:]]], names=["kind", "site", "key", "n"])
+
         for b in batches:
             n += b.num_rows
             if not b.num_rows:
                 continue
-            h, _ = _pairs(*_content(b, None))
-            seen += np.bincount((h & np.uint64(BUCKETS - 1)).astype(np.int64), minlength=BUCKETS)
+            h, starts = _pairs(*_content(b, None))
+            # each bucket once a text
+            owned = np.sort(np.repeat(np.arange(b.num_rows, dtype=np.uint32) << np.uint32(16), np.diff(starts)) | (h & np.uint64(BUCKETS - 1)).astype(np.uint32)) if b.num_rows < BUCKETS else np.unique(np.repeat(np.arange(b.num_rows), np.diff(starts)) * BUCKETS + (h & np.uint64(BUCKETS - 1)).astype(np.int64))
+            owned = owned[np.append(True, owned[1:] != owned[:-1])]
+            pairs += len(owned)
+            seen += np.bincount((owned & (BUCKETS - 1)).astype(np.int64), minlength=BUCKETS)
             site = b.column("site").to_pylist()
             sites.update(site)
             for s, keys in zip(site, b.column("line_key").to_pylist()):
                 lines.update({(s, k) for k in keys if k})
-        at = np.flatnonzero(seen)
-        rows = [*(("p", 0, int(k), int(seen[k])) for k in at), *(("l", s, k, c) for (s, k), c in lines.items()), *(("s", s, 0, c) for s, c in sites.items()), ("n", 0, 0, n)]
-        cols = list(zip(*rows))
-        yield pa.RecordBatch.from_arrays([pa.array(cols[0]), *[pa.array(c, pa.int64()) for c in cols[1:]]], names=["kind", "site", "key", "n"])
-
-    counts = checkpoint(tokens.mapInArrow(run, "kind string, site bigint, key bigint, n bigint").groupBy("kind", "site", "key").agg(F.sum("n").alias("n")))
-    texts = counts.where("kind = 'n'").agg(F.sum("n")).first()[0] or 0
-    lines = counts.where("kind = 'l'").agg(F.sum("n")).first()[0] or 0
-    pairs = counts.where((F.col("kind") == "p") & (F.col("n") > max(8, COMMON * texts))).select("key").toPandas()["key"].to_numpy(np.int64)
+            if len(lines) > 400_000:  # bounds the worker's memory
+                yield from flush(False)
+        yield from flush(True)
+
+    return tokens.mapInArrow(run, "kind string, site bigint, key bigint, n bigint").groupBy("kind", "site", "key").agg(F.sum("n").alias("n"))
+
+
+def common_buckets(tokens: DataFrame) -> tuple[np.ndarray, np.ndarray, int]:
+    """(buckets of common word pairs, keys of the site's lines, texts), both of bounded size."""
+    return flags(checkpoint(token_counts(tokens)), tokens)
+
+
+def flags(counts: DataFrame, tokens: DataFrame) -> tuple[np.ndarray, np.ndarray, int]:
+    """As common_buckets, by counts; whether a line stands in different texts is told by `tokens`.
+
+    A bucket is common where it stands in COMMON of the texts more than the average bucket does three times: the average
+    grows with the length of the texts, and a bucket of chance meetings is none of a template.
+    """
+    total = {r["kind"]: r["n"] for r in counts.where("kind in ('n', 'w', 'l')").groupBy("kind").agg(F.sum("n").alias("n")).collect()}
+    texts, lines = total.get("n", 0), total.get("l", 0)
+    least = max(8, COMMON * texts + 3.0 * total.get("w", 0) / BUCKETS)
+    pairs = counts.where((F.col("kind") == "p") & (F.col("n") > least)).select("key").toPandas()["key"].to_numpy(np.int64)
     docs = counts.where("kind = 's'").select("site", F.col("n").alias("docs"))
     found = counts.where((F.col("kind") == "l") & (F.col("n") >= max(LINE_COUNT, LINE_SHARE * lines))).join(docs, "site").where(F.col("n") >= LINE_SITE_SHARE * F.col("docs"))
     maybe = found.select("key").distinct().toPandas()["key"].to_numpy(np.int64)  # at most 1 / LINE_SHARE rows
@@ -272,48 +310,112 @@ def signatures(tokens: DataFrame, common: np.ndarray, own: np.ndarray) -> DataFr
     return tokens.mapInArrow(run, "doc_id bigint, batch_no int, signature binary, route int, value bigint, next_value bigint")
 
 
-def search_shard(ids: np.ndarray, batch: np.ndarray, codes: np.ndarray, keys: np.ndarray, limit: int = LIMIT) -> tuple[np.ndarray, np.ndarray, list[float], np.ndarray]:
-    """(earlier or equal-batch id, id) of candidates within limit, the recalls measured, and the (id, key) with at least BEAM nodes within limit."""
-    history, out, recalls, dense = Segments(), [], [], []
+def near(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Whether signatures are near: at most LIMIT bytes unequal, or at most HALF_LIMIT of the 16 over all pairs.
+
+    A near-copy with a tenth of the words exchanged has at least two thirds of its pairs in common; its rare pairs may all differ.
+    """
+    return (distances(a, b) <= LIMIT) | (distances(a[..., SIGNATURE // 16 :], b[..., SIGNATURE // 16 :]) <= HALF_LIMIT)
+
+
+def search_shard(history: Segments, ids: np.ndarray, batch: np.ndarray, codes: np.ndarray, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(pairs, further pairs, asked): near (id, id) of each batch with its history and itself; what crowded route values hold besides; (id, key)
+    of texts with more than FAMILY near texts under a key. The batches are added to the history."""
+    none = np.zeros((2, 0), np.int64)
+    out, more, asked = [none], [none], [none]
+
+    def pairs(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        return np.stack([np.minimum(a, b), np.maximum(a, b)])[:, a != b]
+
     for no in np.unique(batch):
         m = batch == no
         q, k, i = codes[m], keys[m], ids[m]
-        graph = Graph(q, k, i)
-        for g in [*(g for _, g in history.graphs), graph]:
-            beam, recall = tuned_beam(g, q, k, limit, itself=g is graph)
-            recalls.append(recall)
-            node, dist = g.search(q, k, beam)
-            within = (dist <= limit) & (node >= 0)
-            # as many near nodes as the narrowest beam holds: nearer ones may hide others, and a wider beam may end early
-            full = within.sum(1) >= BEAM
-            dense.append(np.stack([i[full], k[full]]))
-            r, c = np.nonzero(within)
-            # the first node of a query's own key as well: it ties the copies of a much-copied text together
-            entry = g.entries(k, 1)[:, 0]
-            at = np.flatnonzero(entry >= 0)
-            at = at[distances(q[at], g.codes[entry[at]]) <= limit]
-            a, b = g.ids[np.concatenate([node[r, c], entry[at]])], i[np.concatenate([r, at])]
-            ok = a != b
-            out.append(np.stack([np.minimum(a, b)[ok], np.maximum(a, b)[ok]]))
-        history.add(graph)
-    pairs = np.unique(np.concatenate(out, 1), axis=1) if out else np.zeros((2, 0), np.int64)
-    return pairs[0], pairs[1], recalls, np.unique(np.concatenate(dense, 1), axis=1) if dense else np.zeros((2, 0), np.int64)
-
-
-def _split_hot(routed: DataFrame) -> DataFrame:
-    """routed with salt: route values of more than SHARD_ROWS rows are told apart by the text's next value.
-
-    Where one still holds more, they are dealt over salts, and its PIVOTS smallest documents go to every salt, so that the copies of a
+        graph = Graph(q, k, i).tuned(LIMIT)
+        for g in [*(s[3] for s in history.graphs), graph]:
+            lo, hi = g.span(k)
+            at = np.flatnonzero(hi - lo > (g is graph))  # a search starts at nodes with the query's own route value
+            if not len(at):
+                continue
+            full = np.full(len(at), True)
+            if g.beam != EXACT:
+                node, dist = g.search(q[at], k[at], g.beam)
+                ok = (dist <= LIMIT) & (node >= 0)
+                full = ok.sum(1) >= BEAM
+                r, c = np.nonzero(ok)
+                # the first node of a query's own key as well: it ties the copies of a much-copied text together
+                entry = g.by_key[lo[at]]
+                e = np.flatnonzero(near(g.codes[entry], q[at]))
+                out.append(pairs(np.concatenate([g.ids[node[r, c]], g.ids[entry[e]]]), i[at[np.concatenate([r, e])]]))
+            f = at[full]
+            if len(f):  # as many near nodes as the narrowest beam holds: nearer ones may hide others
+                r, n = g.of_key(q[f], k[f], near)
+                crowd = np.bincount(r, minlength=len(f))
+                few = crowd[r] <= FAMILY
+                (more if g.beam != EXACT else out).append(pairs(g.ids[n[few]], i[f[r[few]]]))
+                many = f[crowd > FAMILY]
+                asked.append(np.stack([i[many], k[many]]))
+                if g.beam == EXACT:
+                    keep = np.flatnonzero(~few & (np.arange(len(r)) - np.searchsorted(r, r) < BEAM))
+                    out.append(pairs(g.ids[n[keep]], i[f[r[keep]]]))
+        history.add(graph, int(no), int(no), LIMIT)
+    return tuple(np.unique(np.concatenate(x, 1), axis=1) for x in (out, more, asked))
+
+
+#: Bytes of the signature by which a hot value of a route is split after the next value: min-hash values that are no route's own.
+SPLIT_BYTES = tuple(tuple((SIGNATURE // 2) * (r >= ROUTES // 2) + ROUTES // 2 + 3 * (r % (ROUTES // 2)) + j for j in range(3)) for r in range(ROUTES))
+
+
+def _hot_values(df: DataFrame) -> DataFrame:
+    return df.groupBy("route", "value").agg(F.count("*").alias("n")).where(F.col("n") > SHARD_ROWS)
+
+
+def hot_levels(routed: DataFrame) -> list[DataFrame]:
+    """Of each level of splitting (next value, three bytes, salts) the hot (route, value, salts); stops at the first level without any.
+
+    A level has at most ROUTES x texts / SHARD_ROWS rows.
+    """
+    levels, r = [], routed
+    for k in range(5):
+        hot = checkpoint(_hot_values(r).select("route", "value", F.ceil(F.col("n") / SHARD_ROWS).cast("int").alias("salts")))
+        if hot.isEmpty():
+            break
+        levels.append(hot)
+        if k < 4:
+            r = r.join(F.broadcast(hot), ["route", "value"]).drop("salts").withColumn("value", _refined(k))
+    return levels
+
+
+def _refined(level: int) -> Column:
+    """A hot route value together with the next of the text's values."""
+    if not level:
+        return F.xxhash64("value", "next_value")
+    place = F.get(F.array(*[F.lit(x[level - 1] + 1) for x in SPLIT_BYTES]), F.col("route"))
+    return F.xxhash64("value", F.lit(level), F.substring("signature", place, F.lit(1)))
+
+
+def placed(routed: DataFrame, levels: list[DataFrame]) -> DataFrame:
+    """routed with its route value split where it is hot, and its salts (null, or their number)."""
+    r = routed.withColumn("salts", F.lit(None).cast("int"))
+    for k, hot in enumerate(levels):
+        r = r.drop("salts").join(F.broadcast(hot), ["route", "value"], "left")
+        if k < 4:
+            r = r.withColumn("value", F.when(F.col("salts").isNotNull(), _refined(k)).otherwise(F.col("value"))).withColumn("salts", F.lit(None).cast("int"))
+    return r
+
+
+def _split_hot(routed: DataFrame, levels: list[DataFrame] | None = None) -> DataFrame:
+    """routed with salt: route values of more than SHARD_ROWS rows are told apart by the text's next value, then by further min-hash values.
+
+    Where one still holds more, it is dealt over salts, and its PIVOTS smallest documents go to every salt, so that the copies of a
     pivot meet it in each and closing the links joins them. What is not joined so is compared in blocks by scanned().
-    Both tables of hot values have at most ROUTES x texts / SHARD_ROWS rows.
     """
-    hot = lambda df: df.groupBy("route", "value").agg(F.count("*").alias("n")).where(F.col("n") > SHARD_ROWS)
-    first = F.broadcast(hot(routed).select("route", "value", F.lit(True).alias("hot")))
-    r = routed.join(first, ["route", "value"], "left").withColumn("value", F.when(F.col("hot"), F.xxhash64("value", "next_value")).otherwise(F.col("value")))
-    second = hot(r.where("hot")).select("route", "value", F.ceil(F.col("n") / SHARD_ROWS).cast("int").alias("salts"))
-    ids = r.where("hot").join(F.broadcast(second), ["route", "value"]).select("route", "value", "doc_id")
+    levels = hot_levels(routed) if levels is None else levels
+    r = placed(routed, levels)
+    if len(levels) < 5:
+        return r.withColumn("salt", F.lit(0))
+    ids = r.where("salts is not null").select("route", "value", "doc_id")
     pivots = ids.mapInArrow(_smallest, "route int, value bigint, doc_id bigint").repartition("route", "value").mapInArrow(_smallest, "route int, value bigint, doc_id bigint").withColumn("pivot", F.lit(True))
-    r = r.join(F.broadcast(second), ["route", "value"], "left").join(F.broadcast(pivots), ["route", "value", "doc_id"], "left")
+    r = r.join(F.broadcast(pivots), ["route", "value", "doc_id"], "left")
     own = F.array(F.pmod(F.xxhash64("doc_id"), F.coalesce("salts", F.lit(1))).cast("int"))
     return r.withColumn("salt", F.explode(F.when(F.col("pivot") & F.col("salts").isNotNull(), F.sequence(F.lit(0), F.col("salts") - 1)).otherwise(own)))
 
@@ -329,25 +431,55 @@ def _smallest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_pandas(held.astype({"route": "int32"}), preserve_index=False)
 
 
-def candidates(routed: DataFrame) -> DataFrame:
-    """(a, b) pairs from the index shards; routed: one row per text and route."""
-    return searched(routed).where("key is null").select("a", "b").distinct()
+def shards_of(rows: int) -> int:
+    return max(1, math.ceil(rows / SHARD_ROWS))
 
 
-def searched(routed: DataFrame) -> DataFrame:
-    """a, b, key: candidate pairs (key null), and texts with at least BEAM nodes within the limit (a, with the key of their route value)."""
-    rows = routed.count()
-    shards = max(1, math.ceil(rows / SHARD_ROWS))
-    r = _split_hot(routed).select("doc_id", "batch_no", "signature", F.xxhash64("route", "value").alias("key"), F.pmod(F.xxhash64("value", "route", "salt"), F.lit(shards)).cast("int").alias("shard"))
+FOUND = "kind string, a bigint, b bigint, shard int, level int, first int, last int, beam int, ids binary, keys binary, codes binary, links binary"
 
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
+
+def search_index(salted: DataFrame, shards: int, stored: DataFrame | None = None) -> DataFrame:
+    """Rows of FOUND: 'c' candidate pairs, 'm' further pairs of crowded values, 'a' asked (text, key), 's' new segments.
+
+    salted: doc_id, batch_no, signature, route, value, salt and `old` (a row of the history that is only to be indexed anew); stored: segments of the same shards.
+    """
+    r = salted.select("doc_id", "batch_no", "signature", "old", F.xxhash64("route", "value").alias("key"), F.pmod(F.xxhash64("value", "route", "salt"), F.lit(shards)).cast("int").alias("shard"))
+    columns = [c.split()[0] for c in FOUND.split(", ")]
+
+    def run(pdf: pd.DataFrame, segments: pd.DataFrame | None) -> pd.DataFrame:
+        if not len(pdf):
+            return pd.DataFrame({c: [] for c in columns})
+        kept = [] if segments is None else [(int(s.level), int(s.first), int(s.last), _graph(s)) for s in segments.itertuples()]
+        history, shard = Segments(kept), int(pdf["shard"].iloc[0])
         pdf = pdf.sort_values(["batch_no", "doc_id"], kind="stable")
         codes = np.frombuffer(b"".join(pdf["signature"]), np.uint64).reshape(-1, SIGNATURE // 8)
-        a, b, _, dense = search_shard(pdf["doc_id"].to_numpy(), pdf["batch_no"].to_numpy(), codes, pdf["key"].to_numpy())
-        none = lambda n: pd.array([None] * n, "Int64")
-        return pd.concat([pd.DataFrame({"a": a, "b": b, "key": none(len(a))}), pd.DataFrame({"a": dense[0], "b": none(dense.shape[1]), "key": dense[1]})]).astype("Int64")
+        ids, no, keys, old = pdf["doc_id"].to_numpy(), pdf["batch_no"].to_numpy(), pdf["key"].to_numpy(), pdf["old"].to_numpy(bool)
+        if old.any():
+            history.add(Graph(codes[old], keys[old], ids[old]).tuned(LIMIT), int(no[old].min()), int(no[old].max()), LIMIT)
+        new = ~old
+        parts = []
+        for kind, found in zip("cma", search_shard(history, ids[new], no[new], codes[new], keys[new])):
+            parts.append(pd.DataFrame({"kind": kind, "a": pd.array(found[0], "Int64"), "b": pd.array(found[1], "Int64")}))
+        for level, first, last, g in history.fresh:
+            blob = {k: np.ascontiguousarray(v).tobytes() for k, v in (("ids", g.ids), ("keys", g.keys), ("codes", g.codes), ("links", g.links.astype(np.int32)))}
+            parts.append(pd.DataFrame([{"kind": "s", "shard": shard, "level": level, "first": first, "last": last, "beam": g.beam, **blob}]))
+        # whole numbers before the parts are put together, else missing values would make them floating
+        whole = {c: "Int64" for c in ("a", "b", "shard", "level", "first", "last", "beam")}
+        return pd.concat([p.reindex(columns=columns).astype(whole) for p in parts]).astype({c: "Int32" for c in ("shard", "level", "first", "last", "beam")})
+
+    if stored is None:
+        return r.groupBy("shard").applyInPandas(lambda pdf: run(pdf, None), FOUND)
+    return r.groupBy("shard").cogroup(stored.groupBy("shard")).applyInPandas(run, FOUND)
+
 
-    return r.groupBy("shard").applyInPandas(run, "a bigint, b bigint, key bigint")
+def _graph(row) -> Graph:
+    return Graph(np.frombuffer(row.codes, np.uint64).reshape(-1, SIGNATURE // 8), np.frombuffer(row.keys, np.int64), np.frombuffer(row.ids, np.int64), links=np.frombuffer(row.links, np.int32).reshape(-1, DEGREE), beam=int(row.beam))
+
+
+def candidates(routed: DataFrame) -> DataFrame:
+    """(a, b) pairs from the index shards; routed: one row per text and route."""
+    found = search_index(_split_hot(routed).withColumn("old", F.lit(False)), shards_of(routed.count()))
+    return found.where("kind in ('c', 'm')").select("a", "b").distinct()
 
 
 def _bags(tokens: DataFrame, own: np.ndarray) -> DataFrame:
@@ -371,9 +503,7 @@ def scan_block(sig: np.ndarray, bags: np.ndarray, group: np.ndarray, rows: np.nd
     out = [np.zeros((2, 0), np.int64)]
     size = bags.sum(2, dtype=np.int64)
     for i in rows:
-        d = distances(sig[others], sig[i])
-        near = (d <= LIMIT) | (distances(sig[others][:, SIGNATURE // 16 :], sig[i, SIGNATURE // 16 :]) <= HALF_LIMIT)
-        c = others[near & (group[others] != group[i])]
+        c = others[near(sig[others], sig[i]) & (group[others] != group[i])]
         if not len(c):
             continue
         able = np.zeros(len(c), bool)
@@ -385,15 +515,13 @@ def scan_block(sig: np.ndarray, bags: np.ndarray, group: np.ndarray, rows: np.nd
     return tuple(np.concatenate(out, 1))
 
 
-def scanned(routed: DataFrame, asked: DataFrame, links: DataFrame, tokens: DataFrame, own: np.ndarray) -> DataFrame:
-    """(a, b): what the asked (a, key) texts may be near-copies of among all texts of their route value, those they are linked to aside.
+def scanned(keyed: DataFrame, asked: DataFrame, group: DataFrame, tokens: DataFrame, own: np.ndarray) -> DataFrame:
+    """(a, b): what the asked (a, key) texts may be near-copies of among all texts of their route value, those of their own group aside; keyed: doc_id, signature, key; group: doc_id, first.
 
     A value's texts are dealt over salts and every pair of salts is a block, so that no pair depends on a graph or on its salt.
     """
-    keyed = routed.select("doc_id", "signature", F.xxhash64("route", "value").alias("key"))
     keyed = keyed.join(asked.select("key").distinct(), "key", "left_semi")
     sizes = keyed.groupBy("key").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("salts"))
-    group = closed_groups(links)
     rows = keyed.join(sizes, "key").join(asked.select(F.col("a").alias("doc_id"), "key", F.lit(True).alias("ask")).distinct(), ["doc_id", "key"], "left")
     needed = rows.select("doc_id").distinct()
     bags = checkpoint(_bags(tokens.join(needed, "doc_id", "left_semi").dropDuplicates(["doc_id"]), own))
@@ -472,65 +600,91 @@ def verified(pairs: DataFrame, tokens: DataFrame, own: np.ndarray, like: float =
     return j.select("a", "b", *[f"{s}_{c}" for s in "ab" for c in ("words", "line_key", "line_words")]).mapInArrow(run, "a bigint, b bigint")
 
 
-def closed_groups(links: DataFrame, max_rounds: int = 40) -> DataFrame:
-    """(doc_id, first): the smallest document of each linked document's group, by hash-to-min with contraction."""
+def closed_groups(links: DataFrame) -> DataFrame:
+    """(doc_id, first): the smallest document of each linked document's group, by hash-to-min with contraction until nothing changes."""
     edges = checkpoint(links.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).where("a <> b").distinct())
-    for _ in range(max_rounds):
+    size = edges.count()
+    while size:
         # large star: every neighbour above a node is tied to the least node around it; small star: the rest likewise
         both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        least = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m"))
-        large = both.join(least, "a").where("b > a").select(F.col("m").alias("a"), "b").where("a <> b").distinct()
-        low = large.groupBy("b").agg(F.min("a").alias("m"))
+        least = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m"), F.count("*").alias("n"))
+        large = split_join(both, least, ["a"]).where("b > a").select(F.col("m").alias("a"), "b").where("a <> b").distinct()
+        low = large.groupBy("b").agg(F.min("a").alias("m"), F.count("*").alias("n"))
         small = large.join(low, "b").select(F.col("m").alias("m"), "a", "b")
         nxt = small.select(F.col("m").alias("a"), "b").unionByName(small.where("a <> m").select(F.col("m").alias("a"), F.col("a").alias("b"))).distinct()
         nxt = checkpoint(nxt)
-        same = nxt.count() == edges.count() and nxt.join(edges, ["a", "b"], "left_anti").isEmpty()
+        before, size = size, nxt.count()
+        same = size == before and nxt.join(edges, ["a", "b"], "left_anti").isEmpty()
         edges = nxt
         if same:
             break
     return edges.select(F.col("b").alias("doc_id"), F.col("a").alias("first"))
 
 
-def near_links(tokens: DataFrame) -> DataFrame:
-    """(a, b): verified near-copies among the tokenised texts. One document stands for equal texts."""
-    first = tokens.groupBy("t1", "t2").agg(F.min("doc_id").alias("doc_id")).select("doc_id")
-    common, own, _ = common_buckets(tokens)
-    routed = checkpoint(signatures(tokens, common, own).join(first, "doc_id", "left_semi"))
-    return index_links(routed, tokens, own)
+def regrouped(pairs: DataFrame, group: DataFrame) -> DataFrame:
+    """The pairs whose documents are not of one group yet."""
+    g = pairs.join(group.select(F.col("doc_id").alias("a"), F.col("first").alias("ga")), "a", "left").join(group.select(F.col("doc_id").alias("b"), F.col("first").alias("gb")), "b", "left")
+    return g.where(F.coalesce("ga", "a") != F.coalesce("gb", "b")).select("a", "b")
 
 
-def index_links(routed: DataFrame, tokens: DataFrame, own: np.ndarray) -> DataFrame:
-    """(a, b): verified pairs of the index; where a text has at least BEAM nodes within the limit, of a scan of its route value as well."""
-    found = checkpoint(searched(routed))
-    links = checkpoint(verified(found.where("key is null").select("a", "b").distinct(), tokens, own))
-    # the texts of a hot value met only those of their own next value and salt
-    hot = routed.groupBy("route", "value").agg(F.count("*").alias("n")).where(F.col("n") > SHARD_ROWS).select("route", "value")
-    hot = routed.join(F.broadcast(hot), ["route", "value"], "left_semi").select(F.col("doc_id").alias("a"), F.xxhash64("route", "value").alias("key"))
-    asked = checkpoint(found.where("key is not null").select("a", "key").unionByName(hot))
-    if asked.isEmpty():
+def found_links(found: DataFrame, keyed: DataFrame, tokens_of, own: np.ndarray) -> DataFrame:
+    """(a, b): verified pairs of a search. found: rows of FOUND; keyed: doc_id, signature, key of all texts indexed; tokens_of(pairs): the tokens of the texts in the pairs."""
+    first = found.where("kind = 'c'").select("a", "b").distinct()
+    links = checkpoint(verified(first, tokens_of(first), own))
+    rest = {r["kind"] for r in found.where("kind in ('m', 'a')").select("kind").distinct().collect()}
+    if not rest:
         return links
-    more = checkpoint(scanned(routed, asked, links, tokens, own))
-    return links.unionByName(verified(more, tokens, own))
+    group = closed_groups(links)
+    if "m" in rest:
+        more = checkpoint(regrouped(found.where("kind = 'm'").select("a", "b").distinct().join(first, ["a", "b"], "left_anti"), group))
+        links = links.unionByName(verified(more, tokens_of(more), own))
+    if "a" in rest:
+        asked = checkpoint(found.where("kind = 'a'").select("a", F.col("b").alias("key")).distinct())
+        ids = keyed.join(asked.select("key").distinct(), "key", "left_semi").select(F.col("doc_id").alias("a"), F.col("doc_id").alias("b"))
+        blocks = checkpoint(scanned(keyed, asked, group, tokens_of(ids), own))
+        links = links.unionByName(verified(blocks, tokens_of(blocks), own))
+    return links
+
+
+def index_links(routed: DataFrame, tokens: DataFrame, own: np.ndarray) -> DataFrame:
+    """(a, b): verified pairs of texts indexed and searched at once, nothing kept."""
+    levels = hot_levels(routed)
+    found = checkpoint(search_index(_split_hot(routed, levels).withColumn("old", F.lit(False)), shards_of(routed.count())))
+    return found_links(asked_of_salts(found, routed, levels), keyed_rows(routed, levels), lambda pairs: tokens, own)
+
+
+def keyed_rows(routed: DataFrame, levels: list[DataFrame]) -> DataFrame:
+    return placed(routed, levels).select("doc_id", "signature", F.xxhash64("route", "value").alias("key"))
+
+
+def asked_of_salts(found: DataFrame, routed: DataFrame, levels: list[DataFrame]) -> DataFrame:
+    """The texts of values dealt over salts met only those of their own salt: they are asked for as well."""
+    if len(levels) < 5:
+        return found
+    more = placed(routed, levels).where("salts is not null").select(F.lit("a").alias("kind"), F.col("doc_id").alias("a"), F.xxhash64("route", "value").alias("b"))
+    return found.select("kind", "a", "b").unionByName(more)
 
 
 def prepared(docs: DataFrame) -> DataFrame:
-    """The tokenised texts, each with the site its lines belong to."""
+    """Texts ready to be tokenised, each with the site its lines belong to."""
     no = F.coalesce("batch_no", F.lit(2**31 - 1)).cast("int").alias("batch_no")
     site = F.xxhash64(F.coalesce(site_of(F.col("source_domain")), site_of(F.col("canonical_url")))).alias("site")
-    return checkpoint(tokenise(docs.select("doc_id", no, site, "text")))
+    return tokenise(docs.select("doc_id", no, site, "text"))
 
 
-def duplicates(docs: DataFrame) -> DataFrame:
-    """(first_doc_id, doc_id) of arrivals whose group was first held in an earlier batch."""
-    no = F.coalesce("batch_no", F.lit(2**31 - 1)).cast("int").alias("batch_no")
-    tokens = prepared(docs)
+def document_keys(docs: DataFrame) -> DataFrame:
+    """doc_id, h, h2 (two hashes) of every hash, URL and DOI that links."""
     said = docs.select("doc_id", F.explode(F.array_distinct(F.array_compact(F.array(hash_key(F.col("content_hash")), url_key(F.col("canonical_url")), doi_key(F.col("doi")))))).alias("key"))
-    keys = checkpoint(said.select("doc_id", F.xxhash64("key").alias("h"), F.hash("key").cast("bigint").alias("h2"))).unionByName(tokens.select("doc_id", F.col("t1").alias("h"), F.col("t2").alias("h2")))
-    groups = closed_groups(exact_links(keys).unionByName(near_links(tokens)))
-    batch = docs.select("doc_id", no).groupBy("doc_id").agg(F.min("batch_no").alias("batch_no"))
-    g = groups.join(batch, "doc_id").withColumnRenamed("batch_no", "here")
-    g = g.join(batch.select(F.col("doc_id").alias("first"), F.col("batch_no").alias("there")), "first")
-    return g.where("there < here").select(F.col("first").alias("first_doc_id"), "doc_id")
+    return said.select("doc_id", F.xxhash64("key").alias("h"), F.hash("key").cast("bigint").alias("h2"))
+
+
+def duplicates(docs: DataFrame) -> DataFrame:
+    """(first_doc_id, doc_id) of arrivals whose group was first held in an earlier batch: all batches of docs, added to an index of their own."""
+    from claimloom.llm.batch_index import BatchIndex
+
+    index = BatchIndex(docs.sparkSession)
+    index.add(docs)
+    return index.held_before()
 
 
 def index_recall(docs: DataFrame, every: int = 100, block: int = 2048) -> DataFrame:
@@ -540,7 +694,7 @@ def index_recall(docs: DataFrame, every: int = 100, block: int = 2048) -> DataFr
     The queries' texts (one document in `every`) go to the tasks in blocks of `block`.
     """
     spark = docs.sparkSession
-    tokens = prepared(docs)
+    tokens = checkpoint(prepared(docs))
     first = tokens.groupBy("t1", "t2").agg(F.min("doc_id").alias("doc_id")).select("doc_id")
     common, own, _ = common_buckets(tokens)
     routed = checkpoint(signatures(tokens, common, own).join(first, "doc_id", "left_semi"))

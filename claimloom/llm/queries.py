@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from claimloom.functions.hosts import host_of
 from claimloom.llm import oracles
+from claimloom.llm.batch_index import BatchIndex
 from claimloom.llm.best_record import best_records, claim_key
 from claimloom.llm.contributor_cap import beyond_cap, prepare_contributors
 from claimloom.llm.new_batches import duplicates, index_recall
@@ -116,7 +117,17 @@ def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return duplicates(table(spark, sf_dir, "documents").select("doc_id", "batch_no", "text", "content_hash", "canonical_url", "doi", "source_domain"))
 
 
-QUERIES |= {"p4_found": p4_found}
+def p4_added(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same rows where the last batch is added to a stored index that holds the others: its load reads none of their texts."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "batch_no", "text", "content_hash", "canonical_url", "doi", "source_domain")
+    last = docs.agg(F.max("batch_no")).first()[0]
+    index = BatchIndex(spark)
+    index.add(docs.where(~F.coalesce(F.col("batch_no") == last, F.lit(False))))
+    index.add(docs.where(F.col("batch_no") == last))
+    return index.held_before()
+
+
+QUERIES |= {"p4_found": p4_found, "p4_added": p4_added}
 
 
 def _judged(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -3,8 +3,10 @@
 A signature is SIGNATURE bytes (one byte of each min-hash value); the distance of two is the number of
 unequal bytes. A graph holds up to DEGREE links a node. Nodes are inserted in growing blocks: the
 block is searched in the graph built so far (and within itself through shared entry keys), linked to
-the nearest found, and linked back. A search keeps a beam of the best nodes for every query at once
-and expands the best unexpanded node of each query until no beam improves.
+the nearest found, and linked back; a node whose entry key no other node has is linked by key order and at
+random only. A search keeps a beam of the best nodes for every query at once and expands the best unexpanded
+node of each query until no beam improves. A graph's beam is widened once, when it is made, until its recall
+against exhaustive search is as wanted; a graph that misses it at the widest beam is read exactly, key by key.
 """
 
 from __future__ import annotations
@@ -12,7 +14,7 @@ from __future__ import annotations
 import numpy as np
 
 SIGNATURE, DEGREE, BEAM = 32, 10, 4
-FAR = 255
+FAR, EXACT = 255, 0
 NODES, NONE = (1 << 24) - 1, 2**31 - 1
 _LOW, _HIGH = np.uint64(0x7F7F7F7F7F7F7F7F), np.uint64(0x8080808080808080)
 
@@ -27,12 +29,17 @@ def distances(a: np.ndarray, b: np.ndarray) -> np.ndarray:
 class Graph:
     """One segment's graph: signatures (n, SIGNATURE / 8 words), entry keys (n,), outer ids (n,)."""
 
-    def __init__(self, codes: np.ndarray, keys: np.ndarray, ids: np.ndarray, seed: int = 7):
-        self.codes, self.keys, self.ids = codes, keys, ids
+    def __init__(self, codes: np.ndarray, keys: np.ndarray, ids: np.ndarray, seed: int = 7, links: np.ndarray | None = None, beam: int = BEAM):
+        self.codes, self.keys, self.ids, self.beam = codes, keys, ids, beam
         n = len(ids)
-        self.links = np.full((n, DEGREE), -1, np.int32)
         self.by_key = np.argsort(keys, kind="stable").astype(np.int32)
         self.sorted_keys = keys[self.by_key]
+        if links is not None:  # a stored graph
+            self.links, self.size = links, n
+            return
+        self.links = np.full((n, DEGREE), -1, np.int32)
+        lo, hi = self.span(keys)
+        self.shared = hi - lo > 1
         rng = np.random.default_rng(seed)
         done = min(n, 48)
         if done > 1:
@@ -45,10 +52,12 @@ class Graph:
             self._insert(min(n, self.size * 2), rng)
 
     def _insert(self, stop: int, rng: np.random.Generator) -> None:
-        new = np.arange(self.size, stop)
-        found, _ = self.search(self.codes[new], self.keys[new], beam=4, rounds=4)
-        half = DEGREE // 2
-        self.links[new[:, None], np.arange(4)] = found[:, :4]
+        new, half = np.arange(self.size, stop), DEGREE // 2
+        found = np.full((len(new), 4), -1, np.int32)
+        at = np.flatnonzero(self.shared[new])
+        if len(at):
+            found[at] = self.search(self.codes[new[at]], self.keys[new[at]], beam=4, rounds=4)[0]
+        self.links[new[:, None], np.arange(4)] = found
         # a link to the neighbour in key order holds equal keys together, long random links keep the graph navigable
         rank = np.empty(len(self.keys), np.int32)
         rank[self.by_key] = np.arange(len(self.keys))
@@ -62,6 +71,34 @@ class Graph:
             self.links[t[ok], half + 1 + (new[ok] * 2 + k) % (DEGREE - half - 1)] = new[ok]
         self.size = stop
 
+    def span(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Where the nodes with each query's key begin and end in key order."""
+        return np.searchsorted(self.sorted_keys, keys, side="left"), np.searchsorted(self.sorted_keys, keys, side="right")
+
+    def of_key(self, codes: np.ndarray, keys: np.ndarray, near, block: int = 1 << 20) -> tuple[np.ndarray, np.ndarray]:
+        """(query, node) of all nodes with the query's own key for which near(codes, codes) holds: the exact range scan."""
+        lo, hi = self.span(keys)
+        n, qs, ns = hi - lo, [np.zeros(0, np.int64)], [np.zeros(0, np.int32)]
+        ends = np.cumsum(n)
+        start = 0
+        while start < len(keys):
+            stop = max(start + 1, int(np.searchsorted(ends, (ends[start - 1] if start else 0) + block, side="right")))
+            q = np.repeat(np.arange(start, stop), n[start:stop])
+            node = self.by_key[np.arange(len(q)) - np.repeat(ends[start:stop] - n[start:stop] - (ends[start - 1] if start else 0), n[start:stop]) + np.repeat(lo[start:stop], n[start:stop])]
+            ok = near(self.codes[node], codes[q])
+            qs.append(q[ok])
+            ns.append(node[ok])
+            start = stop
+        return np.concatenate(qs), np.concatenate(ns)
+
+    def tuned(self, limit: int) -> Graph:
+        """Sets the beam by the graph's own nodes that share their key; EXACT where even the widest beam misses the recall."""
+        at = np.flatnonzero(self.shared)
+        if len(at):
+            beam, recall = tuned_beam(self, self.codes[at], self.keys[at], limit, itself=True, nodes=at)
+            self.beam = EXACT if recall < WANTED else beam
+        return self
+
     def entries(self, keys: np.ndarray, width: int) -> np.ndarray:
         """Up to width nodes with the query's key, then hubs (-1 where there is none)."""
         at = np.searchsorted(self.sorted_keys, keys, side="left")[:, None] + np.arange(width)
@@ -126,21 +163,26 @@ class Graph:
         return (np.concatenate(qs), np.concatenate(ns)) if qs else (np.zeros(0, int), np.zeros(0, int))
 
 
-def tuned_beam(graph: Graph, codes: np.ndarray, keys: np.ndarray, limit: int, wanted: float = 0.97, sample: int = 48, widest: int = 64, itself: bool = False, enough: int = 12, draws: int = 8) -> tuple[int, float]:
+WANTED = 0.97
+
+
+def tuned_beam(graph: Graph, codes: np.ndarray, keys: np.ndarray, limit: int, wanted: float = WANTED, sample: int = 48, widest: int = 64, itself: bool = False, enough: int = 12, draws: int = 8, nodes: np.ndarray | None = None) -> tuple[int, float]:
     """The narrowest beam (doubled from BEAM) whose recall of all nodes within limit is as wanted, measured against exhaustive search.
 
-    itself: the queries are the graph's own nodes, and none is its own neighbour. Samples are drawn until `enough` queries have a neighbour,
-    at most `draws`; the recall is nan where none has. A beam that is full within the limit counts as whole: its query goes on
-    by a scan of its key's nodes.
+    itself: the queries are the graph's own nodes (`nodes`; all in order by default), and none is its own neighbour. Samples are
+    drawn until `enough` queries have a neighbour, at most `draws`; the recall is nan where none has. A beam that is full within
+    the limit counts as whole: its query goes on by a scan of its key's nodes. At the widest beam the recall may stay below what is
+    wanted; the caller then reads the graph exactly.
     """
     order = np.random.default_rng(3).permutation(len(codes))
+    own = np.arange(len(codes)) if nodes is None else nodes
     pick, q, n = np.zeros(0, int), np.zeros(0, int), np.zeros(0, int)
     for k in range(draws):
         part = order[k * sample : (k + 1) * sample]
         if not len(part):
             break
         r, c = graph.exhaustive(codes[part], limit)
-        ok = part[r] != c if itself else np.ones(len(r), bool)
+        ok = own[part[r]] != c if itself else np.ones(len(r), bool)
         q, n = np.concatenate([q, r[ok] + len(pick)]), np.concatenate([n, c[ok]])
         pick = np.concatenate([pick, part])
         if len(np.unique(q)) >= enough:
@@ -155,7 +197,7 @@ def tuned_beam(graph: Graph, codes: np.ndarray, keys: np.ndarray, limit: int, wa
         within = (d <= limit) & (node >= 0)
         full = within.all(1)
         if itself:
-            within &= node != asked[:, None]
+            within &= node != own[asked][:, None]
         recall = float(np.where(full, 1.0, within.sum(1) / wanted_n).mean())
         if recall >= wanted or beam >= widest:
             return beam, recall
@@ -163,16 +205,28 @@ def tuned_beam(graph: Graph, codes: np.ndarray, keys: np.ndarray, limit: int, wa
 
 
 class Segments:
-    """A shard's history: a graph per batch, merged when TIER graphs of one level have come together."""
+    """A shard's history: a graph per batch, merged when TIER graphs of one level have come together.
 
-    TIER = 4
+    Each is (level, first batch, last batch, graph); `fresh` are those that are not stored yet.
+    """
 
-    def __init__(self):
-        self.graphs: list[tuple[int, Graph]] = []
+    TIER = 4
 
-    def add(self, graph: Graph) -> None:
-        self.graphs.append((0, graph))
-        while len(self.graphs) >= self.TIER and len({lvl for lvl, _ in self.graphs[-self.TIER :]}) == 1:
-            last = self.graphs[-self.TIER :]
-            merged = Graph(*[np.concatenate([getattr(g, a) for _, g in last]) for a in ("codes", "keys", "ids")])
-            self.graphs[-self.TIER :] = [(last[0][0] + 1, merged)]
+    def __init__(self, stored: list[tuple[int, int, int, Graph]] = ()):
+        # a stored graph that a later merge has taken in is no longer part of the history
+        whole = [s for s in stored if not any(o[0] > s[0] and o[1] <= s[1] and s[2] <= o[2] for o in stored)]
+        self.graphs: list[tuple[int, int, int, Graph]] = sorted(whole, key=lambda s: s[1])
+        self.fresh: list[tuple[int, int, int, Graph]] = []
+
+    def add(self, graph: Graph, first: int = 0, last: int = 0, limit: int | None = None) -> None:
+        self.graphs.append((0, first, last, graph))
+        self.fresh.append(self.graphs[-1])
+        while len(self.graphs) >= self.TIER and len({s[0] for s in self.graphs[-self.TIER :]}) == 1:
+            last_ones = self.graphs[-self.TIER :]
+            merged = Graph(*[np.concatenate([getattr(s[3], a) for s in last_ones]) for a in ("codes", "keys", "ids")])
+            if limit is not None:
+                merged.tuned(limit)
+            taken = {id(s) for s in last_ones}
+            self.fresh = [s for s in self.fresh if id(s) not in taken]
+            self.graphs[-self.TIER :] = [(last_ones[0][0] + 1, last_ones[0][1], last_ones[-1][2], merged)]
+            self.fresh.append(self.graphs[-1])

@@ -10,7 +10,7 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from claimloom.llm import best_record, contributor_cap, new_batches, packing, scan_noise, site_lines, stuffed_pages, tokenizer, truncation
+from claimloom.llm import batch_index, best_record, contributor_cap, new_batches, packing, scan_noise, site_lines, stuffed_pages, tokenizer, truncation
 from claimloom.llm.boost import BoostedTrees
 from claimloom.llm.small_world import SIGNATURE, Graph, Segments, distances, tuned_beam
 
@@ -149,7 +149,7 @@ def test_graph_finds_planted_neighbours():
     s = Segments()
     for i in range(9):
         s.add(Graph(codes(base[i * 100 : i * 100 + 100]), keys[:100], keys[i * 100 : i * 100 + 100]))
-    assert sum(len(h.ids) for _, h in s.graphs) == 900 and len(s.graphs) < 9
+    assert sum(len(h.ids) for *_, h in s.graphs) == 900 and len(s.graphs) < 9
     assert distances(codes(base[:1]), codes(base[:1])).tolist() == [0]
 
 
@@ -265,6 +265,51 @@ def test_near_copies_in_different_salts_of_a_hot_value_meet(spark, monkeypatch):
     assert got == {(100 + k, 150 + k) for k in range(50)}
 
 
+BATCH_SCHEMA = "doc_id long, batch_no int, text string, content_hash string, canonical_url string, doi string, source_domain string"
+
+
+def test_batches_added_one_by_one_give_the_groups_of_all_at_once(spark, tmp_path):
+    rng = random.Random(12)
+    base = [" ".join(f"w{rng.randint(0, 10**6)}" for _ in range(60)) for _ in range(120)]
+    rows = []
+    for i in range(480):
+        text = base[rng.randrange(len(base))].split()
+        for _ in range(rng.randint(0, 2)):
+            text[rng.randrange(60)] = f"x{rng.randint(0, 10**9)}"
+        rows.append((i, i // 120, " ".join(text) if i % 17 else None, None, f"https://a.example/{rng.randint(0, 2000)}", None, "a.example"))
+    rows += [(300, 2, base[0], None, None, None, "a.example"), (2**60 + 1, 3, base[1], None, None, None, None)]
+    df = spark.createDataFrame(rows, BATCH_SCHEMA)
+    whole = {tuple(r) for r in new_batches.duplicates(df).collect()}
+    for part in range(4):  # opened anew for each batch, as another job would
+        batch_index.BatchIndex(spark, f"file://{tmp_path}/ix").add(df.where(F.col("batch_no") == part))
+    index = batch_index.BatchIndex(spark, f"file://{tmp_path}/ix")
+    assert {tuple(r) for r in index.held_before().collect()} == whole and len(whole) > 200
+    assert index.meta["loads"] == 4 and index.meta["epoch"] >= 2
+    # a later batch reads neither the documents nor the tokens of parts without candidates
+    before = index.meta["epoch"]
+    index.add(spark.createDataFrame([(10**7, 9, base[2], None, None, None, None)], BATCH_SCHEMA))
+    assert index.meta["epoch"] == before and (10**7 in {r["doc_id"] for r in index.held_before().collect()})
+    plan = index._tokens_of(range(5))(spark.createDataFrame([(10**7, 10**7)], "a long, b long"))
+    assert "part#" in (shown := plan._jdf.queryExecution().executedPlan().toString()).split("PartitionFilters: [")[1].split("]")[0] and str(10**7 // batch_index.PART) in shown
+    index.drop()
+
+
+def test_an_index_of_nothing(spark, tmp_path):
+    index = batch_index.BatchIndex(spark, f"file://{tmp_path}/ix")
+    index.add(spark.createDataFrame([], BATCH_SCHEMA))
+    index.add(spark.createDataFrame([(1, 0, None, None, None, None, None), (2, 1, " ", "", "", "", "")], BATCH_SCHEMA))
+    assert index.held_before().count() == 0
+
+
+def test_hot_values_are_split_by_further_values(spark, monkeypatch):
+    monkeypatch.setattr(new_batches, "SHARD_ROWS", 40)
+    rng = np.random.default_rng(8)
+    df = spark.createDataFrame([(i, 0, rng.integers(0, 256, SIGNATURE, dtype=np.uint8).tobytes(), 1, 7, 9) for i in range(200)], "doc_id long, batch_no int, signature binary, route int, value long, next_value long")
+    levels = new_batches.hot_levels(df)
+    assert len(levels) == 2  # the value, and with the same next value; the first byte tells them apart
+    assert new_batches._split_hot(df, levels).select("value").distinct().count() > 40
+
+
 def test_closed_groups_of_a_chain(spark):
     edges = [(i, i + 1) for i in range(60)] + [(100, 102), (101, 102)]
     random.Random(1).shuffle(edges)
