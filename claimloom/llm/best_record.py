@@ -1,17 +1,18 @@
 """Best representative of each duplicate group, built from consistent bundles.
 
-Fields that depend on one another form a bundle (a decision with its confidence, a place with its
-geo evidence) and are only taken together from one row. For each group the operator chooses one
-candidate per bundle so that the sum of trust is lexicographically greatest, in the order of the
+Fields that depend on one another form a bundle (a decision with its confidence, the two geo
+evidence fields) and are only taken together from one row. For each group the operator chooses one
+candidate per bundle so that the trust is lexicographically greatest, in the order of the
 bundles, under functional-dependency constraints: for a constraint x -> y the chosen pair (x, y)
-must be a pair that some row of the group shows. The search is branch and bound: bundles are fixed
-one after another, candidates by falling trust; a branch is cut as soon as the best completion
-of its trust vector cannot exceed the best vector found.
+must be a pair that some row of the group shows (a provenance belongs to its source claim, geo evidence to the location it was
+found for). The search is branch and bound: bundles are fixed one after another, candidates by falling trust; a branch is cut as
+soon as the best completion of its trust vector cannot exceed the best vector found.
 
-What reaches the search is bounded: a bundle keeps, of each trust level, one row (the level is a
-tuple over small domains, the row the latest and then smallest id), chosen by mergeable max
-aggregates on the map side, so a group of any size never meets in one task. The first bundle is
-the identity bundle: its trust orders whole rows, so its winner is the best row of the group.
+What reaches the search is bounded, and no choice is lost. The first bundle is the identity bundle: its trust orders whole
+rows, so its winner is the best row of the group, and with it the source claim is fixed. Of the winner's source claim, and of the
+whole group, one row is kept for each joint level of all trusts (a tuple over small domains; the newest row, then the smallest id), by
+mergeable aggregates, so a group of any size never meets in one task. A pair that a constraint allows stands in one row, and a row
+of the same joint level and, for provenance, of the same source claim is at hand.
 
 Defined results: an empty table gives an empty table; nulls in key parts are equal to one another;
 ties are broken by the smallest id; a row delivered twice (same id) makes no group of copies; groups
@@ -32,10 +33,11 @@ BUNDLES = {
     "identity": ("durable_claim_id", "source_claim_id", "run_id", "status", "promoted_at"),
     "decision": ("promotion_decision", "confidence"),
     "provenance": ("provenance_json",),
-    "place": ("location_scope_json", "source_geo_scope_json", "geo_evidence_json"),
+    "location": ("location_scope_json",),
+    "evidence": ("source_geo_scope_json", "geo_evidence_json"),
 }
 #: determinant bundle.field -> dependent bundle: the dependent bundle's choice must occur together with the determinant's value
-DEPENDENCIES = (("identity", "source_claim_id", "provenance"), ("decision", "promotion_decision", "decision"))
+DEPENDENCIES = (("identity", "source_claim_id", "provenance"), ("location", "location_scope_json", "evidence"))
 
 
 def decision_rank(col: Column) -> Column:
@@ -117,60 +119,77 @@ def best_records(claims: DataFrame, key: list[str], search_limit_levels: int = 4
     """One surviving record of each group of equal `key`.
 
     claims needs the columns of BUNDLES. Result: the key, group_rows (rows as delivered), has_copies (two or more
-    different ids) and the fields of all bundles. search_limit_levels bounds the trust levels a bundle can have; the domains of the
-    levels (7 decisions x 4 confidences x number of JSON keys) stay far below it, and a bundle with
-    more raises instead of losing candidates.
+    different ids), rebuilt (the bundles that are better than the best row's own) and the fields of all bundles. search_limit_levels
+    bounds the joint trust levels of a group; their domains (7 decisions x 4 confidences x numbers of JSON keys) stay far below
+    it, and a group with more raises instead of losing candidates.
     """
     r = (
         claims.select(*key, *[c for cols in BUNDLES.values() for c in cols])
         .withColumn("_d", decision_rank(F.col("promotion_decision")))
         .withColumn("_c", confidence_rank(F.col("confidence")))
         .withColumn("_f", filled_keys(F.col("provenance_json")))
-        .withColumn("_p", F.size(F.filter(F.array("location_scope_json", "source_geo_scope_json", "geo_evidence_json"), lambda x: F.coalesce(F.length(x) > 2, F.lit(False)))))
+        .withColumn("_l", filled_keys(F.col("location_scope_json")))
+        .withColumn("_e", filled_keys(F.col("geo_evidence_json")) + filled_keys(F.col("source_geo_scope_json")))
     )
     at = F.coalesce(F.unix_micros("promoted_at"), F.lit(-(2**62)))
-    keep = F.struct(*[F.col(c) for cols in BUNDLES.values() for c in cols], "_d", "_c", "_f", "_p", at.alias("_at"))
-    # mergeable and map-side: of each trust level the newest row, then the smallest id
-    level = r.groupBy(*key, "_d", "_c", "_f", "_p").agg(
-        F.min_by(keep, F.struct((-at).alias("a"), F.col("durable_claim_id").alias("i"))).alias("_row"),
+    trusts = ["_d", "_c", "_f", "_l", "_e"]
+    keep = F.struct(*[F.col(c) for cols in BUNDLES.values() for c in cols], *trusts, at.alias("_at"))
+    newest = F.struct((-at).alias("a"), F.col("durable_claim_id").alias("i"))
+    # mergeable and map-side: of each source claim and joint level the newest row, then the smallest id
+    level = r.groupBy(*key, F.col("source_claim_id").alias("_x"), *trusts).agg(
+        F.min_by(keep, newest).alias("_row"),
+        F.min(newest).alias("_new"),
         F.count("*").alias("_n"),
         F.min("durable_claim_id").alias("_lo"),
         F.max("durable_claim_id").alias("_hi"),
     )
-    groups = level.groupBy(*key).agg(F.collect_list("_row").alias("_rows"), F.sum("_n").alias("group_rows"), (F.min("_lo") != F.max("_hi")).alias("has_copies"))
+    best = F.min(F.struct("_d", "_c", (-F.col("_f")).alias("f"), "_new"))
+    claim = level.groupBy(*key, "_x").agg(F.collect_list("_row").alias("_own"), best.alias("_best"), F.sum("_n").alias("_n"), F.min("_lo").alias("_lo"), F.max("_hi").alias("_hi"))
+    winner = claim.groupBy(*key).agg(F.min_by("_own", "_best").alias("_own"), F.sum("_n").alias("group_rows"), (F.min("_lo") != F.max("_hi")).alias("has_copies"))
+    whole = level.groupBy(*key, *trusts).agg(F.min_by("_row", "_new").alias("_row")).groupBy(*key).agg(F.collect_list("_row").alias("_all"))
+    names_of = [f"_k{i}" for i in range(len(key))]
+    whole = whole.select(*[F.col(k).alias(n) for k, n in zip(key, names_of)], "_all")
+    same = F.lit(True)
+    for k, n in zip(key, names_of):
+        same &= F.col(k).eqNullSafe(F.col(n))  # null parts of a key are equal
+    groups = winner.join(whole, same)
     names = [c for cols in BUNDLES.values() for c in cols]
     fields = {f.name: f for f in claims.schema.fields}
     key_types = ", ".join(f"`{k}` {groups.schema[k].dataType.simpleString()}" for k in key)
     out_types = ", ".join(f"`{c}` {fields[c].dataType.simpleString()}" for c in names)
+    rank = {"identity": lambda x: (-x["_d"], -x["_c"], x["_f"], x["_at"]), "decision": lambda x: (-x["_d"], -x["_c"]), "provenance": lambda x: (x["_f"],), "location": lambda x: (x["_l"],), "evidence": lambda x: (x["_e"],)}
 
-    def solve(rows: list[dict]) -> dict:
-        if len(rows) > search_limit_levels:
+    def solve(own: list[dict], every: list[dict]) -> dict:
+        rows = own + every
+        if len(rows) > 2 * search_limit_levels:
             raise ValueError("more trust levels than search_limit_levels")
-        rank = {"identity": lambda x: (-x["_d"], -x["_c"], x["_f"], x["_at"]), "decision": lambda x: (-x["_d"], -x["_c"]), "provenance": lambda x: (x["_f"],), "place": lambda x: (x["_p"],)}
-        ids = sorted(rows, key=lambda x: x["durable_claim_id"] or "")
+        winner_id = min(own, key=lambda x: (x["_d"], x["_c"], -x["_f"], -x["_at"], x["durable_claim_id"] or ""))
+        # the winner's own values come first among equals, then the smallest id
+        ids = sorted(rows, key=lambda x: (x is not winner_id, x["durable_claim_id"] or ""))
         bundles, seen = [], []
         for name, cols in BUNDLES.items():
-            cands = sorted(ids, key=rank[name], reverse=True)  # stable: ties keep the smallest id first
+            cands = sorted([winner_id] if name == "identity" else ids, key=rank[name], reverse=True)
             uniq: dict = {}
             for x in cands:
                 uniq.setdefault(repr([x[c] for c in cols]), (rank[name](x), repr([x[c] for c in cols]), {c: x[c] for c in cols}))
             bundles.append(list(uniq.values()))
         order_ = list(BUNDLES)
         for det, field, dep in DEPENDENCIES:
-            if det != dep:
-                seen.append((order_.index(det), field, order_.index(dep), {(x[field], repr([x[c] for c in BUNDLES[dep]])) for x in rows}))
+            seen.append((order_.index(det), field, order_.index(dep), {(x[field], repr([x[c] for c in BUNDLES[dep]])) for x in rows}))
         choice = _search(bundles, seen)
-        merged: dict = {}
-        for b, i in zip(bundles, choice):
+        merged: dict = {"rebuilt": []}
+        for name, b, i in zip(order_, bundles, choice):
             merged |= b[i][2]
+            if b[i][0] != rank[name](winner_id):
+                merged["rebuilt"].append(name)
         return merged
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             cols = {k: batch.column(k) for k in [*key, "group_rows", "has_copies"]}
-            merged = [solve(rows) for rows in batch.column("_rows").to_pylist()]
-            typ = batch.schema.field("_rows").type.value_type
-            arrays = [cols[k] for k in cols] + [pa.array([m[c] for m in merged], type=typ.field(c).type) for c in names]
-            yield pa.RecordBatch.from_arrays(arrays, names=[*cols, *names])
+            merged = [solve(own, every) for own, every in zip(batch.column("_own").to_pylist(), batch.column("_all").to_pylist())]
+            typ = batch.schema.field("_own").type.value_type
+            arrays = [cols[k] for k in cols] + [pa.array([m["rebuilt"] for m in merged], pa.list_(pa.string()))] + [pa.array([m[c] for m in merged], type=typ.field(c).type) for c in names]
+            yield pa.RecordBatch.from_arrays(arrays, names=[*cols, "rebuilt", *names])
 
-    return groups.mapInArrow(run, f"{key_types}, group_rows bigint, has_copies boolean, {out_types}")
+    return groups.select(*key, "group_rows", "has_copies", "_own", "_all").mapInArrow(run, f"{key_types}, group_rows bigint, has_copies boolean, rebuilt array<string>, {out_types}")

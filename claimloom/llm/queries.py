@@ -34,6 +34,12 @@ def p1_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return p1_records(spark, sf_dir).where("has_copies").select("durable_claim_id")
 
 
+def p1_rebuilt(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Of the groups of two or more rows: in how many a bundle is better than the best row's own."""
+    r = p1_records(spark, sf_dir).where("has_copies")
+    return r.select(F.explode(F.when(F.size("rebuilt") > 0, F.col("rebuilt")).otherwise(F.array(F.lit("none")))).alias("bundle")).groupBy("bundle").agg(F.count("*").alias("groups"))
+
+
 def _contributors(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "run_id", "source_domain", "source_tier_id", "quality_score")
     return prepare_contributors(docs, table(spark, sf_dir, "source_tiers"))
@@ -66,7 +72,7 @@ def p7_clean(spark: SparkSession, sf_dir: str) -> DataFrame:
     return clean_texts(claims, frequent_lines(*_lines(spark, sf_dir)))
 
 
-QUERIES |= {"p1_found": p1_found, "p1_records": p1_records, "p2_found": p2_found, "p2_kept": p2_kept, "p7_found": p7_found, "p7_clean": p7_clean}
+QUERIES |= {"p1_found": p1_found, "p1_records": p1_records, "p1_rebuilt": p1_rebuilt, "p2_found": p2_found, "p2_kept": p2_kept, "p7_found": p7_found, "p7_clean": p7_clean}
 
 
 def p8_ids(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -41,6 +41,19 @@ def test_best_record_order_and_copies(spark):
     assert best_record.best_records(durable(spark, []), ["k"]).count() == 0
 
 
+def test_best_record_keeps_every_candidate_a_constraint_needs(spark):
+    rich, thin = '{"x": 1, "y": 2, "z": 3}', '{"x": 1}'
+    row = lambda i, x, dec, prov, at, k, loc=None, geo=None: (i, x, "r", "s", at, dec, "high", prov, loc, None, geo, k)
+    old, new = "2020-01-01 00:00:00", "2021-01-01 00:00:00"
+    rows = [row("A", "s1", "canonical_candidate", thin, old, "g"), row("B", "s1", "merge_candidate", rich, old, "g"), row("C", "s2", "merge_candidate", rich.replace("3", "4"), new, "g")]
+    # the fullest location has no evidence of its own with many keys; evidence of another location may not be taken
+    rows += [row("D", "s1", "reject", thin, old, "h", '{"geo_id": 1, "name": "a", "lat": 2}', '{"m": 1}'), row("E", "s1", "reject", None, old, "h", '{"geo_id": 1}', '{"m": 1, "n": 2, "o": 3}'), row("F", "s1", "reject", None, old, "h", '{"geo_id": 1, "name": "b", "lat": 2}', '{"m": 1, "n": 2}')]
+    df = spark.createDataFrame(rows, DURABLE.replace("promoted_at timestamp", "promoted_at string")).withColumn("promoted_at", F.to_timestamp("promoted_at"))
+    got = {r["k"]: r for r in best_record.best_records(df, ["k"]).collect()}
+    assert got["g"]["durable_claim_id"] == "A" and got["g"]["provenance_json"] == rich and got["g"]["rebuilt"] == ["provenance"]
+    assert got["h"]["durable_claim_id"] == "D" and '"b"' in got["h"]["location_scope_json"] and got["h"]["geo_evidence_json"] == '{"m": 1, "n": 2}' and got["h"]["rebuilt"] == ["evidence"]
+
+
 def test_search_is_the_best_of_all_choices():
     rng = random.Random(1)
     for _ in range(60):
