@@ -44,7 +44,7 @@ from claimloom.session import checkpoint
 
 LIKE, ROUTES, SHARD_ROWS, LIMIT, PIVOTS = 0.9, 8, 16_384, 22, 64
 BUCKETS, COMMON = 1 << 16, 0.01
-HALF_LIMIT, BAG, BLOCK, FAMILY = 11, 256, 4096, 64
+HALF_LIMIT, EXTRA, ALL_LIMIT, BAG, BLOCK, FAMILY = 11, 48, 31, 256, 4096, 64
 LINE_SITE_SHARE, LINE_SHARE, LINE_COUNT, LINE_LETTERS, LINE_DIVERSE = 0.01, 2e-6, 8, 12, 0.5
 HUB = 50_000  # rows of one key from which it is joined by broadcast
 EMPTY_SHA = "e3b0c44298fc1c149afbf4c8996fb92427ae41e4649b934ca495991b7852b855"
@@ -270,7 +270,8 @@ def signatures(tokens: DataFrame, common: np.ndarray, own: np.ndarray) -> DataFr
     flag[common] = True
     shared = tokens.sparkSession.sparkContext.broadcast((flag, own))
     rng = np.random.default_rng(11)
-    mult = rng.integers(1, 2**63, SIGNATURE, dtype=np.uint64) | np.uint64(1)
+    mult = rng.integers(1, 2**63, SIGNATURE + EXTRA, dtype=np.uint64) | np.uint64(1)
+    width = SIGNATURE + EXTRA
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         flag_, own_ = shared.value
@@ -286,22 +287,22 @@ def signatures(tokens: DataFrame, common: np.ndarray, own: np.ndarray) -> DataFr
             rare |= np.repeat(left == 0, size)
             total = np.concatenate(([0], np.cumsum(rare)))
             hr, sr = h[rare], total[starts]
-            sig = np.zeros((n, SIGNATURE), np.uint8)
+            sig = np.zeros((n, width), np.uint8)
             first, second = [], []
-            for k in range(SIGNATURE):
-                # one half of the signature over the rare pairs, the other over all
+            for k in range(width):
+                # one half of the signature over the rare pairs, the other and the further bytes over all
                 hk, sk = (hr, sr) if k < SIGNATURE // 2 else (h, starts)
                 v = hk * mult[k]
                 low = np.minimum.reduceat(v, sk[:-1])
                 sig[:, k] = (_mix(low) >> np.uint64(40)).astype(np.uint8)
                 # half of the routes go over the rare pairs, half over all: the edits of a near-copy may fall among the few rare pairs
-                if k % (SIGNATURE // 2) < ROUTES // 2:
+                if k < SIGNATURE and k % (SIGNATURE // 2) < ROUTES // 2:
                     v = np.where(v == np.repeat(low, np.diff(sk)), np.uint64(2**64 - 1), v)
                     first.append(low)
                     second.append(np.minimum.reduceat(v, sk[:-1]))
             ids, no = b.column("doc_id").to_numpy(), b.column("batch_no").to_numpy()
             data = pa.py_buffer(np.ascontiguousarray(np.tile(sig, (ROUTES, 1))))
-            code = pa.FixedSizeBinaryArray.from_buffers(pa.binary(SIGNATURE), n * ROUTES, [None, data]).cast(pa.binary())
+            code = pa.FixedSizeBinaryArray.from_buffers(pa.binary(width), n * ROUTES, [None, data]).cast(pa.binary())
             yield pa.RecordBatch.from_arrays(
                 [pa.array(np.tile(ids, ROUTES)), pa.array(np.tile(no, ROUTES)), code, pa.array(np.repeat(np.arange(ROUTES, dtype=np.int32), n)), pa.array(_mix(np.concatenate(first)).view(np.int64)), pa.array(_mix(np.concatenate(second)).view(np.int64))],
                 names=["doc_id", "batch_no", "signature", "route", "value", "next_value"],
@@ -311,11 +312,21 @@ def signatures(tokens: DataFrame, common: np.ndarray, own: np.ndarray) -> DataFr
 
 
 def near(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """Whether signatures are near: at most LIMIT bytes unequal, or at most HALF_LIMIT of the 16 over all pairs.
+    """Whether signatures (n, words) may be of near-copies.
 
-    A near-copy with a tenth of the words exchanged has at least two thirds of its pairs in common; its rare pairs may all differ.
+    A near-copy with a tenth of the words exchanged has at least two thirds of its word pairs in common, while its rare pairs may all
+    differ: of the 16 bytes over all pairs at most HALF_LIMIT may be unequal, of these and the EXTRA further ones at most ALL_LIMIT (a pair at
+    the bound of two thirds is lost with a chance of 0.4 %). Signatures without further bytes are near within LIMIT as well.
     """
-    return (distances(a, b) <= LIMIT) | (distances(a[..., SIGNATURE // 16 :], b[..., SIGNATURE // 16 :]) <= HALF_LIMIT)
+    half, nav = SIGNATURE // 16, SIGNATURE // 8
+    if a.shape[-1] == nav:
+        return (distances(a, b) <= LIMIT) | (distances(a[..., half:], b[..., half:]) <= HALF_LIMIT)
+    unequal = distances(a[..., half:nav], b[..., half:nav])
+    ok = unequal <= HALF_LIMIT
+    at = np.flatnonzero(ok)
+    b = np.broadcast_to(b, a.shape)
+    ok[at] = unequal[at] + distances(a[at, nav:], b[at, nav:]) <= ALL_LIMIT
+    return ok
 
 
 def search_shard(history: Segments, ids: np.ndarray, batch: np.ndarray, codes: np.ndarray, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -330,7 +341,7 @@ def search_shard(history: Segments, ids: np.ndarray, batch: np.ndarray, codes: n
     for no in np.unique(batch):
         m = batch == no
         q, k, i = codes[m], keys[m], ids[m]
-        graph = Graph(q, k, i).tuned(LIMIT)
+        graph = Graph(q, k, i).tuned(LIMIT, near)
         for g in [*(s[3] for s in history.graphs), graph]:
             lo, hi = g.span(k)
             at = np.flatnonzero(hi - lo > (g is graph))  # a search starts at nodes with the query's own route value
@@ -342,6 +353,8 @@ def search_shard(history: Segments, ids: np.ndarray, batch: np.ndarray, codes: n
                 ok = (dist <= LIMIT) & (node >= 0)
                 full = ok.sum(1) >= BEAM
                 r, c = np.nonzero(ok)
+                sure = near(g.codes[node[r, c]], q[at[r]])
+                r, c = r[sure], c[sure]
                 # the first node of a query's own key as well: it ties the copies of a much-copied text together
                 entry = g.by_key[lo[at]]
                 e = np.flatnonzero(near(g.codes[entry], q[at]))
@@ -357,7 +370,7 @@ def search_shard(history: Segments, ids: np.ndarray, batch: np.ndarray, codes: n
                 if g.beam == EXACT:
                     keep = np.flatnonzero(~few & (np.arange(len(r)) - np.searchsorted(r, r) < BEAM))
                     out.append(pairs(g.ids[n[keep]], i[f[r[keep]]]))
-        history.add(graph, int(no), int(no), LIMIT)
+        history.add(graph, int(no), int(no), LIMIT, near)
     return tuple(np.unique(np.concatenate(x, 1), axis=1) for x in (out, more, asked))
 
 
@@ -452,10 +465,10 @@ def search_index(salted: DataFrame, shards: int, stored: DataFrame | None = None
         kept = [] if segments is None else [(int(s.level), int(s.first), int(s.last), _graph(s)) for s in segments.itertuples()]
         history, shard = Segments(kept), int(pdf["shard"].iloc[0])
         pdf = pdf.sort_values(["batch_no", "doc_id"], kind="stable")
-        codes = np.frombuffer(b"".join(pdf["signature"]), np.uint64).reshape(-1, SIGNATURE // 8)
+        codes = np.frombuffer(b"".join(pdf["signature"]), np.uint64).reshape(len(pdf), -1)
         ids, no, keys, old = pdf["doc_id"].to_numpy(), pdf["batch_no"].to_numpy(), pdf["key"].to_numpy(), pdf["old"].to_numpy(bool)
         if old.any():
-            history.add(Graph(codes[old], keys[old], ids[old]).tuned(LIMIT), int(no[old].min()), int(no[old].max()), LIMIT)
+            history.add(Graph(codes[old], keys[old], ids[old]).tuned(LIMIT, near), int(no[old].min()), int(no[old].max()), LIMIT, near)
         new = ~old
         parts = []
         for kind, found in zip("cma", search_shard(history, ids[new], no[new], codes[new], keys[new])):
@@ -473,7 +486,8 @@ def search_index(salted: DataFrame, shards: int, stored: DataFrame | None = None
 
 
 def _graph(row) -> Graph:
-    return Graph(np.frombuffer(row.codes, np.uint64).reshape(-1, SIGNATURE // 8), np.frombuffer(row.keys, np.int64), np.frombuffer(row.ids, np.int64), links=np.frombuffer(row.links, np.int32).reshape(-1, DEGREE), beam=int(row.beam))
+    ids = np.frombuffer(row.ids, np.int64)
+    return Graph(np.frombuffer(row.codes, np.uint64).reshape(len(ids), -1), np.frombuffer(row.keys, np.int64), ids, links=np.frombuffer(row.links, np.int32).reshape(-1, DEGREE), beam=int(row.beam))
 
 
 def candidates(routed: DataFrame) -> DataFrame:
@@ -503,7 +517,8 @@ def scan_block(sig: np.ndarray, bags: np.ndarray, group: np.ndarray, rows: np.nd
     out = [np.zeros((2, 0), np.int64)]
     size = bags.sum(2, dtype=np.int64)
     for i in rows:
-        c = others[near(sig[others], sig[i]) & (group[others] != group[i])]
+        c = others[group[others] != group[i]]
+        c = c[near(sig[c], sig[i])]
         if not len(c):
             continue
         able = np.zeros(len(c), bool)
@@ -534,7 +549,7 @@ def scanned(keyed: DataFrame, asked: DataFrame, group: DataFrame, tokens: DataFr
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         found = [np.zeros((2, 0), np.int64)]
         for (_, low, high), g in pdf.groupby(["key", "low", "high"], sort=False):
-            sig = np.frombuffer(b"".join(g["signature"]), np.uint64).reshape(-1, SIGNATURE // 8)
+            sig = np.frombuffer(b"".join(g["signature"]), np.uint64).reshape(len(g), -1)
             bags = np.frombuffer(b"".join(g["bag"]), np.uint16).reshape(-1, 2, BAG)
             ids, first, salt, ask = g["doc_id"].to_numpy(np.int64), g["first"].to_numpy(np.int64), g["salt"].to_numpy(), g["ask"].eq(True).to_numpy(bool)
             for one, two in {(low, high), (high, low)}:
