@@ -5,7 +5,7 @@ Tables of the folder, one part a load (an add() call with one batch or several):
   firsts     h, h2, doc_id: the first document with each key (hash, URL, DOI, text)
   tokens     word hashes and line keys of the texts, in parts of PART ids
   counts     mergeable counts of word pairs and lines
-  routed     signature and route values of each different text
+  routed     signature and route values of each different text, one row a text
   search     the graphs of the index shards (small_world), merged by a fixed schedule, and the pairs they gave
   groups     doc_id, first: the last row of a document counts
   hot        the route values that are split
@@ -111,8 +111,8 @@ class BatchIndex:
         counts = self._write(nb.token_counts(tokens), "counts", n)
         common, own, epoch = self._flags(counts, tokens, n)
         first = fresh.where("is_text").groupBy("doc_id").agg(F.lit(1).alias("one")).select("doc_id")
-        routed = self._write(nb.signatures(tokens, common, own).join(first, "doc_id", "left_semi"), "routed", n)
-        rows = routed.count()
+        routed = self._write(nb.signature_rows(tokens, common, own).join(first, "doc_id", "left_semi"), "routed", n)
+        rows = nb.ROUTES * routed.count()
         self.meta["rows"] += rows
         if rows:
             near = self._near(routed, n, own, epoch)
@@ -125,14 +125,15 @@ class BatchIndex:
         """(links of equal keys, the keys not held before with their first document)."""
         keys = nb.document_keys(docs).withColumn("is_text", F.lit(False)).unionByName(tokens.select("doc_id", F.col("t1").alias("h"), F.col("t2").alias("h2"), F.lit(True).alias("is_text")))
         keys = checkpoint(keys)
+        rows = keys.count()
         least = keys.groupBy("h", "h2").agg(F.min("doc_id").alias("first"), F.count("*").alias("n"), F.max("is_text").alias("is_text"))
         if n:
             known = self._all("firsts", n).select("h", "h2", F.col("doc_id").alias("before"))
             least = checkpoint(least.join(known, ["h", "h2"], "left"))
-            links = nb.split_join(keys.drop("is_text"), least.where("n > 1 or before is not null").select("h", "h2", F.coalesce("before", "first").alias("first"), "n"), ["h", "h2"])
+            links = nb.split_join(keys.drop("is_text"), least.where("n > 1 or before is not null").select("h", "h2", F.coalesce("before", "first").alias("first"), "n"), ["h", "h2"], rows)
             least = least.where("before is null")
         else:
-            links = nb.split_join(keys.drop("is_text"), least.where("n > 1").select("h", "h2", "first", "n"), ["h", "h2"])
+            links = nb.split_join(keys.drop("is_text"), least.where("n > 1").select("h", "h2", "first", "n"), ["h", "h2"], rows)
         fresh = self._write(least.select("h", "h2", F.col("first").alias("doc_id"), "is_text"), "firsts", n)
         return links.where("doc_id <> first").select(F.col("first").alias("a"), F.col("doc_id").alias("b")).distinct(), fresh
 
@@ -150,7 +151,7 @@ class BatchIndex:
         return _unpack(self.meta["common"]), own, epoch
 
     def _near(self, routed: DataFrame, n: int, own: np.ndarray, epoch: bool) -> DataFrame:
-        loads = range(n + 1)
+        loads, routed = range(n + 1), nb.by_route(routed)
         levels: list[DataFrame] | None = None
         if not epoch:
             levels = [self._parts("hot", [f"{self.meta['epoch']}-{k}"]).drop("load") for k in range(self.meta["levels"])]
@@ -159,7 +160,7 @@ class BatchIndex:
         current = routed.drop("load").withColumn("old", F.lit(False))
         stored = None
         if epoch:
-            everything = self._parts("routed", loads)
+            everything = nb.by_route(self._parts("routed", loads))
             levels = nb.hot_levels(everything)
             self.meta.update(epoch=self.meta["epoch"] + 1, shards=nb.shards_of(self.meta["rows"]), levels=len(levels), segments=[])
             for k, hot in enumerate(levels):
@@ -174,7 +175,7 @@ class BatchIndex:
         place = self._write(found.withColumn("graph", F.expr("kind = 's'")), "search", n, "graph")
         self.meta["segments"] = [*self.meta["segments"], n]
         pairs = place.where("not graph").select("kind", "a", "b")
-        everything = self._parts("routed", loads)
+        everything = nb.by_route(self._parts("routed", loads))
         return nb.found_links(nb.asked_of_salts(pairs, routed, levels), nb.keyed_rows(everything, levels), self._tokens_of(loads), own)
 
     def _tokens_of(self, loads) -> Callable[[DataFrame], DataFrame]:

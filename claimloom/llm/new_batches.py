@@ -46,12 +46,14 @@ LIKE, ROUTES, SHARD_ROWS, LIMIT, PIVOTS = 0.9, 8, 16_384, 22, 64
 BUCKETS, COMMON = 1 << 16, 0.01
 HALF_LIMIT, EXTRA, ALL_LIMIT, BAG, BLOCK, FAMILY = 11, 48, 31, 256, 4096, 64
 LINE_SITE_SHARE, LINE_SHARE, LINE_COUNT, LINE_LETTERS, LINE_DIVERSE = 0.01, 2e-6, 8, 12, 0.5
-HUB = 50_000  # rows of one key from which it is joined by broadcast
+BROADCAST_IDS = 500_000
+HUB = 1_000_000  # rows of one key from which it is joined by broadcast
 EMPTY_SHA = "e3b0c44298fc1c149afbf4c8996fb92427ae41e4649b934ca495991b7852b855"
 TRACKING = r"(?:utm_[a-z]+|fbclid|gclid|dclid|msclkid|mc_cid|mc_eid|igshid|yclid|_ga)"
 WORD = re.compile(r"\w+")
-#: what a line's key leaves out: ASCII that is no letter, and usual signs
-NO_LETTERS = {c: None for c in [*range(0x41), *range(0x5B, 0x61), *range(0x7B, 0xC0), 0x2013, 0x2014, 0x2018, 0x2019, 0x201C, 0x201D, 0x2022, 0x2026, 0x200B]}
+#: what a line's key leaves out: ASCII that is no letter (line feeds part the lines), and usual signs
+NO_ASCII = bytes(c for c in range(128) if not chr(c).isalpha() and c != 10)
+NO_LETTERS = {c: None for c in [*NO_ASCII, *range(0x80, 0xC0), 0x2013, 0x2014, 0x2018, 0x2019, 0x201C, 0x201D, 0x2022, 0x2026, 0x200B]}
 
 
 class _Words(dict):
@@ -89,18 +91,14 @@ def hash_key(col: Column) -> Column:
     return F.when((h != "") & (h != EMPTY_SHA) & h.rlike(r"^[0-9a-f]{16,}$"), F.concat(F.lit("c:"), h))
 
 
-def split_join(rows: DataFrame, small: DataFrame, on: list[str]) -> DataFrame:
-    """rows joined with small (one row a key, its number of rows in `n`): keys of more than HUB rows, of which there are at most |rows| / HUB, by broadcast."""
+def split_join(rows: DataFrame, small: DataFrame, on: list[str], count: int) -> DataFrame:
+    """rows (`count` of them) joined with small (one row a key, its number of rows in `n`): keys of more than HUB rows, of which there are at most |rows| / HUB, by broadcast."""
+    if count <= HUB:  # no key can have more
+        return rows.join(small, on).drop("n")
     hubs = F.broadcast(small.where(F.col("n") > HUB))
     return rows.join(hubs, on).unionByName(rows.join(hubs.select(*on), on, "left_anti").join(small.where(F.col("n") <= HUB), on)).drop("n")
 
 
-def exact_links(keys: DataFrame) -> DataFrame:
-    """(a, b): a document and the smallest with the same key; keys: doc_id, h, h2 (a key's two hashes)."""
-    least = keys.groupBy("h", "h2").agg(F.min("doc_id").alias("first"), F.count("*").alias("n")).where("n > 1")
-    return split_join(keys, least, ["h", "h2"]).where("doc_id <> first").select(F.col("first").alias("a"), F.col("doc_id").alias("b")).distinct()
-
-
 def _word_hashes(words: list[str]) -> np.ndarray:
     if len(_WORDS) > MEMO_WORDS:
         _WORDS.clear()
@@ -117,12 +115,12 @@ def tokenise(docs: DataFrame) -> DataFrame:
                 if not text or text.isspace():
                     continue
                 low, words, keys, sizes = text.lower(), [], [], []
-                for line in low.split("\n"):
+                letters = low.encode().translate(None, NO_ASCII).split(b"\n") if low.isascii() else low.translate(NO_LETTERS).split("\n")
+                for line, k in zip(low.split("\n"), letters):
                     w = WORD.findall(line)
                     if not w:
                         continue
                     words += w
-                    k = line.translate(NO_LETTERS)
                     keys.append(xxhash.xxh64_intdigest(k) - (1 << 63) if len(k) >= LINE_LETTERS else 0)
                     sizes.append(len(w))
                 if words:
@@ -266,6 +264,16 @@ def _diverse_lines(tokens: DataFrame, common: np.ndarray, maybe: np.ndarray) ->
 
 def signatures(tokens: DataFrame, common: np.ndarray, own: np.ndarray) -> DataFrame:
     """doc_id, batch_no, signature (bytes), route, value, next_value: ROUTES rows a text."""
+    return by_route(signature_rows(tokens, common, own))
+
+
+def by_route(rows: DataFrame) -> DataFrame:
+    pair = F.col("v")
+    return rows.select("doc_id", "batch_no", "signature", *[c for c in rows.columns if c in ("old", "load")], F.posexplode(F.arrays_zip("values", "nexts")).alias("route", "v")).withColumns({"value": pair["values"], "next_value": pair["nexts"]}).drop("v")
+
+
+def signature_rows(tokens: DataFrame, common: np.ndarray, own: np.ndarray) -> DataFrame:
+    """doc_id, batch_no, signature (bytes), values, nexts (of each route): one row a text."""
     flag = np.zeros(BUCKETS, bool)
     flag[common] = True
     shared = tokens.sparkSession.sparkContext.broadcast((flag, own))
@@ -300,15 +308,12 @@ def signatures(tokens: DataFrame, common: np.ndarray, own: np.ndarray) -> DataFr
                     v = np.where(v == np.repeat(low, np.diff(sk)), np.uint64(2**64 - 1), v)
                     first.append(low)
                     second.append(np.minimum.reduceat(v, sk[:-1]))
-            ids, no = b.column("doc_id").to_numpy(), b.column("batch_no").to_numpy()
-            data = pa.py_buffer(np.ascontiguousarray(np.tile(sig, (ROUTES, 1))))
-            code = pa.FixedSizeBinaryArray.from_buffers(pa.binary(width), n * ROUTES, [None, data]).cast(pa.binary())
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(np.tile(ids, ROUTES)), pa.array(np.tile(no, ROUTES)), code, pa.array(np.repeat(np.arange(ROUTES, dtype=np.int32), n)), pa.array(_mix(np.concatenate(first)).view(np.int64)), pa.array(_mix(np.concatenate(second)).view(np.int64))],
-                names=["doc_id", "batch_no", "signature", "route", "value", "next_value"],
-            )
+            code = pa.FixedSizeBinaryArray.from_buffers(pa.binary(width), n, [None, pa.py_buffer(sig)]).cast(pa.binary())
+            starts_ = pa.array(np.arange(0, n * ROUTES + 1, ROUTES, dtype=np.int32))
+            lists = [pa.ListArray.from_arrays(starts_, pa.array(_mix(np.stack(x, 1).ravel()).view(np.int64))) for x in (first, second)]
+            yield pa.RecordBatch.from_arrays([b.column("doc_id"), b.column("batch_no"), code, *lists], names=["doc_id", "batch_no", "signature", "values", "nexts"])
 
-    return tokens.mapInArrow(run, "doc_id bigint, batch_no int, signature binary, route int, value bigint, next_value bigint")
+    return tokens.select("doc_id", "batch_no", "words", "line_key", "line_words").mapInArrow(run, "doc_id bigint, batch_no int, signature binary, values array<bigint>, nexts array<bigint>")
 
 
 def near(a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -457,37 +462,48 @@ def search_index(salted: DataFrame, shards: int, stored: DataFrame | None = None
     salted: doc_id, batch_no, signature, route, value, salt and `old` (a row of the history that is only to be indexed anew); stored: segments of the same shards.
     """
     r = salted.select("doc_id", "batch_no", "signature", "old", F.xxhash64("route", "value").alias("key"), F.pmod(F.xxhash64("value", "route", "salt"), F.lit(shards)).cast("int").alias("shard"))
-    columns = [c.split()[0] for c in FOUND.split(", ")]
-
-    def run(pdf: pd.DataFrame, segments: pd.DataFrame | None) -> pd.DataFrame:
-        if not len(pdf):
-            return pd.DataFrame({c: [] for c in columns})
-        kept = [] if segments is None else [(int(s.level), int(s.first), int(s.last), _graph(s)) for s in segments.itertuples()]
-        history, shard = Segments(kept), int(pdf["shard"].iloc[0])
-        pdf = pdf.sort_values(["batch_no", "doc_id"], kind="stable")
-        codes = np.frombuffer(b"".join(pdf["signature"]), np.uint64).reshape(len(pdf), -1)
-        ids, no, keys, old = pdf["doc_id"].to_numpy(), pdf["batch_no"].to_numpy(), pdf["key"].to_numpy(), pdf["old"].to_numpy(bool)
+    kinds = {"string": pa.string(), "bigint": pa.int64(), "int": pa.int32(), "binary": pa.binary()}
+    schema = pa.schema([(c.split()[0], kinds[c.split()[1]]) for c in FOUND.split(", ")])
+
+    def part(n: int, **columns) -> pa.Table:
+        return pa.table([pa.array(columns[f.name], f.type) if f.name in columns else pa.nulls(n, f.type) for f in schema], schema=schema)
+
+    def run(rows: pa.Table, segments: pa.Table | None) -> pa.Table:
+        if not rows.num_rows:
+            return schema.empty_table()
+        shard = rows.column("shard")[0].as_py()
+        history = Segments([] if segments is None else [(x["level"], x["first"], x["last"], _graph(x)) for x in segments.to_pylist()])
+        rows = rows.combine_chunks().sort_by([("batch_no", "ascending"), ("doc_id", "ascending")])
+        codes = _codes(rows.column("signature"))
+        ids, no, keys, old = (rows.column(c).to_numpy() for c in ("doc_id", "batch_no", "key", "old"))
         if old.any():
             history.add(Graph(codes[old], keys[old], ids[old]).tuned(LIMIT, near), int(no[old].min()), int(no[old].max()), LIMIT, near)
         new = ~old
         parts = []
         for kind, found in zip("cma", search_shard(history, ids[new], no[new], codes[new], keys[new])):
-            parts.append(pd.DataFrame({"kind": kind, "a": pd.array(found[0], "Int64"), "b": pd.array(found[1], "Int64")}))
+            parts.append(part(found.shape[1], kind=[kind] * found.shape[1], a=found[0], b=found[1]))
         for level, first, last, g in history.fresh:
-            blob = {k: np.ascontiguousarray(v).tobytes() for k, v in (("ids", g.ids), ("keys", g.keys), ("codes", g.codes), ("links", g.links.astype(np.int32)))}
-            parts.append(pd.DataFrame([{"kind": "s", "shard": shard, "level": level, "first": first, "last": last, "beam": g.beam, **blob}]))
-        # whole numbers before the parts are put together, else missing values would make them floating
-        whole = {c: "Int64" for c in ("a", "b", "shard", "level", "first", "last", "beam")}
-        return pd.concat([p.reindex(columns=columns).astype(whole) for p in parts]).astype({c: "Int32" for c in ("shard", "level", "first", "last", "beam")})
+            blob = {k: [np.ascontiguousarray(v).tobytes()] for k, v in (("ids", g.ids), ("keys", g.keys), ("codes", g.codes), ("links", g.links.astype(np.int32)))}
+            parts.append(part(1, kind=["s"], shard=[shard], level=[level], first=[first], last=[last], beam=[g.beam], **blob))
+        return pa.concat_tables(parts)
 
     if stored is None:
-        return r.groupBy("shard").applyInPandas(lambda pdf: run(pdf, None), FOUND)
-    return r.groupBy("shard").cogroup(stored.groupBy("shard")).applyInPandas(run, FOUND)
+        return r.groupBy("shard").applyInArrow(lambda rows: run(rows, None), FOUND)
+    return r.groupBy("shard").cogroup(stored.groupBy("shard")).applyInArrow(run, FOUND)
+
+
+def _codes(column: pa.ChunkedArray) -> np.ndarray:
+    """The signatures, all of one width, as 64-bit words (rows, words)."""
+    a = column.combine_chunks()
+    a = a.chunk(0) if isinstance(a, pa.ChunkedArray) else a
+    a = a.cast(pa.large_binary())
+    off = np.frombuffer(a.buffers()[1], np.int64)[a.offset : a.offset + len(a) + 1]
+    return np.frombuffer(a.buffers()[2], np.uint8)[off[0] : off[-1]].view(np.uint64).reshape(len(a), -1)
 
 
-def _graph(row) -> Graph:
-    ids = np.frombuffer(row.ids, np.int64)
-    return Graph(np.frombuffer(row.codes, np.uint64).reshape(len(ids), -1), np.frombuffer(row.keys, np.int64), ids, links=np.frombuffer(row.links, np.int32).reshape(-1, DEGREE), beam=int(row.beam))
+def _graph(row: dict) -> Graph:
+    ids = np.frombuffer(row["ids"], np.int64)
+    return Graph(np.frombuffer(row["codes"], np.uint64).reshape(len(ids), -1), np.frombuffer(row["keys"], np.int64), ids, links=np.frombuffer(row["links"], np.int32).reshape(-1, DEGREE), beam=row["beam"])
 
 
 def candidates(routed: DataFrame) -> DataFrame:
@@ -588,7 +604,9 @@ def common_words(a: np.ndarray, b: np.ndarray) -> int:
 def verified(pairs: DataFrame, tokens: DataFrame, own: np.ndarray, like: float = LIKE) -> DataFrame:
     """The pairs whose texts have at least `like` of the words in common and in order."""
     shared = tokens.sparkSession.sparkContext.broadcast(own)
-    needed = pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
+    needed = checkpoint(pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct())
+    # ids of 8 bytes are broadcast while there are at most BROADCAST_IDS of them; beyond that both sides are shuffled
+    needed = F.broadcast(needed) if needed.count() <= BROADCAST_IDS else needed
     t = tokens.join(needed, "doc_id", "left_semi").select("doc_id", "words", "line_key", "line_words")
     j = pairs.join(t.select(F.col("doc_id").alias("a"), *[F.col(c).alias(f"a_{c}") for c in ("words", "line_key", "line_words")]), "a")
     j = j.join(t.select(F.col("doc_id").alias("b"), *[F.col(c).alias(f"b_{c}") for c in ("words", "line_key", "line_words")]), "b")
@@ -623,7 +641,7 @@ def closed_groups(links: DataFrame) -> DataFrame:
         # large star: every neighbour above a node is tied to the least node around it; small star: the rest likewise
         both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
         least = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m"), F.count("*").alias("n"))
-        large = split_join(both, least, ["a"]).where("b > a").select(F.col("m").alias("a"), "b").where("a <> b").distinct()
+        large = split_join(both, least, ["a"], 2 * size).where("b > a").select(F.col("m").alias("a"), "b").where("a <> b").distinct()
         low = large.groupBy("b").agg(F.min("a").alias("m"), F.count("*").alias("n"))
         small = large.join(low, "b").select(F.col("m").alias("m"), "a", "b")
         nxt = small.select(F.col("m").alias("a"), "b").unionByName(small.where("a <> m").select(F.col("m").alias("a"), F.col("a").alias("b"))).distinct()

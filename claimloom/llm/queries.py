@@ -14,7 +14,7 @@ from claimloom.llm.new_batches import duplicates, index_recall
 from claimloom.llm.packing import pack_documents
 from claimloom.llm.scan_noise import repair_texts
 from claimloom.llm.site_lines import clean_texts, frequent_lines, frequent_sequences, line_sequences
-from claimloom.llm.stuffed_pages import page_features, stuffed_pages
+from claimloom.llm.stuffed_pages import FLOORS, VOTES, judged_pages, stuffed_pages
 from claimloom.llm.tokenizer import encode, spans, token_counts
 from claimloom.llm.truncation import judged
 from claimloom.sources.tables import table
@@ -94,11 +94,19 @@ def p10_found(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def p10_features(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """What the decision on every page rests on."""
-    return page_features(table(spark, sf_dir, "documents"))
+    """What the decision on every page rests on: the signals, the cuts of its language, the votes."""
+    return judged_pages(table(spark, sf_dir, "documents"))
 
 
-QUERIES |= {"p10_found": p10_found, "p10_features": p10_features}
+def p10_ablation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Of each signal: the pages above its cut, of these the found ones, and the found pages that would be lost without its vote."""
+    j = judged_pages(table(spark, sf_dir, "documents"))
+    rows = j.select("found", "votes", F.explode(F.array(*[F.struct(F.lit(s).alias("signal"), (F.col(s) > F.col(f"cut_{s}")).alias("above")) for s in FLOORS])).alias("s"))
+    rows = rows.select("found", "votes", "s.*").where("above")
+    return rows.groupBy("signal").agg(F.count("*").alias("pages"), F.count_if("found").alias("found"), F.count_if(F.col("found") & (F.col("votes") == VOTES)).alias("lost_without"))
+
+
+QUERIES |= {"p10_found": p10_found, "p10_features": p10_features, "p10_ablation": p10_ablation}
 
 
 def _scanned(spark: SparkSession, sf_dir: str) -> DataFrame:
