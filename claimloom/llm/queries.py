@@ -13,10 +13,10 @@ from claimloom.llm.contributor_cap import beyond_cap, prepare_contributors
 from claimloom.llm.new_batches import duplicates, index_recall
 from claimloom.llm.packing import pack_documents
 from claimloom.llm.scan_noise import repair_texts
-from claimloom.llm.site_lines import clean_texts, frequent_lines, frequent_sequences, line_sequences
+from claimloom.llm.site_lines import clean_texts, frequent_runs, frequent_sequences, line_sequences, run_lines
 from claimloom.llm.stuffed_pages import FLOORS, VOTES, judged_pages, stuffed_pages
 from claimloom.llm.tokenizer import encode, spans, token_counts
-from claimloom.llm.truncation import judged
+from claimloom.llm.truncation import TERMINALITY, judged
 from claimloom.sources.tables import table
 
 QUERIES: dict = {}
@@ -58,7 +58,7 @@ def p2_kept(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def p7_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Lines of claim_text that are repeated over one site's claims."""
-    return frequent_lines(*_lines(spark, sf_dir)).select("claim_id", "line_no")
+    return run_lines(frequent_runs(*_lines(spark, sf_dir))).select("claim_id", "line_no")
 
 
 def _lines(spark: SparkSession, sf_dir: str):
@@ -69,10 +69,18 @@ def _lines(spark: SparkSession, sf_dir: str):
 def p7_clean(spark: SparkSession, sf_dir: str) -> DataFrame:
     """claim_text without the lines of the site."""
     claims = table(spark, sf_dir, "normalized_claims").select("claim_id", "claim_text")
-    return clean_texts(claims, frequent_lines(*_lines(spark, sf_dir)))
+    return clean_texts(claims, run_lines(frequent_runs(*_lines(spark, sf_dir))))
 
 
-QUERIES |= {"p1_found": p1_found, "p1_records": p1_records, "p1_rebuilt": p1_rebuilt, "p2_found": p2_found, "p2_kept": p2_kept, "p7_found": p7_found, "p7_clean": p7_clean}
+def p7_levels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Of each length: the frequent patterns, their occurrences, and the lines for which it is the longest pattern."""
+    runs = frequent_runs(*_lines(spark, sf_dir))
+    patterns = runs.groupBy("length").agg(F.count_distinct("site", "pattern").alias("patterns"), (F.count("*") / F.first("length")).cast("bigint").alias("occurrences"))
+    longest = run_lines(runs).groupBy(F.col("longest").alias("length")).agg(F.count("*").alias("lines"))
+    return patterns.join(longest, "length", "left").select("length", "patterns", "occurrences", F.coalesce("lines", F.lit(0)).alias("lines"))
+
+
+QUERIES |= {"p1_found": p1_found, "p1_records": p1_records, "p1_rebuilt": p1_rebuilt, "p2_found": p2_found, "p2_kept": p2_kept, "p7_found": p7_found, "p7_clean": p7_clean, "p7_levels": p7_levels}
 
 
 def p8_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -159,7 +167,15 @@ def p5_rates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _judged(spark, sf_dir).groupBy(host.alias("source_domain")).agg(F.count("*").alias("claims"), F.sum(F.col("cut").cast("bigint")).alias("cut"), F.round(F.avg(F.col("cut").cast("double")), 6).alias("share"))
 
 
-QUERIES |= {"p5_found": p5_found, "p5_rates": p5_rates}
+def p5_stages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Of each closing shape: the texts, those cut by terminality, by a longer copy, by the copy alone, and the least and greatest terminality."""
+    low = F.col("terminality") < TERMINALITY
+    return _judged(spark, sf_dir).groupBy("shape").agg(
+        F.count("*").alias("texts"), F.count_if(low).alias("by_terminality"), F.count_if("by_copy").alias("by_copy"), F.count_if(F.col("by_copy") & ~low).alias("by_copy_alone"), F.round(F.min("terminality"), 4).alias("least"), F.round(F.max("terminality"), 4).alias("most")
+    )
+
+
+QUERIES |= {"p5_found": p5_found, "p5_rates": p5_rates, "p5_stages": p5_stages}
 
 
 def p7_sequences(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -5,9 +5,11 @@ Level 1 of the pattern growth finds the frequent single lines; a longer pattern
 occurrences of its prefix by the frequent lines that follow it in the same text (the projected
 database). Every level is a DataFrame: support is counted in distinct texts by partial aggregation,
 and occurrences are kept only for frequent prefixes, so a site with a third of all texts is spread
-over all tasks. Every line of a frequent sequence is frequent itself, so deleting the occurrences of
-all frequent sequences deletes exactly the frequent lines; the longer patterns tell how they are
-grouped (frequent_sequences).
+over all tasks.
+
+frequent_runs grows patterns by the next frequent line of the text and gives their occurrences; what is found and deleted are the lines
+that the occurrences of its patterns, single lines included, cover. A notice of n lines has n (n + 1) / 2 such patterns.
+frequent_sequences lists the patterns with any gaps between their lines; a notice has 2^n - 1 of these.
 
 Defined results: null and empty texts have no lines; lines with fewer than min_letters letters are
 never found; texts whose address is unknown belong to no site; a text delivered twice (same id)
@@ -76,6 +78,36 @@ def frequent_sequences(lines: DataFrame, per_site: DataFrame, min_claims: int =
     return found if found is not None else occ.select("site", F.array("line").alias("pattern"), F.lit(0).cast("bigint").alias("support")).limit(0)
 
 
+def frequent_runs(lines: DataFrame, per_site: DataFrame, min_claims: int = MIN_CLAIMS, min_share: float = MIN_SHARE) -> DataFrame:
+    """Occurrences (site, claim_id, line_no, length, pattern, support) of the frequent patterns without gaps among the frequent lines of a text.
+
+    pattern is a hash of the line ids. Growth by one line a level until a level is empty; a level keeps the occurrences of frequent prefixes only.
+    """
+    occ = frequent_lines(lines, per_site, min_claims, min_share)
+    # of a text the frequent lines in order: bounded by the lines of the text
+    texts = occ.groupBy("site", "claim_id").agg(F.array_sort(F.collect_list(F.struct("line_no", "line"))).alias("seq"))
+    texts = checkpoint(texts)
+    level = texts.select("site", "claim_id", "seq", F.posexplode("seq").alias("at", "x")).select("site", "claim_id", "at", "seq", F.xxhash64("x.line").alias("pattern"))
+    found, length = None, 1
+    while True:
+        support = _frequent(level.select("site", "pattern", "claim_id").distinct(), ["pattern"], per_site, min_claims, min_share)
+        level = checkpoint(level.join(support, ["site", "pattern"]))
+        if level.isEmpty():
+            break
+        here = level.select("site", "claim_id", F.explode(F.transform(F.slice("seq", F.col("at") + 1, F.lit(length)), lambda x: x["line_no"])).alias("line_no"), F.lit(length).alias("length"), "pattern", "support")
+        found = here if found is None else found.unionByName(here)
+        level = level.where(F.col("at") + length < F.size("seq")).select("site", "claim_id", "at", "seq", F.xxhash64("pattern", F.get("seq", F.col("at") + length)["line"]).alias("pattern"))
+        length += 1
+    if found is None:
+        return occ.select("site", "claim_id", "line_no", F.lit(0).alias("length"), F.col("line").alias("pattern"), F.lit(0).cast("bigint").alias("support")).limit(0)
+    return found
+
+
+def run_lines(runs: DataFrame) -> DataFrame:
+    """claim_id, line_no, longest (the length of the longest frequent pattern that covers the line): once a line."""
+    return runs.groupBy("claim_id", "line_no").agg(F.max("length").alias("longest"))
+
+
 def clean_texts(claims: DataFrame, occurrences: DataFrame) -> DataFrame:
     """claim_id, claim_text without the occurrences; texts without any stay as they are."""
     drop = occurrences.groupBy("claim_id").agg(F.collect_set("line_no").alias("_drop"))

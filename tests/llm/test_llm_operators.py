@@ -379,6 +379,18 @@ def test_a_sequence_of_nine_lines(spark):
     assert len(got) == 2**9 - 1 and max(len(r["pattern"]) for r in got) == 9 and {r["support"] for r in got} == {8}
 
 
+def test_runs_of_repeated_lines(spark):
+    # the notice of three lines, once with a rare line in between, and a single line of another text
+    rows = [("s", f"c{i}", k + 1 + (k > 0 and i == 0), 100 + k) for i in range(8) for k in range(3)] + [("s", "c0", 2, 999), ("s", "d", 5, 101)]
+    df = spark.createDataFrame(rows, "site string, claim_id string, line_no int, line long")
+    runs = site_lines.frequent_runs(df, spark.createDataFrame([("s", 9)], "site string, site_claims long"))
+    assert sorted((r["length"], r["support"]) for r in runs.select("length", "pattern", "support").distinct().collect()) == [(1, 8), (1, 8), (1, 9), (2, 8), (2, 8), (3, 8)]
+    lines = {(r["claim_id"], r["line_no"]): r["longest"] for r in site_lines.run_lines(runs).collect()}
+    assert lines[("c0", 1)] == lines[("c0", 3)] == lines[("c0", 4)] == 3 and lines[("d", 5)] == 1 and ("c0", 2) not in lines and len(lines) == 25
+    none = spark.createDataFrame([], "site string, claim_id string, line_no int, line long")
+    assert site_lines.frequent_runs(none, spark.createDataFrame([], "site string, site_claims long")).count() == 0
+
+
 def test_site_lines_and_clean(spark):
     rows = [(f"c{i}", f"Body number {i} {'xyz' * (i % 5)}.\nShare this Page with Friends {i}!" + ("\nshort one" if i % 2 else ""), "u1") for i in range(10)]
     rows += [rows[0], ("z", None, "u1"), ("y", "", "u2"), ("w", "Share this page with friends", "gone")]
