@@ -3,9 +3,9 @@
 Every numeric claim states a number and (mostly) a unit, in columns or in text. The columns of a
 claim obey physical identities: value x size(unit) = normalized value, and for volume units
 mass = density x volume (bushels x pounds per bushel). The operator enumerates the units of the
-parameter's dimension (a fixed list), keeps those in agreement with what is stated, and among the
-rest takes the unit with the smallest log residual of the identity; where two units of unequal size
-fit equally well the solution is flagged as not unique.
+parameter's dimension (a fixed list) and takes the log residual of the identity of each. Where no unit is stated, the
+unit with the smallest residual is taken, if it fits and no unit of another size fits as well. A stated unit stays, but it is
+judged too: where it misses the identity and another unit fulfils it, the claim has two readings, is flagged as not unique, and the other unit is told.
 
 Defined results: no number anywhere -> value_common null, unit_source null; a number without any
 unit and without a normalized value -> unit_source 'none', value_common null; unknown parameter or
@@ -25,7 +25,7 @@ from claimloom.functions.units import DIMENSIONS, NUMBER_WORDS, spelling_rows
 SPACES = r"[     ]"
 NUMBER = rf"\d{{1,3}}(?:{SPACES}\d{{3}})+(?!\d)(?:[.,]\d+)?|\d{{1,3}}(?:,\d{{3}})+(?!\d)(?:\.\d+)?|\d+(?:[.,]\d+)?"
 FRACTIONS = {"½": 0.5, "¼": 0.25, "¾": 0.75, "⅓": 1 / 3, "⅔": 2 / 3}
-OWN = ("number_text", "number", "unit_name", "unit_source", "value_common", "log_residual", "unit_unique", "unit_changes_size")
+OWN = ("number_text", "number", "unit_name", "unit_source", "value_common", "log_residual", "unit_unique", "unit_by_identity", "unit_changes_size")
 
 
 def units_spelling(col: Column) -> Column:
@@ -128,13 +128,16 @@ def harmonise_units(claims: DataFrame, parameters: DataFrame, crops: DataFrame,
     norm = F.nanvl("normalized_numeric_value", F.lit(None).cast("double"))
     same_sign = lambda v: (v * norm) > 0
     residual = lambda u: F.when(same_sign(common(u)), F.abs(F.log(F.abs(common(u))) - F.log(F.abs(norm))))
-    # the identity is solved over the units that agree with what is stated: one unit, or all of the dimension
-    candidates = F.when(F.col("_stated").isNotNull(), F.array(F.col("_stated"))).otherwise(F.map_values("_units"))
-    solved = F.array_sort(F.filter(F.transform(candidates, lambda u: F.struct(residual(u).alias("r"), u["name"].alias("name"), size(u).alias("size"), u.alias("u"))), lambda s: s["r"].isNotNull()))
+    # the identity is solved over all units of the dimension, whatever is stated
+    solved = F.array_sort(F.filter(F.transform(F.map_values("_units"), lambda u: F.struct(residual(u).alias("r"), u["name"].alias("name"), size(u).alias("size"), u.alias("u"))), lambda s: s["r"].isNotNull()))
     df = df.withColumn("_solved", F.when(F.col("number").isNotNull(), solved))
     best = F.get("_solved", F.lit(0))
     fits = F.filter("_solved", lambda s: s["r"] <= best["r"] + residual_tolerance)
-    inferred = F.when((best["r"] <= residual_tolerance) & (F.size(F.array_distinct(F.transform(fits, lambda s: F.round(s["size"], 9)))) == 1), best["u"])
+    clear = (best["r"] <= residual_tolerance) & (F.size(F.array_distinct(F.transform(fits, lambda s: F.round(s["size"], 9)))) == 1)
+    df = df.withColumn("_clear", F.coalesce(clear, F.lit(False))).withColumn("_stated_r", residual(F.col("_stated")))
+    inferred = F.when(F.col("_clear"), best["u"])
+    # a stated unit misses the identity while another fulfils it
+    contradicted = F.col("_clear") & (F.col("_stated_r") > residual_tolerance)
     df = df.withColumn("_unit", F.coalesce("_stated", inferred))
     source = F.when(F.col("_raw_unit").isNotNull(), "raw_value_text").when(F.col("_col_unit").isNotNull(), "unit").when(F.col("_text_unit").isNotNull(), "claim_text").when(inferred.isNotNull(), "identity").otherwise("none")
     out = df.select(
@@ -144,8 +147,9 @@ def harmonise_units(claims: DataFrame, parameters: DataFrame, crops: DataFrame,
         F.col("_unit")["name"].alias("unit_name"),
         F.when(F.col("number").isNotNull(), source).alias("unit_source"),
         F.when(F.col("number").isNotNull(), common(F.col("_unit"))).alias("value_common"),
-        best["r"].alias("log_residual"),
-        F.when(F.col("number").isNotNull(), F.col("_stated").isNotNull() | inferred.isNotNull()).alias("unit_unique"),
+        F.coalesce("_stated_r", best["r"]).alias("log_residual"),
+        F.when(F.col("number").isNotNull(), F.when(F.col("_stated").isNotNull(), ~F.coalesce(contradicted, F.lit(False))).otherwise(F.col("_clear"))).alias("unit_unique"),
+        F.when(F.col("_clear"), best["name"]).alias("unit_by_identity"),
         ((size(F.col("_unit")) != 1.0) | (F.col("_unit")["offset"] != 0.0)).alias("unit_changes_size"),
     )
     return out

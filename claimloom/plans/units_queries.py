@@ -35,8 +35,15 @@ def p6_found(spark: SparkSession, sf_dir: str) -> DataFrame:
 def p6_values(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every numeric claim with its value in the parameter's common unit and where the unit was found."""
     h = _harmonised(spark, sf_dir)
-    return h.groupBy("claim_id").agg(*[F.min(c).alias(c) for c in ("parameter_id", "number", "unit_name", "unit_source", "value_common", "log_residual", "unit_unique")])
+    return h.groupBy("claim_id").agg(*[F.min(c).alias(c) for c in ("parameter_id", "number", "unit_name", "unit_source", "value_common", "log_residual", "unit_unique", "unit_by_identity")])
 
 
-QUERIES = {"p6_found": p6_found, "p6_values": p6_values}
+def p6_decisions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Of each way in which a unit was found: the claims, those whose unit is unique, and those whose stated unit the identity contradicts."""
+    v = p6_values(spark, sf_dir).where("number is not null")
+    contradicted = ~F.col("unit_unique") & F.col("unit_source").isin("raw_value_text", "unit", "claim_text")
+    return v.groupBy("unit_source").agg(F.count("*").alias("claims"), F.count_if("unit_unique").alias("unique_unit"), F.count_if(contradicted).alias("contradicted"), F.count_if(F.col("unit_by_identity") == F.col("unit_name")).alias("confirmed"))
+
+
+QUERIES = {"p6_found": p6_found, "p6_values": p6_values, "p6_decisions": p6_decisions}
 SQL: dict[str, str] = {}
