@@ -7,7 +7,7 @@
    top two-word share, further the share of repeated lines, of link text and of separators.
 3. All thresholds are calibrated per language over all documents: the median share of function words says how many a window of its
    sentences holds, and a window is empty of sentences when it has far fewer; each of the six signals has the QUANTILE of the
-   language's pages of sentences as its cut, and never less than its floor.
+   language's pages that are no lists (junk share of at most ORDINARY; honest tables are among them) as its cut, and never less than its floor.
 4. A page is found when most of its windows miss the function words and at least VOTES of the six signals lie above their cuts, or when
    many do and it is made of repeated words. An honest table shows one signal, separators.
 
@@ -35,7 +35,7 @@ WINDOW, MIN_DOCS, SMOOTH = 12, 30, 32
 WORD_SHARE, OUTSIDE = 0.2, 0.3
 EMPTY_FRACTION = 0.38  # of the language's usual number of function words in a window
 JUNK_SHARE, STUFFED_SHARE, STUFFED_REPETITION = 0.5, 0.35, 0.5
-QUANTILE, ORDINARY, VOTES = 0.99, 0.1, 2
+QUANTILE, ORDINARY, VOTES = 0.99, 0.35, 2
 #: The signals, and the least cut of each.
 FLOORS = {"repetition": 0.25, "top_word": 0.12, "top_pair": 0.06, "repeated_lines": 0.1, "link_share": 0.15, "separators": 0.1}
 
