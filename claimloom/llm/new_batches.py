@@ -50,17 +50,18 @@ BROADCAST_IDS = 500_000
 HUB = 1_000_000  # rows of one key from which it is joined by broadcast
 EMPTY_SHA = "e3b0c44298fc1c149afbf4c8996fb92427ae41e4649b934ca495991b7852b855"
 TRACKING = r"(?:utm_[a-z]+|fbclid|gclid|dclid|msclkid|mc_cid|mc_eid|igshid|yclid|_ga)"
-WORD = re.compile(r"\w+")
+WORD, WORD_OR_LINE = re.compile(r"\w+"), re.compile(r"\w+|\n")
+CHUNK_CHARS = 1 << 25
 #: what a line's key leaves out: ASCII that is no letter (line feeds part the lines), and usual signs
 NO_ASCII = bytes(c for c in range(128) if not chr(c).isalpha() and c != 10)
 NO_LETTERS = {c: None for c in [*NO_ASCII, *range(0x80, 0xC0), 0x2013, 0x2014, 0x2018, 0x2019, 0x201C, 0x201D, 0x2022, 0x2026, 0x200B]}
 
 
 class _Words(dict):
-    """word -> 31-bit hash, filled as words come; bounded by MEMO_WORDS."""
+    """word -> 31-bit hash, filled as words come; bounded by MEMO_WORDS. A line feed is -1."""
 
     def __missing__(self, word: str) -> int:
-        h = self[word] = xxhash.xxh32_intdigest(word) & 0x7FFFFFFF
+        h = self[word] = xxhash.xxh32_intdigest(word) & 0x7FFFFFFF if word != "\n" else -1
         return h
 
 
@@ -108,27 +109,51 @@ def _word_hashes(words: list[str]) -> np.ndarray:
 def tokenise(docs: DataFrame) -> DataFrame:
     """doc_id, batch_no, site, t1, t2 (hash of the text without white space), words (int32 bytes), line_key, line_words of every text that isn't blank; docs: doc_id, batch_no, site (hash), text."""
 
+    def some(rows: list[tuple]) -> pa.RecordBatch:
+        tokens: list[str] = []
+        keys: list[int] = []
+        lines, t1, t2 = [], [], []
+        for *_, text in rows:
+            low = text.lower()
+            tokens += WORD_OR_LINE.findall(low)
+            tokens.append("\n")
+            letters = low.encode().translate(None, NO_ASCII).split(b"\n") if low.isascii() else low.translate(NO_LETTERS).split("\n")
+            keys += [xxhash.xxh64_intdigest(k) - (1 << 63) if len(k) >= LINE_LETTERS else 0 for k in letters]
+            lines.append(len(letters))
+            t = xxhash.xxh3_128_intdigest("".join(text.replace("\u200b", "").split()))
+            t1.append((t >> 64) - (1 << 63))
+            t2.append((t & (1 << 64) - 1) - (1 << 63))
+        arr, n = _word_hashes(tokens), np.array(lines, np.int64)
+        feed = arr < 0
+        words = arr[~feed]
+        sizes = np.bincount((np.cumsum(feed) - feed)[~feed], minlength=len(keys)).astype(np.int32)
+        owner = np.repeat(np.arange(len(rows)), n)
+        count = np.bincount(owner, sizes, len(rows)).astype(np.int64)
+        has, real = np.flatnonzero(count), sizes > 0
+        per = np.bincount(owner[real], minlength=len(rows))[has]
+        offset = pa.py_buffer(np.concatenate(([0], np.cumsum(4 * count[has]))).astype(np.int32))
+        of_line = pa.array(np.concatenate(([0], np.cumsum(per))).astype(np.int32))
+        column = lambda x, kind: pa.array([x[i] for i in has], kind)
+        return pa.RecordBatch.from_arrays(
+            [
+                *[column([r[k] for r in rows], kind) for k, kind in enumerate((pa.int64(), pa.int32(), pa.int64()))], column(t1, pa.int64()), column(t2, pa.int64()),
+                pa.Array.from_buffers(pa.binary(), len(has), [None, offset, pa.py_buffer(words)]), pa.ListArray.from_arrays(of_line, pa.array(np.array(keys, np.int64)[real])), pa.ListArray.from_arrays(of_line, pa.array(sizes[real])),
+            ],
+            names=["doc_id", "batch_no", "site", "t1", "t2", "words", "line_key", "line_words"],
+        )
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            rows = []
-            for i, no, site, text in zip(*[b.column(c).to_pylist() for c in ("doc_id", "batch_no", "site", "text")]):
-                if not text or text.isspace():
-                    continue
-                low, words, keys, sizes = text.lower(), [], [], []
-                letters = low.encode().translate(None, NO_ASCII).split(b"\n") if low.isascii() else low.translate(NO_LETTERS).split("\n")
-                for line, k in zip(low.split("\n"), letters):
-                    w = WORD.findall(line)
-                    if not w:
-                        continue
-                    words += w
-                    keys.append(xxhash.xxh64_intdigest(k) - (1 << 63) if len(k) >= LINE_LETTERS else 0)
-                    sizes.append(len(w))
-                if words:
-                    t = xxhash.xxh3_128_intdigest("".join(text.replace("\u200b", "").split()))
-                    rows.append((i, no, site, (t >> 64) - (1 << 63), (t & (1 << 64) - 1) - (1 << 63), _word_hashes(words).tobytes(), keys, sizes))
-            cols = list(zip(*rows)) if rows else [[]] * 8
-            kinds = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.list_(pa.int64()), pa.list_(pa.int32())]
-            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds)], names=["doc_id", "batch_no", "site", "t1", "t2", "words", "line_key", "line_words"])
+            held, chars = [], 0
+            for row in zip(*[b.column(c).to_pylist() for c in ("doc_id", "batch_no", "site", "text")]):
+                if row[3] and not row[3].isspace():
+                    held.append(row)
+                    chars += len(row[3])
+                    if chars > CHUNK_CHARS:  # bounds the worker's memory, and a column's bytes
+                        yield some(held)
+                        held, chars = [], 0
+            if held:
+                yield some(held)
 
     return docs.select("doc_id", "batch_no", "site", "text").mapInArrow(run, "doc_id bigint, batch_no int, site bigint, t1 bigint, t2 bigint, words binary, line_key array<bigint>, line_words array<int>")
 

@@ -124,7 +124,7 @@ class Graph:
     def search(self, codes: np.ndarray, keys: np.ndarray, beam: int = BEAM, rounds: int = 24) -> tuple[np.ndarray, np.ndarray]:
         """(nodes, distances), each (queries, beam) by rising distance; -1 fills.
 
-        A query ends when its beam is expanded, or when its nearest node hasn't changed for beam / 2 + 1 rounds.
+        A query ends when its beam is expanded, or when its nearest node hasn't changed for beam / 4 rounds (at least one).
         """
         q, codes = len(codes), codes[:, : SIGNATURE // 8]
         if not self.size or not q:
@@ -133,7 +133,7 @@ class Graph:
         start = np.concatenate([self.entries(codes, keys, max(4, beam // 2)), np.broadcast_to(hubs, (q, 2))], 1)
         # a beam place is one integer: distance, node, whether it was expanded
         state = self._merge(codes, start, np.full((q, beam), NONE, np.int32))
-        live, idle, patience = np.arange(q), np.zeros(q, np.int16), beam // 2 + 1
+        live, idle, patience = np.arange(q), np.zeros(q, np.int16), max(1, beam // 4)
         for _ in range(rounds):
             now = state[live]
             waiting = np.where(now & 1, NONE, now)
