@@ -47,6 +47,7 @@ BUCKETS, COMMON = 1 << 16, 0.01
 HALF_LIMIT, EXTRA, ALL_LIMIT, BAG, BLOCK, FAMILY = 11, 48, 31, 256, 4096, 64
 LINE_SITE_SHARE, LINE_SHARE, LINE_COUNT, LINE_LETTERS, LINE_DIVERSE = 0.01, 2e-6, 8, 12, 0.5
 BROADCAST_IDS = 500_000
+ONE_TASK_LINKS = 1_000_000
 HUB = 1_000_000  # rows of one key from which it is joined by broadcast
 EMPTY_SHA = "e3b0c44298fc1c149afbf4c8996fb92427ae41e4649b934ca495991b7852b855"
 TRACKING = r"(?:utm_[a-z]+|fbclid|gclid|dclid|msclkid|mc_cid|mc_eid|igshid|yclid|_ga)"
@@ -658,11 +659,37 @@ def verified(pairs: DataFrame, tokens: DataFrame, own: np.ndarray, like: float =
     return j.select("a", "b", *[f"{s}_{c}" for s in "ab" for c in ("words", "line_key", "line_words")]).mapInArrow(run, "a bigint, b bigint")
 
 
+def roots(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(nodes, the smallest node of each one's component): roots are hung under smaller ones, then all pointers are followed."""
+    nodes, at = np.unique(np.concatenate([a, b]), return_inverse=True)
+    x, y = at[: len(a)], at[len(a) :]
+    parent = np.arange(len(nodes))
+    while True:
+        rx, ry = parent[x], parent[y]
+        if (rx == ry).all():
+            return nodes, nodes[parent]
+        np.minimum.at(parent, np.maximum(rx, ry), np.minimum(rx, ry))
+        while (parent != parent[parent]).any():
+            parent = parent[parent]
+
+
 def closed_groups(links: DataFrame) -> DataFrame:
-    """(doc_id, first): the smallest document of each linked document's group, by hash-to-min with contraction until nothing changes."""
+    """(doc_id, first): the smallest document of each linked document's group.
+
+    Up to ONE_TASK_LINKS links (16 bytes each) are closed in one task; more by hash-to-min with contraction until nothing changes.
+    """
     edges = checkpoint(links.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).where("a <> b").distinct())
     size = edges.count()
-    while size:
+    if size <= ONE_TASK_LINKS:
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            t = pa.Table.from_batches(list(batches), pa.schema([("a", pa.int64()), ("b", pa.int64())]))
+            nodes, first = roots(t.column("a").to_numpy(), t.column("b").to_numpy())
+            other = nodes != first
+            yield pa.RecordBatch.from_arrays([pa.array(nodes[other]), pa.array(first[other])], names=["doc_id", "first"])
+
+        return checkpoint(edges.coalesce(1).mapInArrow(run, "doc_id bigint, first bigint"))
+    while True:
         # large star: every neighbour above a node is tied to the least node around it; small star: the rest likewise
         both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
         least = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m"), F.count("*").alias("n"))

@@ -12,7 +12,7 @@ from claimloom.llm.best_record import best_records, claim_key
 from claimloom.llm.contributor_cap import beyond_cap, prepare_contributors
 from claimloom.llm.new_batches import duplicates, index_recall
 from claimloom.llm.packing import pack_documents
-from claimloom.llm.scan_noise import repair_texts
+from claimloom.llm.scan_noise import fit_repairer, repair_texts
 from claimloom.llm.site_lines import clean_texts, frequent_runs, frequent_sequences, line_sequences, run_lines
 from claimloom.llm.stuffed_pages import FLOORS, VOTES, judged_pages, stuffed_pages
 from claimloom.llm.tokenizer import encode, spans, token_counts
@@ -131,7 +131,15 @@ def p3_repaired(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _scanned(spark, sf_dir).where("misread + parted + furniture > 0").groupBy("claim_id", "field_name").agg(F.min("repaired").alias("text"))
 
 
-QUERIES |= {"p3_found": p3_found, "p3_repaired": p3_repaired}
+def p3_ranker(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ranker on held-out words: made misreadings with a right candidate, right and wrong choices, precision and recall; and the replacements it chose in the corpus."""
+    _, fixes, held = fit_repairer(table(spark, sf_dir, "normalized_claims").select("claim_id", "claim_text", "evidence_text"))
+    n = fixes.count() if fixes is not None else 0
+    row = (held["cases"], held["right"], held["wrong"], round(held["right"] / max(1, held["right"] + held["wrong"]), 4), round(held["right"] / max(1, held["cases"]), 4), n)
+    return spark.createDataFrame([row], "cases bigint, right bigint, wrong bigint, precision double, recall double, replacements bigint")
+
+
+QUERIES |= {"p3_found": p3_found, "p3_repaired": p3_repaired, "p3_ranker": p3_ranker}
 
 
 def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -3,16 +3,23 @@
 1. One Arrow pass counts words and line keys of all texts (partial counts a task, summed by Spark).
 2. Misread words: every word that is rare against another one is a suspect; candidates come from an
    inverted join on positional character q-grams with the vocabulary (words of at least MIN_SHARE of
-   all words, hence at most 1 / MIN_SHARE of them). Each pair is aligned to one substitution;
-   substitutions that recur over many vocabulary words are the scanner's confusions. A
-   gradient-boosted ranker, fitted on a bounded sample of pairs (RANK_ROWS), chooses the replacement.
+   all words, hence at most 1 / MIN_SHARE of them). Each pair is aligned to one substitution. A substitution's support is the number of
+   vocabulary words it turns into rare words, its chance the number it turns into other vocabulary words, its rate the share of the
+   occurrences of vocabulary words with its letters that it turns. A gradient-boosted ranker chooses
+   among a suspect's candidates. Its labels are made, not read off its features: substitutions, drawn by their support, are put into vocabulary words (the
+   word itself is the right candidate, every other vocabulary word in reach a wrong one), and vocabulary words as they stand are right as they are (against neighbours that are not
+   RATIO times as frequent). RANK_ROWS
+   words are used, HELD_OUT of them for the measured precision and recall only.
 3. Lines: one boosted classifier tells page furniture (running heads, page numbers) from text and the
    site's own lines, another tells whether two lines in sequence belong to one sentence; both are
    fitted on a bounded sample of texts (LINE_ROWS texts with several lines, and damage made from MADE_ROWS
    clean texts of one line, both by hash of the id).
-4. A second Arrow pass repairs each text with the replacement table, the line keys of the
-   site's lines and the models. The replacement table is bounded: a replacement is one confusion
-   applied to one vocabulary word, so there are at most |vocabulary| x length x |confusions|.
+4. A second Arrow pass repairs each text with the replacements, the line keys of the
+   site's lines and the models. Replacements are a table; it is sent to the tasks in parts of at most FIX_PART words, with one further
+   pass over the texts for each part beyond the first.
+
+A word that stands only at the end of a text without a sentence end, and is a name or begins a longer vocabulary word, may have been cut off and is not taken for misread. Words
+of one or two letters are never suspects: too little is left of them to tell what they were.
 
 Defined results: null and blank texts are never damaged and stay as they are; rows delivered twice give
 one result; an empty table gives an empty table; texts of any length are read whole.
@@ -20,6 +27,7 @@ one result; an empty table gives an empty table; texts of any length are read wh
 
 from __future__ import annotations
 
+import bisect
 from collections import Counter
 from collections.abc import Iterator
 
@@ -35,20 +43,21 @@ from claimloom.session import checkpoint
 
 MIN_SHARE, MIN_COUNT, RATIO = 2e-6, 20, 20
 LINE_SHARE, LINE_TEMPLATE_SHARE, LINE_COUNT = 5e-5, 2e-3, 8
-CONFUSION_SHARE = 0.05  # support of a confusion against that of the most frequent one
-MIN_SUPPORT = 3
-RANK_ROWS, LINE_ROWS, MADE_ROWS = 20_000, 4_000, 500
+MIN_SUPPORT, PRECISION = 3, 0.995
+RANK_ROWS, HELD_OUT, OPS_ROWS, LINE_ROWS, MADE_ROWS = 20_000, 0.2, 4_096, 4_000, 500
+FIX_PART = 1_000_000
 FIELDS = ("claim_text", "evidence_text")
 WORD = regex.compile(r"\w+")
 LETTERS = regex.compile(r"[^\p{L}]+")
 TERMINAL = regex.compile(r"[.!?…:;][\"”’'»)\]]*$|[”»)\]]$")
+END = regex.compile(r"(?!\.\.\.)[\"”’'»)\]]*[.!?:;]")
+MORE = regex.compile(r"(?:\W*\b(?:read more|more|continued|cont)\W*|&\w{1,6})$", regex.I)  # a mark of a cut, not the text's own words
 BULLET = regex.compile(r"^\s*(?:[-•*»|–—]|\d{1,2}[.)])\s+\p{L}")
 HYPHEN = regex.compile(r"(\w+)[-‐‑­¬][ \t]*$")
 PAGE = regex.compile(r"^\W*(?:page|p|pp|seite|pág|s)?\W*(?:\d{1,4}|[ivxlc]{1,6})(?:\s*(?:of|/|von|de|sur)\s*\d{1,4})?\W*$", regex.I)
 LEFT_NUMBER = regex.compile(r"\s*\d{1,4}(?:\s{2,}|\s*[|—–]\s*)\p{L}")
 RIGHT_NUMBER = regex.compile(r"(?:\s{2,}|\s[|—–]\s*)\d{1,4}\s*$")
 UPPER, LOWER, DIGIT = regex.compile(r"\p{Lu}"), regex.compile(r"\p{Ll}"), regex.compile(r"\d")
-HEAD_CHARS = 160  # a running head is one line of print
 ISSUE = regex.compile(r"\b(?:vol|no|nr|issue|heft|bd)\.?\s*\d", regex.I)
 HEAD = regex.compile(r"\bet al\b|\bbulletin of\b|\breports?\b|\bproceedings\b|\bjournal\b|(?-i:^\p{Lu}\p{L}+\s*[|:]\s+\p{Lu}(?!.*,.*,))", regex.I)
 HEAD_WORDS = regex.compile(r"\bet al\b|\bbulletin of\b|\breports?\b|\bproceedings\b|\bjournal\b", regex.I)
@@ -139,8 +148,10 @@ def align(suspect: str, word: str) -> tuple[str, str, int]:
 def misread_pairs(counts: DataFrame, total: int) -> DataFrame:
     """(suspect, word, n_suspect, n_word, shared, was, became) by a positional q-gram inverted join."""
     least = max(MIN_COUNT, int(MIN_SHARE * total))
-    words = counts.where((F.col("kind") == "w") & (F.length("token") >= 3) & (F.length("token") <= 40)).select("token", "n", F.length("token").alias("len"))
+    words = counts.where((F.col("kind") == "w") & (F.length("token") >= 3)).select("token", "n", F.length("token").alias("len"))
     vocabulary = words.where((F.col("n") >= least) & F.col("token").rlike(r"^\p{L}+$"))
+    longest = vocabulary.agg(F.max("len")).first()[0] or 0
+    words = words.where(F.col("len") <= longest + 1)  # no longer word has a candidate
     v = vocabulary.select(F.col("token").alias("word"), F.col("n").alias("n_word"), F.explode(F.transform(F.concat(_grams(F.col("token"), F.col("len"), "s"), _grams(F.col("token"), F.col("len"), "e")), lambda g: F.concat(F.col("len").cast("string"), g))).alias("key"))
     s = words.where(F.col("token").rlike(r"\p{L}")).select(F.col("token").alias("suspect"), F.col("n").alias("n_suspect"), "len", F.explode(F.array(F.col("len"), F.col("len") - 1)).alias("target"))
     s = s.where("target >= 3").select("suspect", "n_suspect", F.explode(F.transform(F.concat(_grams(F.col("suspect"), F.col("target"), "s"), _grams(F.col("suspect"), F.col("target"), "e")), lambda g: F.concat(F.col("target").cast("string"), g))).alias("key"))
@@ -160,34 +171,128 @@ def misread_pairs(counts: DataFrame, total: int) -> DataFrame:
     return pairs.mapInArrow(run, "suspect string, word string, n_suspect bigint, n_word bigint, shared bigint, was string, became string, at int")
 
 
-def _pair_features(t: pd.DataFrame) -> np.ndarray:
-    return np.stack([
-        np.log(t["n_word"] / t["n_suspect"]), np.log(t["n_suspect"]), t["word"].str.len(), t["shared"] / (t["word"].str.len() + 1),
-        t["support"] / t["top"], np.log1p(t["support"]), t["became"].str.len() - t["was"].str.len(), t["at"] / t["word"].str.len(), t["became"].str.contains(r"\d").astype(float), (t["at"] == 0).astype(float),
-    ], 1)
-
-
-def replacements(counts: DataFrame, total: int) -> dict[str, str]:
-    """misread word -> word; bounded by vocabulary x confusions (see the module's text)."""
-    pairs = checkpoint(misread_pairs(counts, total))
-    ops = pairs.groupBy("was", "became").agg(F.count_distinct("word").alias("support")).where(F.col("support") >= MIN_SUPPORT)
-    ops = ops.where(F.lower("was") != F.lower("became"))
-    top = ops.agg(F.max("support")).first()[0]
-    if not top:
-        return {}
-    scored = pairs.join(F.broadcast(ops.orderBy(F.desc("support"), "was", "became").limit(4096)), ["was", "became"]).withColumn("top", F.lit(top))
-    sample = scored.orderBy(F.xxhash64("suspect", "word"), "suspect", "word").limit(RANK_ROWS).toPandas()
-    # weak labels: a confusion of high support is the scanner's, one of the least support is chance
-    sure = (sample["support"] >= CONFUSION_SHARE * sample["top"]) & (sample["support"] >= MIN_SUPPORT)
-    chance = sample["support"] < 0.6 * CONFUSION_SHARE * sample["top"]
-    chosen = sample[sure | chance]
-    model = BoostedTrees(rounds=30).fit(_pair_features(chosen), sure[sure | chance].to_numpy()) if len(chosen) else None
-    good = scored.where((F.col("support") >= CONFUSION_SHARE * top) & (F.col("support") >= MIN_SUPPORT)).toPandas()
-    if not len(good) or model is None:
-        return {}
-    good["p"] = model.predict(_pair_features(good))
-    good = good[good["p"] >= 0.5].sort_values(["suspect", "p", "n_word", "word"], ascending=[True, False, False, True])
-    return dict(good.drop_duplicates("suspect")[["suspect", "word"]].itertuples(index=False))
+PAIR = ("n_word", "length", "shared", "support", "chance", "wider", "at", "digit", "first", "capital", "rivals", "support_share", "word_share", "excess", "n_suspect")
+
+
+def _pair_features(t: dict[str, np.ndarray]) -> np.ndarray:
+    n, size, support, chance = (np.asarray(t[c], float) for c in ("n_word", "length", "support", "chance"))
+    return np.column_stack([
+        np.log(n), size, np.asarray(t["shared"], float) / (size + 1), np.log1p(support), np.log1p(chance), np.log1p(support) - np.log1p(chance),
+        np.asarray(t["wider"], float), np.asarray(t["at"], float) / size, np.asarray(t["digit"], float), np.asarray(t["first"], float), np.asarray(t["capital"], float), np.asarray(t["rivals"], float), np.asarray(t["support_share"], float), np.asarray(t["word_share"], float), np.log(np.asarray(t["excess"], float)), np.log(np.asarray(t["n_suspect"], float)),
+    ])
+
+
+def _grams_shared(suspect: str, word: str) -> int:
+    """Positional q-grams two aligned words share, as the inverted join counts them."""
+    half = -(-len(word) // 2)
+    a, b = f"^{suspect}$", f"^{word}$"
+    return sum(a[i : i + 2] == b[i : i + 2] for i in range(half)) + sum(a[len(a) - 2 - i : len(a) - i] == b[len(b) - 2 - i : len(b) - i] for i in range(half))
+
+
+def made_misreadings(vocabulary: dict[str, int], picked: list[str], ops: list[tuple[str, str, int, int, float]]) -> list[tuple[int, bool, dict]]:
+    """(number of the case, label, features) of the candidates of made suspects, and of vocabulary words taken for suspects."""
+    by_was: dict[str, list[int]] = {}
+    by_became: dict[str, list[int]] = {}
+    for k, (was, became, *_) in enumerate(ops):
+        by_was.setdefault(was, []).append(k)
+        by_became.setdefault(became, []).append(k)
+    rng = np.random.default_rng(13)
+    support = np.array([o[2] for o in ops], float)
+
+    def pieces(word: str) -> Iterator[tuple[int, str]]:
+        return ((i, word[i : i + n]) for n in (1, 2) for i in range(len(word) - n + 1))
+
+    def candidates(suspect: str) -> dict[str, tuple[int, int]]:
+        found = {}
+        for i, piece in pieces(suspect):
+            for k in by_became.get(piece, ()):
+                word = suspect[:i] + ops[k][0] + suspect[i + len(piece) :]
+                if word in vocabulary and word != suspect and align(suspect, word) == (ops[k][0], ops[k][1], i):
+                    found[word] = (k, i)
+        return found
+
+    out, case = [], 0
+    for word in picked:
+        able = [(i, k) for i, piece in pieces(word) for k in by_was.get(piece, ())]
+        suspects = [(word, None, vocabulary[word])]
+        if able:
+            weight = support[[k for _, k in able]]
+            for j in rng.choice(len(able), min(3, len(able)), replace=False, p=weight / weight.sum()):
+                i, k = able[j]
+                suspect = word[:i] + ops[k][1] + word[i + len(ops[k][0]) :]
+                if suspect not in vocabulary:
+                    suspects.append((suspect, word, max(1, int(rng.poisson(vocabulary[word] * ops[k][4])))))
+        for suspect, right, times in suspects:
+            found = candidates(suspect)
+            all_support, all_words = sum(ops[k][2] for k, _ in found.values()), sum(vocabulary[w] for w in found)
+            for w, (k, i) in found.items():
+                if right is None and vocabulary[w] >= RATIO * vocabulary[suspect]:
+                    continue  # so much rarer than its neighbour, the word may be a misreading itself: no label
+                was, became, sup, chance, rate = ops[k]
+                out.append((case, w == right, dict(zip(PAIR, (vocabulary[w], len(w), _grams_shared(suspect, w), sup, chance, len(became) - len(was), i, any(c.isdigit() for c in became), i == 0, w[0].isupper(), len(found), sup / all_support, vocabulary[w] / all_words, times / max(1.0, vocabulary[w] * rate), times), strict=True))))
+            case += 1
+    return out
+
+
+def fit_ranker(vocabulary: dict[str, int], picked: list[str], ops: list[tuple[str, str, int, int, float]]) -> tuple[BoostedTrees, dict]:
+    """(the ranker; cases with a right candidate, right and wrong choices on held-out words, and the least p of a choice).
+
+    The least p is the lowest at which the choices on words of their own reach PRECISION.
+    """
+    table = lambda some: _pair_features({c: np.array([f[c] for *_, f in some], float) for c in PAIR}).reshape(-1, len(PAIR) + 1)
+    first, second = int(len(picked) * (1 - 2 * HELD_OUT)), int(len(picked) * (1 - HELD_OUT))
+    train, tune, held = (made_misreadings(vocabulary, some, ops) for some in (picked[:first], picked[first:second], picked[second:]))
+    model = BoostedTrees(rounds=120, depth=4, rate=0.15).fit(table(train), np.array([y for _, y, _ in train]))
+
+    def best(some: list) -> np.ndarray:
+        """(p, right) of each case's best candidate."""
+        out: dict[int, tuple[float, bool]] = {}
+        for (case, y, _), q in zip(some, model.predict(table(some))):
+            out[case] = max(out.get(case, (0.0, False)), (float(q), bool(y)))
+        return np.array(sorted(out.values(), reverse=True), float).reshape(-1, 2)
+
+    b = best(tune)
+    good = np.flatnonzero(np.cumsum(b[:, 1]) >= PRECISION * np.arange(1, len(b) + 1))
+    least = max(0.5, float(b[good[-1], 0])) if len(good) else 0.5
+    b = best(held)
+    chosen = b[b[:, 0] >= least, 1]
+    return model, {"cases": sum(y for _, y, _ in held), "right": int(chosen.sum()), "wrong": int(len(chosen) - chosen.sum()), "least": least}
+
+
+def ranked(counts: DataFrame, total: int) -> tuple[DataFrame | None, dict[str, int]]:
+    """((suspect, word, p) of each misread word and the word chosen for it, the ranker's counts on held-out words)."""
+    least = max(MIN_COUNT, int(MIN_SHARE * total))
+    pairs = checkpoint(misread_pairs(counts, total)).where(F.lower("was") != F.lower("became"))
+    rare = F.col("n_suspect") < least
+    words = counts.where((F.col("kind") == "w") & (F.col("n") >= least) & (F.length("token") >= 3) & F.col("token").rlike(r"^\p{L}+$")).select("token", "n")
+    two = lambda t: F.transform(F.sequence(F.lit(1), F.length(t) - 1), lambda i: F.substring(t, i, F.lit(2)))
+    exposed = words.select("n", F.explode(F.array_distinct(F.concat(F.split("token", ""), two(F.col("token"))))).alias("was")).groupBy("was").agg(F.sum("n").alias("exposed"))
+    by_word = pairs.groupBy("was", "became", "word").agg(F.max(rare).alias("rare"), F.max(~rare).alias("common"), F.sum("n_suspect").alias("n"))
+    ops = by_word.groupBy("was", "became").agg(F.count_if("rare").alias("support"), F.count_if("common").alias("chance"), F.sum("n").alias("n")).where(F.col("support") >= MIN_SUPPORT)
+    ops = ops.join(exposed, "was").select("was", "became", "support", "chance", (F.col("n") / F.col("exposed")).alias("rate"))
+    ops = checkpoint(ops)
+    # the labelled sample: made from at most RANK_ROWS words by the OPS_ROWS most frequent substitutions; scoring knows all of them
+    top = [tuple(r) for r in ops.orderBy(F.desc("support"), "was", "became").limit(OPS_ROWS).select("was", "became", "support", "chance", "rate").collect()]
+    vocabulary = {r[0]: r[1] for r in words.collect()}  # at most 1 / MIN_SHARE rows
+    picked = [r[0] for r in words.orderBy(F.xxhash64("token"), "token").limit(RANK_ROWS).select("token").collect()]
+    if not top or not picked:
+        return None, {"cases": 0, "right": 0, "wrong": 0, "least": 1.0}
+    model, held = fit_ranker(vocabulary, picked, top)
+    shared = counts.sparkSession.sparkContext.broadcast(model)
+    rivals = pairs.join(ops, ["was", "became"])
+    many = rivals.groupBy("suspect").agg(F.count_distinct("word").alias("rivals"), F.sum("support").alias("all_support"), F.sum("n_word").alias("all_words"))
+    scored = rivals.join(many, "suspect").select(
+        "suspect", "word", F.col("n_word"), F.length("word").alias("length"), "shared", "support", "chance", (F.length("became") - F.length("was")).alias("wider"), "at",
+        F.col("became").rlike(r"\d").alias("digit"), (F.col("at") == 0).alias("first"), F.col("word").rlike(r"^\p{Lu}").alias("capital"), "rivals", (F.col("support") / F.col("all_support")).alias("support_share"), (F.col("n_word") / F.col("all_words")).alias("word_share"), (F.col("n_suspect") / F.greatest(F.lit(1.0), F.col("n_word") * F.col("rate"))).alias("excess"), "n_suspect",
+    )
+
+    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            p = shared.value.predict(_pair_features({c: b.column(c).to_numpy(zero_copy_only=False) for c in PAIR}))
+            yield pa.RecordBatch.from_arrays([b.column("suspect"), b.column("word"), b.column("n_word"), pa.array(p)], names=["suspect", "word", "n_word", "p"])
+
+    chosen = scored.mapInArrow(score, "suspect string, word string, n_word bigint, p double").where(F.col("p") >= held["least"])
+    return checkpoint(chosen.groupBy("suspect").agg(F.min_by("word", F.struct((-F.col("p")).alias("a"), (-F.col("n_word")).alias("b"), "word")).alias("word"), F.max("p").alias("p"))), held
 
 
 class Lines:
@@ -292,6 +397,7 @@ class Repairer:
     def __init__(self, lines: Lines, words: dict[str, str], furniture: BoostedTrees, join: BoostedTrees):
         self.lines, self.words, self.furniture, self.join = lines, words, furniture, join
         self.tokens: dict[str, tuple[str, ...]] = {}  # misread words of a token between white space
+        self.sorted = sorted(lines.vocabulary)
 
     def misread(self, text: str) -> set[str]:
         memo, words, out = self.tokens, self.words, set()
@@ -303,7 +409,21 @@ class Repairer:
                 got = memo[t] = tuple(w for w in WORD.findall(t) if w in words)
             if got:
                 out.update(got)
-        return out
+        return out - {self.cut_off(text)} if out else out
+
+    def cut_off(self, text: str) -> str | None:
+        """The last word of a text without a sentence end, if it stands nowhere else and is a name or begins a longer word."""
+        text = MORE.sub("", text)
+        words = WORD.findall(text)
+        if not words:
+            return None
+        last = words[-1]
+        after = text[text.rindex(last) + len(last) :].strip()
+        if END.match(after) or words.count(last) > 1:
+            return None
+        low = last.lower()
+        at = bisect.bisect_right(self.sorted, low)
+        return last if last[0].isupper() or at < len(self.sorted) and self.sorted[at].startswith(low) else None
 
     def kept_lines(self, texts: list[str]) -> list[tuple[list[tuple[str, bool]], int]]:
         """Of each text its lines without furniture (line, is the site's own), and how many were furniture."""
@@ -315,7 +435,7 @@ class Repairer:
             owns.append(own)
             if len(raw) > 1:
                 for i, x in enumerate(raw):
-                    if not own[i] and len(x) <= HEAD_CHARS and not self.lines.ends_sentence(x):
+                    if not own[i] and not self.lines.ends_sentence(x):
                         rows.append(self.lines.features(x, raw[i - 1] if i else None, raw[i + 1] if i + 1 < len(raw) else None, False))
                         at.append((t, i))
         drop = {k for k, p in zip(at, self.furniture.predict(np.array(rows).reshape(-1, LINE_FEATURES))) if p >= 0.5}
@@ -366,26 +486,33 @@ class Repairer:
         result = []
         for i, text in enumerate(texts):
             text, parted, furniture = state.get(i, (text, 0, 0))
-            found = self.misread(text)
-            if found:
-                text = WORD.sub(lambda m: self.words.get(m[0], m[0]), text)
-            result.append((text, len(found), parted, furniture))
+            text, misread = self.reword(text)
+            result.append((text, misread, parted, furniture))
         return result
 
+    def reword(self, text: str) -> tuple[str, int]:
+        """The text with its misread words replaced, and how many different ones there were."""
+        found = self.misread(text)
+        if found:
+            text = WORD.sub(lambda m: self.words[m[0]] if m[0] in found else m[0], text)
+        return text, len(found)
+
 
-def fit_repairer(claims: DataFrame) -> Repairer:
-    """claims: claim_id, claim_text, evidence_text."""
+def fit_repairer(claims: DataFrame) -> tuple[Repairer, DataFrame | None, dict[str, int]]:
+    """(the repairer without replacements, the replacements, the ranker's counts on held-out words); claims: claim_id, claim_text, evidence_text."""
     counts = checkpoint(count_tokens(claims))
     totals = {r["kind"]: r["n"] for r in counts.groupBy("kind").agg(F.sum("n").alias("n")).collect()}
     words, lines, templates = (totals.get(k, 0) for k in "wlt")
     least = max(MIN_COUNT, int(MIN_SHARE * words))
-    fixes = replacements(counts, words)
+    fixes, held = ranked(counts, words)
     frequent = lambda kind, share, total: {r[0] for r in counts.where((F.col("kind") == kind) & (F.col("n") >= max(LINE_COUNT, share * total))).select("token").collect()}  # noqa: E731 at most 1 / share rows
-    vocabulary = {r[0].lower() for r in counts.where((F.col("kind") == "w") & (F.col("n") >= least)).select("token").collect()} - {w.lower() for w in fixes}
+    known = counts.where((F.col("kind") == "w") & (F.col("n") >= least)).select(F.lower("token").alias("token")).distinct()
+    known = known.join(fixes.select(F.lower("suspect").alias("token")), "token", "left_anti") if fixes is not None else known
+    vocabulary = {r[0] for r in known.collect()}  # at most 1 / MIN_SHARE rows
     stats = Lines(frequent("l", LINE_SHARE, lines), frequent("t", LINE_TEMPLATE_SHARE, templates), vocabulary)
     # by hash a share of the rows is set aside first, so that what reaches the driver stays the same at any size
     share = min(1.0, 4.0 * LINE_ROWS / max(1, claims.count()))
-    claims = claims.where(F.pmod(F.xxhash64("claim_id"), F.lit(1_000_000)) < F.lit(int(1_000_000 * share)))
+    claims = claims.where(F.pmod(F.xxhash64("claim_id"), F.lit(2**62)) <= F.lit(int(2**62 * share)))
     several = F.concat_ws("\n\n", *[F.when(F.col(c).contains("\n"), F.col(c)) for c in FIELDS])
     sample = claims.select("claim_id", *FIELDS).where(F.col("claim_text").contains("\n") | F.col("evidence_text").contains("\n")).select(F.xxhash64("claim_id").alias("h"), several.alias("text")).orderBy("h", "text").limit(LINE_ROWS).collect()
     fx, fy, jx, jy = [], [], [], []
@@ -413,13 +540,26 @@ def fit_repairer(claims: DataFrame) -> Repairer:
                 jy.append(joined)
     furniture = BoostedTrees(rounds=40).fit(np.array(fx).reshape(-1, LINE_FEATURES), np.array(fy))
     join = BoostedTrees(rounds=40).fit(np.array(jx).reshape(-1, JOIN_FEATURES), np.array(jy))
-    return Repairer(stats, fixes, furniture, join)
+    return Repairer(stats, {}, furniture, join), fixes, held
+
+
+REPAIRED = "claim_id string, field_name string, repaired string, misread int, parted int, furniture int"
+
+
+def fix_parts(fixes: DataFrame | None) -> Iterator[dict[str, str]]:
+    """The replacements in parts of about FIX_PART words, of which the driver holds one at a time; at least one part."""
+    parts = 1 if fixes is None else max(1, -(-fixes.count() // FIX_PART))
+    for k in range(parts):
+        yield {} if fixes is None else {r[0]: r[1] for r in fixes.where(F.pmod(F.xxhash64("suspect"), F.lit(parts)) == k).select("suspect", "word").toLocalIterator()}
 
 
 def repair_texts(claims: DataFrame) -> DataFrame:
     """claim_id, field_name, repaired, misread, parted, furniture of every field with text; once a claim."""
-    model = fit_repairer(claims.select("claim_id", *FIELDS))
-    shared = claims.sparkSession.sparkContext.broadcast(model)
+    model, fixes, _ = fit_repairer(claims.select("claim_id", *FIELDS))
+    parts = fix_parts(fixes)
+    model.words = next(parts)
+    context = claims.sparkSession.sparkContext
+    shared = context.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         repairer = shared.value
@@ -433,4 +573,16 @@ def repair_texts(claims: DataFrame) -> DataFrame:
             kinds = [pa.string(), pa.string(), pa.string(), pa.int32(), pa.int32(), pa.int32()]
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds)], names=["claim_id", "field_name", "repaired", "misread", "parted", "furniture"])
 
-    return claims.select("claim_id", *FIELDS).mapInArrow(run, "claim_id string, field_name string, repaired string, misread int, parted int, furniture int")
+    out = claims.select("claim_id", *FIELDS).mapInArrow(run, REPAIRED)
+    for words in parts:
+        more = context.broadcast(words)
+
+        def again(batches: Iterator[pa.RecordBatch], more=more) -> Iterator[pa.RecordBatch]:
+            repairer = Repairer(shared.value.lines, more.value, shared.value.furniture, shared.value.join)
+            for b in batches:
+                fixed = [repairer.reword(x) for x in b.column("repaired").to_pylist()]
+                misread = pa.array([m + n for m, (_, n) in zip(b.column("misread").to_pylist(), fixed)], pa.int32())
+                yield pa.RecordBatch.from_arrays([b.column("claim_id"), b.column("field_name"), pa.array([x for x, _ in fixed], pa.string()), misread, b.column("parted"), b.column("furniture")], names=b.schema.names)
+
+        out = out.mapInArrow(again, REPAIRED)
+    return out

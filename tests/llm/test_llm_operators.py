@@ -323,7 +323,9 @@ def test_hot_values_are_split_by_further_values(spark, monkeypatch):
     assert new_batches._split_hot(df, levels).select("value").distinct().count() > 40
 
 
-def test_closed_groups_of_a_chain(spark):
+@pytest.mark.parametrize("one_task", [0, 1_000_000])
+def test_closed_groups_of_a_chain(spark, monkeypatch, one_task):
+    monkeypatch.setattr(new_batches, "ONE_TASK_LINKS", one_task)
     edges = [(i, i + 1) for i in range(60)] + [(100, 102), (101, 102)]
     random.Random(1).shuffle(edges)
     got = {tuple(r) for r in new_batches.closed_groups(spark.createDataFrame(edges, "a long, b long")).select("doc_id", "first").collect()}
