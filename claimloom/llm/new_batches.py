@@ -248,11 +248,12 @@ def flags(counts: DataFrame, tokens: DataFrame) -> tuple[np.ndarray, np.ndarray,
     total = {r["kind"]: r["n"] for r in counts.where("kind in ('n', 'w', 'l')").groupBy("kind").agg(F.sum("n").alias("n")).collect()}
     texts, lines = total.get("n", 0), total.get("l", 0)
     least = max(8, COMMON * texts + 3.0 * total.get("w", 0) / BUCKETS)
-    pairs = counts.where((F.col("kind") == "p") & (F.col("n") > least)).select("key").toPandas()["key"].to_numpy(np.int64)
+    pairs = counts.where((F.col("kind") == "p") & (F.col("n") > least)).select("kind", "key")
     docs = counts.where("kind = 's'").select("site", F.col("n").alias("docs"))
     found = counts.where((F.col("kind") == "l") & (F.col("n") >= max(LINE_COUNT, LINE_SHARE * lines))).join(docs, "site").where(F.col("n") >= LINE_SITE_SHARE * F.col("docs"))
-    maybe = found.select("key").distinct().toPandas()["key"].to_numpy(np.int64)  # at most 1 / LINE_SHARE rows
-    return pairs, _diverse_lines(tokens, pairs, np.sort(maybe)), texts
+    both = pairs.unionByName(found.select(F.lit("l").alias("kind"), "key")).distinct().toPandas()  # at most BUCKETS + 1 / LINE_SHARE rows
+    common, maybe = (both.loc[both["kind"] == k, "key"].to_numpy(np.int64) for k in "pl")
+    return common, _diverse_lines(tokens, common, np.sort(maybe)), texts
 
 
 def _diverse_lines(tokens: DataFrame, common: np.ndarray, maybe: np.ndarray) -> np.ndarray:
@@ -722,7 +723,8 @@ def found_links(found: DataFrame, keyed: DataFrame, tokens_of, own: np.ndarray)
     group = closed_groups(links)
     if "m" in rest:
         more = checkpoint(regrouped(found.where("kind = 'm'").select("a", "b").distinct().join(first, ["a", "b"], "left_anti"), group))
-        links = links.unionByName(verified(more, tokens_of(more), own))
+        if not more.isEmpty():
+            links = links.unionByName(verified(more, tokens_of(more), own))
     if "a" in rest:
         asked = checkpoint(found.where("kind = 'a'").select("a", F.col("b").alias("key")).distinct())
         ids = keyed.join(asked.select("key").distinct(), "key", "left_semi").select(F.col("doc_id").alias("a"), F.col("doc_id").alias("b"))

@@ -129,8 +129,10 @@ class Graph:
         q, codes = len(codes), codes[:, : SIGNATURE // 8]
         if not self.size or not q:
             return np.full((q, beam), -1, np.int32), np.full((q, beam), FAR, np.uint8)
-        hubs = (np.arange(2) * max(1, self.size // 2) % self.size).astype(np.int32)
-        start = np.concatenate([self.entries(codes, keys, max(4, beam // 2)), np.broadcast_to(hubs, (q, 2))], 1)
+        start = self.entries(codes, keys, max(4, beam // 2))
+        lost = np.flatnonzero((start < 0).all(1))
+        if len(lost):  # nobody has the query's key: from a hub
+            start[lost, 0] = self.size // 2
         # a beam place is one integer: distance, node, whether it was expanded
         state = self._merge(codes, start, np.full((q, beam), NONE, np.int32))
         live, idle, patience = np.arange(q), np.zeros(q, np.int16), max(1, beam // 4)
