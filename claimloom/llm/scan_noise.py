@@ -8,7 +8,7 @@
    occurrences of vocabulary words with its letters that it turns. A gradient-boosted ranker chooses
    among a suspect's candidates. Its labels are made, not read off its features: substitutions, drawn by their support, are put into vocabulary words (the
    word itself is the right candidate, every other vocabulary word in reach a wrong one), and vocabulary words as they stand are right as they are (against neighbours that are not
-   RATIO times as frequent). RANK_ROWS
+   RATIO times as frequent, and against the same neighbours made more frequent). RANK_ROWS
    words are used, HELD_OUT of them for the measured precision and recall only.
 3. Lines: one boosted classifier tells page furniture (running heads, page numbers) from text and the
    site's own lines, another tells whether two lines in sequence belong to one sentence; both are
@@ -171,14 +171,14 @@ def misread_pairs(counts: DataFrame, total: int) -> DataFrame:
     return pairs.mapInArrow(run, "suspect string, word string, n_suspect bigint, n_word bigint, shared bigint, was string, became string, at int")
 
 
-PAIR = ("n_word", "length", "shared", "support", "chance", "wider", "at", "digit", "first", "capital", "rivals", "support_share", "word_share", "excess", "n_suspect")
+PAIR = ("n_word", "length", "shared", "support", "chance", "wider", "at", "digit", "first", "capital", "rivals", "support_share", "word_share", "excess", "expected", "n_suspect")
 
 
 def _pair_features(t: dict[str, np.ndarray]) -> np.ndarray:
     n, size, support, chance = (np.asarray(t[c], float) for c in ("n_word", "length", "support", "chance"))
     return np.column_stack([
         np.log(n), size, np.asarray(t["shared"], float) / (size + 1), np.log1p(support), np.log1p(chance), np.log1p(support) - np.log1p(chance),
-        np.asarray(t["wider"], float), np.asarray(t["at"], float) / size, np.asarray(t["digit"], float), np.asarray(t["first"], float), np.asarray(t["capital"], float), np.asarray(t["rivals"], float), np.asarray(t["support_share"], float), np.asarray(t["word_share"], float), np.log(np.asarray(t["excess"], float)), np.log(np.asarray(t["n_suspect"], float)),
+        np.asarray(t["wider"], float), np.asarray(t["at"], float) / size, np.asarray(t["digit"], float), np.asarray(t["first"], float), np.asarray(t["capital"], float), np.asarray(t["rivals"], float), np.asarray(t["support_share"], float), np.asarray(t["word_share"], float), np.log(np.asarray(t["excess"], float)), np.log(np.asarray(t["expected"], float)), np.log(np.asarray(t["n_suspect"], float)),
     ])
 
 
@@ -189,7 +189,7 @@ def _grams_shared(suspect: str, word: str) -> int:
     return sum(a[i : i + 2] == b[i : i + 2] for i in range(half)) + sum(a[len(a) - 2 - i : len(a) - i] == b[len(b) - 2 - i : len(b) - i] for i in range(half))
 
 
-def made_misreadings(vocabulary: dict[str, int], picked: list[str], ops: list[tuple[str, str, int, int, float]]) -> list[tuple[int, bool, dict]]:
+def made_misreadings(vocabulary: dict[str, int], picked: list[str], ops: list[tuple[str, str, int, int, int, int]]) -> list[tuple[int, bool, dict]]:
     """(number of the case, label, features) of the candidates of made suspects, and of vocabulary words taken for suspects."""
     by_was: dict[str, list[int]] = {}
     by_became: dict[str, list[int]] = {}
@@ -221,20 +221,26 @@ def made_misreadings(vocabulary: dict[str, int], picked: list[str], ops: list[tu
                 i, k = able[j]
                 suspect = word[:i] + ops[k][1] + word[i + len(ops[k][0]) :]
                 if suspect not in vocabulary:
-                    suspects.append((suspect, word, max(1, int(rng.poisson(vocabulary[word] * ops[k][4])))))
+                    suspects.append((suspect, word, max(1, int(rng.poisson(vocabulary[word] * ops[k][4] / ops[k][5])))))
         for suspect, right, times in suspects:
             found = candidates(suspect)
             all_support, all_words = sum(ops[k][2] for k, _ in found.values()), sum(vocabulary[w] for w in found)
             for w, (k, i) in found.items():
                 if right is None and vocabulary[w] >= RATIO * vocabulary[suspect]:
                     continue  # so much rarer than its neighbour, the word may be a misreading itself: no label
-                was, became, sup, chance, rate = ops[k]
-                out.append((case, w == right, dict(zip(PAIR, (vocabulary[w], len(w), _grams_shared(suspect, w), sup, chance, len(became) - len(was), i, any(c.isdigit() for c in became), i == 0, w[0].isupper(), len(found), sup / all_support, vocabulary[w] / all_words, times / max(1.0, vocabulary[w] * rate), times), strict=True))))
+                was, became, sup, chance, turned, exposed = ops[k]
+                own = times if right is None else 0  # a made misreading is none of those counted
+                # a word that is right stays so however frequent its neighbour is
+                for j, factor in enumerate((1, 10, 30, 100) if right is None else (1,)):
+                    n = factor * vocabulary[w]
+                    expected = n * (max(0, turned - own) + 0.5) / (max(0, exposed - vocabulary[w]) + 1.0)
+                    values = (n, len(w), _grams_shared(suspect, w), sup, chance, len(became) - len(was), i, any(c.isdigit() for c in became), i == 0, w[0].isupper(), len(found), sup / all_support, vocabulary[w] / all_words, times / expected, expected, times)
+                    out.append((4 * case + j, w == right, dict(zip(PAIR, values, strict=True))))
             case += 1
     return out
 
 
-def fit_ranker(vocabulary: dict[str, int], picked: list[str], ops: list[tuple[str, str, int, int, float]]) -> tuple[BoostedTrees, dict]:
+def fit_ranker(vocabulary: dict[str, int], picked: list[str], ops: list[tuple[str, str, int, int, int, int]]) -> tuple[BoostedTrees, dict]:
     """(the ranker; cases with a right candidate, right and wrong choices on held-out words, and the least p of a choice).
 
     The least p is the lowest at which the choices on words of their own reach PRECISION.
@@ -269,10 +275,10 @@ def ranked(counts: DataFrame, total: int) -> tuple[DataFrame | None, dict[str, i
     exposed = words.select("n", F.explode(F.array_distinct(F.concat(F.split("token", ""), two(F.col("token"))))).alias("was")).groupBy("was").agg(F.sum("n").alias("exposed"))
     by_word = pairs.groupBy("was", "became", "word").agg(F.max(rare).alias("rare"), F.max(~rare).alias("common"), F.sum("n_suspect").alias("n"))
     ops = by_word.groupBy("was", "became").agg(F.count_if("rare").alias("support"), F.count_if("common").alias("chance"), F.sum("n").alias("n")).where(F.col("support") >= MIN_SUPPORT)
-    ops = ops.join(exposed, "was").select("was", "became", "support", "chance", (F.col("n") / F.col("exposed")).alias("rate"))
+    ops = ops.join(exposed, "was").select("was", "became", "support", "chance", F.col("n").alias("turned"), "exposed")
     ops = checkpoint(ops)
     # the labelled sample: made from at most RANK_ROWS words by the OPS_ROWS most frequent substitutions; scoring knows all of them
-    top = [tuple(r) for r in ops.orderBy(F.desc("support"), "was", "became").limit(OPS_ROWS).select("was", "became", "support", "chance", "rate").collect()]
+    top = [tuple(r) for r in ops.orderBy(F.desc("support"), "was", "became").limit(OPS_ROWS).select("was", "became", "support", "chance", "turned", "exposed").collect()]
     vocabulary = {r[0]: r[1] for r in words.collect()}  # at most 1 / MIN_SHARE rows
     picked = [r[0] for r in words.orderBy(F.xxhash64("token"), "token").limit(RANK_ROWS).select("token").collect()]
     if not top or not picked:
@@ -281,9 +287,11 @@ def ranked(counts: DataFrame, total: int) -> tuple[DataFrame | None, dict[str, i
     shared = counts.sparkSession.sparkContext.broadcast(model)
     rivals = pairs.join(ops, ["was", "became"])
     many = rivals.groupBy("suspect").agg(F.count_distinct("word").alias("rivals"), F.sum("support").alias("all_support"), F.sum("n_word").alias("all_words"))
+    # how often the word would be misread so at the rate of all other words
+    expected = F.col("n_word") * (F.greatest(F.lit(0), F.col("turned") - F.col("n_suspect")) + 0.5) / (F.greatest(F.lit(0), F.col("exposed") - F.col("n_word")) + 1.0)
     scored = rivals.join(many, "suspect").select(
         "suspect", "word", F.col("n_word"), F.length("word").alias("length"), "shared", "support", "chance", (F.length("became") - F.length("was")).alias("wider"), "at",
-        F.col("became").rlike(r"\d").alias("digit"), (F.col("at") == 0).alias("first"), F.col("word").rlike(r"^\p{Lu}").alias("capital"), "rivals", (F.col("support") / F.col("all_support")).alias("support_share"), (F.col("n_word") / F.col("all_words")).alias("word_share"), (F.col("n_suspect") / F.greatest(F.lit(1.0), F.col("n_word") * F.col("rate"))).alias("excess"), "n_suspect",
+        F.col("became").rlike(r"\d").alias("digit"), (F.col("at") == 0).alias("first"), F.col("word").rlike(r"^\p{Lu}").alias("capital"), "rivals", (F.col("support") / F.col("all_support")).alias("support_share"), (F.col("n_word") / F.col("all_words")).alias("word_share"), (F.col("n_suspect") / expected).alias("excess"), expected.alias("expected"), "n_suspect",
     )
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
