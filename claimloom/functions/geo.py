@@ -41,3 +41,81 @@ def scope(level, name, geo_id, lat=None, lon=None):
     """A place as a nested struct, with markers for what is missing."""
     centroid = F.when(lat.isNotNull() & lon.isNotNull(), F.struct(lat.alias("lat"), lon.alias("lon"))) if lat is not None else F.lit(None).cast("struct<lat:double,lon:double>")
     return F.struct(level.alias("level"), name.alias("name"), F.coalesce(geo_id, F.lit("missing")).alias("geo_id"), centroid.alias("centroid"), F.lit("EPSG:4326").alias("coordinate_system"))
+
+
+# ------------------------------------------------------------ detection by aliases
+def alias_dim(places: DataFrame) -> DataFrame:
+    """alias, exact, name, level: each place by its name (any letter case) and by its abbreviation (as written). places: name, abbreviation, level; a gazetteer table."""
+    by_name = places.where("name is not null").select(F.lower(F.trim("name")).alias("alias"), F.lit(False).alias("exact"), "name", "level")
+    by_short = places.where("abbreviation is not null").select(F.trim("abbreviation").alias("alias"), F.lit(True).alias("exact"), "name", "level")
+    both = by_name.unionByName(by_short)
+    return both.groupBy("alias", "exact").agg(F.min_by("name", F.struct("level", "name")).alias("name"), F.min_by("level", F.struct("level", "name")).alias("level"))
+
+
+def detect(df: DataFrame, key: list[str], text: str, aliases: DataFrame, longest: int = 4) -> DataFrame:
+    """key, name, level: the place with the longest alias in the text, ties to the first position. Word runs are joined with the aliases: no loop over places."""
+    words = F.regexp_extract_all(F.coalesce(F.col(text), F.lit("")), F.lit(r"([\p{L}\p{N}][\p{L}\p{N}.'-]*)"), F.lit(1))
+    clean = F.transform(words, lambda w: F.regexp_replace(w, r"[.'-]+$", ""))
+    w = df.select(*key, clean.alias("_w"))
+    def of_length(n: int):
+        starts = F.when(F.size("_w") >= n, F.sequence(F.lit(1), F.size("_w") - (n - 1))).otherwise(F.array().cast("array<int>"))
+        return F.transform(starts, lambda i: F.struct(i.alias("at"), F.array_join(F.slice("_w", i, F.lit(n)), " ").alias("run")))
+
+    runs = F.concat(*[of_length(n) for n in range(1, longest + 1)])
+    r = w.select(*key, F.explode(runs).alias("_r")).select(*key, "_r.at", "_r.run")
+    found = r.withColumn("alias", F.lower("run")).join(aliases.where("not exact").select("alias", "name", "level"), "alias")
+    short = r.withColumn("alias", F.col("run")).join(aliases.where("exact").select("alias", "name", "level"), "alias")
+    best = F.max_by(F.struct("name", "level", "alias"), F.struct(F.length("alias").alias("n"), (-F.col("at")).alias("p")))
+    return found.unionByName(short).groupBy(*key).agg(best.alias("_b")).select(*key, "_b.name", "_b.level", "_b.alias")
+
+
+def first_scope(df: DataFrame, key: str, fields: list[str], aliases: DataFrame) -> DataFrame:
+    """key, field, name, level: the place named in the first of the fields that names one; 'global' where none does."""
+    long = df.select(key, F.posexplode(F.array(*[F.coalesce(F.col(f), F.lit("")) for f in fields])).alias("pos", "_text"))
+    hits = detect(long, [key, "pos"], "_text", aliases)
+    first = hits.groupBy(key).agg(F.min_by(F.struct("pos", "name", "level"), "pos").alias("_f"))
+    names = F.array(*[F.lit(f) for f in fields])
+    j = df.select(key).join(first, key, "left")
+    return j.select(key, F.coalesce(F.get(names, F.col("_f.pos")), F.lit("default_global")).alias("field"), F.coalesce("_f.name", F.lit("global")).alias("name"), F.coalesce("_f.level", F.lit("global")).alias("level"))
+
+
+def confidence_of(source, level):
+    """How sure an inferred place is, by where it was named (fixed values)."""
+    return (
+        F.when((level == "global") | (source == "default_global"), "none")
+        .when(source.isin("explicit_claim", "explicit_state", "explicit_county", "explicit_region"), "high")
+        .when(source.isin("source_title", "raw_snippet", "source_title_context", "source_url"), "medium")
+        .when(source.isin("run_context", "source_domain"), "low")
+        .otherwise("medium")
+    )
+
+
+def enrich(df: DataFrame, gazetteer: DataFrame, level: str = "level", name: str = "name") -> DataFrame:
+    """Adds geo_id, geocode_source, geocode_confidence and coordinate_system of the place; markers where the gazetteer has none. gazetteer: level, name, geo_id."""
+    g = gazetteer.where("geo_id is not null").groupBy(F.col("level").alias("_l"), F.lower(F.trim("name")).alias("_n")).agg(F.min("geo_id").alias("_id"))
+    j = df.join(g, (F.col(level) == F.col("_l")) & (F.lower(F.trim(F.col(name))) == F.col("_n")), "left")
+    world = F.col(level) == "global"
+    return j.select(
+        *[F.col(c) for c in df.columns],
+        F.coalesce("_id", F.when(world, F.lit("global")).otherwise(F.lit(""))).alias("geo_id"),
+        F.when(F.col("_id").isNotNull(), "gazetteer").when(world, "not_applicable").otherwise("missing_gazetteer_record").alias("geocode_source"),
+        F.when(F.col("_id").isNotNull(), "approximate").otherwise("none").alias("geocode_confidence"),
+        F.lit("EPSG:4326").alias("coordinate_system"),
+    )
+
+
+def evidence(claim, source):
+    """The two inferences (struct field, level, name, text) as a list of matched places, the whole world aside."""
+    named = lambda kind, s: F.struct(F.concat(F.lit(f"{kind}:"), s["field"]).alias("field"), s["level"].alias("level"), s["name"].alias("name"))
+    return F.filter(F.array(named("claim_location", claim), named("source_location", source)), lambda x: x["level"] != "global")
+
+
+def region_evidenced(text, region):
+    """Whether a text names the run's own region."""
+    return (F.coalesce(region, F.lit("")) != "") & F.contains(F.lower(F.coalesce(text, F.lit(""))), F.lower(F.coalesce(region, F.lit(""))))
+
+
+def title_names_region(title, region):
+    """The same for a title, where the region in the name of its university does not count."""
+    t, r = F.lower(F.coalesce(title, F.lit(""))), F.lower(F.coalesce(region, F.lit("")))
+    return region_evidenced(title, region) & ~F.contains(t, F.concat(r, F.lit(" state university")))

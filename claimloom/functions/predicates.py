@@ -8,7 +8,12 @@ from pyspark.sql import functions as F
 from claimloom.functions.text import normalize_ws, overlap_share, title_tokens, tokens
 
 NUMBER_UNIT = r"[0-9](?:\.[0-9]+)? ?(?:%|°c|°f|celsius|fahrenheit|mm|cm|m|kg|t|g|lb|ha|ac|days|weeks)(?:$|[^a-z])"
-CHALLENGE = r"enable javascript|access denied|captcha|are you a human|checking your browser|cookies to continue"
+#: Words of pages that publishers return in place of a text (fixed values).
+CHALLENGE_MARKERS = (
+    "checking your browser", "enable javascript", "captcha", "recaptcha", "just a moment", "access denied",
+    "403 forbidden", "cloudflare", "request unsuccessful", "are you a robot", "verifying you are human",
+)
+CHALLENGE = "|".join(CHALLENGE_MARKERS)
 
 
 def low_value(text: Column, least: int = 200, challenge_under: int = 1500) -> Column:
@@ -52,9 +57,9 @@ def specific_evidence(text: Column) -> Column:
 
 
 def trusted_domain(domain: Column, trusted: list[str]) -> Column:
-    """The domain or a parent of it is trusted; the match ends at a dot."""
+    """The domain ends like a trusted one."""
     d = F.lower(F.coalesce(domain, F.lit("")))
-    return F.exists(F.array(*[F.lit(t.lower()) for t in trusted]).cast("array<string>"), lambda t: (d == t) | F.endswith(d, F.concat(F.lit("."), t)))
+    return F.exists(F.array(*[F.lit(t.lower()) for t in trusted]).cast("array<string>"), lambda t: F.endswith(d, t))
 
 
 def url_suffix(url: Column) -> Column:

@@ -22,24 +22,39 @@ def provider_rank(ledger: DataFrame) -> DataFrame:
     return ledger.withColumn("discovery_rank", F.row_number().over(Window.partitionBy("query", "provider").orderBy("ord")))
 
 
-def stamp_drops(ledger: DataFrame, gated: tuple[str, ...] = GATED, least_score: int = 4) -> DataFrame:
-    """discovery_drop_reason: relevance_gate, else duplicate for all but a key's best row, else ''."""
-    best = Window.partitionBy("canonical_key").orderBy(F.col("score").desc(), "ord")
+def stamp_drops(ledger: DataFrame, gated: tuple[str, ...] = GATED, least_score: int = 4, key: str = "canonical_key") -> DataFrame:
+    """discovery_drop_reason: relevance_gate, else duplicate for all but a key's best row, else ''.
+
+    The best row is a mergeable aggregate joined back on the row's own ord (unique), so that a key
+    that holds many rows is spread over all tasks; rows without a key are no one's duplicates.
+    """
+    best = ledger.where(F.col(key).isNotNull()).groupBy(key).agg(F.max_by("ord", F.struct("score", (-F.col("ord")).alias("o"))).alias("ord")).select("ord", F.lit(True).alias("_best"))
     gate = F.col("provider").isin(*gated) & (F.col("score") < least_score)
-    return ledger.withColumn("_rn", F.row_number().over(best)).withColumn("discovery_drop_reason", F.when(gate, "relevance_gate").when(F.col("_rn") > 1, "duplicate").otherwise("")).drop("_rn")
+    j = ledger.join(best, "ord", "left")
+    reason = F.when(gate, "relevance_gate").when(F.col(key).isNotNull() & F.col("_best").isNull(), "duplicate").otherwise("")
+    return j.select(*[j[c] for c in ledger.columns], reason.alias("discovery_drop_reason"))
 
 
-def with_ids(ledger: DataFrame, run: str) -> DataFrame:
-    """ledger_id: sequential over ord, prefixed by the run's hash. Numbered by range partitions, without one task seeing all rows."""
+def numbered(df: DataFrame, order: list[str], name: str) -> DataFrame:
+    """name: 1, 2, ... in the given order. Numbered by range partitions, without one task seeing all rows.
+
+    The partitioned rows are checkpointed: counting and numbering must see the same range bounds.
+    """
     import itertools
 
-    parts = ledger.repartitionByRange("ord").sortWithinPartitions("ord").withColumn("_part", F.spark_partition_id())
+    from claimloom.session import checkpoint
+
+    parts = checkpoint(df.repartitionByRange(*order).withColumn("_part", F.spark_partition_id()))
     sizes = {r["_part"]: r["n"] for r in parts.groupBy("_part").agg(F.count("*").alias("n")).collect()}  # one row a partition
-    order = sorted(sizes)
-    starts = dict(zip(order, itertools.accumulate([0] + [sizes[p] for p in order][:-1])))
-    base = F.create_map(*[x for p, n in starts.items() for x in (F.lit(p), F.lit(n))]) if starts else F.create_map()
-    pos = F.row_number().over(Window.partitionBy("_part").orderBy("ord")) + (F.element_at(base, F.col("_part")) if starts else F.lit(0))
-    return parts.withColumn("ledger_id", F.concat(F.substring(F.sha1(F.lit(run)), 1, 6), F.format_string("-led-%06d", pos))).drop("_part")
+    ids = sorted(sizes)
+    starts = dict(zip(ids, itertools.accumulate([0] + [sizes[p] for p in ids][:-1])))
+    base = F.element_at(F.create_map(*[x for p, n in starts.items() for x in (F.lit(p), F.lit(n))]), F.col("_part")) if starts else F.lit(0)
+    return parts.withColumn(name, F.row_number().over(Window.partitionBy("_part").orderBy(*order)) + base).drop("_part")
+
+
+def with_ids(ledger: DataFrame, run: str, infix: str = "led") -> DataFrame:
+    """ledger_id: sequential over ord, prefixed by the run's hash."""
+    return numbered(ledger, ["ord"], "_n").withColumn("ledger_id", F.concat(F.substring(F.sha1(F.lit(run)), 1, 6), F.format_string(f"-{infix}-%06d", "_n"))).drop("_n")
 
 
 def candidates(stamped: DataFrame, tier_trust: DataFrame) -> DataFrame:
@@ -96,7 +111,7 @@ def quota_select(cands: DataFrame, per_parameter: int = 4, domain_cap: int = 3,
         params: dict = {}
         chosen, why = [], []
         for domain, ids in zip(pdf["source_domain"].fillna(""), pdf["parameter_ids"]):
-            cap = trusted_cap if any(domain == t or domain.endswith(t) for t in trusted) else domain_cap
+            cap = trusted_cap if any(domain.endswith(t) for t in trusted) else domain_cap
             if domains.get(domain, 0) >= cap:
                 chosen.append(False)
                 why.append("domain_cap")

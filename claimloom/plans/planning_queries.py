@@ -92,7 +92,7 @@ def sentence_quality(spark, d):
 
 
 # ---------------------------------------------------------------- predicates
-@query(f"""select ord, length(t) < 200 or (length(t) < 1500 and regexp_matches(lower(t), '{P.CHALLENGE}')) low_value, regexp_matches(lower(t), '{P.NUMBER_UNIT}') specific from (select ord, trim(coalesce(evidence_text, ''), ' ') t from normalized_claims)""")
+@query(r"""select ord, length(t) < 200 or (length(t) < 1500 and regexp_matches(lower(t), 'checking your browser|enable javascript|captcha|recaptcha|just a moment|access denied|403 forbidden|cloudflare|request unsuccessful|are you a robot|verifying you are human')) low_value, regexp_matches(lower(t), '[0-9](?:\.[0-9]+)? ?(?:%|°c|°f|celsius|fahrenheit|mm|cm|m|kg|t|g|lb|ha|ac|days|weeks)(?:$|[^a-z])') specific from (select ord, trim(coalesce(evidence_text, ''), ' ') t from normalized_claims)""")
 def evidence_predicates(spark, d):
     e = F.col("evidence_text")
     return table(spark, d, "normalized_claims").select("ord", P.low_value(e).alias("low_value"), P.specific_evidence(e).alias("specific"))
@@ -106,7 +106,7 @@ def line_kinds(spark, d):
     return lines.groupBy("doc_id").agg(F.count("*").alias("n_lines"), F.count_if(P.reference_entry(F.col("line"))).alias("reference_lines"), F.count_if(P.page_noise(F.col("line"))).alias("noise_lines"))
 
 
-@query("""select ord, case when d in ('quarofield.example', 'sanosoil.example') or d like '%.quarofield.example' or d like '%.sanosoil.example' then true else false end trusted, case when s = '' then '.html' else s end suffix
+@query("""select ord, d like '%quarofield.example' or d like '%sanosoil.example' trusted, case when s = '' then '.html' else s end suffix
 from (select ord, lower(coalesce(source_domain, '')) d, lower(regexp_extract(regexp_replace(coalesce(source_url, ''), '[?#].*$', ''), '/[^/]*(\\.[A-Za-z0-9]{1,5})$', 1)) s from source_documents)""".replace("\\\\", "\\"))
 def source_predicates(spark, d):
     return table(spark, d, "source_documents").select("ord", P.trusted_domain(F.col("source_domain"), ["quarofield.example", "sanosoil.example"]).alias("trusted"), P.url_suffix(F.col("source_url")).alias("suffix"))
