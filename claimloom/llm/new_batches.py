@@ -55,6 +55,7 @@ WORD, WORD_OR_LINE = re.compile(r"\w+"), re.compile(r"\w+|\n")
 CHUNK_CHARS = 1 << 25
 #: what a line's key leaves out: ASCII that is no letter (line feeds part the lines), and usual signs
 NO_ASCII = bytes(c for c in range(128) if not chr(c).isalpha() and c != 10)
+WHITE = b" \t\n\r\x0b\x0c\x1c\x1d\x1e\x1f"  # what str.split() parts ASCII text at
 NO_LETTERS = {c: None for c in [*NO_ASCII, *range(0x80, 0xC0), 0x2013, 0x2014, 0x2018, 0x2019, 0x201C, 0x201D, 0x2022, 0x2026, 0x200B]}
 
 
@@ -121,7 +122,7 @@ def tokenise(docs: DataFrame) -> DataFrame:
             letters = low.encode().translate(None, NO_ASCII).split(b"\n") if low.isascii() else low.translate(NO_LETTERS).split("\n")
             keys += [xxhash.xxh64_intdigest(k) - (1 << 63) if len(k) >= LINE_LETTERS else 0 for k in letters]
             lines.append(len(letters))
-            t = xxhash.xxh3_128_intdigest("".join(text.replace("\u200b", "").split()))
+            t = xxhash.xxh3_128_intdigest(text.encode().translate(None, WHITE) if text.isascii() else "".join(text.replace("\u200b", "").split()))
             t1.append((t >> 64) - (1 << 63))
             t2.append((t & (1 << 64) - 1) - (1 << 63))
         arr, n = _word_hashes(tokens), np.array(lines, np.int64)
