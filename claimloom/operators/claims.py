@@ -30,19 +30,21 @@ def conflict_groups(claims: DataFrame, key: list[str] = CONFLICT_KEY, source: st
 def merge_intervals(claims: DataFrame, key: list[str]) -> DataFrame:
     """Greedy merge: in order of arrival each interval joins the first compatible one, which widens; else it opens its own.
 
-    A fold over the group's sorted (ord, lo, hi), in the JVM.
+    Equal intervals of a key are put together first (they join whatever the first of them joins), so the fold, in the JVM, goes
+    over the distinct intervals of a key in order of arrival: those of one entity, parameter, place and time.
     """
-    rows = F.array_sort(F.collect_list(F.struct("ord", "lo", "hi")))
+    same = claims.groupBy(*key, "lo", "hi").agg(F.min("ord").alias("ord"), F.count("*").cast("int").alias("n"))
+    rows = F.array_sort(F.collect_list(F.struct("ord", "lo", "hi", "n")))
     empty = F.array().cast("array<struct<lo:double,hi:double,n:int>>")
 
     def step(acc: Column, v: Column) -> Column:
         fits = F.transform(acc, lambda x: F.greatest(x["lo"], v["lo"]) <= F.least(x["hi"], v["hi"]) + SLACK)
         at = F.array_position(fits, F.lit(True))
-        opened = F.concat(acc, F.array(F.struct(v["lo"].alias("lo"), v["hi"].alias("hi"), F.lit(1).alias("n"))))
-        widened = F.transform(acc, lambda x, i: F.when(i == at - 1, F.struct(F.least(x["lo"], v["lo"]).alias("lo"), F.greatest(x["hi"], v["hi"]).alias("hi"), (x["n"] + 1).alias("n"))).otherwise(x))
+        opened = F.concat(acc, F.array(F.struct(v["lo"].alias("lo"), v["hi"].alias("hi"), v["n"].alias("n"))))
+        widened = F.transform(acc, lambda x, i: F.when(i == at - 1, F.struct(F.least(x["lo"], v["lo"]).alias("lo"), F.greatest(x["hi"], v["hi"]).alias("hi"), (x["n"] + v["n"]).alias("n"))).otherwise(x))
         return F.when(at > 0, widened).otherwise(opened)
 
-    g = claims.groupBy(*key).agg(rows.alias("_rows"))
+    g = same.groupBy(*key).agg(rows.alias("_rows"))
     merged = g.select(*key, F.posexplode(F.aggregate("_rows", empty, step)).alias("position", "m"))
     return merged.select(*key, "position", F.col("m.lo").alias("lo"), F.col("m.hi").alias("hi"), F.col("m.n").alias("members"))
 
@@ -61,15 +63,23 @@ def top_values(df: DataFrame, key: list[str], value: str, k: int = 5, order: str
     return n.withColumn("position", F.row_number().over(w)).where(F.col("position") <= k).drop("_first")
 
 
+def first_values(df: DataFrame, key: list[str], value: str, k: int) -> DataFrame:
+    """_s: the k smallest distinct values of each key, in order. Distinct first, then ranked within hash buckets, then within the key: no task sees more of a key than k values a bucket."""
+    d = df.where(F.col(value).isNotNull()).select(*key, value).distinct().withColumn("_b", F.pmod(F.xxhash64(value), F.lit(256)))
+    part = d.withColumn("_r", F.row_number().over(Window.partitionBy(*key, "_b").orderBy(value))).where(F.col("_r") <= k)
+    return part.groupBy(*key).agg(F.slice(F.array_sort(F.collect_list(value)), 1, k).alias("_s"))
+
+
 def value_summary(claims: DataFrame, key: list[str], k: int = 4) -> DataFrame:
     """Per key: least and greatest value, modal unit (ties to the smaller), count and the first k distinct values as text."""
-    units = top_units(claims, key)
-    g = claims.groupBy(*key).agg(F.count("*").alias("claims"), F.min("lo").alias("least"), F.max("hi").alias("greatest"), F.slice(F.array_sort(F.collect_set("raw_value_text")), 1, k).alias("_s"))
-    on = [g[c].eqNullSafe(units[c]) for c in key]
-    cond = on[0]
-    for c in on[1:]:
-        cond = cond & c
-    return g.join(units, cond, "left").select(*[g[c] for c in key], "claims", "least", "greatest", F.array_join("_s", "; ").alias("samples"), "unit")
+    g = claims.groupBy(*key).agg(F.count("*").alias("claims"), F.min("lo").alias("least"), F.max("hi").alias("greatest"))
+    for other in (first_values(claims, key, "raw_value_text", k), top_units(claims, key)):
+        other = other.withColumnsRenamed({c: f"_{c}" for c in key})
+        cond = F.lit(True)
+        for c in key:
+            cond &= F.col(c).eqNullSafe(F.col(f"_{c}"))
+        g = g.join(other, cond, "left").drop(*[f"_{c}" for c in key])
+    return g.select(*key, "claims", "least", "greatest", F.array_join(F.coalesce("_s", F.array().cast("array<string>")), "; ").alias("samples"), "unit")
 
 
 def top_units(claims: DataFrame, key: list[str]) -> DataFrame:

@@ -7,6 +7,7 @@ from collections.abc import Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from claimloom.functions.text import document_id, fallback_key, normalize_ws, text_hash
@@ -26,18 +27,28 @@ def unique_documents(keyed: DataFrame) -> DataFrame:
 
 
 def paragraphs(docs: DataFrame, least: int = 40) -> DataFrame:
-    """doc_id, position, char_offset and text of each line of at least `least` characters."""
-    lines = F.split(F.coalesce("text", F.lit("")), "\n")
-    # running offset: a fold over the line lengths
-    offsets = F.aggregate(lines, F.array(F.lit(0)), lambda acc, x: F.concat(acc, F.array(F.element_at(acc, -1) + F.length(x) + 1)))
-    p = docs.select("doc_id", F.posexplode(F.arrays_zip(lines.alias("line"), offsets.alias("off"))).alias("position", "z"))
-    return p.where(F.length(F.trim(F.col("z.line"))) >= least).select("doc_id", "position", F.col("z.off").alias("char_offset"), F.col("z.line").alias("paragraph"))
+    """doc_id, position, char_offset and text of each line of at least `least` characters.
+
+    The offset is a running sum over a text's lines as rows, linear in the length of the text. A text delivered twice keeps both
+    its copies' lines apart by a number of the row.
+    """
+    rows = docs.select("doc_id", "text", F.monotonically_increasing_id().alias("_row"))
+    t = rows.select("doc_id", "_row", F.posexplode(F.split(F.coalesce("text", F.lit("")), "\n", -1)).alias("position", "paragraph"))
+    before = Window.partitionBy("_row").orderBy("position").rowsBetween(Window.unboundedPreceding, -1)
+    p = t.withColumn("char_offset", F.coalesce(F.sum(F.length("paragraph") + 1).over(before), F.lit(0)).cast("int"))
+    return p.where(F.length(F.trim("paragraph")) >= least).select("doc_id", "position", "char_offset", "paragraph")
 
 
 def fingerprint(docs: DataFrame, id_col: str, hash_cols: list[str]) -> DataFrame:
-    """One SHA-256 over the sorted row hashes of each run; a run is a bounded unit (some hundreds of documents), and 64 characters a row are kept of it."""
+    """documents and fingerprint of each run, whatever the order of its rows: SHA-256 over the sums of the eight parts of the row hashes.
+
+    The sums are mergeable, so that a run (rows without one are a run too) of any size is hashed map-side; every row counts as often as it stands there.
+    """
     row = F.concat_ws("|", F.col(id_col).cast("string"), *[F.coalesce(F.col(c), F.lit("")) for c in hash_cols])
-    return docs.groupBy("run_id").agg(F.count("*").alias("documents"), F.sha2(F.array_join(F.array_sort(F.collect_list(F.sha2(row, 256))), "\n"), 256).alias("fingerprint"))
+    hashed = docs.select("run_id", F.sha2(row, 256).alias("_h"))
+    quarters = [F.sum(F.conv(F.substring("_h", 1 + 8 * k, 8), 16, 10).cast("decimal(38,0)")).alias(f"_q{k}") for k in range(8)]
+    g = hashed.groupBy("run_id").agg(F.count("*").alias("documents"), *quarters)
+    return g.select("run_id", "documents", F.sha2(F.concat_ws(",", *[F.col(f"_q{k}").cast("string") for k in range(8)]), 256).alias("fingerprint"))
 
 
 def qa_metrics(docs: DataFrame) -> DataFrame:

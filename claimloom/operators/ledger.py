@@ -52,6 +52,23 @@ def numbered(df: DataFrame, order: list[str], name: str) -> DataFrame:
     return parts.withColumn(name, F.row_number().over(Window.partitionBy("_part").orderBy(*order)) + base).drop("_part")
 
 
+def sequence(df: DataFrame, key: str, order: str) -> DataFrame:
+    """Adds position (1, 2, ... of each key in the given order) and previous (the order value before, null for the first).
+
+    Rows are ordered over (key, order) by ranges, so that a key with a third of the rows is spread over tasks: each range is numbered on
+    its own, and what the ranges before it hold of its first key is added (one row a range and key at its ends).
+    """
+    from claimloom.session import checkpoint
+
+    parts = checkpoint(df.repartitionByRange(key, order).withColumn("_part", F.spark_partition_id()))
+    per = parts.groupBy("_part", key).agg(F.count("*").alias("_n"), F.max(order).alias("_last"))
+    before = Window.partitionBy(key).orderBy("_part")  # the ranges a key is spread over
+    per = per.select("_part", key, F.coalesce(F.sum("_n").over(before.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_base"), F.lag("_last").over(before).alias("_carry"))
+    w = Window.partitionBy("_part", key).orderBy(order)
+    j = parts.withColumn("_i", F.row_number().over(w)).withColumn("_p", F.lag(order).over(w)).join(per, ["_part", key])
+    return j.select(*df.columns, (F.col("_i") + F.col("_base")).alias("position"), F.coalesce("_p", "_carry").alias("previous"))
+
+
 def with_ids(ledger: DataFrame, run: str, infix: str = "led") -> DataFrame:
     """ledger_id: sequential over ord, prefixed by the run's hash."""
     return numbered(ledger, ["ord"], "_n").withColumn("ledger_id", F.concat(F.substring(F.sha1(F.lit(run)), 1, 6), F.format_string(f"-{infix}-%06d", "_n"))).drop("_n")

@@ -87,7 +87,7 @@ def coverage_rollup(spark, d):
 @query("select parameter_id, list_aggregate(list_sort(list(distinct raw_value_text))[1:4], 'string_agg', '; ') samples from normalized_claims where raw_value_text is not null group by 1")
 def calibration_samples(spark, d):
     n = table(spark, d, "normalized_claims").where("raw_value_text is not null")
-    return n.groupBy("parameter_id").agg(F.array_join(F.slice(F.array_sort(F.collect_set("raw_value_text")), 1, 4), "; ").alias("samples"))
+    return C.first_values(n, ["parameter_id"], "raw_value_text", 4).select("parameter_id", F.array_join("_s", "; ").alias("samples"))
 
 
 @query("""with b as (select parameter_id, case common_unit when 'celsius' then 50.0 when '%' then 40.0 when 'days' then 160.0 when 'kg/ha' then 220.0 when 'fraction' then 1.0 end bound from parameter_manifest)

@@ -162,7 +162,7 @@ def doc_hits_bridge(spark, d):
     return table(spark, d, "query_hits").select("document_id", "capture_id", "parameter_id").join(doc, "document_id").select("corpus_id", "capture_id", "parameter_id").distinct()
 
 
-@query("select run_id, count(*) documents, sha256(string_agg(sha256(doc_id || '|' || coalesce(text_hash, '') || '|' || coalesce(content_hash, '')), chr(10) order by sha256(doc_id || '|' || coalesce(text_hash, '') || '|' || coalesce(content_hash, '')))) fingerprint from documents group by 1")
+@query("with h as (select run_id, sha256(doc_id || '|' || coalesce(text_hash, '') || '|' || coalesce(content_hash, '')) h from documents) select run_id, count(*) documents, sha256(concat_ws(',', " + ", ".join(f"sum(cast(('0x' || substr(h, {1 + 8 * k}, 8)) as bigint))" for k in range(8)) + ")) fingerprint from h group by 1")
 def corpus_fingerprint(spark, d):
     return D.fingerprint(table(spark, d, "documents"), "doc_id", ["text_hash", "content_hash"])
 

@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
-from pyspark.sql import Window
 
 from claimloom.functions import geo, values
 from claimloom.functions import text as X
 from claimloom.functions.keys import ordered_keys, search_pair_key
 from claimloom.operators import claims as C
+from claimloom.operators import ledger as L
+from claimloom.session import shared_folder
 from claimloom.sources import connectors, sinks
 from claimloom.sources.tables import table
 from claimloom.streaming import ledger_stream
@@ -126,8 +129,9 @@ def claim_cube(spark, d):
 
 @query("select doc_id, capture, previous_doc from (select doc_id, row_number() over (partition by source_domain order by doc_id) capture, coalesce(lag(doc_id) over (partition by source_domain order by doc_id), -1) previous_doc from documents where source_domain is not null)")
 def capture_sequence(spark, d):
-    w = Window.partitionBy("source_domain").orderBy("doc_id")
-    return table(spark, d, "documents").where("source_domain is not null").select("doc_id", F.row_number().over(w).cast("bigint").alias("capture"), F.coalesce(F.lag("doc_id").over(w), F.lit(-1)).alias("previous_doc"))
+    """Position and predecessor of each document within its domain."""
+    s = L.sequence(table(spark, d, "documents").where("source_domain is not null").select("doc_id", "source_domain"), "source_domain", "doc_id")
+    return s.select("doc_id", F.col("position").cast("bigint").alias("capture"), F.coalesce("previous", F.lit(-1)).alias("previous_doc"))
 
 
 # ---------------------------------------------------------------- sinks
@@ -143,26 +147,33 @@ def parameter_notes(spark, d):
 
 
 # ---------------------------------------------------------------- streaming extension
-def _streamed(spark, d, name: str, plan):
+def _streamed(spark, d, name: str, plan, mode: str = "append"):
+    """Runs a stream to the end of the data, into a table of the shared folder (its checkpoint beside it), and reads that table."""
     schema = table(spark, d, "events").select("event_id", "user_id", "event_type", "ts", "value").schema
     s = spark.readStream.schema(schema).option("pathGlobFilter", "events*").option("recursiveFileLookup", "true").parquet(d)
-    q = plan(s).writeStream.format("memory").queryName(name).outputMode("append").trigger(availableNow=True).start()
+    place = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+    out = plan(s)
+    if mode == "append":
+        q = out.writeStream.format("parquet").option("path", f"{place}/table").option("checkpointLocation", f"{place}/checkpoint").outputMode("append").trigger(availableNow=True).start()
+    else:  # the whole result of every trigger replaces the table
+        q = out.writeStream.foreachBatch(lambda df, _: df.write.mode("overwrite").parquet(f"{place}/table")).option("checkpointLocation", f"{place}/checkpoint").outputMode(mode).trigger(availableNow=True).start()
     q.awaitTermination()
-    return spark.table(name)
+    return spark.read.schema(out.schema).parquet(f"{place}/table")
 
 
-@query()
+@query("select user_id, event_type, count(*) > 0 seen from events group by 1, 2")
 def events_dedupe_stream(spark, d):
-    """Each (user, type) once within the watermark, as a stream run to the end of the data."""
-    plan = lambda s: ledger_stream.first_of_key(s.withColumn("at", F.col("ts").cast("timestamp")), ["user_id", "event_type"], late="3650 days").select("event_id", "user_id", "event_type")
+    """Each (user, type) once, as a stream run to the end of the data; the watermark is that of the table's length of time."""
+    days = table(spark, d, "events").agg((F.max(F.col("ts").cast("timestamp").cast("long")) - F.min(F.col("ts").cast("timestamp").cast("long"))) / 86400 + 1).first()[0] or 1
+    plan = lambda s: ledger_stream.first_of_key(s.withColumn("at", F.col("ts").cast("timestamp")), ["user_id", "event_type"], late=f"{int(days) + 1} days").select("user_id", "event_type", F.lit(True).alias("seen"))
     return _streamed(spark, d, "events_dedupe_stream", plan)
 
 
-@query()
+@query("select epoch_us(time_bucket(interval 1 day, cast(ts as timestamp))) window_start, event_type, count(*) n, max(value) best from events group by 1, 2")
 def events_window_stream(spark, d):
-    """Counts by window and type, emitted when the watermark has passed."""
+    """Counts by window and type; the last window stands in the table too, since every trigger writes the state as it is."""
     plan = lambda s: ledger_stream.windowed_counts(s.select(F.col("ts").cast("timestamp").alias("at"), "event_type", F.col("value").alias("score")), ["event_type"], width="1 day")
-    return _streamed(spark, d, "events_window_stream", plan)
+    return _streamed(spark, d, "events_window_stream", plan, "complete").withColumn("window_start", F.unix_micros("window_start"))
 
 
 @query("select claim_id, ord from (select claim_id, ord, row_number() over (partition by claim_id order by ord) rn from normalized_claims) where rn = 1")

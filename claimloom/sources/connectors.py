@@ -75,7 +75,8 @@ def results(provider: str, responses: DataFrame) -> DataFrame:
 def fixture_search(queries: DataFrame, fixtures: DataFrame, k: int = 10) -> DataFrame:
     """Fixtures (url, title, snippet, tags) that share words with a query, the k with most shared words.
 
-    An inverted join on words; no query meets a fixture it shares nothing with.
+    An inverted join on words; no query meets a fixture it shares nothing with. Fixtures are a fixed table of test pages (some hundreds
+    of rows), not a corpus.
     """
     from pyspark.sql import Window
 

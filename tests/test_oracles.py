@@ -7,11 +7,11 @@ import pandas as pd
 import pytest
 
 import __spark_entry__ as entry
-from claimloom.plans import claim_queries, extra_queries, lane_queries, planning_queries, reference_queries, source_queries, units_queries
+from claimloom.plans import claim_queries, extra_queries, lane_queries, planning_queries, reference_queries, sink_queries, source_queries, units_queries
 
 DATA = "/root/testdata/sf0.001"
 pytestmark = pytest.mark.skipif(not os.path.isdir(DATA), reason="no test tables")
-CORE = reference_queries.SQL | units_queries.SQL | source_queries.SQL | planning_queries.SQL | extra_queries.SQL | claim_queries.SQL | lane_queries.SQL
+CORE = reference_queries.SQL | units_queries.SQL | source_queries.SQL | planning_queries.SQL | extra_queries.SQL | claim_queries.SQL | lane_queries.SQL | sink_queries.SQL
 
 
 def rows(df: pd.DataFrame) -> list:
