@@ -56,7 +56,8 @@ CHUNK_CHARS = 1 << 25
 #: what a line's key leaves out: ASCII that is no letter (line feeds part the lines), and usual signs
 NO_ASCII = bytes(c for c in range(128) if not chr(c).isalpha() and c != 10)
 WHITE = b" \t\n\r\x0b\x0c\x1c\x1d\x1e\x1f"  # what str.split() parts ASCII text at
-NO_LETTERS = {c: None for c in [*NO_ASCII, *range(0x80, 0xC0), 0x2013, 0x2014, 0x2018, 0x2019, 0x201C, 0x201D, 0x2022, 0x2026, 0x200B]}
+#: usual signs beyond ASCII as UTF-8: U+0080 to U+00BF, dashes, quotes, bullet, ellipsis, zero width space
+SIGNS = re.compile(rb"\xc2[\x80-\xbf]|\xe2\x80[\x8b\x93\x94\x98\x99\x9c\x9d\xa2\xa6]")
 
 
 class _Words(dict):
@@ -108,6 +109,11 @@ def _word_hashes(words: list[str]) -> np.ndarray:
     return np.fromiter(map(_WORDS.__getitem__, words), np.int32, len(words))
 
 
+def long_enough(k: bytes) -> bool:
+    """Whether UTF-8 text has LINE_LETTERS characters."""
+    return len(k) >= LINE_LETTERS and (k.isascii() or len(k) >= 4 * LINE_LETTERS or len(k.decode("utf-8", "surrogatepass")) >= LINE_LETTERS)
+
+
 def tokenise(docs: DataFrame) -> DataFrame:
     """doc_id, batch_no, site, t1, t2 (hash of the text without white space), words (int32 bytes), line_key, line_words of every text that isn't blank; docs: doc_id, batch_no, site (hash), text."""
 
@@ -119,8 +125,9 @@ def tokenise(docs: DataFrame) -> DataFrame:
             low = text.lower()
             tokens += WORD_OR_LINE.findall(low)
             tokens.append("\n")
-            letters = low.encode().translate(None, NO_ASCII).split(b"\n") if low.isascii() else low.translate(NO_LETTERS).split("\n")
-            keys += [xxhash.xxh64_intdigest(k) - (1 << 63) if len(k) >= LINE_LETTERS else 0 for k in letters]
+            letters = low.encode("utf-8", "surrogatepass").translate(None, NO_ASCII)
+            letters = (letters if letters.isascii() else SIGNS.sub(b"", letters)).split(b"\n")
+            keys += [xxhash.xxh64_intdigest(k) - (1 << 63) if long_enough(k) else 0 for k in letters]
             lines.append(len(letters))
             t = xxhash.xxh3_128_intdigest(text.encode().translate(None, WHITE) if text.isascii() else "".join(text.replace("\u200b", "").split()))
             t1.append((t >> 64) - (1 << 63))
