@@ -7,7 +7,7 @@ contributor, whatever share of the rows it has. Full records are then semi- (or
 their unique id, which spreads a hot contributor over all tasks.
 
 Defined results: null scores rank last, ties by the smaller id; null run_id is a run of its own; rows
-without a site are never capped; an unknown or blank tier is `unclassified`; a row delivered twice
+without a site, and of a tier without a cap, are never capped; an unknown or blank tier is `unclassified`; a row delivered twice
 (same id and contributor) takes one place; an empty table gives an empty table; clashing names of
 extra columns do not matter, only the named columns are read.
 """
@@ -25,6 +25,7 @@ from pyspark.sql import functions as F
 from claimloom.functions.hosts import site_of
 
 SALTS = 16
+CAPPED = "contributor is not null and cap is not null"  # all others stay and reach no heap
 HEAP_SCHEMA = "contributor string, cap int, salt int, score double, doc_id bigint"
 
 
@@ -41,15 +42,25 @@ def cap_table(tiers: DataFrame) -> DataFrame:
 
 
 def prepare_contributors(docs: DataFrame, tiers: DataFrame, other: str = "unclassified") -> DataFrame:
-    """doc_id, contributor, cap, score; rows without a site have a null contributor."""
+    """doc_id, pool (the run), contributor, cap, score; rows without a site have a null contributor, those of a tier without a cap a null cap."""
     caps = F.broadcast(cap_table(tiers))
     by_id = F.broadcast(tiers.groupBy(F.col("tier_id").alias("_id")).agg(F.min("domain_cap").alias("_idcap")))
     site = site_of(F.col("source_domain"))
     d = docs.withColumn("_s", spelled_tier(F.col("source_tier_id"))).join(caps, F.col("_s") == F.col("_spell"), "left")
     d = d.withColumn("_tier", F.coalesce("_tier", F.lit(other))).join(by_id, F.col("_tier") == F.col("_id"), "left")
-    d = d.withColumn("cap", F.coalesce("_cap", "_idcap", F.lit(2**31 - 1)))
+    d = d.withColumn("cap", F.coalesce("_cap", "_idcap"))
     key = F.concat_ws("\x1f", F.coalesce("run_id", F.lit("\x00")), site, F.col("_tier"))
-    return d.select("doc_id", F.when(site.isNotNull(), key).alias("contributor"), "cap", F.nanvl("quality_score", F.lit(None).cast("double")).alias("score"))
+    return d.select("doc_id", F.coalesce("run_id", F.lit("\x00")).alias("pool"), F.when(site.isNotNull(), key).alias("contributor"), "cap", F.nanvl("quality_score", F.lit(None).cast("double")).alias("score"))
+
+
+def with_share(contributors: DataFrame, share: float) -> DataFrame:
+    """The cap of every contributor as a share of its pool's rows (at least one row), or its count cap where that is less.
+
+    A heap's bound is then share x rows of the pool: meant for pools of bounded size, such as runs.
+    """
+    size = contributors.groupBy("pool").agg(F.count_distinct("doc_id").alias("_rows"))
+    cap = F.greatest(F.lit(1), F.floor(F.col("_rows") * share)).cast("int")
+    return contributors.join(size, "pool").withColumn("cap", F.least("cap", cap)).drop("_rows")
 
 
 def _bounded_heaps(batches: Iterator[pa.RecordBatch], flush_rows: int = 400_000) -> Iterator[pa.RecordBatch]:
@@ -87,7 +98,7 @@ def _bounded_heaps(batches: Iterator[pa.RecordBatch], flush_rows: int = 400_000)
 
 def kept_ids(contributors: DataFrame, salts: int = SALTS) -> DataFrame:
     """contributor, doc_id of the pairs left in the merged heaps."""
-    salted = contributors.where("contributor is not null").select("contributor", "cap", F.pmod(F.xxhash64("doc_id"), F.lit(salts)).cast("int").alias("salt"), "score", "doc_id")
+    salted = contributors.where(CAPPED).select("contributor", "cap", F.pmod(F.xxhash64("doc_id"), F.lit(salts)).cast("int").alias("salt"), "score", "doc_id")
     local = salted.mapInArrow(_bounded_heaps, HEAP_SCHEMA)  # map side
     half = local.repartition("contributor", "salt").mapInArrow(_bounded_heaps, HEAP_SCHEMA)
     whole = half.repartition("contributor").mapInArrow(_bounded_heaps, HEAP_SCHEMA)
@@ -97,4 +108,4 @@ def kept_ids(contributors: DataFrame, salts: int = SALTS) -> DataFrame:
 def beyond_cap(contributors: DataFrame) -> DataFrame:
     """Rows with a contributor whose pair fell out of the heap; joined on the unique id."""
     kept = kept_ids(contributors).select(F.col("doc_id").alias("_kept")).distinct()
-    return contributors.where("contributor is not null").join(kept, F.col("doc_id") == F.col("_kept"), "left_anti").dropDuplicates(["doc_id"])
+    return contributors.where(CAPPED).join(kept, F.col("doc_id") == F.col("_kept"), "left_anti").dropDuplicates(["doc_id"])

@@ -27,9 +27,9 @@ CAPACITY, SHARD_BINS, LINEAR, QUADRATIC = 2048, 1024, 1.0, 1.0
 SHARD_ROWS = 200_000
 
 
-def pack(ids: np.ndarray, sizes: np.ndarray, capacity: int = CAPACITY, linear: float = LINEAR, quadratic: float = QUADRATIC) -> np.ndarray:
-    """Container of each item (sizes at most capacity), numbered from 0."""
-    order = np.lexsort((ids, -sizes))
+def pack(ids: np.ndarray, sizes: np.ndarray, capacity: int = CAPACITY, linear: float = LINEAR, quadratic: float = QUADRATIC, pieces: np.ndarray | None = None) -> np.ndarray:
+    """Container of each item (sizes at most capacity), numbered from 0; equal sizes in order of (id, piece)."""
+    order = np.lexsort((pieces, ids, -sizes)) if pieces is not None else np.lexsort((ids, -sizes))
     total = int(sizes.sum())
     bins = max(1, math.ceil(total / capacity), int((sizes * 2 > capacity).sum()))
     room = np.full(bins, capacity, np.int64)
@@ -60,7 +60,7 @@ def pack_documents(counts: DataFrame, capacity: int = CAPACITY, shard_bins: int
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values(["doc_id", "piece"], kind="stable")
-        pdf["container"] = pack(pdf["doc_id"].to_numpy() * 1000 + pdf["piece"].to_numpy() % 1000, pdf["n_tokens"].to_numpy(), capacity) * shards + pdf["shard"].to_numpy()
+        pdf["container"] = pack(pdf["doc_id"].to_numpy(), pdf["n_tokens"].to_numpy(), capacity, pieces=pdf["piece"].to_numpy()) * shards + pdf["shard"].to_numpy()
         return pdf
 
     return items.groupBy("shard").applyInPandas(run, "doc_id bigint, piece int, first_token bigint, n_tokens bigint, shard int, container bigint").drop("shard")

@@ -9,7 +9,7 @@ from claimloom.functions.hosts import host_of
 from claimloom.llm import oracles
 from claimloom.llm.batch_index import BatchIndex
 from claimloom.llm.best_record import best_records, claim_key
-from claimloom.llm.contributor_cap import beyond_cap, prepare_contributors
+from claimloom.llm.contributor_cap import beyond_cap, prepare_contributors, with_share
 from claimloom.llm.new_batches import duplicates, index_recall
 from claimloom.llm.packing import pack_documents
 from claimloom.llm.scan_noise import fit_repairer, repair_texts
@@ -50,6 +50,11 @@ def p2_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return beyond_cap(_contributors(spark, sf_dir)).select("doc_id")
 
 
+def p2_share(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents beyond their site's cap or a hundredth of their run, whichever is less."""
+    return beyond_cap(with_share(_contributors(spark, sf_dir), 0.01)).select("doc_id")
+
+
 def p2_kept(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents that stay: those within the cap and those without a site."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "source_domain", "quality_score")
@@ -80,7 +85,7 @@ def p7_levels(spark: SparkSession, sf_dir: str) -> DataFrame:
     return patterns.join(longest, "length", "left").select("length", "patterns", "occurrences", F.coalesce("lines", F.lit(0)).alias("lines"))
 
 
-QUERIES |= {"p1_found": p1_found, "p1_records": p1_records, "p1_rebuilt": p1_rebuilt, "p2_found": p2_found, "p2_kept": p2_kept, "p7_found": p7_found, "p7_clean": p7_clean, "p7_levels": p7_levels}
+QUERIES |= {"p1_found": p1_found, "p1_records": p1_records, "p1_rebuilt": p1_rebuilt, "p2_found": p2_found, "p2_kept": p2_kept, "p2_share": p2_share, "p7_found": p7_found, "p7_clean": p7_clean, "p7_levels": p7_levels}
 
 
 def p8_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
