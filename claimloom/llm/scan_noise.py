@@ -49,7 +49,8 @@ FIX_PART = 1_000_000
 FIELDS = ("claim_text", "evidence_text")
 WORD = regex.compile(r"\w+")
 LETTERS = regex.compile(r"[^\p{L}]+")
-TERMINAL = regex.compile(r"[.!?…:;][\"”’'»)\]]*$|[”»)\]]$")
+MARKS, CLOSERS, CLOSED = ".!?…:;", "\"”’'»)]", "”»)]"  # a sentence ends in a mark, closers after it; some closers end one by themselves
+HYPHENS = "-‐‑\u00ad¬"
 END = regex.compile(r"(?!\.\.\.)[\"”’'»)\]]*[.!?:;]")
 MORE = regex.compile(r"(?:\W*\b(?:read more|more|continued|cont)\W*|&\w{1,6})$", regex.I)  # a mark of a cut, not the text's own words
 BULLET = regex.compile(r"^\s*(?:[-•*»|–—]|\d{1,2}[.)])\s+\p{L}")
@@ -64,6 +65,16 @@ HEAD_WORDS = regex.compile(r"\bet al\b|\bbulletin of\b|\breports?\b|\bproceeding
 LINE_FEATURES, JOIN_FEATURES = 16, 12
 
 
+def ends(s: str) -> bool:
+    """Whether a text ends like a sentence."""
+    return s.rstrip(CLOSERS)[-1:] in MARKS and s.rstrip(CLOSERS) != "" or s != "" and s[-1] in CLOSED
+
+
+def hyphen(s: str):
+    """The match of a word that a hyphen parts at the end of a line."""
+    return HYPHEN.search(s) if s.rstrip(" \t")[-1:] in HYPHENS and s.strip() else None
+
+
 def side_number(line: str) -> bool:
     """A page number at the left or right of a head."""
     return bool(LEFT_NUMBER.match(line)) or bool(RIGHT_NUMBER.search(line[-16:])) and bool(LOWER.search(line) or UPPER.search(line))
@@ -329,7 +340,7 @@ class Lines:
     def ends_sentence(self, line: str) -> bool:
         """A line that ends a sentence and has no sign of a head or page number; such a line is text."""
         s = line.strip()
-        return bool(TERMINAL.search(s)) and not (s.isupper() or s.endswith("…") or PAGE.match(s) or side_number(line) or ISSUE.search(s) or HEAD.search(s))
+        return ends(s) and not (s.isupper() or s.endswith("…") or PAGE.match(s) or side_number(line) or ISSUE.search(s) or HEAD.search(s))
 
     def features(self, line: str, before: str | None, after: str | None, own: bool) -> list[float]:
         s = line.strip()
@@ -338,21 +349,21 @@ class Lines:
         lower = len(LOWER.findall(s))
         words = s.split()
         capital = sum(w[0].isupper() for w in words) / max(1, len(words))
-        opens = before is not None and not TERMINAL.search(before.rstrip())
+        opens = before is not None and not ends(before.rstrip())
         runs_on = after is not None and after.lstrip()[:1].islower()
         return [
             float(own), float(bool(PAGE.match(s))), float(side_number(line)), float(bool(ISSUE.search(s))), float(bool(HEAD.search(s))),
-            upper / max(1, upper + lower), capital, float(bool(TERMINAL.search(s))), float(bool(BULLET.match(line))), len(DIGIT.findall(s)) / n,
+            upper / max(1, upper + lower), capital, float(ends(s)), float(bool(BULLET.match(line))), len(DIGIT.findall(s)) / n,
             min(n, 200) / 200, float(opens), float(runs_on), float(s[:1].islower()), float(before is None), float(s.endswith("…")),
         ]
 
     def joins(self, a: str, b: str, own_a: bool, own_b: bool) -> list[float]:
-        h = HYPHEN.search(a)
+        h = hyphen(a)
         first = WORD.match(b.lstrip())
         whole = (h[1] + first[0]) if h and first else ""
         last = WORD.findall(a)[-1:] or [""]
         return [
-            float(h is not None), float(whole.lower() in self.vocabulary), float(bool(TERMINAL.search(a.rstrip()))), float(b.lstrip()[:1].islower()), float(own_a), float(own_b),
+            float(h is not None), float(whole.lower() in self.vocabulary), float(ends(a.rstrip())), float(b.lstrip()[:1].islower()), float(own_a), float(own_b),
             float(bool(BULLET.match(b))), float(bool(BULLET.match(a))), float(b.lstrip()[:1].isdigit()), float(last[0].lower() in self.vocabulary), len(last[0]), min(len(a), 200) / 200,
         ]
 
@@ -477,7 +488,7 @@ class Repairer:
         return result
 
     def _together(self, a: str, b: str) -> str:
-        h, first, known = HYPHEN.search(a), WORD.match(b.lstrip()), self.lines.vocabulary
+        h, first, known = hyphen(a), WORD.match(b.lstrip()), self.lines.vocabulary
         if not h:
             return a.rstrip() + " " + b.lstrip()
         whole = (h[1] + (first[0] if first else "")).lower()
