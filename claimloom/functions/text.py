@@ -96,3 +96,14 @@ def table_like(col: Column) -> Column:
     numbers = F.size(F.filter(parts, lambda p: p.rlike(r"^[0-9.,%]+$")))
     capitals = F.size(F.filter(parts, lambda p: p.rlike(r"^[A-Z]")))
     return (F.size(parts) >= 6) & (((numbers >= 5) & (numbers * 2 >= F.size(parts))) | ((capitals >= 4) & (numbers >= 2)))
+
+
+def title_case(col: Column) -> Column:
+    """Words parted by spaces and underscores, each with a capital and else small."""
+    words = F.filter(F.split(F.coalesce(col, F.lit("")), r"[\s_]+"), lambda w: w != "")
+    return F.array_join(F.transform(words, lambda w: F.concat(F.upper(F.substring(w, 1, 1)), F.lower(F.substring(w, F.lit(2), F.length(w))))), " ")
+
+
+def safe_filename(col: Column) -> Column:
+    """A name without the characters that file systems keep for themselves."""
+    return F.trim(F.regexp_replace(F.regexp_replace(F.coalesce(col, F.lit("")), r"[\\/:*?\"<>|]+", " "), r"\s+", " "))

@@ -65,3 +65,20 @@ def value_signature(value_type: Column, value: Column, low: Column, high: Column
     n = lambda c: F.format_string("%.4f", c)
     u = F.coalesce(unit, F.lit(""))
     return F.when((value_type == "numeric") & value.isNotNull(), F.concat_ws("|", F.lit("n"), n(value), u)).when((value_type == "range") & low.isNotNull() & high.isNotNull(), F.concat_ws("|", F.lit("r"), n(low), n(high), u)).otherwise(F.concat_ws("|", F.lit("t"), F.lower(F.trim(F.coalesce(text, F.lit(""))))))
+
+
+#: What a statement observes, by its qualifier (fixed values).
+OBSERVATIONS = {"risk": "risk", "recommended": "recommendation", "threshold": "threshold", "optimal": "condition", "descriptive": "condition"}
+
+
+def observation_type(qualifier: Column, kinds: dict[str, str] = OBSERVATIONS, default: str = "condition") -> Column:
+    table = F.create_map(*[F.lit(x) for kv in kinds.items() for x in kv])
+    return F.coalesce(F.try_element_at(table, F.lower(F.trim(F.coalesce(qualifier, F.lit(""))))), F.lit(default))
+
+
+def all_temperatures(col: Column) -> Column:
+    """Every temperature in a text in degrees Celsius (Fahrenheit converted), in order of mention."""
+    pattern = r"(-?[0-9]+(?:\.[0-9]+)?) ?(?:°|degrees |deg )?([CF]|Celsius|Fahrenheit|celsius|fahrenheit)\b"
+    t = F.coalesce(col, F.lit(""))
+    numbers, units = F.regexp_extract_all(t, F.lit(pattern), F.lit(1)), F.regexp_extract_all(t, F.lit(pattern), F.lit(2))
+    return F.transform(F.arrays_zip(numbers.alias("n"), units.alias("u")), lambda x: F.when(F.lower(F.substring(x["u"], 1, 1)) == "f", fahrenheit_to_celsius(x["n"].cast("double"))).otherwise(x["n"].cast("double")))

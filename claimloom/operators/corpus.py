@@ -6,7 +6,7 @@ import html.parser
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
@@ -52,7 +52,7 @@ def fingerprint(docs: DataFrame, id_col: str, hash_cols: list[str]) -> DataFrame
 
 
 def qa_metrics(docs: DataFrame) -> DataFrame:
-    """Duplicate ratio, shares and gates of a corpus in one aggregate."""
+    """Duplicate ratio, shares and two gates of a corpus in one aggregate."""
     h = text_hash(F.col("text"))
     has = h != ""
     agg = docs.agg(
@@ -68,6 +68,14 @@ def qa_metrics(docs: DataFrame) -> DataFrame:
     return agg.withColumn("duplicate_ratio", dup).withColumn("metadata_share", meta).withColumn("gate_duplicates", dup < 0.10).withColumn("gate_metadata", meta < 0.15)
 
 
+def qa_gates(docs: DataFrame, background: Column, has_table: Column) -> DataFrame:
+    """The four gates of a corpus and whether all are passed: copies, pages without text, background sources, and whether there are tables at all."""
+    share = docs.agg(F.round(F.avg(background.cast("int")), 3).alias("background_share"), F.count_if(has_table).alias("documents_with_tables"))
+    m = qa_metrics(docs).join(F.broadcast(share), how="cross")  # two single rows
+    m = m.withColumns({"gate_background": F.col("background_share") < 0.15, "gate_tables": F.col("documents_with_tables") > 0})
+    return m.withColumn("passed", F.col("gate_duplicates") & F.col("gate_metadata") & F.col("gate_background") & F.col("gate_tables"))
+
+
 class _Blocks(html.parser.HTMLParser):
     SKIP = {"script", "style", "noscript", "nav", "header", "footer", "aside"}
     HEAD, CELL = {"h1", "h2", "h3", "h4"}, {"td", "th"}
@@ -133,11 +141,8 @@ class _Blocks(html.parser.HTMLParser):
 def html_blocks(text: str | None, least: int = 40) -> list[tuple[str, str]]:
     """(type, text) of headings, paragraphs of at least `least` characters and tables of two or more rows."""
     p = _Blocks()
-    try:
-        p.feed(text or "")
-        p._close()
-    except (AssertionError, ValueError):
-        pass
+    p.feed(text or "")
+    p._close()
     return [(k, t) for k, t in p.blocks if k != "paragraph" or len(t) >= least]
 
 
@@ -159,3 +164,68 @@ def next_revision(previous: DataFrame, current: DataFrame) -> DataFrame:
     p = previous.select("run_id", F.col("fingerprint").alias("old"), F.col("revision").alias("old_revision"))
     rev = F.when(F.col("old").isNull(), 1).when(F.col("old") == F.col("fingerprint"), F.col("old_revision")).otherwise(F.col("old_revision") + 1)
     return current.join(p, "run_id", "left").select("run_id", "fingerprint", rev.cast("int").alias("revision"), F.when(F.col("old") != F.col("fingerprint"), F.col("old")).alias("previous_fingerprint"))
+
+
+class _Sections(_Blocks):
+    """Blocks with their section: the heading above, its level and an anchor; captions of tables; the date in the head."""
+
+    DATES = {"article:published_time", "citation_publication_date", "dc.date", "date", "datepublished"}
+
+    def __init__(self):
+        super().__init__()
+        self.level, self.id, self.captions, self.date, self.rows = 0, "", [], "", []
+
+    def handle_starttag(self, tag, attrs):
+        got = dict(attrs)
+        if tag == "meta" and not self.date and (got.get("name") or got.get("property") or got.get("itemprop") or "").lower() in self.DATES:
+            self.date = (got.get("content") or "").strip()
+        super().handle_starttag(tag, attrs)
+        self._sync()
+        if not self.skip and tag in self.HEAD:
+            self.level, self.id = int(tag[1]), got.get("id") or ""
+        elif not self.skip and tag == "caption":
+            self.buf, self.kind = [], "caption"
+
+    def handle_endtag(self, tag):
+        if tag == "caption" and self.kind == "caption":
+            self.captions.append(" ".join("".join(self.buf).split()))
+            self.buf, self.kind = [], ""
+        super().handle_endtag(tag)
+        self._sync()
+
+    def _sync(self):
+        """What is known of the blocks that have just been closed."""
+        for kind, _ in self.blocks[len(self.rows) :]:
+            self.rows.append((self.level, self.id, "") if kind == "heading" else (0, "", self.captions.pop() if kind == "table" and self.captions else ""))
+
+
+def html_sections(text: str | None, least: int = 40) -> list[tuple[str, str, str, int, str, str, str]]:
+    """(type, text, section, level, anchor, caption, date) of a page's blocks: the section is the nearest heading above; a heading without an id has its slug for anchor."""
+    p = _Sections()
+    p.feed(text or "")
+    p.close()
+    p._close()
+    p._sync()
+    out, section, level, anchor = [], "", 0, ""
+    for (kind, block), (n, own, caption) in zip(p.blocks, p.rows):
+        if kind == "heading":
+            section, level = block, n
+            anchor = own or "-".join("".join(c if c.isalnum() else " " for c in block.lower()).split())
+        elif kind == "paragraph" and len(block) < least:
+            continue
+        out.append((kind, block, section, level, anchor, caption, p.date))
+    return out
+
+
+def page_sections(pages: DataFrame, key: str = "doc_id", source: str = "html") -> DataFrame:
+    """key, position, block_type, block_text, section, level, anchor, caption, date of each block; a page that cannot be parsed raises."""
+    kinds = [pa.int64(), pa.int32(), pa.string(), pa.string(), pa.string(), pa.int32(), pa.string(), pa.string(), pa.string()]
+    names = [key, "position", "block_type", "block_text", "section", "level", "anchor", "caption", "date"]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            rows = [(k, i, *x) for k, src in zip(b.column("key").to_pylist(), b.column("src").to_pylist()) for i, x in enumerate(html_sections(src))]
+            cols = list(zip(*rows)) if rows else [[]] * len(names)
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, kinds)], names=names)
+
+    return pages.select(F.col(key).cast("bigint").alias("key"), F.col(source).alias("src")).mapInArrow(run, f"{key} bigint, position int, block_type string, block_text string, section string, level int, anchor string, caption string, date string")

@@ -62,3 +62,12 @@ def unknown_references(seeds: DataFrame, parameters: DataFrame) -> DataFrame:
 def without_back_matter(text: Column) -> Column:
     """The text without what stands between a 'References' line and the next 'Chapter' heading or the end; one linear pattern."""
     return F.regexp_replace(F.coalesce(text, F.lit("")), r"(?ims)^[ \t]*(?:references|bibliography|literature cited)[ \t]*$.*?(?=^[ \t]*chapter |\z)", "")
+
+
+def provider_routes(tiers: DataFrame, routes: list[tuple[int, tuple[str, ...]]], otherwise: tuple[str, ...]) -> DataFrame:
+    """tier, provider: the providers of the first route whose greatest priority holds the tier's. tiers: tier, priority."""
+    names = lambda some: F.array(*[F.lit(x) for x in some])
+    out = F.when(F.lit(False), names(otherwise))
+    for most, some in routes:
+        out = out.when(F.col("priority") <= most, names(some))
+    return tiers.select("tier", F.explode(out.otherwise(names(otherwise))).alias("provider"))

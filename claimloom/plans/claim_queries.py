@@ -6,6 +6,9 @@ from pyspark.sql import functions as F
 
 from claimloom.functions import geo as G
 from claimloom.functions import quality as Q
+from claimloom.functions import text as T
+from claimloom.functions import values
+from claimloom.operators import corpus as D
 from claimloom.operators import evaluate as E
 from claimloom.operators import extraction as X
 from claimloom.plans.reference_queries import CLAIM_SQL, claims
@@ -339,3 +342,41 @@ def review_rows(spark, d):
 def review_summary(spark, d):
     n = table(spark, d, "durable_claims").select(F.regexp_replace(F.lower(F.trim("promotion_decision")), r"[ -]+", "_").alias("d"))
     return n.agg(F.count("*").alias("reviewed"), F.count_if(F.col("d").isin("canonical_candidate", "merge_candidate")).alias("durable"), F.count_if(F.col("d") == "needs_review").alias("manual"), F.count_if(F.col("d") == "reject").alias("rejected"), F.count_if(F.col("d") == "seasonal_observation").alias("seasonal"))
+
+
+# ------------------------------------------------------------ names, values, gates, pages
+@query("""select ord, array_to_string(list_transform(list_filter(string_split_regex(coalesce(entity_name, ''), '[\\s_]+'), lambda w: w <> ''), lambda w: upper(left(w, 1)) || lower(substr(w, 2))), ' ') title, trim(regexp_replace(regexp_replace(coalesce(source_title, ''), '[\\\\/:*?"<>|]+', ' ', 'g'), '\\s+', ' ', 'g'), ' ') file_name from normalized_claims""")
+def display_names(spark, d):
+    return table(spark, d, "normalized_claims").select("ord", T.title_case(F.col("entity_name")).alias("title"), T.safe_filename(F.col("source_title")).alias("file_name"))
+
+
+_T = "(-?[0-9]+(?:\\.[0-9]+)?) ?(?:°|degrees |deg )?([CF]|Celsius|Fahrenheit|celsius|fahrenheit)\\b"
+
+
+@query(f"""with t as (select ord, regexp_extract_all(coalesce(claim_text, ''), '{_T}', 1) n, regexp_extract_all(coalesce(claim_text, ''), '{_T}', 2) u from normalized_claims)
+select ord, i as position, case when lower(left(u[i], 1)) = 'f' then round((cast(n[i] as double) - 32.0) * 5.0 / 9.0, 2) else cast(n[i] as double) end celsius from (select ord, n, u, cast(unnest(range(1, len(n) + 1)) as int) i from t)""")
+def text_temperatures(spark, d):
+    """Temperatures in claims, all in Celsius."""
+    n = table(spark, d, "normalized_claims").select("ord", F.posexplode(values.all_temperatures(F.col("claim_text"))).alias("p", "celsius"))
+    return n.select("ord", (F.col("p") + 1).alias("position"), "celsius")
+
+
+@query("select ord, case lower(trim(coalesce(qualifier, ''), ' ')) when 'risk' then 'risk' when 'recommended' then 'recommendation' when 'threshold' then 'threshold' else 'condition' end observation from normalized_claims")
+def observation_types(spark, d):
+    return table(spark, d, "normalized_claims").select("ord", values.observation_type(F.col("qualifier")).alias("observation"))
+
+
+@query("""select round(avg(case when coalesce(document_type, '') = 'other' then 1 else 0 end), 3) background_share, count(*) filter (contains(coalesce(text, ''), ' | ')) documents_with_tables,
+ round(avg(case when coalesce(document_type, '') = 'other' then 1 else 0 end), 3) < 0.15 gate_background, count(*) filter (contains(coalesce(text, ''), ' | ')) > 0 gate_tables, round(cast(count(*) filter (coalesce(is_metadata_only, false)) as double) / count(*), 3) < 0.15 gate_metadata from documents""")
+def corpus_gates(spark, d):
+    """The gates of a corpus."""
+    g = D.qa_gates(table(spark, d, "documents"), F.coalesce("document_type", F.lit("")) == "other", F.contains(F.coalesce("text", F.lit("")), F.lit(" | ")))
+    return g.select("background_share", "documents_with_tables", "gate_background", "gate_tables", "gate_metadata")
+
+
+@query()
+def page_sections(spark, d):
+    """Blocks of pages with section, level, anchor, caption and date (texts wrapped in markup as stand-in pages; parsed with an HTML parser, no SQL twin)."""
+    body = F.regexp_replace(F.regexp_replace("text", "[<>&]", " "), "\n", "</p><p>")
+    html = F.concat(F.lit("<html><head><meta name='date' content='2020-01-02'></head><h1 id='top'>"), F.coalesce("title", F.lit("")), F.lit("</h1><p>"), body, F.lit("</p></html>"))
+    return D.page_sections(table(spark, d, "documents").where("text is not null").select("doc_id", html.alias("html")))

@@ -280,11 +280,13 @@ def claim_latest(spark, d):
 
 
 KEY4 = ["parameter_id", "location_name", "attribute_subtype", "management_system"]
+CONFLICT_SQL = ", ".join(C.CONFLICT_KEY)
 
 
-@query(f"with {CLAIM_SQL} select parameter_id, location_name, attribute_subtype, management_system, count(*) members, count(distinct source_domain) sources, max(lo) max_lo, min(hi) min_hi, count(distinct source_domain) > 1 and max(lo) > min(hi) + 0.5 conflict from cl where lo is not null group by 1, 2, 3, 4")
+@query(f"with {CLAIM_SQL} select {CONFLICT_SQL}, count(*) members, count(distinct source_domain) sources, max(lo) max_lo, min(hi) min_hi, count(distinct source_domain) > 1 and max(lo) > min(hi) + 0.5 conflict from cl where lo is not null group by {CONFLICT_SQL}")
 def claim_conflict_groups(spark, d):
-    return C.conflict_groups(claims(spark, d).where("lo is not null"), KEY4)
+    """Conflicts by the whole applicability key."""
+    return C.conflict_groups(claims(spark, d).where("lo is not null"))
 
 
 @query(f"""with {CLAIM_SQL}, g as (select parameter_id, location_name, attribute_subtype, management_system, count(distinct source_domain) > 1 and max(lo) > min(hi) + 0.5 conflict from cl where lo is not null group by 1, 2, 3, 4)

@@ -11,6 +11,7 @@ from claimloom.functions import text as X
 from claimloom.functions.keys import ordered_keys, search_pair_key
 from claimloom.operators import claims as C
 from claimloom.operators import ledger as L
+from claimloom.operators.planning import provider_routes
 from claimloom.session import shared_folder
 from claimloom.sources import connectors, sinks
 from claimloom.sources.tables import table
@@ -67,7 +68,7 @@ def oa_resolve(spark, d):
 @query("""with t as (select tier_id, unnest(case when priority <= 2 then ['openalex', 'crossref'] when priority <= 5 then ['google_books'] else ['wikipedia'] end) provider from source_tiers)
 select p.parameter_id, t.tier_id tier, t.provider from parameter_manifest p cross join t""")
 def tier_routing(spark, d):
-    t = table(spark, d, "source_tiers").select(F.col("tier_id").alias("tier"), F.explode(F.when(F.col("priority") <= 2, F.array(F.lit("openalex"), F.lit("crossref"))).when(F.col("priority") <= 5, F.array(F.lit("google_books"))).otherwise(F.array(F.lit("wikipedia")))).alias("provider"))
+    t = provider_routes(table(spark, d, "source_tiers").select(F.col("tier_id").alias("tier"), "priority"), [(2, ("openalex", "crossref")), (5, ("google_books",))], ("wikipedia",))
     return table(spark, d, "parameter_manifest").select("parameter_id").join(F.broadcast(t), how="cross")
 
 
@@ -116,9 +117,8 @@ def numeric_matches(spark, d):
 
 @query("""select ord, qualifier, case lower(trim(coalesce(qualifier, ''))) when 'about' then 'approximate' when 'at least' then 'lower_bound' when 'up to' then 'upper_bound' when 'qualitative' then 'qualitative' else 'exact' end observation from normalized_claims""")
 def qualifier_map(spark, d):
-    q = F.lower(F.trim(F.coalesce("qualifier", F.lit(""))))
-    kind = F.when(q == "about", "approximate").when(q == "at least", "lower_bound").when(q == "up to", "upper_bound").when(q == "qualitative", "qualitative").otherwise("exact")
-    return table(spark, d, "normalized_claims").select("ord", "qualifier", kind.alias("observation"))
+    kinds = {"about": "approximate", "at least": "lower_bound", "up to": "upper_bound", "qualitative": "qualitative"}
+    return table(spark, d, "normalized_claims").select("ord", "qualifier", values.observation_type(F.col("qualifier"), kinds, "exact").alias("observation"))
 
 
 @query("select run_id, document_type, count(*) n, count(distinct source_url) sources from normalized_claims group by grouping sets ((run_id), (document_type), ())")

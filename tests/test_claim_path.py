@@ -174,3 +174,10 @@ def test_captures_fall_back_to_metadata(spark):
     answers = spark.createDataFrame([("u1", "word " * 100, "text/html", None)], "url string, text string, content_type string, error string")
     caps = fetching.captures(q, fetching.salvaged(fetching.fetched(fetching.urls_once(q), lambda urls: answers)), "run").collect()
     assert sorted((r["ord"], r["status"]) for r in caps) == [(1, "parsed"), (1, "parsed"), (2, "captured"), (3, "captured")]
+
+
+def test_sections_anchors_captions_and_date():
+    page = "<head><meta property='article:published_time' content='2021-02-03'></head><h1 id='a'>One</h1><p>" + "x" * 50 + "</p><h2>Two & Three</h2><table><caption>Yields</caption><tr><td>a</td></tr><tr><td>b</td></tr></table><p>short</p>"
+    got = corpus.html_sections(page)
+    assert [(k, s, n, a, c) for k, _, s, n, a, c, _ in got] == [("heading", "One", 1, "a", ""), ("paragraph", "One", 1, "a", ""), ("heading", "Two & Three", 2, "two-three", ""), ("table", "Two & Three", 2, "two-three", "Yields")]
+    assert {x[-1] for x in got} == {"2021-02-03"} and corpus.html_sections(None) == [] and len(corpus.html_sections("<p>" + "y" * 60)) == 1
