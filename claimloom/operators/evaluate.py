@@ -56,7 +56,7 @@ def faithful(evidence: Column, gold_value: Column, marker: Column) -> Column:
     return (text != "") & F.when(F.coalesce(marker, F.lit("")) != "", F.contains(text, F.lower(marker))).when(gold_value.isNull(), F.lit(True)).otherwise(near)
 
 
-def extraction_scores(gold: DataFrame, predictions: DataFrame) -> DataFrame:
+def extraction_report(gold: DataFrame, predictions: DataFrame) -> DataFrame:
     """Per domain and over all (rollup): gold, recall, parameter mapping, unit correctness and faithfulness of the first hit, in shares.
 
     gold: gold_id, doc, parameter_id, domain, value_type, value, low, high, text, unit, marker; predictions: doc, parameter_id,

@@ -102,17 +102,16 @@ def merged(claims: DataFrame, run: str, key: list[str] = APPLICABILITY) -> DataF
 
     Texts of a key are one claim if they are equal; numbers and ranges, in order of arrival, join the first
     compatible claim of their key, which widens. Sources are united in order. Groups are numbered as they were first seen, texts
-    before numbers. claims: the key, ord, claim_text, value_type, lo, hi, source_urls. A group is one
-    entity's claims on one parameter, place and time; equal values of a group are put together before the fold, so its
-    rows are the distinct intervals.
+    before numbers. claims: the key, ord, claim_text, value_type, lo, hi, source_urls. The fold is sequential by definition (an equal
+    interval that comes later may join an earlier one that has widened since); a group is one entity's claims on one parameter, place and time.
     """
     k = F.struct(*key)
     numeric = F.col("value_type").isin("numeric", "range") & F.col("lo").isNotNull()
     urls = lambda c: F.array_distinct(F.flatten(F.transform(F.array_sort(F.collect_list(F.struct("ord", c))), lambda x: x[c])))
     text = claims.where(~numeric).groupBy(k.alias("k"), "claim_text").agg(F.min("ord").alias("ord"), F.count("*").alias("members"), urls("source_urls").alias("source_urls"))
     text = text.select("k", "ord", F.lit(0).alias("kind"), "claim_text", F.lit(None).cast("double").alias("lo"), F.lit(None).cast("double").alias("hi"), "members", "source_urls")
-    same = claims.where(numeric).groupBy(k.alias("k"), "lo", "hi").agg(F.min("ord").alias("ord"), F.min_by("claim_text", "ord").alias("claim_text"), F.count("*").alias("members"), urls("source_urls").alias("source_urls"))
-    rows = same.groupBy("k").agg(F.array_sort(F.collect_list(F.struct("ord", "claim_text", "lo", "hi", "members", "source_urls"))).alias("rows"))
+    one = claims.where(numeric).select(k.alias("k"), F.col("ord").cast("bigint").alias("ord"), "claim_text", "lo", "hi", F.lit(1).cast("bigint").alias("members"), "source_urls")
+    rows = one.groupBy("k").agg(F.array_sort(F.collect_list(F.struct("ord", "claim_text", "lo", "hi", "members", "source_urls"))).alias("rows"))
     row = "struct<ord:bigint,claim_text:string,lo:double,hi:double,members:bigint,source_urls:array<string>>"
 
     def step(acc: Column, v: Column) -> Column:

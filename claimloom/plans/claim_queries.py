@@ -193,7 +193,7 @@ s as (select "domain", grouping("domain") overall, count(*) gold, count(*) filte
 select "domain", cast(overall as tinyint) overall, gold, case when gold = 0 then 0.0 else round(hits / gold, 4) end recall, case when gold = 0 then 0.0 else round(mapped / gold, 4) end parameter_mapping_accuracy, case when hits = 0 then 0.0 else round(units / hits, 4) end unit_correctness, case when hits = 0 then 0.0 else round(fa / hits, 4) end evidence_faithfulness from s""")
 def eval_extraction_full(spark, d):
     """Recall, mapping, unit correctness and faithfulness, per domain and over all."""
-    return E.extraction_scores(_gold(spark, d), _predictions(spark, d))
+    return E.extraction_report(_gold(spark, d), _predictions(spark, d))
 
 
 @query(f"""with {CLAIM_SQL}, {GOLD_SQL}, {PRED_SQL}, o as (select p.ord, bool_or({HIT_SQL}) h from pred p join gold g on g.doc = p.doc and g.parameter_id = p.parameter_id group by 1)

@@ -34,18 +34,14 @@ def test_merge_equals_a_plain_loop(spark):
                 else:
                     hit[1] += 1
                     hit[2] += [u for u in urls if u not in hit[2]]
-        seen: dict = {}  # equal intervals first, as they arrive
         for _, _, i, text, kind, lo, hi, urls in members:
-            if kind != "text":
-                e = seen.setdefault((lo, hi), [text, lo, hi, 0, []])
-                e[3] += 1
-                e[4] += [u for u in urls if u not in e[4]]
-        for text, lo, hi, n, urls in seen.values():
+            if kind == "text":
+                continue
             hit = next((x for x in numbers if max(x[1], lo) <= min(x[2], hi) + 0.5), None)
             if hit is None:
-                numbers.append([text, lo, hi, n, list(urls)])
+                numbers.append([text, lo, hi, 1, list(urls)])
             else:
-                hit[1], hit[2], hit[3] = min(hit[1], lo), max(hit[2], hi), hit[3] + n
+                hit[1], hit[2], hit[3] = min(hit[1], lo), max(hit[2], hi), hit[3] + 1
                 hit[4] += [u for u in urls if u not in hit[4]]
         want += [(key, t, None, None, n, u) for t, n, u in texts] + [(key, t, lo, hi, n, u) for t, lo, hi, n, u in numbers]
     assert len(got) == len(want)
