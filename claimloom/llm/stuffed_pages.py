@@ -119,7 +119,8 @@ def features(text: str | None, lang: str | None, known: dict[str, frozenset[str]
     hits = {k: sum(counts[w] for w in s if w in counts) for k, s in known.items()}
     best = max(hits, key=lambda k: (hits[k], k == label(lang)), default="und")
     language = best if hits.get(best, 0) * WINDOW >= n else label(lang) if label(lang) in known else "und"
-    own = known.get(language, every)
+    # a page in no language known is read with the function words it has most of
+    own = known.get(language) or (known[best] if hits.get(best) else every)
     is_function = np.fromiter((w in own for w in words), bool, n)
     k = min(WINDOW, n)
     total = np.concatenate(([0], np.cumsum(is_function)))
