@@ -115,6 +115,30 @@ def test_scan_noise_empty(spark):
     assert scan_noise.repair_texts(spark.createDataFrame([], "claim_id string, claim_text string, evidence_text string")).count() == 0
 
 
+def test_ranker_on_made_misreadings():
+    rng = random.Random(14)
+    letters = "abdefghimnoprstuvwy"
+    words = {"".join(rng.choice(letters) for _ in range(rng.randint(4, 9))): rng.randint(20, 5000) for _ in range(3000)}
+    ops = [("e", "c", 400, 0, 900, 10**6), ("n", "ri", 300, 0, 700, 10**6), ("o", "a", 4, 40, 30, 10**6)]
+    model, held = scan_noise.fit_ranker(words, sorted(words), ops)
+    assert held["cases"] > 300 and held["right"] >= 0.9 * held["cases"] and held["wrong"] <= 0.02 * held["right"]
+    assert scan_noise.fit_ranker({}, [], ops)[1]["cases"] == 0
+
+
+def test_a_cut_off_word_is_not_misread():
+    lines = scan_noise.Lines(set(), set(), {"filling", "long", "water"})
+    r = scan_noise.Repairer(lines, {"fil": "fit", "wctter": "water", "Yorit": "Yoria"}, BoostedTrees(), BoostedTrees())
+    assert r.reword("The grain was fil")[1] == r.reword("The grain was fil…")[1] == r.reword("Seen at Yorit")[1] == r.reword("The grain was fil [more]")[1] == 0
+    assert r.reword("The wctter was fil.") == ("The water was fit.", 2) and r.reword("There is wctter") == ("There is water", 1)
+
+
+def test_replacements_in_parts_are_the_same(spark, monkeypatch):
+    df = scanned(spark, 600)
+    whole = {tuple(r) for r in scan_noise.repair_texts(df).collect()}
+    monkeypatch.setattr(scan_noise, "FIX_PART", 2)
+    assert {tuple(r) for r in scan_noise.repair_texts(df).collect()} == whole
+
+
 def test_alignment_of_misread_words():
     assert scan_noise.align("grairi", "grain") == ("n", "ri", 4)
     assert scan_noise.align("cctnopy", "canopy") == ("a", "ct", 1)
@@ -373,6 +397,23 @@ def test_a_cut_row_and_caption_are_told_by_a_copy_that_is_not_the_longest(spark)
     assert got == {"cut", "c"}
 
 
+def test_truncation_of_nothing_and_clashing_columns(spark):
+    schema = "claim_id string, source_domain string, evidence_text string, word string, shape string, n_words int"
+    assert truncation.judged(spark.createDataFrame([], schema)).count() == 0
+    rows = [("a", None, "It was dry at the 3.", "w", "s", 1), (None, "d", "No id here.", None, None, None), ("b", "d", None, None, None, None), ("c", "d", "It broke off at th", "x", None, 2)]
+    got = {r["claim_id"]: r["cut"] for r in truncation.judged(spark.createDataFrame(rows, schema)).collect()}
+    assert not got["a"] and got["c"] and "b" not in got
+
+
+def test_made_cuts_are_shorter_texts():
+    text = "“The rye was sown in early spring. It had no rain for weeks.”"
+    for k in range(12):
+        for cut in truncation.made_cuts(text, k):
+            bare = cut.rstrip("….-[] ")
+            assert text.startswith(bare) and len(bare) < len(text.rstrip())
+    assert truncation.bare_word("3,5.") == "#" and truncation.bare_word("(rye).") == "rye" and truncation.bare_word("5cm") == "5cm"
+
+
 # ---------------------------------------------------------------- 7
 def test_a_sequence_of_nine_lines(spark):
     lines = [("s", f"c{i}", k + 1, k) for i in range(8) for k in range(9)]
