@@ -63,9 +63,9 @@ def sequence(df: DataFrame, key: str, order: str) -> DataFrame:
     parts = checkpoint(df.repartitionByRange(key, order).withColumn("_part", F.spark_partition_id()))
     per = parts.groupBy("_part", key).agg(F.count("*").alias("_n"), F.max(order).alias("_last"))
     before = Window.partitionBy(key).orderBy("_part")  # the ranges a key is spread over
-    per = per.select("_part", key, F.coalesce(F.sum("_n").over(before.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_base"), F.lag("_last").over(before).alias("_carry"))
+    per = per.select(F.col("_part").alias("_pp"), F.col(key).alias("_pk"), F.coalesce(F.sum("_n").over(before.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_base"), F.lag("_last").over(before).alias("_carry"))
     w = Window.partitionBy("_part", key).orderBy(order)
-    j = parts.withColumn("_i", F.row_number().over(w)).withColumn("_p", F.lag(order).over(w)).join(per, ["_part", key])
+    j = parts.withColumn("_i", F.row_number().over(w)).withColumn("_p", F.lag(order).over(w)).join(per, (F.col("_part") == F.col("_pp")) & F.col(key).eqNullSafe(F.col("_pk")))
     return j.select(*df.columns, (F.col("_i") + F.col("_base")).alias("position"), F.coalesce("_p", "_carry").alias("previous"))
 
 

@@ -350,8 +350,9 @@ def promote_join(spark, d):
 
 @query("select durable_claim_id, run_id, cast(row_number() over (partition by run_id order by source_claim_id, durable_claim_id) as int) number from durable_claims")
 def durable_numbering(spark, d):
-    w = Window.partitionBy("run_id").orderBy("source_claim_id", "durable_claim_id")
-    return table(spark, d, "durable_claims").select("durable_claim_id", "run_id", F.row_number().over(w).alias("number"))
+    """Numbers within a run, whatever share of the rows it has."""
+    c = table(spark, d, "durable_claims").select("durable_claim_id", "run_id", F.struct("source_claim_id", "durable_claim_id").alias("place"))
+    return L.sequence(c, "run_id", "place").select("durable_claim_id", "run_id", F.col("position").cast("int").alias("number"))
 
 
 @query("""select n.claim_id, count(*) spans from (select distinct claim_id, lower(trim(regexp_replace(coalesce(evidence_text, ''), '[ \\t\\n\\r\\f\\x0B]+', ' ', 'g'))) k from normalized_claims) n
@@ -452,8 +453,9 @@ g as (select key, cast(sum(n) as bigint) claims, min(dec) dec, first(effect orde
 select key, claims, dec deciding_rank, case when dec is null then 'unknown' when pos and neg then dec_e when (pos or neg) and cond then 'conditional' when pos or neg then dec_e else any_e end effect, (pos and neg) or ((pos or neg) and cond) ambiguous, (pos and not neg and ln) or (neg and not pos and lp) superseded from g""")
 def tiered_effect(spark, d):
     c = relations(spark, d).select(F.concat("subject", F.lit(">"), "object").alias("key"), "tier", "effect", "ord")
-    ranks = c.select("tier").distinct().select("tier", F.substring("tier", 1, 1).cast("int").alias("rank"))
-    return R.tiered_effect(c, ranks)
+    # the ranks come from the dimension that names the tiers, not from the joined rows
+    tiers = table(spark, d, "orders").select(F.col("o_orderpriority").alias("tier")).distinct()
+    return R.tiered_effect(c, tiers.select("tier", F.substring("tier", 1, 1).cast("int").alias("rank")))
 
 
 @query(f"with {REL_SQL} select subject || '>' || object as key, effect, count(*) n from rel group by 1, 2")
