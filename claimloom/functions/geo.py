@@ -6,6 +6,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 KINDS = ("district", "valley", "plain", "station", "county", "Farm")
+#: bytes of aliases (with 100 a row) that are sent to every task; where there are more, both sides of the join are shuffled
+SENT_ALIASES = 32_000_000
 MENTION = r"\b([A-Z][a-z]+(?: [A-Z][a-z]+){0,2}) (?:" + "|".join(KINDS) + r")\b"
 
 
@@ -53,7 +55,11 @@ def alias_dim(places: DataFrame) -> DataFrame:
 
 
 def detect(df: DataFrame, key: list[str], text: str, aliases: DataFrame, longest: int = 4) -> DataFrame:
-    """key, name, level: the place with the longest alias in the text, ties to the first position. Word runs are joined with the aliases: no loop over places."""
+    """key, name, level: the place with the longest alias in the text, ties to the first position. Word runs are joined with the aliases: no loop over places.
+
+    The runs, many times the text, are never broadcast: the join is hinted by the measured size of the aliases (an estimate from the files would take the runs for the smaller side)."""
+    size = aliases.agg(F.sum(F.lit(100) + F.octet_length("alias") + F.octet_length("name") + F.coalesce(F.octet_length("level"), F.lit(0)))).first()[0] or 0
+    dim = aliases.select("alias", "exact", "name", "level").hint("broadcast" if size <= SENT_ALIASES else "merge")
     words = F.regexp_extract_all(F.coalesce(F.col(text), F.lit("")), F.lit(r"([\p{L}\p{N}][\p{L}\p{N}.'-]*)"), F.lit(1))
     clean = F.transform(words, lambda w: F.regexp_replace(w, r"[.'-]+$", ""))
     w = df.select(*key, clean.alias("_w"))
@@ -63,8 +69,8 @@ def detect(df: DataFrame, key: list[str], text: str, aliases: DataFrame, longest
 
     runs = F.concat(*[of_length(n) for n in range(1, longest + 1)])
     r = w.select(*key, F.explode(runs).alias("_r")).select(*key, "_r.at", "_r.run")
-    found = r.withColumn("alias", F.lower("run")).join(aliases.where("not exact").select("alias", "name", "level"), "alias")
-    short = r.withColumn("alias", F.col("run")).join(aliases.where("exact").select("alias", "name", "level"), "alias")
+    found = r.withColumn("alias", F.lower("run")).join(dim.where("not exact").drop("exact"), "alias")
+    short = r.withColumn("alias", F.col("run")).join(dim.where("exact").drop("exact"), "alias")
     best = F.max_by(F.struct("name", "level", "alias"), F.struct(F.length("alias").alias("n"), (-F.col("at")).alias("p")))
     return found.unionByName(short).groupBy(*key).agg(best.alias("_b")).select(*key, "_b.name", "_b.level", "_b.alias")
 

@@ -158,6 +158,20 @@ def test_places_by_alias_and_abbreviation(spark):
     assert {r["k"]: r["name"] for r in geo.detect(df, ["k"], "t", al).collect()} == {1: "West Iona", 2: "Iona", 5: "West Iona"}
 
 
+def test_word_runs_are_never_broadcast(spark, tmp_path, monkeypatch):
+    texts, names = str(tmp_path / "t"), str(tmp_path / "n")
+    spark.createDataFrame([(k, f"trial {k} near west place{k % 7}, plot {k}", "x") for k in range(200)], "k int, t string, u string").write.parquet(texts)
+    spark.createDataFrame([(f"West Place{k}", None, "region") for k in range(5)], "name string, abbreviation string, level string").write.parquet(names)
+    al = geo.alias_dim(spark.read.parquet(names))
+    want = {k: f"West Place{k % 7}" for k in range(200) if k % 7 < 5}
+    for bound, join in ((10_000, "BroadcastHashJoin"), (0, "SortMergeJoin")):
+        monkeypatch.setattr(geo, "SENT_ALIASES", bound, raising=False)
+        got = geo.detect(spark.read.parquet(texts), ["k"], "t", al)
+        plan = got._jdf.queryExecution().executedPlan().toString()
+        assert join in plan and "BuildLeft" not in plan and ("BroadcastExchange" in plan) == (bound > 0)
+        assert {r["k"]: r["name"] for r in got.collect()} == want
+
+
 def test_organisms_and_bounds(spark):
     df = spark.createDataFrame([([" aphid ", "", '{"name": "rust", "role": "pathogen"}'], "12"), (["", None], "9999"), (None, "x")], "o array<string>, n string")
     got = df.select(extraction.organisms(F.col("o")).alias("o"), extraction.whole_number(F.col("n"), 0, 99).alias("n")).collect()
