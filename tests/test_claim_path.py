@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from claimloom.functions import geo
 from claimloom.operators import corpus, extraction, fetching, lane, ledger
+from claimloom.plans import claim_queries
 from claimloom.sources import config, sinks
 
 
@@ -172,6 +173,12 @@ def test_word_runs_are_never_broadcast(spark, tmp_path, monkeypatch):
         assert {r["k"]: r["name"] for r in got.collect()} == want
 
 
+@pytest.mark.parametrize("name", ["detected_regions", "source_scopes"])
+def test_place_queries_send_the_aliases_only(spark, name):
+    plan = claim_queries.QUERIES[name](spark, "/root/testdata/sf0.01")._jdf.queryExecution().executedPlan().toString()
+    assert "BuildRight" in plan and "BuildLeft" not in plan
+
+
 def test_organisms_and_bounds(spark):
     df = spark.createDataFrame([([" aphid ", "", '{"name": "rust", "role": "pathogen"}'], "12"), (["", None], "9999"), (None, "x")], "o array<string>, n string")
     got = df.select(extraction.organisms(F.col("o")).alias("o"), extraction.whole_number(F.col("n"), 0, 99).alias("n")).collect()
