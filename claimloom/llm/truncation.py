@@ -2,8 +2,8 @@
 
 1. Near-copies: evidence texts become min-hash signatures of five-word shingles; BANDS bands of BAND_ROWS
    values find pairs of a similarity of 0.8 and more. In a band's bucket every text is compared with
-   every longer one; in a bucket of more than MANY rows with every longer one that opens with the same HEAD words
-   where those are at most MANY, and with the longest. Pairs are aligned; where a copy's alignment ends early, that is the
+   every longer one: by a join where the bucket has at most MANY rows, else in blocks of about BLOCK texts, each block with each,
+   where only pairs that the closing word allows are aligned. Pairs are aligned; where a copy's alignment ends early, that is the
    longer text goes on after the last aligned word while the copy stops, and the place lies inside the longer
    text's word, sentence, row or caption, the copy is cut, whatever its closing shape.
 2. Unmatched records are scored by the terminality of their closing word: of all its occurrences in the corpus, the share at which a
@@ -18,6 +18,7 @@ longest texts go to the smaller id; very long texts are read whole; an empty tab
 
 from __future__ import annotations
 
+from bisect import bisect_left, bisect_right
 from collections import Counter
 from collections.abc import Iterator
 from difflib import SequenceMatcher
@@ -35,7 +36,7 @@ from claimloom.llm.scan_noise import HEAD_WORDS, ISSUE, PAGE, side_number
 from claimloom.session import checkpoint
 
 SHINGLE, BANDS, BAND_ROWS, LIKE = 5, 9, 4, 0.8
-MANY, HEAD = 256, 8
+MANY, BLOCK, BLOCK_CHARS = 256, 1_024, 2_000_000
 CUT_MARK = regex.compile(r"(?:…|\.\.\.|\[\s*(?:…|\.\.\.)\s*\]|\(\s*(?:…|\.\.\.)\s*\)|\[?(?:more|read more|continued|cont\.)\]?\W*|&\w{1,6}|�|(?<=\w)-)$", regex.I)
 CLOSED = regex.compile(r"[.!?][\"'”’»)\]]*$")
 CAPTION = regex.compile(r"^\W*(?:table|tab\.|figure|fig\.?|chart|map|plate|box|photo|tabelle|abbildung|abb\.|tableau|tabla|figura)\s*\d+\s*[.:–-]", regex.I)
@@ -114,11 +115,11 @@ def made_cuts(text: str, k: int) -> Iterator[str]:
         yield text[: ends[k % len(ends)]]
 
 
-TYPES = (pa.string(), pa.string(), pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.string(), pa.int64(), pa.list_(pa.int64()))
+TYPES = (pa.string(), pa.string(), pa.int64(), pa.int64(), pa.string(), pa.string(), pa.int64(), pa.list_(pa.int64()))
 
 
 def closing(claims: DataFrame) -> DataFrame:
-    """Of each text claim_id, source_domain, text_id, n_chars, head (hash of the first HEAD words), shape, word (the closing word, lower case), n_words and bands; and rows
+    """Of each text claim_id, source_domain, text_id, n_chars, shape, word (the closing word, lower case), n_words and bands; and rows
     without claim_id that count each word: n_chars its occurrences, n_words those at which a sentence ends (partial counts of a task)."""
     rng = np.random.default_rng(5)
     mult = rng.integers(1, 2**63, BANDS * BAND_ROWS, dtype=np.uint64) | np.uint64(1)
@@ -126,7 +127,7 @@ def closing(claims: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         memo: dict[str, int] = {}
         tokens: Counter = Counter()
-        names = ["claim_id", "source_domain", "text_id", "n_chars", "head", "shape", "word", "n_words", "bands"]
+        names = ["claim_id", "source_domain", "text_id", "n_chars", "shape", "word", "n_words", "bands"]
 
         def counted() -> pa.RecordBatch:
             uses: Counter = Counter()
@@ -174,20 +175,17 @@ def closing(claims: DataFrame) -> DataFrame:
                 for r in range(BAND_ROWS):
                     acc = _mix(acc * np.uint64(0xC2B2AE3D27D4EB4F) + np.minimum.reduceat(h * mult[band * BAND_ROWS + r], first))
                 bands[:, band] = acc.view(np.int64)
-            heads = np.full(len(words), np.uint64(HEAD))
-            for k in range(HEAD):  # texts of fewer words have their own heads
-                heads = np.where(k < size, _mix(heads * np.uint64(0x9E3779B97F4A7C15) + flat[np.minimum(starts + k, len(flat) - 1)]), heads)
             kinds = [shape(texts[i]) for i in keep]
             yield pa.RecordBatch.from_arrays(
                 [
-                    b.column("claim_id").take(pa.array(keep)), b.column("source_domain").take(pa.array(keep)), b.column("text_id").take(pa.array(keep)), pa.array([len(texts[i]) for i in keep], pa.int64()), pa.array(heads.view(np.int64)), pa.array(kinds), pa.array([closing_word(texts[i]) for i in keep]), pa.array(size),
+                    b.column("claim_id").take(pa.array(keep)), b.column("source_domain").take(pa.array(keep)), b.column("text_id").take(pa.array(keep)), pa.array([len(texts[i]) for i in keep], pa.int64()), pa.array(kinds), pa.array([closing_word(texts[i]) for i in keep]), pa.array(size),
                     pa.ListArray.from_arrays(pa.array(np.arange(0, bands.size + 1, BANDS, dtype=np.int32)), pa.array(bands.ravel())),
                 ],
                 names=names,
             )
         yield counted()
 
-    return claims.select("claim_id", "source_domain", "evidence_text", F.xxhash64("evidence_text").alias("text_id")).mapInArrow(run, "claim_id string, source_domain string, text_id bigint, n_chars bigint, head bigint, shape string, word string, n_words bigint, bands array<bigint>")
+    return claims.select("claim_id", "source_domain", "evidence_text", F.xxhash64("evidence_text").alias("text_id")).mapInArrow(run, "claim_id string, source_domain string, text_id bigint, n_chars bigint, shape string, word string, n_words bigint, bands array<bigint>")
 
 
 def end_in(copy: str, longer: str) -> int | None:
@@ -271,42 +269,98 @@ def breaks_off(copy: str, longer: str) -> bool:
     return any(c.isalnum() for c in line) and not regex.match(r"[.!?][\"'”’»)\]]*(?:\s|$)", line)
 
 
-def copy_pairs(closings: DataFrame) -> DataFrame:
-    """(id, other): texts and the longer ones of their buckets; equal texts are one."""
+def copy_buckets(closings: DataFrame) -> DataFrame:
+    """id, n_chars, band, n, chars: the different texts of each bucket that holds more than one, with the rows and characters of the bucket."""
     rows = closings.select(F.col("text_id").alias("id"), "n_chars", F.explode("bands").alias("band"))
-    sizes = rows.groupBy("band").agg(F.count("*").alias("n"), F.min("id").alias("low"), F.max("id").alias("high")).where("low <> high").select("band", "n")
-    shared = checkpoint(rows.join(sizes, "band").distinct())  # only buckets with different texts
+    sizes = rows.groupBy("band").agg(F.count("*").alias("n"), F.sum("n_chars").alias("chars"), F.min("id").alias("low"), F.max("id").alias("high")).where("low <> high").select("band", "n", "chars")
+    return checkpoint(rows.join(sizes.hint("merge"), "band").distinct())
 
-    def with_longest(df: DataFrame, *key: str) -> DataFrame:
-        top = df.groupBy(*key).agg(F.max_by(F.struct("id", "n_chars"), F.struct("n_chars", "id")).alias("top"))
-        return df.join(top, list(key)).where(F.col("n_chars") < F.col("top.n_chars")).select("id", F.col("top.id").alias("other"))
 
-    def with_all(df: DataFrame, *key: str) -> DataFrame:
-        other = df.select(*key, F.col("id").alias("other"), F.col("n_chars").alias("m_chars"))
-        return df.join(other, list(key)).where("n_chars < m_chars").select("id", "other")
+def copy_pairs(shared: DataFrame) -> DataFrame:
+    """(id, other): texts and the longer ones of their buckets of at most MANY rows."""
+    few = shared.where(F.col("n") <= MANY).select("band", "id", "n_chars")
+    other = few.select("band", F.col("id").alias("other"), F.col("n_chars").alias("m_chars"))
+    return few.join(other.hint("merge"), "band").where("n_chars < m_chars").select("id", "other").distinct()
 
-    hot = shared.where(F.col("n") > MANY).drop("n")
-    heads = hot.join(closings.select(F.col("text_id").alias("id"), "head").distinct(), "id")
-    few = heads.groupBy("band", "head").agg(F.count("*").alias("n")).where(F.col("n") <= MANY).select("band", "head")
-    pairs = with_all(shared.where(F.col("n") <= MANY), "band").unionByName(with_longest(hot, "band"))
-    return pairs.unionByName(with_longest(heads, "band", "head")).unionByName(with_all(heads.join(few, ["band", "head"]), "band", "head")).distinct()
+
+def cut_in_block(ids: np.ndarray, texts: list[str], block: np.ndarray, bands: np.ndarray, k: int) -> list[int]:
+    """ids of the texts that break off where a longer one goes on: pairs of two blocks, or of the one block where all are of one, that share no band before band k.
+
+    A text is aligned only with those longer ones in which, about its own length, a word begins with its closing word and more follows: without that end_in finds no end.
+    """
+    bodies = [body(t) for t in texts]
+    words = [[m.group() for m in WORDS.finditer(t)] for t in bodies]
+    size, chars = np.array([len(w) for w in words]), np.array([len(t) for t in bodies])
+    vocab = sorted({w for ws in words for w in ws})
+    rank = {w: i for i, w in enumerate(vocab)}
+    flat = np.fromiter((rank[w] for ws in words for w in ws), np.int64, int(size.sum()))
+    owner, starts = np.repeat(np.arange(len(texts)), size), np.cumsum(size) - size
+    left = np.repeat(size, size) - (np.arange(len(flat)) - np.repeat(starts, size)) - 1  # words after it
+    place = np.repeat(size, size) - left  # from 1
+    raw, length = np.array([len(t) for t in texts]), np.array([len(w) for w in vocab])
+    across = len(np.unique(block)) > 1
+    out = []
+    for i, text in enumerate(bodies):
+        a = text.split()
+        if not a:
+            continue
+        last = a[-1].rstrip("…") or a[-1]
+        low = bisect_left(vocab, last)
+        high = bisect_right(vocab, last, lo=low, key=lambda w: w[: len(last)])
+        n, slack = len(a), len(a) // 10
+        ends = (flat >= low) & (flat < high) & (place >= max(1, n - slack)) & (place <= n + slack)
+        ends &= (left > 0) | (length[flat] > len(last))
+        others = np.unique(owner[ends])
+        others = others[(raw[others] > raw[i]) & (chars[others] > chars[i]) & (size[others] >= n)]
+        if across:
+            others = others[block[others] != block[i]]
+        if k:
+            others = others[~(bands[others, :k] == bands[i, :k]).any(axis=1)]
+        if any(breaks_off(texts[i], texts[o]) for o in others):
+            out.append(int(ids[i]))
+    return out
+
+
+def cut_in_hot(shared: DataFrame, texts: DataFrame, bands: DataFrame) -> DataFrame:
+    """text_id of texts that break off where a longer one of a bucket of more than MANY rows goes on. texts: id, evidence_text; bands: id, bands; one row a text."""
+    hot = shared.where(F.col("n") > MANY)
+    blocks = F.ceil(F.greatest(F.col("n") / BLOCK, F.col("chars") / BLOCK_CHARS)).cast("int")
+    full = hot.select("id", "band", blocks.alias("blocks")).join(bands.hint("merge"), "id").join(texts.hint("merge"), "id")  # the texts come before the rows are repeated for their blocks
+    dealt = full.withColumn("block", F.pmod(F.xxhash64("id", "band"), "blocks").cast("int")).withColumn("x", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    cells = dealt.select("id", "band", "bands", "evidence_text", "block", F.least("block", "x").alias("i"), F.greatest("block", "x").alias("j"))
+
+    def run(t: pa.Table) -> pa.Table:
+        b = t.combine_chunks()
+        own = np.array(b.column("bands").to_pylist(), np.int64).reshape(-1, BANDS)
+        block = b.column("block").to_numpy()
+        across = b.column("i")[0].as_py() != b.column("j")[0].as_py()
+        found: list[int] = []
+        if len(own) > 1 and (not across or len(np.unique(block)) > 1):
+            k = int(np.argmax(own[0] == b.column("band")[0].as_py()))
+            found = cut_in_block(b.column("id").to_numpy(), b.column("evidence_text").to_pylist(), block, own, k)
+        return pa.table({"text_id": pa.array(found, pa.int64())})
+
+    return cells.groupBy("band", "i", "j").applyInArrow(run, "text_id bigint")
 
 
 def cut_copies(claims: DataFrame, closings: DataFrame) -> DataFrame:
-    """claim_id of texts that break off where a longer near-copy goes on."""
-    pairs = checkpoint(copy_pairs(closings))
-    texts = claims.select("evidence_text", F.xxhash64("evidence_text").alias("id"))
-    needed = pairs.select(F.explode(F.array("id", "other")).alias("id")).distinct()
-    t = texts.join(needed, "id", "left_semi").dropDuplicates(["id"])
-    j = pairs.join(t, "id").join(t.select(F.col("id").alias("other"), F.col("evidence_text").alias("longer")), "other")
+    """claim_id of texts that break off where a longer near-copy goes on. No side of these joins has a bound, so none is broadcast by an estimate."""
+    shared = copy_buckets(closings)
+    pairs = checkpoint(copy_pairs(shared))
+    hot = shared.where(F.col("n") > MANY).select("id").distinct()
+    needed = pairs.select(F.explode(F.array("id", "other")).alias("id")).union(hot).distinct()
+    t = claims.select("evidence_text", F.xxhash64("evidence_text").alias("id")).join(needed.hint("merge"), "id", "left_semi").dropDuplicates(["id"])
+    j = pairs.join(t.hint("merge"), "id").join(t.select(F.col("id").alias("other"), F.col("evidence_text").alias("longer")).hint("merge"), "other")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             ok = [breaks_off(x, y) for x, y in zip(b.column("evidence_text").to_pylist(), b.column("longer").to_pylist())]
             yield b.select(["text_id"]).filter(pa.array(ok, pa.bool_()))
 
-    cut = j.select(F.col("id").alias("text_id"), "evidence_text", "longer").mapInArrow(run, "text_id bigint").distinct()
-    return closings.join(cut, "text_id", "left_semi").select("claim_id").distinct()
+    cut = j.select(F.col("id").alias("text_id"), "evidence_text", "longer").mapInArrow(run, "text_id bigint")
+    bands = closings.select(F.col("text_id").alias("id"), "bands").join(hot.hint("merge"), "id", "left_semi").dropDuplicates(["id"])
+    cut = cut.union(cut_in_hot(shared, t, bands)).distinct()
+    return closings.join(cut.hint("merge"), "text_id", "left_semi").select("claim_id").distinct()
 
 
 def _rows(kinds: list[str], uses: np.ndarray, ends: np.ndarray) -> np.ndarray:

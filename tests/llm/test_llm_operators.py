@@ -397,6 +397,38 @@ def test_a_cut_row_and_caption_are_told_by_a_copy_that_is_not_the_longest(spark)
     assert got == {"cut", "c"}
 
 
+def test_a_full_bucket_is_searched_whole(spark, monkeypatch):
+    # more near-copies than MANY; the one that tells the cut is neither the longest nor opens with the same words
+    row = lambda place, *end: " | ".join(["Rye", place, *[f"cell{i}" for i in range(60)], *end])
+    rows = [("cut", "s", row("Nordhof", "5.2")), ("whole", "s", row("Nordhoff", "5.2", "14 kg")), *[(f"o{c}", "s", row(f"Nordho{c}", *["n/a"] * 5)) for c in "abcdeghijk"]]
+    monkeypatch.setattr(truncation, "MANY", 4)
+    for block in (1_024, 3):
+        monkeypatch.setattr(truncation, "BLOCK", block, raising=False)
+        got = {r["claim_id"] for r in truncation.judged(spark.createDataFrame(rows, "claim_id string, source_domain string, evidence_text string")).where("by_copy").collect()}
+        assert got == {"cut"}
+
+
+def test_blocks_find_what_all_pairs_find(spark, monkeypatch):
+    rng = random.Random(3)
+    base = [f"word{i}" for i in range(60)]
+    rows = []
+    for k in range(120):
+        words = [w if rng.random() > 0.01 else rng.choice(["of", "and", w + "s"]) for w in base]
+        text = " ".join(words[: rng.randint(50, 60)])
+        rows.append((f"c{k}", "s", text[: -rng.randint(1, 4)] if k % 3 else text + "."))
+    df = spark.createDataFrame(rows, "claim_id string, source_domain string, evidence_text string")
+    c = truncation.closing(df).where("claim_id is not null")
+    got = []
+    for many, block in ((10**9, 1_024), (2, 16), (2, 1_024)):
+        monkeypatch.setattr(truncation, "MANY", many)
+        monkeypatch.setattr(truncation, "BLOCK", block)
+        got.append({r["claim_id"] for r in truncation.cut_copies(df, c).collect()})
+    bands = {r["claim_id"]: set(r["bands"]) for r in c.collect()}
+    text = {k: t for k, _, t in rows}
+    loop = {x for x in text if any(len(text[x]) < len(text[y]) and bands[x] & bands[y] and truncation.breaks_off(text[x], text[y]) for y in text)}
+    assert len(loop) > 30 and got == [loop] * 3
+
+
 def test_truncation_of_nothing_and_clashing_columns(spark):
     schema = "claim_id string, source_domain string, evidence_text string, word string, shape string, n_words int"
     assert truncation.judged(spark.createDataFrame([], schema)).count() == 0
