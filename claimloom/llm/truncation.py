@@ -406,9 +406,9 @@ def judged(claims: DataFrame) -> DataFrame:
             x = _rows(b.column("shape").to_pylist(), b.column("uses").to_numpy(zero_copy_only=False), b.column("ends").to_numpy(zero_copy_only=False))
             yield pa.RecordBatch.from_arrays([b.column("shape"), b.column("word"), pa.array(1.0 - shared.value.predict(x))], names=["shape", "word", "terminality"])
 
-    closings = c.select("shape", "word").distinct().join(words, "word", "left").select("shape", "word", *[F.coalesce(x, F.lit(0)).cast("double").alias(x) for x in ("uses", "ends")])
-    scored = c.join(closings.mapInArrow(score, "shape string, word string, terminality double"), ["shape", "word"])
+    closings = c.select("shape", "word").distinct().join(words.hint("merge"), "word", "left").select("shape", "word", *[F.coalesce(x, F.lit(0)).cast("double").alias(x) for x in ("uses", "ends")])
+    scored = c.join(closings.mapInArrow(score, "shape string, word string, terminality double").hint("merge"), ["shape", "word"])
     copies = cut_copies(claims, c).withColumn("by_copy", F.lit(True))
-    s = scored.join(copies, "claim_id", "left").withColumn("by_copy", F.coalesce("by_copy", F.lit(False)))
+    s = scored.join(copies.hint("merge"), "claim_id", "left").withColumn("by_copy", F.coalesce("by_copy", F.lit(False)))
     s = s.withColumn("cut", F.col("by_copy") | (F.col("terminality") < TERMINALITY))
     return s.groupBy("claim_id").agg(F.min("source_domain").alias("source_domain"), F.min("shape").alias("shape"), F.min("terminality").alias("terminality"), F.max("by_copy").alias("by_copy"), F.max("cut").alias("cut"))

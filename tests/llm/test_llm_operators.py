@@ -429,6 +429,15 @@ def test_blocks_find_what_all_pairs_find(spark, monkeypatch):
     assert len(loop) > 30 and got == [loop] * 3
 
 
+def test_search_of_cut_texts_broadcasts_no_table(spark, tmp_path, monkeypatch):
+    # files are small against what is made of them: an estimate would broadcast the rows of all bands
+    spark.createDataFrame([(f"c{k}", "s", f"The rye of plot {k} was sown early and stood well.") for k in range(40)], "claim_id string, source_domain string, evidence_text string").write.parquet(str(tmp_path / "c"))
+    df = spark.read.parquet(str(tmp_path / "c"))
+    monkeypatch.setattr(truncation, "checkpoint", lambda x: x)
+    plan = truncation.judged(df)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("SortMergeJoin") >= 8 and "Broadcast" not in plan
+
+
 def test_truncation_of_nothing_and_clashing_columns(spark):
     schema = "claim_id string, source_domain string, evidence_text string, word string, shape string, n_words int"
     assert truncation.judged(spark.createDataFrame([], schema)).count() == 0
