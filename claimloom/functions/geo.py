@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 KINDS = ("district", "valley", "plain", "station", "county", "Farm")
 #: bytes of aliases (with 100 a row) that are sent to every task; where there are more, both sides of the join are shuffled
 SENT_ALIASES = 32_000_000
+#: 64-bit words of the bit table of aliases, as a power of two, at most (16 MB); a fuller table lets more runs through, never fewer
+TABLE_WORDS = 21
 MENTION = r"\b([A-Z][a-z]+(?: [A-Z][a-z]+){0,2}) (?:" + "|".join(KINDS) + r")\b"
 
 
@@ -54,21 +56,48 @@ def alias_dim(places: DataFrame) -> DataFrame:
     return both.groupBy("alias", "exact").agg(F.min_by("name", F.struct("level", "name")).alias("name"), F.min_by("level", F.struct("level", "name")).alias("level"))
 
 
+def _place_in_table(h, words: int):
+    """at, bits: the word of a hash in a table of so many words (a power of two), and its three bits there."""
+    bits = [F.call_function("shiftleft", F.lit(1).cast("bigint"), F.shiftrightunsigned(h, n).bitwiseAND(F.lit(63)).cast("int")) for n in (40, 46, 52)]
+    return h.bitwiseAND(F.lit(words - 1)), bits[0].bitwiseOR(bits[1]).bitwiseOR(bits[2])
+
+
+def _may_be_alias(h, aliases: DataFrame, count: int):
+    """False only where no alias has this hash of its words in lower case; about 1 in 100 others is let through. The table (a Bloom filter, about 16 bits an alias) is one value of a scalar subquery."""
+    words = 1 << min(TABLE_WORDS, (count // 4).bit_length())
+    at, bits = _place_in_table(F.xxhash64(F.split(F.lower("alias"), " ", -1)), words)
+    zeros = aliases.sparkSession.range(words).select(F.col("id").alias("at"), F.lit(0).cast("bigint").alias("bits"))
+    table = aliases.select(at.alias("at"), bits.alias("bits")).unionByName(zeros).groupBy("at").agg(F.bit_or("bits").alias("bits"))
+    inner = lambda c, f: F.transform(F.array_sort(c), lambda x: x[f])
+    blocks = table.groupBy(F.shiftright("at", 10).alias("block")).agg(inner(F.collect_list(F.struct("at", "bits")), "bits").alias("bits"))
+    whole = blocks.agg(F.flatten(inner(F.collect_list(F.struct("block", "bits")), "bits")))
+    at, bits = _place_in_table(h, words)
+    return F.get(whole.scalar(), at.cast("int")).bitwiseAND(bits) == bits
+
+
 def detect(df: DataFrame, key: list[str], text: str, aliases: DataFrame, longest: int = 4) -> DataFrame:
     """key, name, level: the place with the longest alias in the text, ties to the first position. Word runs are joined with the aliases: no loop over places.
 
-    The runs, many times the text, are never broadcast: the join is hinted by the measured size of the aliases (an estimate from the files would take the runs for the smaller side)."""
-    size = aliases.agg(F.sum(F.lit(100) + F.octet_length("alias") + F.octet_length("name") + F.coalesce(F.octet_length("level"), F.lit(0)))).first()[0] or 0
-    dim = aliases.select("alias", "exact", "name", "level").hint("broadcast" if size <= SENT_ALIASES else "merge")
+    The runs, many times the text, are never broadcast: the join is hinted by the measured size of the aliases (an estimate from the files would take the runs for the smaller side).
+    Where both sides are shuffled, runs that are no alias are left out before by a table of bits; the join decides."""
+    size, count = aliases.agg(F.sum(F.lit(100) + F.octet_length("alias") + F.octet_length("name") + F.coalesce(F.octet_length("level"), F.lit(0))), F.count("*")).first()
+    sent = (size or 0) <= SENT_ALIASES
+    dim = aliases.select("alias", "exact", "name", "level").hint("broadcast" if sent else "merge")
     words = F.regexp_extract_all(F.coalesce(F.col(text), F.lit("")), F.lit(r"([\p{L}\p{N}][\p{L}\p{N}.'-]*)"), F.lit(1))
     clean = F.transform(words, lambda w: F.regexp_replace(w, r"[.'-]+$", ""))
     w = df.select(*key, clean.alias("_w"))
-    def of_length(n: int):
+    def of_length(n: int, of):
         starts = F.when(F.size("_w") >= n, F.sequence(F.lit(1), F.size("_w") - (n - 1))).otherwise(F.array().cast("array<int>"))
-        return F.transform(starts, lambda i: F.struct(i.alias("at"), F.array_join(F.slice("_w", i, F.lit(n)), " ").alias("run")))
+        return F.transform(starts, lambda i: of(i, F.lit(n)))
 
-    runs = F.concat(*[of_length(n) for n in range(1, longest + 1)])
-    r = w.select(*key, F.explode(runs).alias("_r")).select(*key, "_r.at", "_r.run")
+    every = lambda of: F.explode(F.concat(*[of_length(n, of) for n in range(1, longest + 1)])).alias("_r")
+    run = lambda i, n: F.array_join(F.slice("_w", i, n), " ").alias("run")
+    if sent:
+        r = w.select(*key, every(lambda i, n: F.struct(i.alias("at"), run(i, n)))).select(*key, "_r.at", "_r.run")
+    else:
+        low = w.withColumn("_low", F.transform("_w", F.lower))
+        hashed = low.select(*key, "_w", every(lambda i, n: F.struct(i.alias("at"), n.alias("n"), F.xxhash64(F.slice("_low", i, n)).alias("h"))))
+        r = hashed.where(_may_be_alias(F.col("_r.h"), aliases, count)).select(*key, "_r.at", run(F.col("_r.at"), F.col("_r.n")))
     found = r.withColumn("alias", F.lower("run")).join(dim.where("not exact").drop("exact"), "alias")
     short = r.withColumn("alias", F.col("run")).join(dim.where("exact").drop("exact"), "alias")
     best = F.max_by(F.struct("name", "level", "alias"), F.struct(F.length("alias").alias("n"), (-F.col("at")).alias("p")))

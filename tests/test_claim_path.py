@@ -179,6 +179,29 @@ def test_place_queries_send_the_aliases_only(spark, name):
     assert "BuildRight" in plan and "BuildLeft" not in plan
 
 
+def shuffled_rows(plan):
+    """Rows written by the exchanges of a plan that ran."""
+    if plan.nodeName() == "AdaptiveSparkPlan":
+        return shuffled_rows(plan.executedPlan())
+    if plan.nodeName().endswith("QueryStage"):
+        return shuffled_rows(plan.plan())
+    own = plan.metrics().apply("shuffleRecordsWritten").value() if plan.nodeName() == "Exchange" else 0
+    return own + sum(shuffled_rows(plan.children().apply(i)) for i in range(plan.children().size()))
+
+
+@pytest.mark.parametrize("words", [21, 0])
+def test_runs_that_are_no_alias_are_not_shuffled(spark, monkeypatch, words):
+    monkeypatch.setattr(geo, "SENT_ALIASES", 0)
+    monkeypatch.setattr(geo, "TABLE_WORDS", words, raising=False)
+    places = spark.createDataFrame([(f"Öst Place{k}", None, "region") for k in range(3000)] + [("Iona", "IO", "state"), ("ΟΔΟΣ ΑΣ", None, "region")], "name string, abbreviation string, level string")
+    texts = spark.createDataFrame([(k, f"trial {k} of the rye near ÖST place{k}. and of the oats by the old mill, sown late") for k in range(0, 6000, 10)] + [(-1, "grown in IO."), (-2, "io moons"), (-3, None), (-4, ""), (-5, "by ΟΔΟΣ ας.")], "k int, t string")
+    got = geo.detect(texts, ["k"], "t", geo.alias_dim(places))
+    assert {r["k"]: (r["name"], r["alias"]) for r in got.collect()} == {k: (f"Öst Place{k}", f"öst place{k}") for k in range(0, 3000, 10)} | {-1: ("Iona", "IO"), -5: ("ΟΔΟΣ ΑΣ", "οδος ας")}
+    n = shuffled_rows(got._jdf.queryExecution().executedPlan())
+    # 600 texts of 18 words, thus 39,600 runs for either join; a table of one word is full and keeps nothing out
+    assert (n < 18_000) if words else (n > 60_000)
+
+
 def test_organisms_and_bounds(spark):
     df = spark.createDataFrame([([" aphid ", "", '{"name": "rust", "role": "pathogen"}'], "12"), (["", None], "9999"), (None, "x")], "o array<string>, n string")
     got = df.select(extraction.organisms(F.col("o")).alias("o"), extraction.whole_number(F.col("n"), 0, 99).alias("n")).collect()
